@@ -195,6 +195,164 @@ def analytic_oracles() -> dict[str, str]:
     return q
 
 
+# --- storage-backed queries -------------------------------------------------------
+
+def _feed(name: str, file_date: str | None = None) -> str:
+    return f"SELECT * FROM ({oracle_feed(name, file_date)})"
+
+
+def _stamp(col: str) -> str:
+    return f"CAST({col} || ' 06:00:00' AS TIMESTAMP)"
+
+
+RESULTS_WITH_YEAR = (with_processed("races", "results") +
+                     "\nSELECT r.*, ra.race_year FROM results r "
+                     "LEFT JOIN races ra ON r.race_id = ra.race_id")
+
+# per-batch dedupe on (race_id, driver_id), every batch with its own stamp
+def _batch_deduped(d: str) -> str:
+    return (f"SELECT * FROM ({_processed('results', _stamp(repr(d)), d)}) QUALIFY row_number() "
+            f"OVER (PARTITION BY race_id, driver_id ORDER BY "
+            + ", ".join(f"{c} ASC NULLS FIRST" for c in RESULTS_ORDER.split(", ")) + ") = 1")
+
+
+def _batches_deduped(dates) -> str:
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({_batch_deduped(d)})" for d in dates)
+
+
+BATCHES_DEDUPED = _batches_deduped(FILE_DATES)
+
+
+def _final_results(dates) -> str:
+    """State of the results table after merging ``dates`` in order (update all)."""
+    return (with_processed("races") + ",\nb AS (" + _batches_deduped(dates) + "),\n"
+            "fin AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY result_id, race_id "
+            "ORDER BY file_date DESC) = 1)\n"
+            "SELECT fin.*, ra.race_year FROM fin LEFT JOIN races ra ON fin.race_id = ra.race_id")
+
+
+FINAL_RESULTS = _final_results(FILE_DATES)
+
+FINAL_RACE_RESULTS = (
+    with_processed("circuits", "races", "constructors", "drivers") +
+    f",\nresults AS ({_final_results(FILE_DATES).replace(with_processed('races') + ',', 'WITH', 1)})"
+    f"\nSELECT r.race_id, {RACE_RESULTS_SELECT}, r.file_date, {_stamp('r.file_date')} "
+    f"AS created_date {STAR}")
+
+FINAL_CALCULATED = (
+    with_processed("races", "constructors", "drivers") + f",\nb AS ({BATCHES_DEDUPED}),\n"
+    f"cb AS (SELECT ra.race_year, co.name AS team_name, d.driver_id, d.name AS driver_name, "
+    f"ra.race_id, r.position, CAST(r.points AS INT) AS points, "
+    f"{TOP_N + 1} - r.position AS calculated_points, r.file_date FROM b r "
+    f"JOIN drivers d ON r.driver_id = d.driver_id "
+    f"JOIN constructors co ON r.constructor_id = co.constructor_id "
+    f"JOIN races ra ON r.race_id = ra.race_id WHERE r.position <= {TOP_N})\n"
+    f"SELECT race_year, team_name, driver_id, driver_name, race_id, "
+    f"arg_max(position, file_date) AS position, arg_max(points, file_date) AS points, "
+    f"arg_max(calculated_points, file_date) AS calculated_points, "
+    f"{_stamp('min(file_date)')} AS created_date, "
+    f"CASE WHEN count(*) > 1 THEN {_stamp('max(file_date)')} END AS updated_date "
+    f"FROM cb GROUP BY race_year, team_name, driver_id, driver_name, race_id")
+
+
+def _inc_standings(group: str) -> str:
+    return (f"WITH rr AS ({FINAL_RACE_RESULTS}), st AS (SELECT race_year, {group}, "
+            f"SUM(points) AS total_points, COUNT(*) FILTER (WHERE position = 1) AS wins "
+            f"FROM rr GROUP BY race_year, {group}) "
+            f"SELECT *, CAST(RANK() OVER (PARTITION BY race_year ORDER BY total_points DESC, "
+            f"wins DESC) AS INT) AS rank FROM st")
+
+
+NESTED_DRIVERS = ("SELECT driverId, driverRef, number, code, name_forename AS forename, "
+                  "name_surname AS surname, dob, nationality, url FROM (" +
+                  oracle_feed("drivers") + ")")
+
+INFERRED_RESULTS = (
+    "SELECT CAST(resultId AS BIGINT) AS resultId, CAST(raceId AS BIGINT) AS raceId, "
+    "CAST(driverId AS BIGINT) AS driverId, CAST(constructorId AS BIGINT) AS constructorId, "
+    "CAST(number AS BIGINT) AS number, CAST(grid AS BIGINT) AS grid, "
+    "CAST(position AS BIGINT) AS position, positionText, "
+    "CAST(positionOrder AS BIGINT) AS positionOrder, CAST(points AS DOUBLE) AS points, "
+    "CAST(laps AS BIGINT) AS laps, time, CAST(milliseconds AS BIGINT) AS milliseconds, "
+    "CAST(fastestLap AS BIGINT) AS fastestLap, CAST(rank AS BIGINT) AS rank, fastestLapTime, "
+    "CAST(fastestLapSpeed AS DOUBLE) AS fastestLapSpeed, statusId FROM ("
+    + oracle_feed("results") + ")")
+
+MARKED_PART = ("SELECT p_partkey, p_name, CASE WHEN p_size % 5 = 0 THEN NULL "
+               "ELSE CAST(p_size AS INT) END AS p_size FROM part")
+
+
+def _processed_with_year(name: str) -> str:
+    return (with_processed("races") + f",\nx AS ({_processed(name)})\n"
+            "SELECT x.*, ra.race_year FROM x LEFT JOIN races ra ON x.race_id = ra.race_id")
+
+
+def io_oracles() -> dict[str, str]:
+    q = {}
+    q["scan_csv_header"] = _feed("races")
+    q["scan_csv_folder"] = _feed("lap_times")
+    q["scan_json_lines"] = _feed("results")
+    q["scan_json_ddl_schema"] = _feed("constructors")
+    q["scan_json_nested"] = NESTED_DRIVERS
+    q["scan_json_multiline"] = _feed("pit_stops")
+    q["scan_json_multiline_folder"] = _feed("qualifying")
+    q["scan_json_inferred"] = INFERRED_RESULTS
+    q["scan_permissive_nulls"] = MARKED_PART
+    q["scan_permissive_nulls_json"] = MARKED_PART
+    q["scan_parquet"] = _feed("results")
+    q["scan_catalog_table"] = _feed("results")
+    q["scan_dated_batch"] = _feed("results", FILE_DATES[1])
+    q["race_timestamp"] = with_processed("races") + "\nSELECT race_id, race_timestamp FROM races"
+    q["ddl_raw_csv_table"] = _feed("races")
+    q["ddl_raw_csv_folder_table"] = _feed("lap_times")
+    q["ddl_raw_json_table"] = _feed("results")
+    q["ddl_raw_json_struct_table"] = NESTED_DRIVERS
+    q["ddl_raw_json_multiline_table"] = _feed("qualifying")
+    q["project_select"] = with_processed("races") + "\nSELECT * FROM races"
+    q["project_rename"] = with_processed("results") + "\nSELECT * FROM results"
+    q["project_drop"] = with_processed("constructors") + "\nSELECT * FROM constructors"
+    q["audit_columns"] = f"SELECT * FROM ({_processed('circuits', TS, FILE_DATES[0])})"
+    q["struct_flatten"] = with_processed("drivers") + "\nSELECT * FROM drivers"
+    q["project_partition_last"] = q["project_rename"]
+    q["sink_parquet_overwrite"] = RACE_RESULTS
+    q["sink_partitioned"] = RESULTS_WITH_YEAR
+    q["sink_save_as_table"] = RESULTS_WITH_YEAR
+    q["sink_ctas"] = CALC_CTE + "SELECT * FROM calc"
+    q["ddl_create_if_missing"] = (
+        with_processed("races", "constructors", "drivers", "results") +
+        f"\nSELECT ra.race_year, co.name AS team_name, d.driver_id, d.name AS driver_name, "
+        f"ra.race_id, r.position, CAST(r.points AS INT) AS points, "
+        f"{TOP_N + 1} - r.position AS calculated_points, {TS} AS created_date, "
+        f"CAST(NULL AS TIMESTAMP) AS updated_date FROM results r "
+        f"JOIN drivers d ON r.driver_id = d.driver_id "
+        f"JOIN constructors co ON r.constructor_id = co.constructor_id "
+        f"JOIN races ra ON r.race_id = ra.race_id WHERE r.position <= {TOP_N}")
+    changed = (f"WITH base AS ({RESULTS_WITH_YEAR}) SELECT * REPLACE (CASE WHEN race_year = 2000 "
+               f"THEN CAST(points + 10 AS FLOAT) ELSE points END AS points) FROM base")
+    q["partition_overwrite"] = changed
+    q["partition_drop_reload"] = changed
+    q["upsert_first_load"] = _final_results(FILE_DATES[:1])
+    q["upsert_merge"] = FINAL_RESULTS
+    q["upsert_idempotent"] = FINAL_RESULTS
+    q["upsert_selective"] = FINAL_CALCULATED
+    for name in ("circuits", "races", "constructors", "drivers"):
+        q[f"ingest_{name}"] = with_processed(name) + f"\nSELECT * FROM {name}"
+    for name in ("results", "pit_stops", "lap_times", "qualifying"):
+        q[f"ingest_{name}"] = _processed_with_year(name)
+    q["ingest_results_incremental"] = FINAL_RESULTS
+    q["run_ingestion_all"] = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {t}" for n, t in [
+            ("circuits", "nation"), ("races", "orders"), ("constructors", "supplier"),
+            ("drivers", "part"), ("results", "lineitem"), ("pit_stops", "lineitem"),
+            ("lap_times", "lineitem"), ("qualifying", "lineitem")])
+    q["race_results_incremental"] = FINAL_RACE_RESULTS
+    q["driver_standings_incremental"] = _inc_standings("driver_name, driver_nationality")
+    q["constructor_standings_incremental"] = _inc_standings("team")
+    q["calculated_results_incremental"] = FINAL_CALCULATED
+    return q
+
+
 def all_oracles() -> dict[str, str]:
     out = analytic_oracles()
+    out.update(io_oracles())
     return out

@@ -245,3 +245,6 @@ def affected_years_semi(spark, sf_dir):
 for _k in list(QUERIES):
     if _k.endswith("_q"):
         QUERIES[_k[:-2]] = QUERIES.pop(_k)
+
+# storage-backed queries register themselves on import
+from paddock.plans import registry_io as _registry_io  # noqa: E402,F401

@@ -45,7 +45,7 @@ _BACKSLASH_N = "chr(92) || 'N'"
 
 RAW_SQL = {
     "circuits": """
-SELECT n.n_nationkey AS circuitId,
+SELECT CAST(n.n_nationkey AS BIGINT) AS circuitId,
        lower(n.n_name) AS circuitRef,
        n.n_name || ' Circuit' AS name,
        n.n_name AS location,
