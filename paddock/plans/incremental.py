@@ -19,28 +19,35 @@ from paddock.plans.presentation import (calculated_results_incremental,
                                         race_results_incremental, standings_incremental)
 
 Stamp = str | _dt.datetime | None
+PRESENTATION_STEPS = ("race_results", "driver_standings", "constructor_standings",
+                      "calculated_race_results")
 
 
 def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
               presentation_root: str, file_date: str, data_source: str = "",
               stamp: Stamp = None, top_n: int = 10,
-              feeds: Sequence[str] = INGEST_ORDER, presentation: bool = True) -> None:
+              feeds: Sequence[str] = INGEST_ORDER,
+              presentation: Sequence[str] = PRESENTATION_STEPS) -> None:
     for name in feeds:
         ingest(spark, raw_root, processed_root, name, data_source, file_date, stamp,
                incremental=True)
-    if not presentation:
-        return
-    race_results_incremental(spark, processed_root, presentation_root, file_date, stamp)
-    standings_incremental(spark, presentation_root, file_date, "driver")
-    standings_incremental(spark, presentation_root, file_date, "constructor")
-    calculated_results_incremental(spark, processed_root, presentation_root, file_date,
-                                   stamp, top_n)
+    steps = set(presentation)
+    if steps & {"race_results", "driver_standings", "constructor_standings"}:
+        race_results_incremental(spark, processed_root, presentation_root, file_date, stamp)
+    if "driver_standings" in steps:
+        standings_incremental(spark, presentation_root, file_date, "driver")
+    if "constructor_standings" in steps:
+        standings_incremental(spark, presentation_root, file_date, "constructor")
+    if "calculated_race_results" in steps:
+        calculated_results_incremental(spark, processed_root, presentation_root, file_date,
+                                       stamp, top_n)
 
 
 def run_history(spark: SparkSession, raw_root: str, root: str,
                 file_dates: Sequence[str], data_source: str = "",
                 stamps: Sequence[Stamp] | None = None, top_n: int = 10,
-                feeds: Sequence[str] = INGEST_ORDER, presentation: bool = True) -> dict:
+                feeds: Sequence[str] = INGEST_ORDER,
+                presentation: Sequence[str] = PRESENTATION_STEPS) -> dict:
     """Process ``file_dates`` in order; returns the layer folders."""
     processed = os.path.join(root, "processed")
     pres = os.path.join(root, "presentation")

@@ -140,7 +140,9 @@ def ingest(spark: SparkSession, raw_root: str, processed_root: str, name: str,
         races = spark.read.parquet(os.path.join(processed_root, "races"))
         if incremental:
             prepared = prepare_incremental(df, name, races)
-            return upsert(spark, prepared, path, MERGE_KEYS[name] + [PERIOD], PERIOD)
+            # unique by construction: deduplicated on the merge key
+            return upsert(spark, prepared, path, MERGE_KEYS[name] + [PERIOD], PERIOD,
+                          check_unique=False)
         return overwrite_parquet(with_period(df, races), path, partition_by=[PERIOD],
                                  cluster_by=MERGE_KEYS[name])
     if name == "races":

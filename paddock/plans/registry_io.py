@@ -331,8 +331,9 @@ def _upsert_batches(spark, sf_dir, dates):
     path = os.path.join(work_dir(spark, "lake"), "results")
     races = tb.processed(spark, sf_dir, ("races",))["races"]
     for d in dates:
+        # the batch source is deduplicated on the merge key, so no extra check pass
         sink.upsert(spark, _batch_source(spark, sf_dir, d, races), path,
-                    MERGE_KEYS["results"] + [PERIOD], PERIOD)
+                    MERGE_KEYS["results"] + [PERIOD], PERIOD, check_unique=False)
     return spark.read.parquet(path)
 
 
@@ -395,7 +396,7 @@ def ingest_results_incremental(spark, sf_dir):
         write_raw_folder(spark, sf_dir, raw_root, d, ["races", "results"])
     layers = run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES, DATA_SOURCE,
                          [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
-                         feeds=["races", "results"], presentation=False)
+                         feeds=["races", "results"], presentation=())
     return spark.read.parquet(os.path.join(layers["processed"], "results"))
 
 
@@ -409,19 +410,22 @@ def run_ingestion_all(spark, sf_dir):
 
 # --- incremental history ---------------------------------------------------------------
 
-def _history(spark, sf_dir):
+def _history(spark, sf_dir, steps):
+    feeds_needed = ["circuits", "races", "constructors", "drivers", "results"]
+    if steps == ("calculated_race_results",):
+        feeds_needed.remove("circuits")
     raw_root = work_dir(spark, "raw")
     for d in tb.FILE_DATES:
-        write_raw_folder(spark, sf_dir, raw_root, d,
-                         ["circuits", "races", "constructors", "drivers", "results"])
+        write_raw_folder(spark, sf_dir, raw_root, d, feeds_needed)
     return run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES, DATA_SOURCE,
                        [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
-                       feeds=["circuits", "races", "constructors", "drivers", "results"])
+                       feeds=feeds_needed, presentation=steps)
 
 
 def _presentation(name):
+    """The whole three-batch history, with the presentation steps ``name`` needs."""
     def fn(spark, sf_dir):
-        layers = _history(spark, sf_dir)
+        layers = _history(spark, sf_dir, (name,))
         return spark.read.parquet(os.path.join(layers["presentation"], name))
     return fn
 

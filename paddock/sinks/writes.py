@@ -15,9 +15,11 @@ The old files of a partition are replaced when the write job commits, so a
 task or executor lost mid-job is simply recomputed from the still-present
 input. Writes are single-writer and not atomic across partitions.
 
-Partitioned writes are range-partitioned on (partition column, keys) first:
-each task writes few partition folders with large files, and a partition that
-holds a third of the rows is spread over many tasks instead of one.
+Partitioned writes are rebalanced on the partition column first (the
+``rebalance`` hint): one shuffle without a sampling pass, after which adaptive
+execution splits a partition value that holds a large share of the rows (a hot
+season) over several tasks and merges small ones, so each task writes few
+folders with large files.
 """
 
 from __future__ import annotations
@@ -34,9 +36,14 @@ from paddock.functions.conform import partition_column_last, timestamp_literal
 
 def _clustered(df: DataFrame, partition_by: Sequence[str] | None,
                cluster_by: Sequence[str] = ()) -> DataFrame:
+    """Rows of one partition value together, in AQE-sized tasks; sorted by
+    ``cluster_by`` inside each task so Parquet min/max statistics are tight."""
     if not partition_by:
         return df
-    return df.repartitionByRange(*[F.col(c) for c in list(partition_by) + list(cluster_by)])
+    out = df.hint("rebalance", *partition_by)
+    if cluster_by:
+        out = out.sortWithinPartitions(*partition_by, *cluster_by)
+    return out
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
@@ -93,14 +100,20 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
     if check_unique:
         _check_unique(source, keys)
+    merged = upsert_frame(spark, source, path, keys, partition_col)
+    return overwrite_partitions(merged, path, partition_col, cluster_by=keys)
+
+
+def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
+                 partition_col: str) -> DataFrame:
+    """The new content of the partitions ``source`` touches (lazy)."""
     target = read_or_empty(spark, path)
     if target is None:
-        return overwrite_partitions(source, path, partition_col, cluster_by=keys)
+        return source
     touched = source.select(partition_col).distinct()
     old = target.join(touched, partition_col, "left_semi")
-    kept = old.join(source.select(*keys), keys, "left_anti")
-    merged = kept.unionByName(source.select(*target.columns))
-    return overwrite_partitions(merged, path, partition_col, cluster_by=keys)
+    kept = old.join(source.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(source.select(*target.columns))
 
 
 def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
