@@ -340,6 +340,7 @@ def io_oracles() -> dict[str, str]:
     for name in ("results", "pit_stops", "lap_times", "qualifying"):
         q[f"ingest_{name}"] = _processed_with_year(name)
     q["ingest_results_incremental"] = FINAL_RESULTS
+    q["stream_results_incremental"] = FINAL_RESULTS
     q["run_ingestion_all"] = " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {t}" for n, t in [
             ("circuits", "nation"), ("races", "orders"), ("constructors", "supplier"),

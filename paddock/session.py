@@ -50,10 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fixed folder under the shared checkpoint location (cluster-wide storage)."""
+    current = ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or current
+    return os.path.join(base, "paddock", *parts)
+
+
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, "paddock-work", *parts, uuid.uuid4().hex[:12])
-    return path
+    return os.path.join(shared_dir(spark, "work", *parts), uuid.uuid4().hex[:12])

@@ -25,6 +25,7 @@ folders with large files.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock.functions.conform import partition_column_last, timestamp_literal
+from paddock.session import shared_dir
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str] | None,
@@ -80,6 +82,21 @@ def read_or_empty(spark: SparkSession, path: str, schema=None) -> DataFrame | No
         raise
 
 
+def stage(spark: SparkSession, source: DataFrame, target_path: str) -> DataFrame:
+    """Materialise a merge source once, in a per-target folder under the shared
+    checkpoint location (overwritten by the next merge into the same target).
+
+    The key check and the merge then read this copy instead of recomputing the
+    source (a star join, an aggregate); lineage is cut here, so a lost executor
+    only recomputes from the staged files, and a non-deterministic source
+    (timestamps) is evaluated exactly once.
+    """
+    digest = hashlib.sha1(target_path.encode()).hexdigest()[:16]
+    path = shared_dir(spark, "stage", digest)
+    source.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     dup = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     first = dup.limit(1).collect()
@@ -88,16 +105,19 @@ def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           partition_col: str, check_unique: bool = True) -> str:
+           partition_col: str, check_unique: bool = True, staged: bool | None = None) -> str:
     """Keyed upsert: matched rows take every column from the source (update
     all), unmatched source rows are inserted, other target rows are kept.
 
     Creates the partitioned dataset on first load. Fails if a key repeats in
-    the source (a MERGE would). Rows are never deleted.
+    the source (a MERGE would). Rows are never deleted. The source is staged
+    first when it is read twice (``staged`` defaults to ``check_unique``).
     """
     keys = list(keys)
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
+    if staged if staged is not None else check_unique:
+        source = stage(spark, source, path)
     if check_unique:
         _check_unique(source, keys)
     merged = upsert_frame(spark, source, path, keys, partition_col)
@@ -133,6 +153,7 @@ def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Se
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
     if check_unique:
+        source = stage(spark, source, path)
         _check_unique(source, keys)
     target = read_or_empty(spark, path, schema)
     cols = target.columns
