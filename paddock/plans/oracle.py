@@ -334,6 +334,7 @@ def io_oracles() -> dict[str, str]:
     q["upsert_first_load"] = _final_results(FILE_DATES[:1])
     q["upsert_merge"] = FINAL_RESULTS
     q["upsert_idempotent"] = FINAL_RESULTS
+    q["upsert_table"] = FINAL_RESULTS
     q["upsert_selective"] = FINAL_CALCULATED
     for name in ("circuits", "races", "constructors", "drivers"):
         q[f"ingest_{name}"] = with_processed(name) + f"\nSELECT * FROM {name}"
@@ -346,6 +347,10 @@ def io_oracles() -> dict[str, str]:
             ("circuits", "nation"), ("races", "orders"), ("constructors", "supplier"),
             ("drivers", "part"), ("results", "lineitem"), ("pit_stops", "lineitem"),
             ("lap_times", "lineitem"), ("qualifying", "lineitem")])
+    q["full_load_race_results"] = RACE_RESULTS
+    q["full_load_driver_standings"] = _standings("driver_name, driver_nationality, team")
+    q["full_load_constructor_standings"] = _standings("team")
+    q["full_load_calculated_race_results"] = CALC_CTE + "SELECT * FROM calc"
     q["race_results_incremental"] = FINAL_RACE_RESULTS
     q["driver_standings_incremental"] = _inc_standings("driver_name, driver_nationality")
     q["constructor_standings_incremental"] = _inc_standings("team")

@@ -31,8 +31,8 @@ CALCULATED_SCHEMA = ("race_year INT, team_name STRING, driver_id BIGINT, driver_
                      "created_date TIMESTAMP_NTZ, updated_date TIMESTAMP_NTZ")
 
 
-def processed_tables(spark: SparkSession, processed_root: str) -> dict[str, DataFrame]:
-    names = DIMENSIONS + ("results",)
+def processed_tables(spark: SparkSession, processed_root: str,
+                     names=DIMENSIONS + ("results",)) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(os.path.join(processed_root, n)) for n in names}
 
 
@@ -61,7 +61,7 @@ def build_standings(spark: SparkSession, presentation_root: str) -> tuple[str, s
 
 def build_calculated_results(spark: SparkSession, processed_root: str, presentation_root: str,
                              top_n: int = 10) -> str:
-    t = processed_tables(spark, processed_root)
+    t = processed_tables(spark, processed_root, ("races", "constructors", "drivers", "results"))
     df = calculated_results(t["results"], t["races"], t["drivers"], t["constructors"], top_n)
     return overwrite_parquet(df, os.path.join(presentation_root, "calculated_race_results"))
 
@@ -99,10 +99,24 @@ def calculated_results_incremental(spark: SparkSession, processed_root: str,
                                    presentation_root: str, file_date: str,
                                    stamp: Stamp = None, top_n: int = 10) -> str:
     """Selective merge of one batch's scored results on (driver_id, race_id)."""
-    t = processed_tables(spark, processed_root)
+    t = processed_tables(spark, processed_root, ("races", "constructors", "drivers", "results"))
     src = calculated_results(t["results"], t["races"], t["drivers"], t["constructors"],
                              top_n, incremental=True, file_date=file_date)
     return selective_upsert(spark, src, os.path.join(presentation_root,
                                                      "calculated_race_results"),
                             CALCULATED_KEYS + [PERIOD], CALCULATED_UPDATE, PERIOD,
                             CALCULATED_SCHEMA, stamp=stamp)
+
+
+def run_full_load(spark: SparkSession, raw_root: str, root: str, data_source: str = "",
+                  load_ts: Stamp = None, top_n: int = 10) -> dict:
+    """Full load: ingest all eight feeds, then race results, both standings and
+    the scored results, each written once and read back by the next step."""
+    from paddock.plans.ingest import ingest_all
+    processed = os.path.join(root, "processed")
+    pres = os.path.join(root, "presentation")
+    ingest_all(spark, raw_root, processed, data_source, None, load_ts)
+    build_race_results(spark, processed, pres, load_ts)
+    build_standings(spark, pres)
+    build_calculated_results(spark, processed, pres, top_n)
+    return {"processed": processed, "presentation": pres}

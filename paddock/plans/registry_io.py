@@ -352,6 +352,18 @@ def upsert_idempotent(spark, sf_dir):
     return _upsert_batches(spark, sf_dir, tb.FILE_DATES + tb.FILE_DATES[-1:])
 
 
+@query
+def upsert_table(spark, sf_dir):
+    db = _db(spark, "merge")
+    table = f"{db}.results"
+    location = os.path.join(work_dir(spark, "lake"), "results")
+    races = tb.processed(spark, sf_dir, ("races",))["races"]
+    for d in tb.FILE_DATES:
+        sink.upsert_table(spark, _batch_source(spark, sf_dir, d, races), table, location,
+                          MERGE_KEYS["results"] + [PERIOD], PERIOD)
+    return spark.table(table)
+
+
 @query
 def upsert_selective(spark, sf_dir):
     path = os.path.join(work_dir(spark, "lake"), "calculated_race_results")
@@ -476,3 +488,28 @@ def stream_results_incremental(spark, sf_dir):
 
 stream_results_incremental.prepare = _stream_prepare
 stream_results_incremental.run = _stream_run
+
+
+# --- full load through storage ------------------------------------------------------------
+
+def _full_load(name):
+    def prepare(spark, sf_dir):
+        raw_root = work_dir(spark, "raw")
+        write_raw_folder(spark, sf_dir, raw_root)
+        return raw_root
+
+    def run(spark, raw_root):
+        from paddock.plans.presentation import run_full_load
+        layers = run_full_load(spark, raw_root, work_dir(spark, "lake"), DATA_SOURCE,
+                               tb.LOAD_TS, tb.TOP_N)
+        return spark.read.parquet(os.path.join(layers["presentation"], name))
+
+    def fn(spark, sf_dir):
+        return run(spark, prepare(spark, sf_dir))
+    fn.prepare, fn.run = prepare, run
+    return fn
+
+
+for _name in ("race_results", "driver_standings", "constructor_standings",
+              "calculated_race_results"):
+    QUERIES[f"full_load_{_name}"] = _full_load(_name)

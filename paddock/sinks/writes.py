@@ -248,3 +248,28 @@ def drop_partitions_and_append(spark: SparkSession, df: DataFrame, table: str,
     cols = spark.table(table).columns
     df.select(*cols).write.insertInto(table, overwrite=False)
     return table
+
+
+def upsert_table(spark: SparkSession, source: DataFrame, table: str, location: str,
+                 keys: Sequence[str], partition_col: str, check_unique: bool = True) -> str:
+    """Keyed upsert into a catalog table stored at ``location``.
+
+    Table absent: the source becomes its first load (partitioned) and the
+    table is registered on the folder. Table present: merge into its folder,
+    then pick up new partitions and refresh cached file listings.
+    """
+    exists = spark.catalog.tableExists(table)
+    upsert(spark, source, location, keys, partition_col, check_unique)
+    if not exists:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.sql(f"REFRESH TABLE {table}")
+    return table
+
+
+def reset_databases(spark: SparkSession, locations: dict[str, str]) -> None:
+    """Drop each database with its tables and create it again, empty (a fresh
+    start before replaying an incremental history)."""
+    for name, location in locations.items():
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+        create_database(spark, name, location)

@@ -101,3 +101,36 @@ def test_upsert_matches_dict_model(spark, tmp_path_factory, batches):
         model.update(uniq)
     got = {k: v[0] for k, v in _state(spark, path).items()} if model else {}
     assert got == model
+
+
+def test_upsert_table_creates_then_merges(spark, tmp):
+    sink.create_database(spark, "paddock_t_merge", os.path.join(tmp, "db"))
+    loc = os.path.join(tmp, "lake", "t")
+    table = "paddock_t_merge.t"
+    sink.upsert_table(spark, _df(spark, [(2020, 1, 1, 1, "a")]), table, loc, KEYS, "race_year")
+    sink.upsert_table(spark, _df(spark, [(2020, 1, 1, 2, "b"), (2021, 2, 1, 3, "b")]), table,
+                      loc, KEYS, "race_year")
+    rows = {(r.race_year, r.race_id): r.points for r in spark.table(table).collect()}
+    assert rows == {(2020, 1): 2, (2021, 2): 3}
+
+
+def test_reset_databases_drops_tables(spark, tmp):
+    loc = os.path.join(tmp, "db2")
+    sink.create_database(spark, "paddock_t_reset", loc)
+    sink.save_as_table(_df(spark, [(2020, 1, 1, 1, "a")]), "paddock_t_reset.x")
+    assert spark.catalog.tableExists("paddock_t_reset.x")
+    sink.reset_databases(spark, {"paddock_t_reset": loc})
+    assert spark.catalog.databaseExists("paddock_t_reset")
+    assert not spark.catalog.tableExists("paddock_t_reset.x")
+
+
+def test_ctas_and_create_if_missing(spark, tmp):
+    sink.create_database(spark, "paddock_t_ddl", os.path.join(tmp, "db3"))
+    sink.ctas(spark, "paddock_t_ddl.c", _df(spark, [(2020, 1, 1, 1, "a")]))
+    assert spark.table("paddock_t_ddl.c").count() == 1
+    sink.create_table_if_missing(spark, "paddock_t_ddl.e", "a INT, race_year INT",
+                                 partition_by=["race_year"])
+    spark.sql("INSERT INTO paddock_t_ddl.e VALUES (1, 2020)")
+    sink.create_table_if_missing(spark, "paddock_t_ddl.e", "a INT, race_year INT",
+                                 partition_by=["race_year"])
+    assert spark.table("paddock_t_ddl.e").count() == 1
