@@ -34,13 +34,16 @@ def batch_stamp(file_date: str) -> str:
 def processed(spark: SparkSession, sf_dir: str, names=("circuits", "races", "constructors",
                                                         "drivers", "results")) -> dict[str, DataFrame]:
     """Full-load processed tables (no file_date)."""
-    return {n: CONFORM[n](raw_feed(spark, sf_dir, n), DATA_SOURCE, None, LOAD_TS) for n in names}
+    tables: dict = {}
+    return {n: CONFORM[n](raw_feed(spark, sf_dir, n, tables=tables), DATA_SOURCE, None, LOAD_TS)
+            for n in names}
 
 
 def processed_batches(spark: SparkSession, sf_dir: str, name: str = "results") -> DataFrame:
     """A fact as the union of its delivery batches, each stamped with its file_date."""
-    out = None
+    out, tables = None, {}
     for d in FILE_DATES:
-        df = CONFORM[name](raw_feed(spark, sf_dir, name, d), DATA_SOURCE, d, batch_stamp(d))
+        df = CONFORM[name](raw_feed(spark, sf_dir, name, d, tables=tables), DATA_SOURCE, d,
+                           batch_stamp(d))
         out = df if out is None else out.unionByName(df)
     return out

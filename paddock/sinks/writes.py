@@ -3,8 +3,8 @@
 Storage is plain Parquet folders (optionally registered as catalog tables).
 Without a transactional table format, a keyed MERGE is rebuilt as:
 
-    touched = distinct partition values of the source
-    old     = target LEFT SEMI touched          -- partition pruning
+    touched = distinct partition values of the source (metadata-sized)
+    old     = target WHERE p IN touched         -- static partition pruning
     kept    = old LEFT ANTI source ON keys      -- NULL keys never match
     result  = kept UNION BY NAME source         -- (upsert)
     write result with partitionOverwriteMode=dynamic, partitionBy(p)
@@ -97,6 +97,29 @@ def stage(spark: SparkSession, source: DataFrame, target_path: str) -> DataFrame
     return spark.read.parquet(path)
 
 
+MAX_TOUCHED_PARTITIONS = 10_000
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str,
+                       max_values: int = MAX_TOUCHED_PARTITIONS) -> DataFrame:
+    """Target rows in the partitions the source touches.
+
+    The distinct partition values of the source are metadata-sized (one per
+    partition folder, at most ``max_values``): they are read and turned into a
+    partition filter, so the target scan lists and reads only those folders
+    (static partition pruning). Above the cap a left semi join is used instead.
+    """
+    values = [r[0] for r in source.select(partition_col).distinct()
+              .limit(max_values + 1).collect()]
+    if len(values) > max_values:
+        return target.join(source.select(partition_col).distinct(), partition_col, "left_semi")
+    present = [v for v in values if v is not None]
+    cond = F.col(partition_col).isin(present) if present else F.lit(False)
+    if len(present) < len(values):
+        cond = cond | F.col(partition_col).isNull()
+    return target.filter(cond)
+
+
 def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     dup = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     first = dup.limit(1).collect()
@@ -105,22 +128,23 @@ def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           partition_col: str, check_unique: bool = True, staged: bool | None = None) -> str:
+           partition_col: str, check_unique: bool = True, staged: bool = True) -> str:
     """Keyed upsert: matched rows take every column from the source (update
     all), unmatched source rows are inserted, other target rows are kept.
 
     Creates the partitioned dataset on first load. Fails if a key repeats in
-    the source (a MERGE would). Rows are never deleted. The source is staged
-    first when it is read twice (``staged`` defaults to ``check_unique``).
+    the source (a MERGE would). Rows are never deleted. The source is read
+    more than once (partition values, key check, merge), so it is staged first.
     """
     keys = list(keys)
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
-    if staged if staged is not None else check_unique:
+    first_load = read_or_empty(spark, path) is None
+    if staged and not (first_load and not check_unique):
         source = stage(spark, source, path)
     if check_unique:
         _check_unique(source, keys)
-    merged = upsert_frame(spark, source, path, keys, partition_col)
+    merged = source if first_load else upsert_frame(spark, source, path, keys, partition_col)
     return overwrite_partitions(merged, path, partition_col, cluster_by=keys)
 
 
@@ -130,8 +154,7 @@ def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     target = read_or_empty(spark, path)
     if target is None:
         return source
-    touched = source.select(partition_col).distinct()
-    old = target.join(touched, partition_col, "left_semi")
+    old = touched_partitions(target, source, partition_col)
     kept = old.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
@@ -152,8 +175,8 @@ def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Se
     keys, update_cols = list(keys), list(update_cols)
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
+    source = stage(spark, source, path)
     if check_unique:
-        source = stage(spark, source, path)
         _check_unique(source, keys)
     target = read_or_empty(spark, path, schema)
     cols = target.columns
@@ -161,9 +184,7 @@ def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Se
     src_cols = [c for c in source.columns if c not in keys]
     src = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in src_cols],
                         F.lit(True).alias("__in_s"))
-    touched = source.select(partition_col).distinct()
-    old = (target.join(touched, partition_col, "left_semi")
-                 .withColumn("__in_t", F.lit(True)))
+    old = touched_partitions(target, source, partition_col).withColumn("__in_t", F.lit(True))
     j = old.join(src, keys, "full_outer")
     matched = F.col("__in_t").isNotNull() & F.col("__in_s").isNotNull()
     source_only = F.col("__in_t").isNull()

@@ -184,20 +184,24 @@ def feed_sql(name: str, file_date: str | None = None) -> str:
     return scoped
 
 
-def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in TABLES}
+def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
+    return {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in names}
 
 
 def raw_feed(spark: SparkSession, sf_dir: str, name: str,
-             file_date: str | None = None) -> DataFrame:
+             file_date: str | None = None,
+             tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """A raw feed as a Spark DataFrame with the raw column names.
 
-    drivers gets its nested ``name`` struct; other feeds are flat.
+    drivers gets its nested ``name`` struct; other feeds are flat. Only the
+    test tables the template uses are read (``tables`` may carry them already).
     """
     sql = feed_sql(name, file_date)
-    tables = load_tables(spark, sf_dir)
-    used = {t: df for t, df in tables.items() if "{" + t + "}" in sql}
-    df = spark.sql(sql, **used)
+    needed = [t for t in TABLES if "{" + t + "}" in sql]
+    tables = tables if tables is not None else {}
+    missing = [t for t in needed if t not in tables]
+    tables.update(load_tables(spark, sf_dir, missing))
+    df = spark.sql(sql, **{t: tables[t] for t in needed})
     if name == "drivers":
         df = df.select("driverId", "driverRef", "number", "code",
                        F.struct(F.col("name_forename").alias("forename"),
