@@ -287,6 +287,28 @@ def _processed_with_year(name: str) -> str:
             "SELECT x.*, ra.race_year FROM x LEFT JOIN races ra ON x.race_id = ra.race_id")
 
 
+# Fixed values (mirroring paddock.plans.ingest): merge keys of the timing facts
+# and the rest of their columns, in schema order, which decide the dedupe.
+TIMING_KEYS = {
+    "pit_stops": ("race_id, driver_id, stop", "lap, time, duration, milliseconds"),
+    "lap_times": ("race_id, driver_id, lap", "position, time, milliseconds"),
+    "qualifying": ("qualify_id, race_id",
+                   "driver_id, constructor_id, number, position, q1, q2, q3"),
+}
+
+
+def _final_timing(name: str) -> str:
+    keys, rest = TIMING_KEYS[name]
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in rest.split(", "))
+    parts = "\nUNION ALL\n".join(
+        f"SELECT * FROM (SELECT * FROM ({_processed(name, _stamp(repr(d)), d)}) QUALIFY "
+        f"row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1)" for d in FILE_DATES)
+    return (with_processed("races") + f",\nb AS ({parts}),\n"
+            f"fin AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY {keys} "
+            f"ORDER BY file_date DESC) = 1)\n"
+            "SELECT fin.*, ra.race_year FROM fin LEFT JOIN races ra ON fin.race_id = ra.race_id")
+
+
 def io_oracles() -> dict[str, str]:
     q = {}
     q["scan_csv_header"] = _feed("races")
@@ -342,6 +364,8 @@ def io_oracles() -> dict[str, str]:
         q[f"ingest_{name}"] = _processed_with_year(name)
     q["ingest_results_incremental"] = FINAL_RESULTS
     q["stream_results_incremental"] = FINAL_RESULTS
+    for name in TIMING_KEYS:
+        q[f"ingest_{name}_incremental"] = _final_timing(name)
     q["run_ingestion_all"] = " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {t}" for n, t in [
             ("circuits", "nation"), ("races", "orders"), ("constructors", "supplier"),

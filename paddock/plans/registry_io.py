@@ -513,3 +513,28 @@ def _full_load(name):
 for _name in ("race_results", "driver_standings", "constructor_standings",
               "calculated_race_results"):
     QUERIES[f"full_load_{_name}"] = _full_load(_name)
+
+
+# --- incremental ingestion of the timing facts ----------------------------------------------
+
+def _incremental_fact(name):
+    def prepare(spark, sf_dir):
+        raw_root = work_dir(spark, "raw")
+        for d in tb.FILE_DATES:
+            write_raw_folder(spark, sf_dir, raw_root, d, ["races", name])
+        return raw_root
+
+    def run(spark, raw_root):
+        layers = run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES,
+                             DATA_SOURCE, [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
+                             feeds=["races", name], presentation=())
+        return spark.read.parquet(os.path.join(layers["processed"], name))
+
+    def fn(spark, sf_dir):
+        return run(spark, prepare(spark, sf_dir))
+    fn.prepare, fn.run = prepare, run
+    return fn
+
+
+for _name in ("pit_stops", "lap_times", "qualifying"):
+    QUERIES[f"ingest_{_name}_incremental"] = _incremental_fact(_name)
