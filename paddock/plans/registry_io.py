@@ -97,7 +97,7 @@ def scan_json_inferred(spark, sf_dir):
 
 def _marked_part(spark, sf_dir):
     """part with its size replaced by the ``\\N`` marker where p_size % 5 = 0."""
-    p = load_tables(spark, sf_dir)["part"]
+    p = load_tables(spark, sf_dir, ["part"])["part"]
     size = F.when(F.col("p_size") % 5 == 0, F.lit("\\N")).otherwise(F.col("p_size").cast("string"))
     return p.select("p_partkey", "p_name", size.alias("p_size"))
 

@@ -37,16 +37,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a local one only if unset."""
+    """Return the session's checkpoint folder; set a local one only if unset.
+
+    The cluster names its shared folder in ``spark.checkpoint.dir``; a local
+    temp folder is used only when nothing is configured (tests, local runs).
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Spark Connect) session has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="paddock-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    else:
+        spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 

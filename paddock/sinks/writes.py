@@ -253,8 +253,12 @@ def create_table_if_missing(spark: SparkSession, table: str, columns_ddl: str,
 
 def drop_partitions_and_append(spark: SparkSession, df: DataFrame, table: str,
                                partition_col: str, max_partitions: int = 10_000) -> str:
-    """Drop the partitions present in ``df`` from a partitioned table, then
-    append ``df`` (positional insert, partition column last).
+    """Drop the partitions present in ``df`` from a partitioned managed table,
+    then append ``df`` (positional insert, partition column last).
+
+    Dropping a partition of a managed table deletes its files; an external
+    table keeps them, so use ``overwrite_partitions`` on its folder instead.
+    ``df`` must not read the partitions being dropped (checkpoint it first).
 
     The partition values are metadata-sized (one per partition folder) and are
     the only thing brought to the driver; more than ``max_partitions`` is an error.
