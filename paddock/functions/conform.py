@@ -13,8 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the layout of the raw race start (date + time of day).
+# The layout of the raw race start (date + time of day).
 RACE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_OF_DAY = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = True) -> DataFrame:
@@ -68,10 +69,16 @@ def race_timestamp(date_col: str = "date", time_col: str = "time",
                    fmt: str = RACE_TIMESTAMP_FORMAT) -> Column:
     """``date || ' ' || time`` parsed as a TIMESTAMP_NTZ.
 
-    Uses ``try_to_timestamp`` so that a missing or malformed time (``\\N``)
-    yields NULL instead of failing the job under ANSI mode.
+    A missing or malformed time (the ``\\N`` marker, ``25:00:00``) yields NULL
+    instead of failing the load under ANSI mode. With the default format the
+    text is guarded by a strict time-of-day pattern and parsed straight to
+    TIMESTAMP_NTZ, so the result does not depend on the session time zone;
+    other formats go through ``try_to_timestamp``.
     """
     text = F.concat(F.col(date_col).cast("string"), F.lit(" "), F.col(time_col))
+    if fmt == RACE_TIMESTAMP_FORMAT:
+        valid = F.col(time_col).rlike(TIME_OF_DAY)
+        return F.when(valid, F.to_timestamp_ntz(text, F.lit(fmt)))
     return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
 
 

@@ -17,11 +17,20 @@ def test_rename_is_strict(spark):
 
 def test_race_timestamp_tolerates_missing_time(spark):
     df = spark.createDataFrame(
-        [("2020-03-01", "10:05:00"), ("2020-03-02", "\\N"), (None, "10:00:00")],
+        [("2020-03-01", "10:05:00"), ("2020-03-02", "\\N"), (None, "10:00:00"),
+         ("2020-03-03", "25:00:00"), ("2021-03-28", "02:30:00")],
         "date string, time string").withColumn("date", F.col("date").cast("date"))
     rows = df.select(race_timestamp().alias("ts")).collect()
     assert str(rows[0].ts) == "2020-03-01 10:05:00"
-    assert rows[1].ts is None and rows[2].ts is None
+    assert rows[1].ts is None and rows[2].ts is None and rows[3].ts is None
+    # a wall-clock time that does not exist in a DST zone is kept as written
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        assert str(df.select(race_timestamp().alias("ts")).collect()[4].ts) == \
+            "2021-03-28 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     assert dict(df.select(race_timestamp().alias("ts")).dtypes)["ts"] == "timestamp_ntz"
 
 
