@@ -353,6 +353,7 @@ def io_oracles() -> dict[str, str]:
                f"THEN CAST(points + 10 AS FLOAT) ELSE points END AS points) FROM base")
     q["partition_overwrite"] = changed
     q["partition_drop_reload"] = changed
+    q["partition_overwrite_table"] = changed
     q["upsert_first_load"] = _final_results(FILE_DATES[:1])
     q["upsert_merge"] = FINAL_RESULTS
     q["upsert_idempotent"] = FINAL_RESULTS

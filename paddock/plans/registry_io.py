@@ -308,6 +308,17 @@ def partition_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def partition_overwrite_table(spark, sf_dir):
+    db = _db(spark, "part")
+    table = f"{db}.results"
+    sink.overwrite_table_partitions(spark, _results_with_year(spark, sf_dir), table, PERIOD)
+    changed = (spark.table(table).filter(F.col(PERIOD) == 2000)
+               .withColumn("points", (F.col("points") + 10).cast("float")))
+    sink.overwrite_table_partitions(spark, changed, table, PERIOD)
+    return spark.table(table)
+
+
 @query
 def partition_drop_reload(spark, sf_dir):
     db = _db(spark, "part")

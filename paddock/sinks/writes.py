@@ -69,6 +69,28 @@ def overwrite_partitions(df: DataFrame, path: str, partition_col: str,
     return path
 
 
+def overwrite_table_partitions(spark: SparkSession, df: DataFrame, table: str,
+                               partition_col: str) -> str:
+    """Replace only the partitions present in ``df`` in a catalog table; create
+    the table, partitioned, if it is absent.
+
+    The dynamic mode is stored on the table itself (storage option
+    ``partitionOverwriteMode``), where an insert reads it; the session setting
+    is never changed, so no later write in the session turns dynamic by
+    accident. Columns are aligned to the table by name before the positional
+    insert.
+    """
+    out = _clustered(partition_column_last(df, partition_col), [partition_col])
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES "
+                  f"('partitionOverwriteMode' = 'dynamic')")
+        out.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    else:
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition_col).format("parquet").saveAsTable(table))
+    return table
+
+
 def read_or_empty(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """The dataset at ``path``; ``None`` (or an empty frame of ``schema``) if absent."""
     try:

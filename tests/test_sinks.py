@@ -134,3 +134,14 @@ def test_ctas_and_create_if_missing(spark, tmp):
     sink.create_table_if_missing(spark, "paddock_t_ddl.e", "a INT, race_year INT",
                                  partition_by=["race_year"])
     assert spark.table("paddock_t_ddl.e").count() == 1
+
+
+def test_overwrite_table_partitions_keeps_session_static(spark, tmp):
+    sink.create_database(spark, "paddock_t_parts", os.path.join(tmp, "db4"))
+    table = "paddock_t_parts.t"
+    sink.overwrite_table_partitions(spark, _df(spark, [(2020, 1, 1, 1, "a"), (2021, 2, 1, 1, "a")]),
+                                    table, "race_year")
+    sink.overwrite_table_partitions(spark, _df(spark, [(2021, 2, 1, 7, "b")]), table, "race_year")
+    rows = {(r.race_year, r.race_id): r.points for r in spark.table(table).collect()}
+    assert rows == {(2020, 1): 1, (2021, 2): 7}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
