@@ -122,18 +122,39 @@ def stage(spark: SparkSession, source: DataFrame, target_path: str) -> DataFrame
 MAX_TOUCHED_PARTITIONS = 10_000
 
 
+def inspect_source(source: DataFrame, keys: Sequence[str], partition_col: str,
+                   check_unique: bool = True,
+                   max_values: int = MAX_TOUCHED_PARTITIONS) -> list | None:
+    """One aggregate pass over a merge source: the partition values it touches
+    and, with ``check_unique``, whether any merge key repeats (a MERGE fails then).
+
+    Returns the values (metadata-sized: one per partition folder), or ``None``
+    when there are more than ``max_values``; duplicates raise ``ValueError``.
+    """
+    if check_unique:
+        per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        per_part = per_key.groupBy(partition_col).agg(F.max("n").alias("n"))
+    else:
+        per_part = source.groupBy(partition_col).agg(F.lit(1).alias("n"))
+    rows = per_part.limit(max_values + 1).collect()
+    if len(rows) > max_values:
+        if check_unique:
+            _check_unique(source, keys)
+        return None
+    if check_unique and any(r["n"] > 1 for r in rows):
+        _check_unique(source, keys)
+    return [r[partition_col] for r in rows]
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str,
-                       max_values: int = MAX_TOUCHED_PARTITIONS) -> DataFrame:
+                       values: list | None) -> DataFrame:
     """Target rows in the partitions the source touches.
 
-    The distinct partition values of the source are metadata-sized (one per
-    partition folder, at most ``max_values``): they are read and turned into a
-    partition filter, so the target scan lists and reads only those folders
-    (static partition pruning). Above the cap a left semi join is used instead.
+    The touched values become a partition filter, so the target scan lists and
+    reads only those folders (static partition pruning); without values (more
+    than the cap) a left semi join on the source's partitions is used instead.
     """
-    values = [r[0] for r in source.select(partition_col).distinct()
-              .limit(max_values + 1).collect()]
-    if len(values) > max_values:
+    if values is None:
         return target.join(source.select(partition_col).distinct(), partition_col, "left_semi")
     present = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(present) if present else F.lit(False)
@@ -162,21 +183,25 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
     first_load = read_or_empty(spark, path) is None
-    if staged and not (first_load and not check_unique):
+    if first_load and not check_unique:
+        return overwrite_partitions(source, path, partition_col, cluster_by=keys)
+    if staged:
         source = stage(spark, source, path)
-    if check_unique:
-        _check_unique(source, keys)
-    merged = source if first_load else upsert_frame(spark, source, path, keys, partition_col)
+    values = inspect_source(source, keys, partition_col, check_unique)
+    merged = source if first_load else upsert_frame(spark, source, path, keys, partition_col,
+                                                    values)
     return overwrite_partitions(merged, path, partition_col, cluster_by=keys)
 
 
 def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-                 partition_col: str) -> DataFrame:
+                 partition_col: str, values: list | None = None) -> DataFrame:
     """The new content of the partitions ``source`` touches (lazy)."""
     target = read_or_empty(spark, path)
     if target is None:
         return source
-    old = touched_partitions(target, source, partition_col)
+    if values is None:
+        values = inspect_source(source, keys, partition_col, check_unique=False)
+    old = touched_partitions(target, source, partition_col, values)
     kept = old.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns))
 
@@ -198,15 +223,15 @@ def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Se
     if partition_col not in keys:
         raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
     source = stage(spark, source, path)
-    if check_unique:
-        _check_unique(source, keys)
+    values = inspect_source(source, keys, partition_col, check_unique)
     target = read_or_empty(spark, path, schema)
     cols = target.columns
     ts = timestamp_literal(stamp)
     src_cols = [c for c in source.columns if c not in keys]
     src = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in src_cols],
                         F.lit(True).alias("__in_s"))
-    old = touched_partitions(target, source, partition_col).withColumn("__in_t", F.lit(True))
+    old = touched_partitions(target, source, partition_col, values).withColumn("__in_t",
+                                                                              F.lit(True))
     j = old.join(src, keys, "full_outer")
     matched = F.col("__in_t").isNotNull() & F.col("__in_s").isNotNull()
     source_only = F.col("__in_t").isNull()
