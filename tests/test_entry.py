@@ -10,7 +10,9 @@ from conftest import SF_SMALL
 
 SAMPLE = ["race_results", "calculated_results", "driver_standings", "top10_drivers",
           "dominant_drivers_by_year", "dedupe_by_key", "profile_describe", "scan_json_lines",
-          "upsert_merge", "partition_overwrite"]
+          "upsert_merge", "partition_overwrite", "upsert_selective", "ingest_results_incremental",
+          "stream_results_incremental", "full_load_driver_standings", "scan_json_multiline",
+          "partition_overwrite_table"]
 
 
 def test_entry_smoke(spark):

@@ -94,3 +94,44 @@ def test_three_batch_history(spark, tmp):
     prof = {r.file_date: r.n for r in res.groupBy("file_date").agg(F.count("*").alias("n"))
             .collect()}
     assert prof == {DATES[0]: 5, DATES[1]: 1, DATES[2]: 2}
+
+
+# --- property: incremental standings after random batches = full recompute --------------
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from paddock.operators.standings import constructor_standings  # noqa: E402
+from paddock.plans.presentation import standings_incremental  # noqa: E402
+from paddock.sinks.writes import upsert  # noqa: E402
+
+RR_SCHEMA = ("race_id bigint, race_year int, driver_name string, driver_nationality string, "
+             "team string, points float, position int, file_date string")
+result_row = st.tuples(st.integers(1, 6), st.integers(0, 4), st.integers(0, 10),
+                       st.integers(1, 4))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(result_row, min_size=1, max_size=8), min_size=1, max_size=3))
+def test_incremental_standings_equal_full_recompute(spark, tmp_path_factory, batches):
+    root = str(tmp_path_factory.mktemp("inc"))
+    rr_path = os.path.join(root, "race_results")
+    for i, batch in enumerate(batches):
+        d = f"2021-0{i + 1}-01"
+        rows = {}
+        for race, drv, pts, pos in batch:  # one row per (driver, race) in a batch
+            rows[(race, drv)] = (race, 2000 + race % 3, f"d{drv}", "x", f"t{drv % 2}",
+                                 float(pts), pos, d)
+        df = spark.createDataFrame(list(rows.values()), RR_SCHEMA)
+        upsert(spark, df, rr_path, ["driver_name", "race_id", "race_year"], "race_year")
+        standings_incremental(spark, root, d, "driver")
+        standings_incremental(spark, root, d, "constructor")
+    rr = spark.read.parquet(rr_path)
+    cols = ["race_year", "driver_name", "driver_nationality", "total_points", "wins", "rank"]
+    inc = spark.read.parquet(os.path.join(root, "driver_standings")).select(cols).collect()
+    full = driver_standings(rr, with_team=False).select(cols).collect()
+    assert sorted(inc, key=str) == sorted(full, key=str)
+    ccols = ["race_year", "team", "total_points", "wins", "rank"]
+    cinc = spark.read.parquet(os.path.join(root, "constructor_standings")).select(ccols).collect()
+    cfull = constructor_standings(rr).select(ccols).collect()
+    assert sorted(cinc, key=str) == sorted(cfull, key=str)
