@@ -135,3 +135,58 @@ def test_incremental_standings_equal_full_recompute(spark, tmp_path_factory, bat
     cinc = spark.read.parquet(os.path.join(root, "constructor_standings")).select(ccols).collect()
     cfull = constructor_standings(rr).select(ccols).collect()
     assert sorted(cinc, key=str) == sorted(cfull, key=str)
+
+
+def _rr_batch(spark, rows, d):
+    return spark.createDataFrame([(*r, d) for r in rows], RR_SCHEMA)
+
+
+def _files(path):
+    out = {}
+    for base, _, names in os.walk(path):
+        for n in names:
+            if n.endswith(".parquet"):
+                p = os.path.join(base, n)
+                out[p] = os.path.getmtime(p)
+    return out
+
+
+def test_late_correction_rewrites_only_its_season(spark, tmp):
+    rr_path = os.path.join(tmp, "race_results")
+    keys = ["driver_name", "race_id", "race_year"]
+    b1 = [(1, 2020, "A", "x", "T", 10.0, 1), (2, 2021, "A", "x", "T", 8.0, 2),
+          (2, 2021, "B", "y", "U", 10.0, 1)]
+    upsert(spark, _rr_batch(spark, b1, "d1"), rr_path, keys, "race_year")
+    standings_incremental(spark, tmp, "d1", "driver")
+    st_path = os.path.join(tmp, "driver_standings")
+    before = _files(st_path)
+    # correction of the 2021 race only
+    upsert(spark, _rr_batch(spark, [(2, 2021, "A", "x", "T", 12.0, 1)], "d2"), rr_path, keys,
+           "race_year")
+    standings_incremental(spark, tmp, "d2", "driver")
+    after = _files(st_path)
+    untouched = {p: t for p, t in before.items() if "race_year=2020" in p}
+    assert untouched and all(after.get(p) == t for p, t in untouched.items())
+    rows = {(r.race_year, r.driver_name): (r.total_points, r.wins, r.rank)
+            for r in spark.read.parquet(st_path).collect()}
+    assert rows[(2021, "A")] == (12.0, 1, 1) and rows[(2021, "B")] == (10.0, 1, 2)
+    assert rows[(2020, "A")] == (10.0, 1, 1)
+
+
+def test_name_collisions(spark, tmp):
+    rr_path = os.path.join(tmp, "race_results")
+    keys = ["driver_name", "race_id", "race_year"]
+    # two drivers named "A" with one nationality collapse into one standing (name is the key)
+    same = [(1, 2020, "A", "x", "T", 10.0, 1), (2, 2020, "A", "x", "U", 1.0, 2)]
+    upsert(spark, _rr_batch(spark, same, "d1"), rr_path, keys, "race_year")
+    standings_incremental(spark, tmp, "d1", "driver")
+    got = spark.read.parquet(os.path.join(tmp, "driver_standings")).collect()
+    assert [(r.driver_name, r.total_points, r.wins) for r in got] == [("A", 11.0, 1)]
+    # same name, different nationality: two source rows for one merge key -> refused
+    other = os.path.join(tmp, "o")
+    clash = [(1, 2020, "A", "x", "T", 10.0, 1), (2, 2020, "A", "y", "U", 4.0, 2)]
+    upsert(spark, _rr_batch(spark, clash, "d1"), os.path.join(other, "race_results"), keys,
+           "race_year")
+    import pytest
+    with pytest.raises(ValueError):
+        standings_incremental(spark, other, "d1", "driver")
