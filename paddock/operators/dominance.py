@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -61,3 +61,29 @@ def yearly_profile(scored: DataFrame, top: DataFrame, entity_col: str,
     picked = scored.join(keys, entity_col, how)
     return (_totals(picked, [period_col, entity_col], points_col)
             .orderBy(F.col(period_col).asc(), F.col("avg_points").desc()))
+
+
+def create_dominance_views(spark: SparkSession, scored: DataFrame, entity_col: str,
+                           min_races: int, top_k: int, rank_col: str,
+                           prefix: str = "v_dominant") -> DataFrame:
+    """The SQL form of ``ranked_dominance``: chained temporary views.
+
+    ``{prefix}_scored`` (the scored results), ``{prefix}`` (per-entity totals
+    with ``RANK() OVER (ORDER BY AVG(points) DESC)``, at least ``min_races``)
+    and ``{prefix}_top`` (rank <= ``top_k``). No ORDER BY inside the views:
+    ordering belongs to the final query. Returns the top view.
+    """
+    scored.createOrReplaceTempView(f"{prefix}_scored")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMP VIEW {prefix} AS
+        SELECT {entity_col},
+               COUNT(1) AS total_races,
+               SUM(calculated_points) AS total_points,
+               AVG(calculated_points) AS avg_points,
+               RANK() OVER (ORDER BY AVG(calculated_points) DESC) AS {rank_col}
+          FROM {prefix}_scored
+         GROUP BY {entity_col}
+        HAVING COUNT(1) >= {int(min_races)}""")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {prefix}_top AS "
+              f"SELECT * FROM {prefix} WHERE {rank_col} <= {int(top_k)}")
+    return spark.table(f"{prefix}_top")

@@ -164,22 +164,9 @@ def view_chain(spark, sf_dir):
     """The top-10 analysis in SQL over chained temp views (views are session
     scoped, so their names carry a per-call suffix)."""
     import uuid
-    sfx = uuid.uuid4().hex[:8]
-    _calc(spark, sf_dir).createOrReplaceTempView(f"calculated_race_results_{sfx}")
-    spark.sql(f"""
-        CREATE OR REPLACE TEMP VIEW v_dominant_drivers_{sfx} AS
-        SELECT driver_name,
-               COUNT(1) AS total_races,
-               SUM(calculated_points) AS total_points,
-               AVG(calculated_points) AS avg_points,
-               RANK() OVER (ORDER BY AVG(calculated_points) DESC) AS driver_rank
-          FROM calculated_race_results_{sfx}
-         GROUP BY driver_name
-        HAVING COUNT(1) >= {tb.DRIVER_MIN}""")
-    spark.sql(f"""
-        CREATE OR REPLACE TEMP VIEW v_dominant_drivers_top_{sfx} AS
-        SELECT * FROM v_dominant_drivers_{sfx} WHERE driver_rank <= {tb.TOP_DRIVERS}""")
-    return spark.sql(f"SELECT * FROM v_dominant_drivers_top_{sfx}")
+    prefix = f"v_dominant_drivers_{uuid.uuid4().hex[:8]}"
+    return dom.create_dominance_views(spark, _calc(spark, sf_dir), "driver_name",
+                                      tb.DRIVER_MIN, tb.TOP_DRIVERS, "driver_rank", prefix)
 
 
 # --- profiles and checks ----------------------------------------------------------

@@ -20,10 +20,11 @@ from paddock.plans.ingest import (CONFORM, MERGE_KEYS, PERIOD, conform_races, in
 from paddock.plans.presentation import (CALCULATED_KEYS, CALCULATED_SCHEMA,
                                         CALCULATED_UPDATE)
 from paddock.plans.registry import QUERIES, query
-from paddock.schemas import RAW_SCHEMAS, to_ddl
+from paddock.schemas import RAW_SCHEMAS
 from paddock.session import work_dir
 from paddock.sinks import writes as sink
 from paddock.sources import feeds
+from paddock.sources.ddl import create_raw_feed_table
 from paddock.sources.testtables import (DATA_SOURCE, load_tables, raw_feed, write_feed,
                                         write_raw_folder)
 
@@ -157,36 +158,28 @@ def race_timestamp(spark, sf_dir):
 
 # --- raw DDL tables -----------------------------------------------------------------
 
-def _raw_table(spark, db, name, path, fmt, options):
-    opts = ", ".join(f"{k} {v}" for k, v in {"path": f"'{path}'", **options}.items())
-    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} ({to_ddl(RAW_SCHEMAS[name])}) "
-              f"USING {fmt} OPTIONS ({opts})")
-    return spark.sql(f"SELECT * FROM {db}.{name}")
-
-
 @query
 def ddl_raw_csv_table(spark, sf_dir):
     _, path = _feed_file(spark, sf_dir, "races")
-    return _raw_table(spark, _db(spark, "raw"), "races", path, "csv", {"header": "true"})
+    return create_raw_feed_table(spark, _db(spark, "raw"), "races", path)
 
 
 @query
 def ddl_raw_csv_folder_table(spark, sf_dir):
     _, path = _feed_file(spark, sf_dir, "lap_times")
-    return _raw_table(spark, _db(spark, "raw"), "lap_times", path, "csv", {})
+    return create_raw_feed_table(spark, _db(spark, "raw"), "lap_times", path)
 
 
 @query
 def ddl_raw_json_table(spark, sf_dir):
     _, path = _feed_file(spark, sf_dir, "results")
-    return _raw_table(spark, _db(spark, "raw"), "results", path, "json", {})
+    return create_raw_feed_table(spark, _db(spark, "raw"), "results", path)
 
 
 @query
 def ddl_raw_json_struct_table(spark, sf_dir):
     _, path = _feed_file(spark, sf_dir, "drivers")
-    df = _raw_table(spark, _db(spark, "raw"), "drivers", path, "json", {})
+    df = create_raw_feed_table(spark, _db(spark, "raw"), "drivers", path)
     return df.select("driverId", "driverRef", "number", "code",
                      F.col("name.forename").alias("forename"),
                      F.col("name.surname").alias("surname"), "dob", "nationality", "url")
@@ -195,8 +188,7 @@ def ddl_raw_json_struct_table(spark, sf_dir):
 @query
 def ddl_raw_json_multiline_table(spark, sf_dir):
     _, path = _feed_file(spark, sf_dir, "qualifying")
-    return _raw_table(spark, _db(spark, "raw"), "qualifying", path, "json",
-                      {"multiLine": "true"})
+    return create_raw_feed_table(spark, _db(spark, "raw"), "qualifying", path)
 
 
 # --- projections on conformed feeds --------------------------------------------------
