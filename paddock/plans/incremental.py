@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 
 from paddock.plans.ingest import INGEST_ORDER, ingest
 from paddock.plans.presentation import (calculated_results_incremental,
-                                        race_results_incremental, standings_incremental)
+                                        race_results_incremental, register_layers,
+                                        standings_incremental)
 
 Stamp = str | _dt.datetime | None
 PRESENTATION_STEPS = ("race_results", "driver_standings", "constructor_standings",
@@ -47,11 +48,16 @@ def run_history(spark: SparkSession, raw_root: str, root: str,
                 file_dates: Sequence[str], data_source: str = "",
                 stamps: Sequence[Stamp] | None = None, top_n: int = 10,
                 feeds: Sequence[str] = INGEST_ORDER,
-                presentation: Sequence[str] = PRESENTATION_STEPS) -> dict:
-    """Process ``file_dates`` in order; returns the layer folders."""
+                presentation: Sequence[str] = PRESENTATION_STEPS,
+                processed_db: str | None = None, presentation_db: str | None = None) -> dict:
+    """Process ``file_dates`` in order; returns the layer folders. With database
+    names, the folders are registered (and refreshed) as tables after each batch."""
     processed = os.path.join(root, "processed")
     pres = os.path.join(root, "presentation")
+    layers = {"processed": processed, "presentation": pres}
     for i, d in enumerate(file_dates):
         run_batch(spark, raw_root, processed, pres, d, data_source,
                   stamps[i] if stamps else None, top_n, feeds, presentation)
-    return {"processed": processed, "presentation": pres}
+        if processed_db or presentation_db:
+            register_layers(spark, layers, processed_db, presentation_db, incremental=True)
+    return layers

@@ -108,10 +108,39 @@ def calculated_results_incremental(spark: SparkSession, processed_root: str,
                             CALCULATED_SCHEMA, stamp=stamp)
 
 
+PRESENTATION_TABLES = ("race_results", "driver_standings", "constructor_standings",
+                       "calculated_race_results")
+PARTITIONED = ("races", "results", "pit_stops", "lap_times", "qualifying", "race_results",
+               "driver_standings", "constructor_standings", "calculated_race_results")
+
+
+def register_layers(spark: SparkSession, layers: dict, processed_db: str | None,
+                    presentation_db: str | None, incremental: bool = False) -> None:
+    """Register the written folders as catalog tables (one copy of the data)."""
+    from paddock.plans.ingest import INGEST_ORDER
+    from paddock.sinks.writes import register_layer
+    partitioned = PARTITIONED if incremental else \
+        tuple(n for n in PARTITIONED if n not in ("driver_standings", "constructor_standings",
+                                                  "calculated_race_results"))
+    if processed_db:
+        present = [n for n in INGEST_ORDER if _exists(spark, layers["processed"], n)]
+        register_layer(spark, processed_db, layers["processed"], present, partitioned)
+    if presentation_db:
+        present = [n for n in PRESENTATION_TABLES if _exists(spark, layers["presentation"], n)]
+        register_layer(spark, presentation_db, layers["presentation"], present, partitioned)
+
+
+def _exists(spark: SparkSession, root: str, name: str) -> bool:
+    from paddock.sinks.writes import read_or_empty
+    return read_or_empty(spark, os.path.join(root, name)) is not None
+
+
 def run_full_load(spark: SparkSession, raw_root: str, root: str, data_source: str = "",
-                  load_ts: Stamp = None, top_n: int = 10) -> dict:
+                  load_ts: Stamp = None, top_n: int = 10, processed_db: str | None = None,
+                  presentation_db: str | None = None) -> dict:
     """Full load: ingest all eight feeds, then race results, both standings and
-    the scored results, each written once and read back by the next step."""
+    the scored results, each written once and read back by the next step.
+    With database names, every folder is also registered as a catalog table."""
     from paddock.plans.ingest import ingest_all
     processed = os.path.join(root, "processed")
     pres = os.path.join(root, "presentation")
@@ -119,4 +148,6 @@ def run_full_load(spark: SparkSession, raw_root: str, root: str, data_source: st
     build_race_results(spark, processed, pres, load_ts)
     build_standings(spark, pres)
     build_calculated_results(spark, processed, pres, top_n)
-    return {"processed": processed, "presentation": pres}
+    layers = {"processed": processed, "presentation": pres}
+    register_layers(spark, layers, processed_db, presentation_db)
+    return layers

@@ -271,6 +271,15 @@ def register_table(spark: SparkSession, table: str, path: str,
     return table
 
 
+def register_layer(spark: SparkSession, database: str, root: str, names,
+                   partitioned=()) -> list[str]:
+    """Register every dataset folder ``root/<name>`` as ``database.<name>``
+    (created if missing, new partitions recovered, file listings refreshed)."""
+    create_database(spark, database)
+    return [register_table(spark, f"{database}.{n}", f"{root}/{n}", n in partitioned)
+            for n in names]
+
+
 def save_as_table(df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> str:
     """Overwrite a managed table (location from its database)."""
     w = _clustered(df, partition_by).write.mode("overwrite").format("parquet")

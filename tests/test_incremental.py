@@ -190,3 +190,15 @@ def test_name_collisions(spark, tmp):
     import pytest
     with pytest.raises(ValueError):
         standings_incremental(spark, other, "d1", "driver")
+
+
+def test_history_registers_tables(spark, tmp):
+    raw = os.path.join(tmp, "raw")
+    _raw(raw)
+    run_history(spark, raw, os.path.join(tmp, "lake"), DATES[:2], "test",
+                [f"{d} 06:00:00" for d in DATES[:2]], top_n=10,
+                feeds=["circuits", "races", "constructors", "drivers", "results"],
+                processed_db="paddock_t_proc", presentation_db="paddock_t_pres")
+    assert spark.table("paddock_t_proc.results").count() == 7
+    assert spark.table("paddock_t_pres.race_results").count() == 7
+    assert spark.table("paddock_t_pres.driver_standings").filter("race_year = 2021").count() == 2
