@@ -28,20 +28,21 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
               presentation_root: str, file_date: str, data_source: str = "",
               stamp: Stamp = None, top_n: int = 10,
               feeds: Sequence[str] = INGEST_ORDER,
-              presentation: Sequence[str] = PRESENTATION_STEPS) -> None:
+              presentation: Sequence[str] = PRESENTATION_STEPS, buckets: int = 0) -> None:
     for name in feeds:
         ingest(spark, raw_root, processed_root, name, data_source, file_date, stamp,
-               incremental=True)
+               incremental=True, buckets=buckets)
     steps = set(presentation)
     if steps & {"race_results", "driver_standings", "constructor_standings"}:
-        race_results_incremental(spark, processed_root, presentation_root, file_date, stamp)
+        race_results_incremental(spark, processed_root, presentation_root, file_date, stamp,
+                                 buckets)
     if "driver_standings" in steps:
         standings_incremental(spark, presentation_root, file_date, "driver")
     if "constructor_standings" in steps:
         standings_incremental(spark, presentation_root, file_date, "constructor")
     if "calculated_race_results" in steps:
         calculated_results_incremental(spark, processed_root, presentation_root, file_date,
-                                       stamp, top_n)
+                                       stamp, top_n, buckets)
 
 
 def run_history(spark: SparkSession, raw_root: str, root: str,
@@ -49,7 +50,8 @@ def run_history(spark: SparkSession, raw_root: str, root: str,
                 stamps: Sequence[Stamp] | None = None, top_n: int = 10,
                 feeds: Sequence[str] = INGEST_ORDER,
                 presentation: Sequence[str] = PRESENTATION_STEPS,
-                processed_db: str | None = None, presentation_db: str | None = None) -> dict:
+                processed_db: str | None = None, presentation_db: str | None = None,
+                buckets: int = 0) -> dict:
     """Process ``file_dates`` in order; returns the layer folders. With database
     names, the folders are registered (and refreshed) as tables after each batch."""
     processed = os.path.join(root, "processed")
@@ -57,7 +59,7 @@ def run_history(spark: SparkSession, raw_root: str, root: str,
     layers = {"processed": processed, "presentation": pres}
     for i, d in enumerate(file_dates):
         run_batch(spark, raw_root, processed, pres, d, data_source,
-                  stamps[i] if stamps else None, top_n, feeds, presentation)
+                  stamps[i] if stamps else None, top_n, feeds, presentation, buckets)
         if processed_db or presentation_db:
             register_layers(spark, layers, processed_db, presentation_db, incremental=True)
     return layers

@@ -107,44 +107,68 @@ DEDUPE_KEYS = {
 }
 FACTS = tuple(MERGE_KEYS)
 PERIOD = "race_year"
+BUCKET = "race_bucket"
 
 
-def with_period(fact: DataFrame, races: DataFrame, period_col: str = PERIOD) -> DataFrame:
-    """Attach the race's season to fact rows (left join: no fact row is lost)."""
-    return fact.join(races.select("race_id", period_col), "race_id", "left")
+def partition_columns(buckets: int = 0) -> list[str]:
+    """Season, plus a race bucket when ``buckets`` > 0.
+
+    The bucket (``pmod(race_id, buckets)``) is a function of the merge key, so
+    a matched row never changes folder. A merge rewrites whole partition
+    folders, so with buckets a one-race delivery rewrites about 1/``buckets``
+    of a season instead of all of it; season pruning is unchanged.
+    """
+    return [PERIOD, BUCKET] if buckets else [PERIOD]
+
+
+def with_bucket(df: DataFrame, buckets: int = 0) -> DataFrame:
+    if not buckets:
+        return df
+    return df.withColumn(BUCKET, F.pmod(F.col("race_id"), F.lit(buckets)).cast("int"))
+
+
+def with_period(fact: DataFrame, races: DataFrame, period_col: str = PERIOD,
+                buckets: int = 0) -> DataFrame:
+    """Attach the race's season (and bucket) to fact rows (left join: no fact
+    row is lost)."""
+    return with_bucket(fact.join(races.select("race_id", period_col), "race_id", "left"),
+                       buckets)
 
 
-def prepare_incremental(fact: DataFrame, name: str, races: DataFrame) -> DataFrame:
+def prepare_incremental(fact: DataFrame, name: str, races: DataFrame,
+                        buckets: int = 0) -> DataFrame:
     """Batch rows ready to merge: deterministic dedupe on the business key,
-    then on the merge key, plus the partition column."""
+    then on the merge key, plus the partition columns."""
     out = fact
     if name in DEDUPE_KEYS:
         out = dedupe_by_key(out, DEDUPE_KEYS[name])
     out = dedupe_by_key(out, MERGE_KEYS[name])
-    return with_period(out, races)
+    return with_period(out, races, buckets=buckets)
 
 
 def ingest(spark: SparkSession, raw_root: str, processed_root: str, name: str,
            data_source: str = "", file_date: str | None = None,
-           load_ts: Stamp = None, incremental: bool = False) -> str:
+           load_ts: Stamp = None, incremental: bool = False, buckets: int = 0) -> str:
     """Read one feed (of one delivery folder), conform it and write it.
 
     Full mode overwrites ``processed_root/<name>``; facts are partitioned by
-    season. Incremental mode stamps ``file_date`` and upserts facts on their
-    merge keys; dimensions are always fully reloaded.
+    season (and race bucket, see ``partition_columns``). Incremental mode
+    stamps ``file_date`` and upserts facts on their merge keys; dimensions are
+    always fully reloaded.
     """
     raw = read_feed(spark, raw_root, name, file_date)
     df = CONFORM[name](raw, data_source, file_date, load_ts)
     path = os.path.join(processed_root, name)
     if name in FACTS:
         races = spark.read.parquet(os.path.join(processed_root, "races"))
+        parts = partition_columns(buckets)
         if incremental:
-            prepared = prepare_incremental(df, name, races)
+            prepared = prepare_incremental(df, name, races, buckets)
             # unique by construction: deduplicated on the merge key
-            return upsert(spark, prepared, path, MERGE_KEYS[name] + [PERIOD], PERIOD,
+            return upsert(spark, prepared, path, MERGE_KEYS[name] + parts, parts,
                           check_unique=False)
-        return overwrite_parquet(with_period(df, races), path, partition_by=[PERIOD],
-                                 cluster_by=MERGE_KEYS[name])
+        return overwrite_parquet(with_period(df, races, buckets=buckets), path,
+                                 partition_by=parts, cluster_by=MERGE_KEYS[name])
     if name == "races":
         return overwrite_parquet(df, path, partition_by=[PERIOD])
     return overwrite_parquet(df, path)
@@ -156,11 +180,12 @@ INGEST_ORDER = ["circuits", "races", "constructors", "drivers", "results",
 
 def ingest_all(spark: SparkSession, raw_root: str, processed_root: str,
                data_source: str = "", file_date: str | None = None,
-               load_ts: Stamp = None, incremental: bool = False) -> DataFrame:
+               load_ts: Stamp = None, incremental: bool = False,
+               buckets: int = 0) -> DataFrame:
     """Run the eight ingestions in order; returns (table, n) row counts read back."""
     for name in INGEST_ORDER:
         ingest(spark, raw_root, processed_root, name, data_source, file_date, load_ts,
-               incremental)
+               incremental, buckets)
     counts = None
     for name in INGEST_ORDER:
         c = (spark.read.parquet(os.path.join(processed_root, name))

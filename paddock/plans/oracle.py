@@ -9,7 +9,7 @@ Spark side (``paddock.sources.testtables``). Types are cast to Spark's
 
 from __future__ import annotations
 
-from paddock.plans.testbed import (DRIVER_MIN, DRIVER_WINDOW_MIN, FILE_DATES, LOAD_TS,
+from paddock.plans.testbed import (BUCKETS, DRIVER_MIN, DRIVER_WINDOW_MIN, FILE_DATES, LOAD_TS,
                                    TEAM_MIN, TEAM_WINDOW_MIN, TOP_DRIVERS, TOP_N,
                                    TOP_TEAMS, WINDOW1, WINDOW2, batch_stamp)
 from paddock.sources.testtables import DATA_SOURCE, oracle_feed
@@ -358,6 +358,11 @@ def io_oracles() -> dict[str, str]:
     q["upsert_merge"] = FINAL_RESULTS
     q["upsert_idempotent"] = FINAL_RESULTS
     q["upsert_table"] = FINAL_RESULTS
+    bucket = f"CAST(race_id % {BUCKETS} AS INTEGER) AS race_bucket"
+    q["upsert_merge_bucketed"] = f"SELECT *, {bucket} FROM ({FINAL_RESULTS})"
+    q["race_results_incremental_bucketed"] = f"SELECT *, {bucket} FROM ({FINAL_RACE_RESULTS})"
+    q["calculated_results_incremental_bucketed"] = (f"SELECT *, {bucket} "
+                                                    f"FROM ({FINAL_CALCULATED})")
     q["upsert_selective"] = FINAL_CALCULATED
     for name in ("circuits", "races", "constructors", "drivers"):
         q[f"ingest_{name}"] = with_processed(name) + f"\nSELECT * FROM {name}"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from paddock.operators.standings import (affected_periods, constructor_standings,
                                          driver_standings, rows_of_periods)
 from paddock.operators.star import calculated_results, race_results
+from paddock.plans.ingest import BUCKET, partition_columns, with_bucket
 from paddock.sinks.writes import overwrite_parquet, selective_upsert, upsert
 
 Stamp = str | _dt.datetime | None
@@ -70,14 +71,15 @@ def build_calculated_results(spark: SparkSession, processed_root: str, presentat
 
 def race_results_incremental(spark: SparkSession, processed_root: str,
                              presentation_root: str, file_date: str,
-                             load_ts: Stamp = None) -> str:
+                             load_ts: Stamp = None, buckets: int = 0) -> str:
     """Merge the race results of one batch (update all on driver_name, race_id)."""
     t = processed_tables(spark, processed_root)
     batch = t["results"].filter(F.col("file_date") == F.lit(file_date))
-    df = race_results(batch, t["races"], t["circuits"], t["drivers"], t["constructors"],
-                      load_ts=load_ts, incremental=True)
+    df = with_bucket(race_results(batch, t["races"], t["circuits"], t["drivers"],
+                                  t["constructors"], load_ts=load_ts, incremental=True), buckets)
+    parts = partition_columns(buckets)
     return upsert(spark, df, os.path.join(presentation_root, "race_results"),
-                  RACE_RESULTS_KEYS + [PERIOD], PERIOD)
+                  RACE_RESULTS_KEYS + parts, parts)
 
 
 def standings_incremental(spark: SparkSession, presentation_root: str, file_date: str,
@@ -97,15 +99,19 @@ def standings_incremental(spark: SparkSession, presentation_root: str, file_date
 
 def calculated_results_incremental(spark: SparkSession, processed_root: str,
                                    presentation_root: str, file_date: str,
-                                   stamp: Stamp = None, top_n: int = 10) -> str:
+                                   stamp: Stamp = None, top_n: int = 10,
+                                   buckets: int = 0) -> str:
     """Selective merge of one batch's scored results on (driver_id, race_id)."""
     t = processed_tables(spark, processed_root, ("races", "constructors", "drivers", "results"))
-    src = calculated_results(t["results"], t["races"], t["drivers"], t["constructors"],
-                             top_n, incremental=True, file_date=file_date)
+    src = with_bucket(calculated_results(t["results"], t["races"], t["drivers"],
+                                         t["constructors"], top_n, incremental=True,
+                                         file_date=file_date), buckets)
+    parts = partition_columns(buckets)
+    schema = CALCULATED_SCHEMA + (f", {BUCKET} INT" if buckets else "")
     return selective_upsert(spark, src, os.path.join(presentation_root,
                                                      "calculated_race_results"),
-                            CALCULATED_KEYS + [PERIOD], CALCULATED_UPDATE, PERIOD,
-                            CALCULATED_SCHEMA, stamp=stamp)
+                            CALCULATED_KEYS + parts, CALCULATED_UPDATE, parts,
+                            schema, stamp=stamp)
 
 
 PRESENTATION_TABLES = ("race_results", "driver_standings", "constructor_standings",

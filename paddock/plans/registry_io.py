@@ -16,7 +16,8 @@ from paddock.operators.star import calculated_results, race_results
 from paddock.plans import testbed as tb
 from paddock.plans.incremental import run_history
 from paddock.plans.ingest import (CONFORM, MERGE_KEYS, PERIOD, conform_races, ingest,
-                                  ingest_all, prepare_incremental, with_period)
+                                  ingest_all, partition_columns, prepare_incremental,
+                                  with_period)
 from paddock.plans.presentation import (CALCULATED_KEYS, CALCULATED_SCHEMA,
                                         CALCULATED_UPDATE)
 from paddock.plans.registry import QUERIES, query
@@ -324,19 +325,20 @@ def partition_drop_reload(spark, sf_dir):
 
 # --- upserts -----------------------------------------------------------------------
 
-def _batch_source(spark, sf_dir, file_date, races):
+def _batch_source(spark, sf_dir, file_date, races, buckets=0):
     raw = raw_feed(spark, sf_dir, "results", file_date)
     df = CONFORM["results"](raw, DATA_SOURCE, file_date, tb.batch_stamp(file_date))
-    return prepare_incremental(df, "results", races)
+    return prepare_incremental(df, "results", races, buckets)
 
 
-def _upsert_batches(spark, sf_dir, dates):
+def _upsert_batches(spark, sf_dir, dates, buckets=0):
     path = os.path.join(work_dir(spark, "lake"), "results")
     races = tb.processed(spark, sf_dir, ("races",))["races"]
+    parts = partition_columns(buckets)
     for d in dates:
         # the batch source is deduplicated on the merge key, so no extra check pass
-        sink.upsert(spark, _batch_source(spark, sf_dir, d, races), path,
-                    MERGE_KEYS["results"] + [PERIOD], PERIOD, check_unique=False)
+        sink.upsert(spark, _batch_source(spark, sf_dir, d, races, buckets), path,
+                    MERGE_KEYS["results"] + parts, parts, check_unique=False)
     return spark.read.parquet(path)
 
 
@@ -355,6 +357,12 @@ def upsert_idempotent(spark, sf_dir):
     return _upsert_batches(spark, sf_dir, tb.FILE_DATES + tb.FILE_DATES[-1:])
 
 
+@query
+def upsert_merge_bucketed(spark, sf_dir):
+    """The three-batch merge with (season, race bucket) partitions."""
+    return _upsert_batches(spark, sf_dir, tb.FILE_DATES, buckets=tb.BUCKETS)
+
+
 @query
 def upsert_table(spark, sf_dir):
     db = _db(spark, "merge")
@@ -432,7 +440,7 @@ def _history_feeds(steps):
     return feeds_needed
 
 
-def _presentation(name):
+def _presentation(name, buckets=0):
     """The whole three-batch history, with the presentation steps ``name`` needs.
 
     ``prepare`` writes the delivery folders (test-data preparation); ``run``
@@ -449,7 +457,7 @@ def _presentation(name):
     def run(spark, raw_root):
         layers = run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES,
                              DATA_SOURCE, [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
-                             feeds=_history_feeds(steps), presentation=steps)
+                             feeds=_history_feeds(steps), presentation=steps, buckets=buckets)
         return spark.read.parquet(os.path.join(layers["presentation"], name))
 
     def fn(spark, sf_dir):
@@ -462,6 +470,9 @@ QUERIES["race_results_incremental"] = _presentation("race_results")
 QUERIES["driver_standings_incremental"] = _presentation("driver_standings")
 QUERIES["constructor_standings_incremental"] = _presentation("constructor_standings")
 QUERIES["calculated_results_incremental"] = _presentation("calculated_race_results")
+QUERIES["race_results_incremental_bucketed"] = _presentation("race_results", tb.BUCKETS)
+QUERIES["calculated_results_incremental_bucketed"] = _presentation("calculated_race_results",
+                                                                   tb.BUCKETS)
 
 
 # --- streaming form of the incremental load ----------------------------------------------

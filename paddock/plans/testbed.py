@@ -13,7 +13,8 @@ from paddock.plans.ingest import CONFORM
 from paddock.sources.testtables import BATCHES, DATA_SOURCE, raw_feed
 
 # Parameters of the queries on the test tables (thresholds
-# scaled to the test data; the source analyses use 10 / 11, 50 and 100).
+# scaled to the test data; the source analyses use 10 / 11, 50 and 100;
+# BUCKETS is the race-bucket count of the bucketed merge layout).
 TOP_N = 5
 DRIVER_MIN = 22
 TEAM_MIN = 430
@@ -23,6 +24,7 @@ WINDOW1 = (1998, 2001)
 WINDOW2 = (1995, 1997)
 TOP_DRIVERS = 10
 TOP_TEAMS = 5
+BUCKETS = 8
 LOAD_TS = "2021-03-21 06:00:00"
 FILE_DATES = [b[0] for b in BATCHES]
 

@@ -36,6 +36,13 @@ from paddock.functions.conform import partition_column_last, timestamp_literal
 from paddock.session import shared_dir
 
 
+Partitions = str | Sequence[str]
+
+
+def _parts(partition_col: Partitions) -> list[str]:
+    return [partition_col] if isinstance(partition_col, str) else list(partition_col)
+
+
 def _clustered(df: DataFrame, partition_by: Sequence[str] | None,
                cluster_by: Sequence[str] = ()) -> DataFrame:
     """Rows of one partition value together, in AQE-sized tasks; sorted by
@@ -43,8 +50,9 @@ def _clustered(df: DataFrame, partition_by: Sequence[str] | None,
     if not partition_by:
         return df
     out = df.hint("rebalance", *partition_by)
-    if cluster_by:
-        out = out.sortWithinPartitions(*partition_by, *cluster_by)
+    cluster = [c for c in cluster_by if c not in partition_by]
+    if cluster:
+        out = out.sortWithinPartitions(*partition_by, *cluster)
     return out
 
 
@@ -58,19 +66,20 @@ def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | No
     return path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str,
+def overwrite_partitions(df: DataFrame, path: str, partition_col: Partitions,
                          cluster_by: Sequence[str] = ()) -> str:
     """Replace only the partitions present in ``df``; create the dataset if absent."""
-    (_clustered(partition_column_last(df, partition_col), [partition_col], cluster_by)
+    parts = _parts(partition_col)
+    (_clustered(partition_column_last(df, parts), parts, cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
+        .partitionBy(*parts)
         .parquet(path))
     return path
 
 
 def overwrite_table_partitions(spark: SparkSession, df: DataFrame, table: str,
-                               partition_col: str) -> str:
+                               partition_col: Partitions) -> str:
     """Replace only the partitions present in ``df`` in a catalog table; create
     the table, partitioned, if it is absent.
 
@@ -80,14 +89,15 @@ def overwrite_table_partitions(spark: SparkSession, df: DataFrame, table: str,
     accident. Columns are aligned to the table by name before the positional
     insert.
     """
-    out = _clustered(partition_column_last(df, partition_col), [partition_col])
+    parts = _parts(partition_col)
+    out = _clustered(partition_column_last(df, parts), parts)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES "
                   f"('partitionOverwriteMode' = 'dynamic')")
         out.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     else:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col).format("parquet").saveAsTable(table))
+            .partitionBy(*parts).format("parquet").saveAsTable(table))
     return table
 
 
@@ -122,20 +132,22 @@ def stage(spark: SparkSession, source: DataFrame, target_path: str) -> DataFrame
 MAX_TOUCHED_PARTITIONS = 10_000
 
 
-def inspect_source(source: DataFrame, keys: Sequence[str], partition_col: str,
+def inspect_source(source: DataFrame, keys: Sequence[str], partition_col: Partitions,
                    check_unique: bool = True,
                    max_values: int = MAX_TOUCHED_PARTITIONS) -> list | None:
-    """One aggregate pass over a merge source: the partition values it touches
-    and, with ``check_unique``, whether any merge key repeats (a MERGE fails then).
+    """One aggregate pass over a merge source: the partitions it touches and,
+    with ``check_unique``, whether any merge key repeats (a MERGE fails then).
 
-    Returns the values (metadata-sized: one per partition folder), or ``None``
-    when there are more than ``max_values``; duplicates raise ``ValueError``.
+    Returns the partition value tuples (metadata-sized: one per partition
+    folder), or ``None`` when there are more than ``max_values``; duplicate
+    keys raise ``ValueError``.
     """
+    parts = _parts(partition_col)
     if check_unique:
         per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        per_part = per_key.groupBy(partition_col).agg(F.max("n").alias("n"))
+        per_part = per_key.groupBy(*parts).agg(F.max("n").alias("n"))
     else:
-        per_part = source.groupBy(partition_col).agg(F.lit(1).alias("n"))
+        per_part = source.groupBy(*parts).agg(F.lit(1).alias("n"))
     rows = per_part.limit(max_values + 1).collect()
     if len(rows) > max_values:
         if check_unique:
@@ -143,24 +155,40 @@ def inspect_source(source: DataFrame, keys: Sequence[str], partition_col: str,
         return None
     if check_unique and any(r["n"] > 1 for r in rows):
         _check_unique(source, keys)
-    return [r[partition_col] for r in rows]
+    return [tuple(r[c] for c in parts) for r in rows]
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str,
+def touched_partitions(target: DataFrame, source: DataFrame, partition_col: Partitions,
                        values: list | None) -> DataFrame:
     """Target rows in the partitions the source touches.
 
-    The touched values become a partition filter, so the target scan lists and
-    reads only those folders (static partition pruning); without values (more
-    than the cap) a left semi join on the source's partitions is used instead.
+    The touched value tuples become a partition filter, so the target scan
+    lists and reads only those folders (static partition pruning); without
+    values (more than the cap) a left semi join on the source's partitions is
+    used instead.
     """
-    if values is None:
-        return target.join(source.select(partition_col).distinct(), partition_col, "left_semi")
-    present = [v for v in values if v is not None]
-    cond = F.col(partition_col).isin(present) if present else F.lit(False)
-    if len(present) < len(values):
-        cond = cond | F.col(partition_col).isNull()
-    return target.filter(cond)
+    parts = _parts(partition_col)
+    if values is None or (len(parts) > 1 and any(v is None for t in values for v in t)):
+        return target.join(source.select(*parts).distinct(), parts, "left_semi")
+    if len(parts) == 1:
+        present = [t[0] for t in values if t[0] is not None]
+        cond = F.col(parts[0]).isin(present) if present else F.lit(False)
+        if len(present) < len(values):
+            cond = cond | F.col(parts[0]).isNull()
+        return target.filter(cond)
+    if not values:
+        return target.filter(F.lit(False))
+    dtypes = dict(target.dtypes)
+    packed = F.struct(*[F.col(c) for c in parts])
+    wanted = [F.struct(*[F.lit(v).cast(dtypes[c]).alias(c) for c, v in zip(parts, t)])
+              for t in values]
+    return target.filter(packed.isin(wanted))
+
+
+def _require_partitions_in_keys(partition_col: Partitions, keys: Sequence[str]) -> None:
+    missing = [c for c in _parts(partition_col) if c not in keys]
+    if missing:
+        raise ValueError(f"partition columns {missing} must be among the keys {list(keys)}")
 
 
 def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
@@ -171,7 +199,7 @@ def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           partition_col: str, check_unique: bool = True, staged: bool = True) -> str:
+           partition_col: Partitions, check_unique: bool = True, staged: bool = True) -> str:
     """Keyed upsert: matched rows take every column from the source (update
     all), unmatched source rows are inserted, other target rows are kept.
 
@@ -180,8 +208,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     more than once (partition values, key check, merge), so it is staged first.
     """
     keys = list(keys)
-    if partition_col not in keys:
-        raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
+    _require_partitions_in_keys(partition_col, keys)
     first_load = read_or_empty(spark, path) is None
     if first_load and not check_unique:
         return overwrite_partitions(source, path, partition_col, cluster_by=keys)
@@ -194,7 +221,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
 
 
 def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-                 partition_col: str, values: list | None = None) -> DataFrame:
+                 partition_col: Partitions, values: list | None = None) -> DataFrame:
     """The new content of the partitions ``source`` touches (lazy)."""
     target = read_or_empty(spark, path)
     if target is None:
@@ -207,7 +234,7 @@ def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
 
 
 def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-                     update_cols: Sequence[str], partition_col: str, schema,
+                     update_cols: Sequence[str], partition_col: Partitions, schema,
                      stamp: str | _dt.datetime | None = None,
                      created_col: str = "created_date", updated_col: str = "updated_date",
                      check_unique: bool = True) -> str:
@@ -220,8 +247,7 @@ def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Se
     ``schema`` is the target's (DDL or StructType), used when it is still empty.
     """
     keys, update_cols = list(keys), list(update_cols)
-    if partition_col not in keys:
-        raise ValueError(f"partition column {partition_col!r} must be one of the keys {keys}")
+    _require_partitions_in_keys(partition_col, keys)
     source = stage(spark, source, path)
     values = inspect_source(source, keys, partition_col, check_unique)
     target = read_or_empty(spark, path, schema)
@@ -332,7 +358,8 @@ def drop_partitions_and_append(spark: SparkSession, df: DataFrame, table: str,
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, table: str, location: str,
-                 keys: Sequence[str], partition_col: str, check_unique: bool = True) -> str:
+                 keys: Sequence[str], partition_col: Partitions,
+                 check_unique: bool = True) -> str:
     """Keyed upsert into a catalog table stored at ``location``.
 
     Table absent: the source becomes its first load (partitioned) and the

@@ -19,7 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.plans.ingest import (CONFORM, FACTS, MERGE_KEYS, PERIOD, prepare_incremental)
+from paddock.plans.ingest import (CONFORM, FACTS, MERGE_KEYS, partition_columns,
+                                  prepare_incremental)
 from paddock.schemas import RAW_SCHEMAS
 from paddock.sinks.writes import upsert
 from paddock.sources.feeds import FEED_FILES, FEED_FORMATS
@@ -44,7 +45,7 @@ def delivery_stream(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
 def ingest_deliveries(spark: SparkSession, raw_root: str, processed_root: str, name: str,
                       checkpoint: str, data_source: str = "",
                       stamp_for: Callable[[str], Stamp] | None = None,
-                      max_dates_per_batch: int = 1000) -> None:
+                      max_dates_per_batch: int = 1000, buckets: int = 0) -> None:
     """Merge every not-yet-seen delivery of fact ``name`` into the processed table."""
     if name not in FACTS:
         raise ValueError(f"{name} is not an incrementally merged fact")
@@ -62,8 +63,9 @@ def ingest_deliveries(spark: SparkSession, raw_root: str, processed_root: str, n
             for d in dates:
                 raw = batch.filter(F.col("file_date") == d).drop("file_date")
                 df = CONFORM[name](raw, data_source, d, stamp_for(d) if stamp_for else None)
-                upsert(spark, prepare_incremental(df, name, races), target,
-                       MERGE_KEYS[name] + [PERIOD], PERIOD, check_unique=False)
+                parts = partition_columns(buckets)
+                upsert(spark, prepare_incremental(df, name, races, buckets), target,
+                       MERGE_KEYS[name] + parts, parts, check_unique=False)
         finally:
             batch.unpersist()
 

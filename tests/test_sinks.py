@@ -145,3 +145,42 @@ def test_overwrite_table_partitions_keeps_session_static(spark, tmp):
     rows = {(r.race_year, r.race_id): r.points for r in spark.table(table).collect()}
     assert rows == {(2020, 1): 1, (2021, 2): 7}
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
+SCHEMA2 = "race_year int, race_bucket int, race_id int, driver_id int, points int"
+KEYS2 = ["race_id", "driver_id", "race_year", "race_bucket"]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(batch, min_size=1, max_size=3))
+def test_upsert_two_partition_columns_matches_dict_model(spark, tmp_path_factory, batches):
+    path = str(tmp_path_factory.mktemp("prop2") / "t")
+    model = {}
+    for b in batches:
+        uniq = {(y, r % 3, r, d): p for y, r, d, p in b}
+        if not uniq:
+            continue
+        rows = [(y, bk, r, d, p) for (y, bk, r, d), p in uniq.items()]
+        sink.upsert(spark, spark.createDataFrame(rows, SCHEMA2), path, KEYS2,
+                    ["race_year", "race_bucket"])
+        model.update(uniq)
+    if model:
+        got = {(r.race_year, r.race_bucket, r.race_id, r.driver_id): r.points
+               for r in spark.read.parquet(path).collect()}
+        assert got == model
+
+
+def test_two_column_partition_filter(spark, tmp):
+    from paddock.sinks.writes import overwrite_parquet, upsert_frame
+    path = os.path.join(tmp, "t2")
+    base = spark.range(0, 700).selectExpr("CAST(id % 7 AS INT) AS race_year",
+                                          "CAST(id % 4 AS INT) AS race_bucket",
+                                          "id AS race_id", "id AS v")
+    overwrite_parquet(base, path, partition_by=["race_year", "race_bucket"])
+    src = spark.createDataFrame([(3, 1, 101, 99)],
+                                "race_year int, race_bucket int, race_id bigint, v bigint")
+    merged = upsert_frame(spark, src, path, ["race_id", "race_year", "race_bucket"],
+                          ["race_year", "race_bucket"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "race_bucket" in plan
+    assert merged.count() == base.filter("race_year = 3 AND race_bucket = 1").count()
