@@ -169,7 +169,10 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_col: Part
     """
     parts = _parts(partition_col)
     if values is None or (len(parts) > 1 and any(v is None for t in values for v in t)):
-        return target.join(source.select(*parts).distinct(), parts, "left_semi")
+        # null-safe: a NULL partition value (the default partition folder) must match too
+        touched = source.select(*[F.col(c).alias(f"__p_{c}") for c in parts]).distinct()
+        cond = [target[c].eqNullSafe(touched[f"__p_{c}"]) for c in parts]
+        return target.join(touched, cond, "left_semi")
     if len(parts) == 1:
         present = [t[0] for t in values if t[0] is not None]
         cond = F.col(parts[0]).isin(present) if present else F.lit(False)

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -184,3 +185,33 @@ def test_two_column_partition_filter(spark, tmp):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "race_bucket" in plan
     assert merged.count() == base.filter("race_year = 3 AND race_bucket = 1").count()
+
+
+def test_merge_fallbacks_keep_null_partition_rows(spark, tmp):
+    from paddock.sinks.writes import inspect_source, touched_partitions
+    path = os.path.join(tmp, "t3")
+    base = _df(spark, [(None, 1, 1, 1, "a"), (None, 2, 1, 1, "a"), (2021, 3, 1, 1, "a")])
+    sink.overwrite_parquet(base, path, partition_by=["race_year"])
+    target = spark.read.parquet(path)
+    src = _df(spark, [(None, 1, 1, 5, "b")])
+    # above the cap: semi join, null-safe
+    assert inspect_source(src, KEYS, "race_year", max_values=0) is None
+    assert touched_partitions(target, src, "race_year", None).count() == 2
+    # two partition columns with a NULL value: same null-safe path
+    two = touched_partitions(target.withColumn("b", F.lit(1)), src.withColumn("b", F.lit(1)),
+                             ["race_year", "b"], [(None, 1)])
+    assert two.count() == 2
+    sink.upsert(spark, src, path, KEYS, "race_year")
+    got = sorted((r.race_id, r.points) for r in spark.read.parquet(path).collect())
+    # NULL keys never match (as in MERGE): the row is inserted, and no other row of the
+    # NULL partition is lost by the partition rewrite
+    assert got == [(1, 1), (1, 5), (2, 1), (3, 1)]
+
+
+def test_inspect_source_reports_duplicates_and_values(spark):
+    from paddock.sinks.writes import inspect_source
+    src = _df(spark, [(2020, 1, 1, 1, "a"), (2021, 2, 1, 1, "a")])
+    assert sorted(inspect_source(src, KEYS, "race_year")) == [(2020,), (2021,)]
+    dup = _df(spark, [(2020, 1, 1, 1, "a"), (2020, 1, 1, 2, "a")])
+    with pytest.raises(ValueError):
+        inspect_source(dup, KEYS, "race_year")
