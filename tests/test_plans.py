@@ -54,3 +54,24 @@ def test_upsert_prunes_target_partitions(spark, tmp):
     rows = merged.collect()
     assert len(rows) == base.filter("race_year = 3").count()
     assert {r.v for r in rows if r.race_id == 3} == {99}
+
+
+def test_star_join_broadcasts_small_dimensions(spark, queries):
+    plan = _plan(queries["race_results"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
+
+
+def test_incremental_season_read_uses_dynamic_pruning(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from paddock.operators.standings import affected_periods, rows_of_periods
+    from paddock.sinks.writes import overwrite_parquet
+    path = os.path.join(tmp, "rr")
+    rr = spark.range(0, 5000).select(
+        (F.col("id") % 7 + 1995).cast("int").alias("race_year"), F.col("id").alias("race_id"),
+        F.when(F.col("id") % 7 == 3, "b2").otherwise("b1").alias("file_date"))
+    overwrite_parquet(rr, path, partition_by=["race_year"])
+    table = spark.read.parquet(path)
+    seasons = rows_of_periods(table, affected_periods(table, "b2"))
+    assert "dynamicpruning" in _plan(seasons).lower()
+    assert {r.race_year for r in seasons.select("race_year").distinct().collect()} == {1998}
