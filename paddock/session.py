@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "paddock") -> SparkSession:
+                  app_name: str = "paddock", extra: dict | None = None) -> SparkSession:
     """A local session tuned for small test data (UI off, AQE on, UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
