@@ -44,12 +44,17 @@ def _parts(partition_col: Partitions) -> list[str]:
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str] | None,
-               cluster_by: Sequence[str] = ()) -> DataFrame:
+               cluster_by: Sequence[str] = (), rebalance: bool = True) -> DataFrame:
     """Rows of one partition value together, in AQE-sized tasks; sorted by
-    ``cluster_by`` inside each task so Parquet min/max statistics are tight."""
+    ``cluster_by`` inside each task so Parquet min/max statistics are tight.
+
+    ``rebalance=False`` skips the shuffle (each task then writes one file per
+    partition value it holds): right when the input is already clustered by
+    the partition columns, e.g. straight after a group-by on them.
+    """
     if not partition_by:
         return df
-    out = df.hint("rebalance", *partition_by)
+    out = df.hint("rebalance", *partition_by) if rebalance else df
     cluster = [c for c in cluster_by if c not in partition_by]
     if cluster:
         out = out.sortWithinPartitions(*partition_by, *cluster)
@@ -57,9 +62,9 @@ def _clustered(df: DataFrame, partition_by: Sequence[str] | None,
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                      cluster_by: Sequence[str] = ()) -> str:
+                      cluster_by: Sequence[str] = (), rebalance: bool = True) -> str:
     """Replace the whole dataset at ``path`` (optionally partitioned)."""
-    w = _clustered(df, partition_by, cluster_by).write.mode("overwrite")
+    w = _clustered(df, partition_by, cluster_by, rebalance).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -67,10 +72,10 @@ def overwrite_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | No
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_col: Partitions,
-                         cluster_by: Sequence[str] = ()) -> str:
+                         cluster_by: Sequence[str] = (), rebalance: bool = True) -> str:
     """Replace only the partitions present in ``df``; create the dataset if absent."""
     parts = _parts(partition_col)
-    (_clustered(partition_column_last(df, parts), parts, cluster_by)
+    (_clustered(partition_column_last(df, parts), parts, cluster_by, rebalance)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)

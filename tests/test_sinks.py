@@ -215,3 +215,15 @@ def test_inspect_source_reports_duplicates_and_values(spark):
     dup = _df(spark, [(2020, 1, 1, 1, "a"), (2020, 1, 1, 2, "a")])
     with pytest.raises(ValueError):
         inspect_source(dup, KEYS, "race_year")
+
+
+def test_partitioned_write_plan_rebalances_or_not(spark, tmp):
+    from paddock.sinks.writes import _clustered
+    df = _df(spark, [(2020, 1, 1, 1, "a"), (2021, 2, 1, 1, "a")])
+    on = _clustered(df, ["race_year"], ["race_id"])._jdf.queryExecution().executedPlan()
+    off = _clustered(df, ["race_year"], ["race_id"], rebalance=False)._jdf.queryExecution()
+    assert "REBALANCE_PARTITIONS_BY_COL" in on.toString()
+    assert "Exchange" not in off.executedPlan().toString()
+    path = os.path.join(tmp, "nr")
+    sink.overwrite_parquet(df, path, partition_by=["race_year"], rebalance=False)
+    assert spark.read.parquet(path).count() == 2
