@@ -13,11 +13,14 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from paddock.plans.ingest import INGEST_ORDER, ingest
+from paddock.plans.ingest import INGEST_ORDER, ingest, partition_columns, with_period
 from paddock.plans.presentation import (calculated_results_incremental,
                                         race_results_incremental, register_layers,
                                         standings_incremental)
+from paddock.sinks.writes import MAX_TOUCHED_PARTITIONS
+from paddock.sources.feeds import read_feed
 
 Stamp = str | _dt.datetime | None
 PRESENTATION_STEPS = ("race_results", "driver_standings", "constructor_standings",
@@ -33,16 +36,41 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
         ingest(spark, raw_root, processed_root, name, data_source, file_date, stamp,
                incremental=True, buckets=buckets)
     steps = set(presentation)
+    if not steps:
+        return
+    parts = delivery_partitions(spark, raw_root, processed_root, file_date, "results", buckets)
+    seasons = None if parts is None else sorted({t[0] for t in parts}, key=str)
     if steps & {"race_results", "driver_standings", "constructor_standings"}:
         race_results_incremental(spark, processed_root, presentation_root, file_date, stamp,
-                                 buckets)
+                                 buckets, parts)
     if "driver_standings" in steps:
-        standings_incremental(spark, presentation_root, file_date, "driver")
+        standings_incremental(spark, presentation_root, file_date, "driver", seasons)
     if "constructor_standings" in steps:
-        standings_incremental(spark, presentation_root, file_date, "constructor")
+        standings_incremental(spark, presentation_root, file_date, "constructor", seasons)
     if "calculated_race_results" in steps:
         calculated_results_incremental(spark, processed_root, presentation_root, file_date,
-                                       stamp, top_n, buckets)
+                                       stamp, top_n, buckets, parts)
+
+
+def delivery_partitions(spark: SparkSession, raw_root: str, processed_root: str,
+                        file_date: str, name: str = "results", buckets: int = 0,
+                        max_values: int = MAX_TOUCHED_PARTITIONS) -> list | None:
+    """The (season[, race bucket]) partitions one delivery of a fact writes to.
+
+    Read from the delivery itself (small by nature: about one race) and the
+    races table, so the later steps of the batch can read only those folders
+    of tables partitioned by season instead of scanning every partition for
+    ``file_date``. Metadata-sized; ``None`` above ``max_values``.
+    """
+    races_ids = read_feed(spark, raw_root, name, file_date).select(
+        F.col("raceId").alias("race_id")).distinct()
+    races = spark.read.parquet(os.path.join(processed_root, "races"))
+    parts = partition_columns(buckets)
+    rows = (with_period(races_ids, races, buckets=buckets).select(*parts).distinct()
+            .limit(max_values + 1).collect())
+    if len(rows) > max_values:
+        return None
+    return [tuple(r[c] for c in parts) for r in rows]
 
 
 def run_history(spark: SparkSession, raw_root: str, root: str,

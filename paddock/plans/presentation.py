@@ -14,7 +14,7 @@ from paddock.operators.standings import (affected_periods, constructor_standings
                                          driver_standings, rows_of_periods)
 from paddock.operators.star import calculated_results, race_results
 from paddock.plans.ingest import BUCKET, partition_columns, with_bucket
-from paddock.sinks.writes import overwrite_parquet, selective_upsert, upsert
+from paddock.sinks.writes import overwrite_parquet, partition_filter, selective_upsert, upsert
 
 Stamp = str | _dt.datetime | None
 PERIOD = "race_year"
@@ -69,25 +69,58 @@ def build_calculated_results(spark: SparkSession, processed_root: str, presentat
 
 # --- incremental ----------------------------------------------------------
 
+def batch_results(results: DataFrame, file_date: str, buckets: int = 0,
+                  partitions: list | None = None) -> DataFrame:
+    """Rows of one delivery in the processed results.
+
+    ``partitions`` (the delivery's season[/bucket] values, see
+    ``plans.incremental.delivery_partitions``) becomes a partition filter, so
+    only the folders the delivery wrote are read; ``file_date`` then selects
+    its rows inside them. Without it every partition is scanned.
+    """
+    if partitions is not None:
+        cond = partition_filter(partition_columns(buckets), partitions)
+        if cond is not None:
+            results = results.filter(cond)
+    return results.filter(F.col("file_date") == F.lit(file_date))
+
+
+def race_results_batch(spark: SparkSession, processed_root: str, file_date: str,
+                       load_ts: Stamp = None, buckets: int = 0,
+                       partitions: list | None = None) -> DataFrame:
+    """The race results of one delivery (lazy), ready to merge."""
+    t = processed_tables(spark, processed_root)
+    batch = batch_results(t["results"], file_date, buckets, partitions)
+    return with_bucket(race_results(batch, t["races"], t["circuits"], t["drivers"],
+                                    t["constructors"], load_ts=load_ts, incremental=True),
+                       buckets)
+
+
 def race_results_incremental(spark: SparkSession, processed_root: str,
                              presentation_root: str, file_date: str,
-                             load_ts: Stamp = None, buckets: int = 0) -> str:
+                             load_ts: Stamp = None, buckets: int = 0,
+                             partitions: list | None = None) -> str:
     """Merge the race results of one batch (update all on driver_name, race_id)."""
-    t = processed_tables(spark, processed_root)
-    batch = t["results"].filter(F.col("file_date") == F.lit(file_date))
-    df = with_bucket(race_results(batch, t["races"], t["circuits"], t["drivers"],
-                                  t["constructors"], load_ts=load_ts, incremental=True), buckets)
+    df = race_results_batch(spark, processed_root, file_date, load_ts, buckets, partitions)
     parts = partition_columns(buckets)
     return upsert(spark, df, os.path.join(presentation_root, "race_results"),
                   RACE_RESULTS_KEYS + parts, parts)
 
 
 def standings_incremental(spark: SparkSession, presentation_root: str, file_date: str,
-                          which: str = "driver") -> str:
+                          which: str = "driver", seasons: list | None = None) -> str:
     """Recompute the standings of every season the batch touched, from all race
-    results of those seasons, and merge them."""
+    results of those seasons, and merge them.
+
+    ``seasons`` (from the delivery) is applied as a partition filter; without
+    it the touched seasons are found with a semi join on the batch's rows
+    (dynamic partition pruning on the season folders).
+    """
     rr = spark.read.parquet(os.path.join(presentation_root, "race_results"))
-    seasons = rows_of_periods(rr, affected_periods(rr, file_date))
+    if seasons is not None:
+        seasons = rr.filter(partition_filter(PERIOD, [(v,) for v in seasons]))
+    else:
+        seasons = rows_of_periods(rr, affected_periods(rr, file_date))
     if which == "driver":
         df, keys, name = driver_standings(seasons, with_team=False), DRIVER_STANDINGS_KEYS, \
             "driver_standings"
@@ -100,10 +133,11 @@ def standings_incremental(spark: SparkSession, presentation_root: str, file_date
 def calculated_results_incremental(spark: SparkSession, processed_root: str,
                                    presentation_root: str, file_date: str,
                                    stamp: Stamp = None, top_n: int = 10,
-                                   buckets: int = 0) -> str:
+                                   buckets: int = 0, partitions: list | None = None) -> str:
     """Selective merge of one batch's scored results on (driver_id, race_id)."""
     t = processed_tables(spark, processed_root, ("races", "constructors", "drivers", "results"))
-    src = with_bucket(calculated_results(t["results"], t["races"], t["drivers"],
+    batch = batch_results(t["results"], file_date, buckets, partitions)
+    src = with_bucket(calculated_results(batch, t["races"], t["drivers"],
                                          t["constructors"], top_n, incremental=True,
                                          file_date=file_date), buckets)
     parts = partition_columns(buckets)

@@ -163,34 +163,47 @@ def inspect_source(source: DataFrame, keys: Sequence[str], partition_col: Partit
     return [tuple(r[c] for c in parts) for r in rows]
 
 
+def partition_filter(partition_col: Partitions, values: list, dtypes: dict | None = None):
+    """A Column selecting the partitions ``values`` (tuples, one value per
+    partition column); ``None`` when it cannot be expressed as a plain filter
+    (a NULL inside a multi-column tuple). Used as a partition filter, it makes
+    the scan list and read only those folders."""
+    parts = _parts(partition_col)
+    if len(parts) == 1:
+        present = [t[0] for t in values if t[0] is not None]
+        cond = F.col(parts[0]).isin(present) if present else F.lit(False)
+        if len(present) < len(values):
+            cond = cond | F.col(parts[0]).isNull()
+        return cond
+    if any(v is None for t in values for v in t):
+        return None
+    if not values:
+        return F.lit(False)
+    packed = F.struct(*[F.col(c) for c in parts])
+
+    def typed(c, v):
+        return F.lit(v).cast(dtypes[c]) if dtypes else F.lit(v)
+    return packed.isin([F.struct(*[typed(c, v).alias(c) for c, v in zip(parts, t)])
+                        for t in values])
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, partition_col: Partitions,
                        values: list | None) -> DataFrame:
     """Target rows in the partitions the source touches.
 
     The touched value tuples become a partition filter, so the target scan
     lists and reads only those folders (static partition pruning); without
-    values (more than the cap) a left semi join on the source's partitions is
-    used instead.
+    values (more than the cap) a null-safe left semi join on the source's
+    partitions is used instead.
     """
     parts = _parts(partition_col)
-    if values is None or (len(parts) > 1 and any(v is None for t in values for v in t)):
-        # null-safe: a NULL partition value (the default partition folder) must match too
-        touched = source.select(*[F.col(c).alias(f"__p_{c}") for c in parts]).distinct()
-        cond = [target[c].eqNullSafe(touched[f"__p_{c}"]) for c in parts]
-        return target.join(touched, cond, "left_semi")
-    if len(parts) == 1:
-        present = [t[0] for t in values if t[0] is not None]
-        cond = F.col(parts[0]).isin(present) if present else F.lit(False)
-        if len(present) < len(values):
-            cond = cond | F.col(parts[0]).isNull()
+    cond = partition_filter(parts, values, dict(target.dtypes)) if values is not None else None
+    if cond is not None:
         return target.filter(cond)
-    if not values:
-        return target.filter(F.lit(False))
-    dtypes = dict(target.dtypes)
-    packed = F.struct(*[F.col(c) for c in parts])
-    wanted = [F.struct(*[F.lit(v).cast(dtypes[c]).alias(c) for c, v in zip(parts, t)])
-              for t in values]
-    return target.filter(packed.isin(wanted))
+    # null-safe: a NULL partition value (the default partition folder) must match too
+    touched = source.select(*[F.col(c).alias(f"__p_{c}") for c in parts]).distinct()
+    match = [target[c].eqNullSafe(touched[f"__p_{c}"]) for c in parts]
+    return target.join(touched, match, "left_semi")
 
 
 def _require_partitions_in_keys(partition_col: Partitions, keys: Sequence[str]) -> None:

@@ -202,3 +202,20 @@ def test_history_registers_tables(spark, tmp):
     assert spark.table("paddock_t_proc.results").count() == 7
     assert spark.table("paddock_t_pres.race_results").count() == 7
     assert spark.table("paddock_t_pres.driver_standings").filter("race_year = 2021").count() == 2
+
+
+def test_batch_steps_read_only_the_delivery_partitions(spark, tmp):
+    from paddock.plans.incremental import delivery_partitions
+    from paddock.plans.presentation import race_results_batch
+    raw = os.path.join(tmp, "raw")
+    _raw(raw)
+    layers = run_history(spark, raw, os.path.join(tmp, "lake"), DATES, "test",
+                         [f"{d} 06:00:00" for d in DATES], top_n=10,
+                         feeds=["circuits", "races", "constructors", "drivers", "results"],
+                         presentation=())
+    parts = delivery_partitions(spark, raw, layers["processed"], DATES[2])
+    assert parts == [(2021,)]
+    df = race_results_batch(spark, layers["processed"], DATES[2], partitions=parts)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "race_year" in plan and "PartitionFilters: [isnotnull(race_year" in plan
+    assert df.count() == 2
