@@ -219,3 +219,14 @@ def test_batch_steps_read_only_the_delivery_partitions(spark, tmp):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "race_year" in plan and "PartitionFilters: [isnotnull(race_year" in plan
     assert df.count() == 2
+
+
+def test_command_line_incremental(spark, tmp):
+    from paddock.__main__ import main
+    raw = os.path.join(tmp, "raw")
+    _raw(raw)
+    # the raw folders hold only the feeds the presentation needs
+    main(["incremental", "--raw", raw, "--root", os.path.join(tmp, "lake"), "--dates", *DATES,
+          "--buckets", "2", "--feeds", "circuits", "races", "constructors", "drivers", "results"])
+    rr = spark.read.parquet(os.path.join(tmp, "lake", "presentation", "race_results"))
+    assert rr.count() == 8 and "race_bucket" in rr.columns
