@@ -31,7 +31,8 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
               presentation_root: str, file_date: str, data_source: str = "",
               stamp: Stamp = None, top_n: int = 10,
               feeds: Sequence[str] = INGEST_ORDER,
-              presentation: Sequence[str] = PRESENTATION_STEPS, buckets: int = 0) -> None:
+              presentation: Sequence[str] = PRESENTATION_STEPS, buckets: int = 0,
+              standings_mode: str = "merge") -> None:
     for name in feeds:
         ingest(spark, raw_root, processed_root, name, data_source, file_date, stamp,
                incremental=True, buckets=buckets)
@@ -44,9 +45,11 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
         race_results_incremental(spark, processed_root, presentation_root, file_date, stamp,
                                  buckets, parts)
     if "driver_standings" in steps:
-        standings_incremental(spark, presentation_root, file_date, "driver", seasons)
+        standings_incremental(spark, presentation_root, file_date, "driver", seasons,
+                              standings_mode)
     if "constructor_standings" in steps:
-        standings_incremental(spark, presentation_root, file_date, "constructor", seasons)
+        standings_incremental(spark, presentation_root, file_date, "constructor", seasons,
+                              standings_mode)
     if "calculated_race_results" in steps:
         calculated_results_incremental(spark, processed_root, presentation_root, file_date,
                                        stamp, top_n, buckets, parts)
@@ -79,7 +82,7 @@ def run_history(spark: SparkSession, raw_root: str, root: str,
                 feeds: Sequence[str] = INGEST_ORDER,
                 presentation: Sequence[str] = PRESENTATION_STEPS,
                 processed_db: str | None = None, presentation_db: str | None = None,
-                buckets: int = 0) -> dict:
+                buckets: int = 0, standings_mode: str = "merge") -> dict:
     """Process ``file_dates`` in order; returns the layer folders. With database
     names, the folders are registered (and refreshed) as tables after each batch."""
     processed = os.path.join(root, "processed")
@@ -87,7 +90,8 @@ def run_history(spark: SparkSession, raw_root: str, root: str,
     layers = {"processed": processed, "presentation": pres}
     for i, d in enumerate(file_dates):
         run_batch(spark, raw_root, processed, pres, d, data_source,
-                  stamps[i] if stamps else None, top_n, feeds, presentation, buckets)
+                  stamps[i] if stamps else None, top_n, feeds, presentation, buckets,
+                  standings_mode)
         if processed_db or presentation_db:
             register_layers(spark, layers, processed_db, presentation_db, incremental=True)
     return layers

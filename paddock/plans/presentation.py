@@ -14,7 +14,8 @@ from paddock.operators.standings import (affected_periods, constructor_standings
                                          driver_standings, rows_of_periods)
 from paddock.operators.star import calculated_results, race_results
 from paddock.plans.ingest import BUCKET, partition_columns, with_bucket
-from paddock.sinks.writes import overwrite_parquet, partition_filter, selective_upsert, upsert
+from paddock.sinks.writes import (overwrite_parquet, overwrite_partitions, partition_filter,
+                                  selective_upsert, upsert)
 
 Stamp = str | _dt.datetime | None
 PERIOD = "race_year"
@@ -108,13 +109,19 @@ def race_results_incremental(spark: SparkSession, processed_root: str,
 
 
 def standings_incremental(spark: SparkSession, presentation_root: str, file_date: str,
-                          which: str = "driver", seasons: list | None = None) -> str:
+                          which: str = "driver", seasons: list | None = None,
+                          mode: str = "merge") -> str:
     """Recompute the standings of every season the batch touched, from all race
     results of those seasons, and merge them.
 
     ``seasons`` (from the delivery) is applied as a partition filter; without
     it the touched seasons are found with a semi join on the batch's rows
     (dynamic partition pruning on the season folders).
+
+    ``mode="merge"`` upserts on the standings key (as the source does);
+    ``mode="replace"`` overwrites the recomputed seasons' folders, which is
+    exact because every season is recomputed whole, and cheaper (no staging,
+    key check or anti join).
     """
     rr = spark.read.parquet(os.path.join(presentation_root, "race_results"))
     if seasons is not None:
@@ -127,7 +134,10 @@ def standings_incremental(spark: SparkSession, presentation_root: str, file_date
     else:
         df, keys, name = constructor_standings(seasons), CONSTRUCTOR_STANDINGS_KEYS, \
             "constructor_standings"
-    return upsert(spark, df, os.path.join(presentation_root, name), keys, PERIOD)
+    path = os.path.join(presentation_root, name)
+    if mode == "replace":
+        return overwrite_partitions(df, path, PERIOD, cluster_by=keys)
+    return upsert(spark, df, path, keys, PERIOD)
 
 
 def calculated_results_incremental(spark: SparkSession, processed_root: str,

@@ -230,3 +230,23 @@ def test_command_line_incremental(spark, tmp):
           "--buckets", "2", "--feeds", "circuits", "races", "constructors", "drivers", "results"])
     rr = spark.read.parquet(os.path.join(tmp, "lake", "presentation", "race_results"))
     assert rr.count() == 8 and "race_bucket" in rr.columns
+
+
+def test_standings_replace_mode_equals_merge(spark, tmp):
+    rr_path = os.path.join(tmp, "race_results")
+    keys = ["driver_name", "race_id", "race_year"]
+    batches = [[(1, 2020, "A", "x", "T", 10.0, 1), (2, 2021, "B", "y", "U", 8.0, 1)],
+               [(2, 2021, "B", "y", "U", 9.0, 1), (3, 2021, "A", "x", "T", 4.0, 2)]]
+    for i, rows in enumerate(batches):
+        d = f"d{i}"
+        upsert(spark, _rr_batch(spark, rows, d), rr_path, keys, "race_year")
+        for root, mode in ((tmp, "merge"), (os.path.join(tmp, "rep"), "replace")):
+            if root != tmp:
+                os.makedirs(root, exist_ok=True)
+                if not os.path.exists(os.path.join(root, "race_results")):
+                    os.symlink(rr_path, os.path.join(root, "race_results"))
+            standings_incremental(spark, root, d, "driver", mode=mode)
+    cols = ["race_year", "driver_name", "total_points", "wins", "rank"]
+    a = spark.read.parquet(os.path.join(tmp, "driver_standings")).select(cols).collect()
+    b = spark.read.parquet(os.path.join(tmp, "rep", "driver_standings")).select(cols).collect()
+    assert sorted(a, key=str) == sorted(b, key=str) and len(a) == 3
