@@ -72,6 +72,11 @@ def create_dominance_views(spark: SparkSession, scored: DataFrame, entity_col: s
     with ``RANK() OVER (ORDER BY AVG(points) DESC)``, at least ``min_races``)
     and ``{prefix}_top`` (rank <= ``top_k``). No ORDER BY inside the views:
     ordering belongs to the final query. Returns the top view.
+
+    Read the ranking through ``{prefix}_top``: with the rank filter the
+    unpartitioned window becomes a partial + final ``WindowGroupLimit``.
+    Selecting ``{prefix}`` without a filter ranks every entity in one task,
+    which is what an unpartitioned ``RANK()`` means in SQL.
     """
     scored.createOrReplaceTempView(f"{prefix}_scored")
     spark.sql(f"""
