@@ -206,6 +206,13 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_col: Part
     return target.join(touched, match, "left_semi")
 
 
+def _check_columns(source: DataFrame, target: DataFrame) -> None:
+    """A merge never drops source columns silently (no schema evolution)."""
+    extra = [c for c in source.columns if c not in target.columns]
+    if extra:
+        raise ValueError(f"source columns {extra} are not in the target {target.columns}")
+
+
 def _require_partitions_in_keys(partition_col: Partitions, keys: Sequence[str]) -> None:
     missing = [c for c in _parts(partition_col) if c not in keys]
     if missing:
@@ -247,6 +254,7 @@ def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     target = read_or_empty(spark, path)
     if target is None:
         return source
+    _check_columns(source, target)
     if values is None:
         values = inspect_source(source, keys, partition_col, check_unique=False)
     old = touched_partitions(target, source, partition_col, values)
@@ -272,6 +280,7 @@ def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Se
     source = stage(spark, source, path)
     values = inspect_source(source, keys, partition_col, check_unique)
     target = read_or_empty(spark, path, schema)
+    _check_columns(source, target)
     cols = target.columns
     ts = timestamp_literal(stamp)
     src_cols = [c for c in source.columns if c not in keys]

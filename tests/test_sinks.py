@@ -227,3 +227,11 @@ def test_partitioned_write_plan_rebalances_or_not(spark, tmp):
     path = os.path.join(tmp, "nr")
     sink.overwrite_parquet(df, path, partition_by=["race_year"], rebalance=False)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_upsert_refuses_unknown_source_columns(spark, tmp):
+    path = os.path.join(tmp, "t4")
+    sink.upsert(spark, _df(spark, [(2020, 1, 1, 1, "a")]), path, KEYS, "race_year")
+    wider = _df(spark, [(2020, 1, 1, 2, "b")]).withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError):
+        sink.upsert(spark, wider, path, KEYS, "race_year")
