@@ -391,4 +391,6 @@ def io_oracles() -> dict[str, str]:
 def all_oracles() -> dict[str, str]:
     out = analytic_oracles()
     out.update(io_oracles())
+    out["full_load_top10_drivers"] = out["top10_drivers"]
+    out["full_load_dominant_drivers_by_year"] = out["dominant_drivers_by_year"]
     return out

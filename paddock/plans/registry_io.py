@@ -552,3 +552,35 @@ def _incremental_fact(name):
 
 for _name in ("pit_stops", "lap_times", "qualifying"):
     QUERIES[f"ingest_{_name}_incremental"] = _incremental_fact(_name)
+
+
+# --- analyses on the stored scored-results table (as the source runs them) ------------------
+
+def _stored_analysis(kind):
+    from paddock.operators import dominance as dom
+
+    def prepare(spark, sf_dir):
+        raw_root = work_dir(spark, "raw")
+        write_raw_folder(spark, sf_dir, raw_root)
+        return raw_root
+
+    def run(spark, raw_root):
+        from paddock.plans.presentation import run_full_load
+        layers = run_full_load(spark, raw_root, work_dir(spark, "lake"), DATA_SOURCE,
+                               tb.LOAD_TS, tb.TOP_N)
+        scored = spark.read.parquet(os.path.join(layers["presentation"],
+                                                 "calculated_race_results"))
+        top = dom.ranked_dominance(scored, "driver_name", tb.DRIVER_MIN, tb.TOP_DRIVERS,
+                                   "driver_rank")
+        if kind == "top":
+            return top
+        return dom.yearly_profile(scored, top, "driver_name", "join")
+
+    def fn(spark, sf_dir):
+        return run(spark, prepare(spark, sf_dir))
+    fn.prepare, fn.run = prepare, run
+    return fn
+
+
+QUERIES["full_load_top10_drivers"] = _stored_analysis("top")
+QUERIES["full_load_dominant_drivers_by_year"] = _stored_analysis("by_year")
