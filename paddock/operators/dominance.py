@@ -37,12 +37,20 @@ def dominance(scored: DataFrame, entity_col: str, min_races: int, inclusive: boo
     return out.orderBy(F.col("avg_points").desc()) if ordered else out
 
 
-def ranked_dominance(scored: DataFrame, entity_col: str, min_races: int, top_k: int,
+def ranked_dominance(scored: DataFrame, entity_col: str, min_races: int, top_k: int | None,
                      rank_col: str, inclusive: bool = True,
                      points_col: str = "calculated_points") -> DataFrame:
-    """Entities ranked by average points (ties share a rank), rank <= ``top_k``."""
+    """Entities ranked by average points (ties share a rank), rank <= ``top_k``.
+
+    ``top_k=None`` ranks every entity with ``standings.global_rank`` (exact
+    RANK without a single-task window); with a ``top_k`` the window is limited
+    per map task before its single-partition exchange.
+    """
     base = dominance(scored, entity_col, min_races, inclusive=inclusive,
                      points_col=points_col, ordered=False)
+    if top_k is None:
+        from paddock.operators.standings import global_rank
+        return global_rank(base, "avg_points", rank_col)
     w = Window.orderBy(F.col("avg_points").desc())
     return (base.withColumn(rank_col, F.rank().over(w))
                 .filter(F.col(rank_col) <= top_k))

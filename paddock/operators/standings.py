@@ -71,3 +71,43 @@ def rows_of_periods(race_results: DataFrame, periods: DataFrame,
                     period_col: str = "race_year") -> DataFrame:
     """All rows of the given periods (semi join: prunes partitions, never multiplies)."""
     return race_results.join(periods, period_col, "left_semi")
+
+
+def global_rank(df: DataFrame, order_col: str, rank_col: str = "rank",
+                buckets: int = 64, relative_error: float = 0.001) -> DataFrame:
+    """``RANK() OVER (ORDER BY order_col DESC)`` over the whole frame, without
+    moving every row to one task.
+
+    rank = 1 + number of rows with a strictly greater key. The rows are reduced
+    to a histogram of distinct keys (partially aggregated); the histogram is cut
+    into ``buckets`` ranges of the key at approximate quantiles (equal keys
+    always share a bucket, so ties stay exact); the bucket totals (one row per
+    bucket) give each bucket's offset; a running count inside each bucket gives
+    the rest; ranks are joined back on the key. NULL keys sort last (DESC) and
+    tie with each other.
+    """
+    hist = df.groupBy(order_col).agg(F.count(F.lit(1)).alias("__n"))
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(hist.filter(F.col(order_col).isNotNull())
+                      .approxQuantile(order_col, probs, relative_error))) if probs else []
+    bucket = F.lit(0)
+    for c in cuts:  # bucket = number of cut points at or below the key
+        bucket = bucket + F.when(F.col(order_col) >= F.lit(c), 1).otherwise(0)
+    bucket = F.when(F.col(order_col).isNull(), F.lit(-1)).otherwise(bucket)
+    hist = hist.withColumn("__b", bucket)
+    totals = {r["__b"]: r["n"] for r in hist.groupBy("__b").agg(F.sum("__n").alias("n"))
+              .collect()}
+    # DESC order: higher buckets first, NULL bucket (-1) last
+    offsets, running = {}, 0
+    for b in sorted(totals, key=lambda b: (b == -1, -b)):
+        offsets[b] = running
+        running += totals[b]
+    offset = F.lit(0)
+    for b, off in offsets.items():
+        offset = F.when(F.col("__b") == b, F.lit(off)).otherwise(offset)
+    w = (Window.partitionBy("__b").orderBy(F.col(order_col).desc())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = hist.select(F.col(order_col).alias("__k"),
+                        (offset + F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1)
+                        .cast("int").alias(rank_col))
+    return df.join(ranks, df[order_col].eqNullSafe(ranks["__k"]), "inner").drop("__k")

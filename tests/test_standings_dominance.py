@@ -87,3 +87,31 @@ def test_affected_periods_recompute_whole_season(spark):
     assert sorted(r.driver_name for r in seasons.collect()) == ["A", "B"]
     st_ = season_standings(seasons, ["driver_name"]).collect()
     assert {r.race_year for r in st_} == {2001}
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 30)), min_size=1, max_size=60),
+       st.integers(1, 8))
+def test_global_rank_equals_window_rank(spark, keys, buckets):
+    from paddock.operators.standings import global_rank
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int")
+    ours = {r.id: r.rank for r in global_rank(df, "k", buckets=buckets).collect()}
+    ref = df.withColumn("rank", F.rank().over(Window.orderBy(F.col("k").desc())))
+    assert ours == {r.id: r.rank for r in ref.collect()}
+
+
+def test_global_rank_continuous_keys_many_buckets(spark):
+    from paddock.operators.standings import global_rank
+    df = spark.range(0, 5000).select("id", (F.sin(F.col("id")) * 1000).alias("k"))
+    ours = global_rank(df, "k", buckets=16)
+    ref = df.withColumn("rank", F.rank().over(Window.orderBy(F.col("k").desc())))
+    assert ours.exceptAll(ref.select(*ours.columns)).count() == 0
+    assert ours.count() == 5000
+
+
+def test_ranked_dominance_without_limit_ranks_everyone(spark):
+    rows = [(2000, n, p) for n, p in [("A", 10), ("B", 9), ("C", 9), ("D", 1)]] * 2
+    calc = _calc(spark, rows)
+    full = dom.ranked_dominance(calc, "driver_name", 1, None, "driver_rank")
+    assert sorted((r.driver_name, r.driver_rank) for r in full.collect()) == \
+        [("A", 1), ("B", 2), ("C", 2), ("D", 4)]
