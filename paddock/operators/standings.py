@@ -18,31 +18,81 @@ from pyspark.sql import functions as F
 
 
 def rank_within(df: DataFrame, partition_cols: Sequence[str], order_desc: Sequence[str],
-                rank_col: str = "rank") -> DataFrame:
-    """Append ``RANK() OVER (PARTITION BY p ORDER BY o1 DESC, o2 DESC, ...)``."""
+                rank_col: str = "rank", buckets: int = 0,
+                max_offsets: int = 100_000) -> DataFrame:
+    """Append ``RANK() OVER (PARTITION BY p ORDER BY o1 DESC, o2 DESC, ...)``.
+
+    ``buckets`` > 1 also cuts each partition's histogram into ranges of the
+    first order column (approximate quantiles; equal values share a range, so
+    ties stay exact): when scores are continuous, one hot partition's histogram
+    is as large as its rows, and the window then runs per (partition, range)
+    with each range's offset taken from a small totals table (one row per
+    partition and range; above ``max_offsets`` rows the plain form is used).
+    """
     partition_cols, order_desc = list(partition_cols), list(order_desc)
     keys = partition_cols + order_desc
     hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    w = (Window.partitionBy(*partition_cols)
+    spans = partition_cols
+    offset = F.lit(0)
+    if buckets > 1:
+        hist, offsets = _bucket_offsets(hist, partition_cols, order_desc[0], buckets,
+                                        max_offsets)
+        if offsets is not None:
+            hist = hist.join(F.broadcast(offsets),
+                             [hist[c].eqNullSafe(offsets[f"__o_{c}"]) for c in spans + ["__b"]],
+                             "left").drop(*[f"__o_{c}" for c in spans + ["__b"]])
+            spans, offset = spans + ["__b"], F.coalesce(F.col("__off"), F.lit(0))
+    w = (Window.partitionBy(*spans)
                .orderBy(*[F.col(c).desc() for c in order_desc])
                .rowsBetween(Window.unboundedPreceding, -1))
     ranks = hist.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-                        (F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1)
+                        (offset + F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1)
                         .cast("int").alias(rank_col))
     cond = [df[k].eqNullSafe(ranks[f"__k{i}"]) for i, k in enumerate(keys)]
     return df.join(ranks, cond, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+def _bucket_offsets(hist: DataFrame, partition_cols: list, primary: str, buckets: int,
+                    max_offsets: int):
+    """Bucket a (partition, score) histogram by quantile ranges of ``primary``
+    and compute, per partition, how many rows rank ahead of each range."""
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(hist.filter(F.col(primary).isNotNull())
+                      .approxQuantile(primary, probs, 0.001)))
+    b = F.lit(0)
+    for c in cuts:
+        b = b + F.when(F.col(primary) >= F.lit(c), 1).otherwise(0)
+    hist = hist.withColumn("__b", F.when(F.col(primary).isNull(), F.lit(-1)).otherwise(b))
+    totals = (hist.groupBy(*partition_cols, "__b").agg(F.sum("__n").alias("__t"))
+              .limit(max_offsets + 1).collect())
+    if len(totals) > max_offsets:
+        return hist, None
+    per_part: dict = {}
+    for r in totals:
+        per_part.setdefault(tuple(r[c] for c in partition_cols), []).append((r["__b"], r["__t"]))
+    rows = []
+    for part, items in per_part.items():
+        running = 0
+        for bucket, total in sorted(items, key=lambda x: (x[0] == -1, -x[0])):
+            rows.append((*part, bucket, running))
+            running += total
+    dtypes = dict(hist.dtypes)
+    schema = ", ".join([f"`__o_{c}` {dtypes[c]}" for c in partition_cols] +
+                       ["`__o___b` int", "`__off` bigint"])
+    spark = hist.sparkSession
+    return hist, spark.createDataFrame(rows, schema)
+
+
 def season_standings(race_results: DataFrame, group_cols: Sequence[str],
                      period_col: str = "race_year", points_col: str = "points",
                      position_col: str = "position", win_position: int = 1,
-                     rank_col: str = "rank") -> DataFrame:
+                     rank_col: str = "rank", rank_buckets: int = 0) -> DataFrame:
     """``total_points`` (SUM), ``wins`` (COUNT of finishes at ``win_position``)
     and ``rank`` within the period, ordered by total_points DESC, wins DESC."""
     agg = (race_results.groupBy(period_col, *group_cols)
            .agg(F.sum(points_col).alias("total_points"),
                 F.count(F.when(F.col(position_col) == win_position, True)).alias("wins")))
-    return rank_within(agg, [period_col], ["total_points", "wins"], rank_col)
+    return rank_within(agg, [period_col], ["total_points", "wins"], rank_col, rank_buckets)
 
 
 # The grains of the standings tables.

@@ -54,3 +54,15 @@ def test_hot_key_dedupe_keeps_every_other_key(spark):
     out = dedupe_by_key(df, ["k"])
     assert out.count() == 20000 + 1
     assert out.filter("k = -1").collect()[0].v == 0
+
+
+def test_hot_season_continuous_scores_bucketed_rank_is_exact(spark):
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(2000)).otherwise((F.col("id") % 20 + 1980).cast("int"))
+        .alias("race_year"), F.col("id").alias("entity"),
+        (F.sin(F.col("id")) * 500).alias("pts"), (F.col("id") % 4).alias("wins"))
+    ours = rank_within(df, ["race_year"], ["pts", "wins"], buckets=16)
+    ref = df.withColumn("rank", F.rank().over(
+        Window.partitionBy("race_year").orderBy(F.col("pts").desc(), F.col("wins").desc())))
+    assert ours.count() == 20000
+    assert ours.exceptAll(ref.select(*ours.columns)).count() == 0

@@ -115,3 +115,15 @@ def test_ranked_dominance_without_limit_ranks_everyone(spark):
     full = dom.ranked_dominance(calc, "driver_name", 1, None, "driver_rank")
     assert sorted((r.driver_name, r.driver_rank) for r in full.collect()) == \
         [("A", 1), ("B", 2), ("C", 2), ("D", 4)]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)),
+                          st.one_of(st.none(), st.integers(0, 20)), st.integers(0, 3)),
+                min_size=1, max_size=50), st.integers(2, 6))
+def test_rank_within_buckets_equals_window_rank(spark, rows, buckets):
+    df = spark.createDataFrame([(p, i, pts, w) for i, (p, pts, w) in enumerate(rows)],
+                               "p int, id int, pts int, w int")
+    ours = {r.id: r.rank for r in rank_within(df, ["p"], ["pts", "w"], buckets=buckets).collect()}
+    ref = Window.partitionBy("p").orderBy(F.col("pts").desc(), F.col("w").desc())
+    assert ours == {r.id: r.rank for r in df.withColumn("rank", F.rank().over(ref)).collect()}
