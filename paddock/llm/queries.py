@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from paddock.llm._common import documents
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.bpe import encode_documents
+    return encode_documents(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.exact_dedup import exact_duplicates
     return exact_duplicates(documents(spark, sf_dir)).select(
@@ -16,6 +26,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
 }
 
