@@ -25,9 +25,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.packing import pack_documents
+    return pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_packing": op4_packing,
 }
 
 ORACLES = {
