@@ -30,10 +30,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.language_id import identify
+    return identify(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_packing": op4_packing,
+    "op5_language_id": op5_language_id,
 }
 
 ORACLES = {
