@@ -35,11 +35,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.quality import rules
+    return rules(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
+    "op6_quality": op6_quality,
 }
 
 ORACLES = {
