@@ -40,12 +40,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.pii import find
+    return find(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
+    "op7_pii": op7_pii,
 }
 
 ORACLES = {
