@@ -45,6 +45,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(documents(spark, sf_dir))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.warc import normalise, read_archives, write_archives
+    archives = write_archives(documents(spark, sf_dir, "pages"))
+    return read_archives(normalise(archives)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -52,9 +59,19 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
+    "op9_warc": op9_warc,
 }
 
 ORACLES = {
+    "op9_warc": """
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit'
+                    ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+        FROM (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                     sha1(coalesce(html, '')) AS payload_digest,
+                     max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last_id
+              FROM pages)""",
     "op2_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
