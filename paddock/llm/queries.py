@@ -25,6 +25,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.ngram_join import classes
+    return classes(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.packing import pack_documents
     return pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
@@ -55,6 +60,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_ngram_join": op3_ngram_join,
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
