@@ -172,12 +172,16 @@ def frequent_keys(keyed: DataFrame, counters: int = COUNTERS) -> list[int]:
 
 
 def _dealt(n_buckets: int, frequent: np.ndarray):
-    """Packs (key, row) entries by bucket; frequent keys' entries stay apart, whole."""
+    """Packs (key, row) entries by bucket; frequent keys' entries stay apart, whole.
+    A row of the input holds keys of one ``row``, or of the packed ``ids`` beside them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             blobs = b.column("keys").to_pylist()
             keys = np.frombuffer(b"".join(blobs), np.uint64)
-            rows = np.repeat(b.column("row").to_numpy(), [len(x) // 8 for x in blobs])
+            if "ids" in b.schema.names:
+                rows = np.frombuffer(b"".join(b.column("ids").to_pylist()), np.int64)
+            else:
+                rows = np.repeat(b.column("row").to_numpy(), [len(x) // 8 for x in blobs])
             signed = keys.view(np.int64)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, signed), len(frequent) - 1)
@@ -219,10 +223,11 @@ def _stars(table: pa.Table) -> pa.Table:
 
 
 def cells(keyed: DataFrame, counters: int = COUNTERS) -> DataFrame:
-    """(node, root): rows that share keys, directly or by others."""
+    """(node, root): rows that share keys, directly or by others; ``keyed`` has (row,
+    keys) or (ids, keys)."""
     spark = keyed.sparkSession
     frequent = np.array(frequent_keys(keyed, counters), np.int64)
-    dealt = staged(keyed.select("row", "keys").mapInArrow(
+    dealt = staged(keyed.select("ids" if "ids" in keyed.columns else "row", "keys").mapInArrow(
         _dealt(shuffle_partitions(spark), frequent),
         "bucket long, key long, row long, keys binary, rows binary"), "ngram_join_dealt")
     light = (dealt.filter("bucket IS NOT NULL").select("bucket", "keys", "rows")
@@ -323,7 +328,7 @@ def forest_links(points: np.ndarray, sets: list[np.ndarray], side: np.ndarray,
     return links
 
 
-def _verified(similarity: Fraction, k: int):
+def _verified(similarity: Fraction):
     bounds = Bounds(similarity)
 
     def run(table: pa.Table) -> pa.Table:
@@ -401,22 +406,27 @@ def blocked(members: DataFrame, similarity: Fraction, block: int = BLOCK) -> Dat
     return small.unionByName(spread)
 
 
+def cell_links(members: DataFrame, sets: DataFrame, similarity: Fraction = SIMILARITY,
+               block: int = BLOCK) -> DataFrame:
+    """(u, v): verified links within cells, enough to connect all that links connect.
+    ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes)."""
+    n = shuffle_partitions(members.sparkSession)
+    return (blocked(members, similarity, block).join(sets, "row")
+            .withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
+            .groupBy("bucket").applyInArrow(_verified(similarity), "u long, v long"))
+
+
 def links(docs: DataFrame, keyed: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(u, v): verified links between rows, enough to connect all that links connect."""
-    spark = docs.sparkSession
+    """Links between rows of ``docs``; ``keyed`` has (row, n, keys)."""
     found = staged(cells(keyed), "ngram_join_members")
     sized = found.join(keyed.select(F.col("row").alias("node"), "n"), "node")
     members = sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n")
-    tasks = blocked(members, similarity)
     texts = (id_and_text(docs, id_col, text_col)
              .select(F.monotonically_increasing_id().alias("row"), "text"))
     sets = (texts.join(found.select(F.col("node").alias("row")), "row", "left_semi")
             .mapInArrow(_with_sets(k), "row long, shingles binary"))
-    n = shuffle_partitions(spark)
-    return (tasks.join(sets, "row")
-            .withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
-            .groupBy("bucket").applyInArrow(_verified(similarity, k), "u long, v long"))
+    return cell_links(members, sets, similarity)
 
 
 def signatures(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,

@@ -50,6 +50,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.substring_dedup import passages
+    return passages(documents(spark, sf_dir)).drop("row")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from paddock.llm.warc import normalise, read_archives, write_archives
     archives = write_archives(documents(spark, sf_dir, "pages"))
@@ -65,6 +70,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
 }
 
