@@ -1,8 +1,8 @@
 """Substring deduplication by paragraph MinHash banding.
 
-A text is cut into units: at line breaks, and after sentence ends (a word that ends in
-. ! or ?), so that a passage copied into the middle of other text shares whole units
-with its other places. Units of ``k`` words or more are compared:
+A text is cut into units: at line breaks, after sentence ends (a word that ends in
+one . ! or ?) and around runs of one word, so that a passage copied into the middle of other
+text shares whole units with its other places. Units of ``k`` words or more are compared:
 
 1. every unit's word shingles give a mark (equal units, equal marks) and ``bands`` band
    keys of ``rows`` MinHash values each, tuned for recall at the similarity;
@@ -45,7 +45,7 @@ K = 5
 SIMILARITY = Fraction(4, 5)
 RECALL = 0.98
 MAX_BANDS = 6
-MIN_WORDS = 20
+MIN_WORDS = 30
 LEAST_NEAR = 4     # shingles; smaller sets at 0.8 or more are equal
 
 _SEED = np.random.default_rng(20_240_301)
@@ -75,10 +75,18 @@ class Units:
         text = np.repeat(np.arange(len(texts)), np.diff(first))
         lo, hi = start + base[text], end + base[text]
         breaks = np.concatenate(([0], np.cumsum(joined == 10)))
-        last = np.isin(joined[hi - 1], (0x2E, 0x21, 0x3F)) if n else np.empty(0, bool)
+        stop = np.zeros(256, bool)
+        stop[[0x2E, 0x21, 0x3F]] = True
+        last = stop[joined[hi - 1]] & ~stop[joined[np.maximum(hi - 2, 0)]]
         if n:
             last[:-1] |= breaks[lo[1:]] > breaks[hi[:-1]]
             last[-1] = True
+            # a run of one word, however long, is a unit
+            opens = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1])
+                                                   | (text[1:] != text[:-1]))))
+            run = np.diff(np.append(opens, n))
+            last[opens[(run >= k) & (opens > 0)] - 1] = True
+            last[(opens + run - 1)[run >= k]] = True
         close = np.flatnonzero(last)
         open_ = np.concatenate(([0], close[:-1] + 1)) if len(close) else close
         size = close - open_ + 1
