@@ -62,6 +62,44 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# The tools that op10 derives calls of; the third's calls carry an argument of a wrong type.
+TOOLS = {"count": {"exact": ("boolean", True), "text": ("string", True)},
+         "lookup": {"key": ("string", True)},
+         "search": {"limit": ("integer", False), "query": ("string", True)}}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """The conversations as exchanges with tools: a user's turn becomes a call that waits
+    for the previous user's (in every seventh conversation for the next one's), the turn
+    after it the call's result; other messages stay."""
+    name = F.element_at(F.array(*map(F.lit, sorted(TOOLS))),
+                        (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3)) + 1).cast("int"))
+    arguments = (F.when(name == "count", F.to_json(F.struct("text", F.lit("yes").alias("exact"))))
+                 .when(name == "lookup", F.to_json(F.struct(F.col("text").alias("key"))))
+                 .otherwise(F.to_json(F.struct(F.col("text").alias("query"),
+                                               F.col("turn").alias("limit")))))
+    ident = lambda turn: F.concat_ws("-", F.col("conv_id"), turn)
+    after = (F.when(F.pmod("conv_id", F.lit(7)) == 0, F.array(ident(F.col("turn") + 2)))
+             .when(F.col("turn") >= 2, F.array(ident(F.col("turn") - 2)))
+             .otherwise(F.array().cast("array<string>")))
+    call = F.to_json(F.struct(F.array(F.struct(name.alias("name"), ident(F.col("turn")).alias("id"),
+                                               arguments.alias("arguments"),
+                                               after.alias("after"))).alias("tool_calls")))
+    answer = F.to_json(F.struct(ident(F.col("turn") - 1).alias("tool_call_id"),
+                                F.coalesce("text", F.lit("")).alias("content")))
+    return conversations.select(
+        "conv_id", "turn",
+        F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool")
+        .otherwise(F.col("role")).alias("role"),
+        F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", answer)
+        .otherwise(F.col("text")).alias("text"))
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.chat import format_chats
+    return format_chats(tool_messages(documents(spark, sf_dir, "conversations")), TOOLS)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -72,9 +110,52 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLES = {
+    "op10_chat_formatting": """
+        WITH c AS (SELECT conv_id, turn, role, text,
+                          conv_id || '-' || turn AS own, conv_id || '-' || (turn - 1) AS asked,
+                          ['count', 'lookup', 'search'][(conv_id + turn) % 3 + 1] AS tool,
+                          conv_id % 7 = 0 AS backward
+                   FROM conversations),
+             u AS (SELECT conv_id, turn, backward, EXISTS (
+                              SELECT 1 FROM c b WHERE b.conv_id = a.conv_id AND b.turn = a.turn + 1
+                                                  AND b.role = 'assistant') AS answered
+                   FROM c a WHERE role = 'user'),
+             -- unbroken chains of users' turns two apart: a backward call waits for all after it
+             gaps AS (SELECT *, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) = turn + 2 AS more
+                      FROM u),
+             ends AS (SELECT *, min(CASE WHEN more THEN NULL ELSE turn END) OVER (
+                                    PARTITION BY conv_id ORDER BY turn
+                                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS last_turn
+                      FROM gaps),
+             calls AS (SELECT conv_id, turn, answered,
+                              CASE WHEN backward THEN last_turn ELSE turn END AS place,
+                              CASE WHEN backward THEN (last_turn - turn) // 2 ELSE 0 END AS level
+                       FROM ends)
+        SELECT c.conv_id, c.turn, CAST(1 AS BIGINT) AS idx, 'assistant' AS role, 'call' AS kind,
+               own AS call_id, CASE WHEN answered THEN 'linked' ELSE 'unanswered' END AS status,
+               tool <> 'count' AS valid,
+               CASE WHEN tool = 'count' THEN 'not boolean: exact' ELSE '' END AS errors,
+               k.place, k.level,
+               json_object('role', 'assistant', 'tool_calls', json_array(json_object(
+                   'arguments', CASE tool WHEN 'count' THEN json_object('exact', 'yes', 'text', text)
+                                          WHEN 'lookup' THEN json_object('key', text)
+                                          ELSE json_object('limit', c.turn, 'query', text) END,
+                   'id', own, 'name', tool)))::VARCHAR AS message_json
+        FROM c JOIN calls k ON c.conv_id = k.conv_id AND c.turn = k.turn WHERE role = 'user'
+        UNION ALL
+        SELECT c.conv_id, c.turn, 0, 'tool', 'result', asked,
+               CASE WHEN k.turn IS NULL THEN 'orphan' ELSE 'linked' END, NULL, NULL,
+               greatest(c.turn, coalesce(k.place, c.turn)), coalesce(k.level, 0),
+               json_object('content', coalesce(text, ''), 'role', 'tool', 'tool_call_id', asked)::VARCHAR
+        FROM c LEFT JOIN calls k ON c.conv_id = k.conv_id AND c.turn = k.turn + 1 WHERE role = 'assistant'
+        UNION ALL
+        SELECT conv_id, turn, 0, role, 'message', NULL, 'message', NULL, NULL, turn, 0,
+               json_object('content', coalesce(text, ''), 'role', role)::VARCHAR
+        FROM c WHERE role NOT IN ('user', 'assistant')""",
     "op9_warc": """
         SELECT page_id, payload_bytes, payload_digest,
                CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit'
