@@ -3,6 +3,7 @@
 The automaton reads tokens. It starts with one state in which every base symbol
 loops. Each merge u + v -> w, in rank order, is compiled in by one gadget:
 
+* (only if some state that u reaches still has the arc v: else the merge is dead)
 * state split: the state reached by w is the state v reached until then, shared
   copy-on-write (``right`` and ``born`` say which state, as of which gadget);
 * cut: the state reached by u loses its arc v (``cut``: rank of the gadget);
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from paddock.llm._common import id_and_text
 
 WHITE = "\t-\r \x85\xa0  -     　"
-MAX_WORDS = 600_000       # entries of a worker's word cache before it starts anew
+MAX_WORDS = 500_000       # entries of a worker's word cache before it starts anew
 MAX_ARCS = 1 << 21        # entries of a worker's transition table before it starts anew
 CHUNK_CHARS = 1_500_000   # characters whose pieces are held at once
 LONG_WORD = 64            # bytes; longer words are encoded in batches of their own
@@ -139,11 +140,12 @@ class Automaton:
         self.n = n
         self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         self.born = np.zeros(n, np.int64)
-        for rank, (u, v, w) in enumerate(merges, 1):   # one gadget per merge, in rank order
-            self.left[w], self.right[w], self.born[w] = u, v, rank
-        pairs = np.array([u * n + v for u, v, _ in merges], np.int64)
+        ranks = self._compile(merges)
+        made = {w for _, _, w in merges}
+        labels = [x if i not in made or self.born[i] else None for i, x in enumerate(labels)]
         self.cut = Table(18)
-        self.cut.put(pairs, np.arange(1, len(merges) + 1, dtype=np.int32))
+        self.cut.put(np.fromiter(ranks, np.int64, len(ranks)),
+                     np.fromiter(ranks.values(), np.int32, len(ranks)))
         self.known = Table(16)
         lengths = [len(x) if x else 0 for x in labels]
         self.label_len = np.array(lengths, np.int64)
@@ -151,6 +153,34 @@ class Automaton:
         self.label_bytes = np.frombuffer(b"".join(x or b"" for x in labels), np.uint8)
         self._trie(labels)
 
+    def _compile(self, merges: list[tuple[int, int, int]]) -> dict[int, int]:
+        """One gadget per merge, in rank order; rank of every cut (state, arc). A merge
+        whose pair no path has any more makes no token."""
+        n, left, right, born = self.n, {}, {}, {}
+        ranks: dict[int, int] = {}
+        dead: set[int] = set()
+
+        def present(t: int, x: int, upto: int) -> bool:   # ``arcs`` as of gadget ``upto``
+            while True:
+                cut = ranks.get(t * n + x, 0)
+                if cut and cut <= upto:
+                    return False
+                a, b = born.get(t, 0), born.get(x, 0)
+                if not a and not b:
+                    return True
+                t, x, upto = ((t, left[x], b) if b > a else (right[t], left[x], a - 1) if a == b
+                              else (right[t], x, a - 1))
+
+        for rank, (u, v, w) in enumerate(merges, 1):
+            if u in dead or v in dead or not present(u, v, rank - 1):
+                dead.add(w)
+                continue
+            left[w], right[w], born[w], ranks[u * n + v] = u, v, rank, rank
+        for table, values in ((self.left, left), (self.right, right), (self.born, born)):
+            if values:
+                table[list(values)] = list(values.values())
+        return ranks
+
     def _trie(self, labels: list[bytes | None]) -> None:
         arcs: dict[int, int] = {}
         token = [-1]
@@ -308,6 +338,7 @@ class ByteLevelCodec:
         self.special_ids = np.array(sorted(special.values()), np.int64)
         self.special_pattern = re.compile("|".join(map(re.escape, special)) or "(?!)")
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}    # the cache before it started anew
 
     def _pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
@@ -330,12 +361,11 @@ class ByteLevelCodec:
                 j += 1
             pieces = [self._pieces(t) for t in texts[i:j]]
             if len(self.words) > MAX_WORDS:
-                self.words = {}
+                self.words, self.older = {}, self.words
             new = set()
             for p in pieces:
                 new.update(p)
-            new.difference_update(self.words)
-            fresh = sorted(new)
+            fresh = unknown(new, self.words, self.older)
             known = self.words
             known.update(zip(fresh, self.automaton.encode_words(
                 [w.encode("utf-8", "surrogatepass") for w in fresh])))
@@ -380,6 +410,15 @@ def _groups(parts: list[bytes], size: int):
         yield group
 
 
+def unknown(keys: set[str], cache: dict, older: dict) -> list[str]:
+    """The keys in neither generation of a cache; those in the older move to the newer."""
+    keys = keys.difference(cache)
+    back = keys.intersection(older)
+    for k in back:
+        cache[k] = older[k]
+    return sorted(keys.difference(back))
+
+
 @lru_cache(2)
 def codec(path: str) -> ByteLevelCodec:
     """The compiled codec of a vocabulary file; one per worker."""
