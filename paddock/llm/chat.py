@@ -10,7 +10,7 @@ Output: one row per event, an event being a plain message, a call or a result:
 * calls and results are hash-joined by (conv_id, identifier). ``status``: message,
   linked, unanswered (call), orphan (result without its call), duplicate (of an
   identifier's calls or results all but the first), cycle (calls that wait for each other);
-* sorting a conversation by (place, level, turn, idx, kind) is a topological order: every
+* sorting a conversation by (place, level, step, turn, idx) is a topological order: every
   event after the calls it waits for, a result after its call, and otherwise by turn. Only
   conversations in which an event precedes one it waits for are reordered, in as many
   rounds as their longest chain of calls; the others' places are their turns;
@@ -217,12 +217,14 @@ def message_json() -> Column:
 
 def format_chats(messages: DataFrame, schemas: Schemas) -> DataFrame:
     """One row per event: conv_id, turn, idx, role, kind, call_id, status, valid, errors
-    (joined by '; '; null unless a call), place, level, message_json."""
+    (joined by '; '; null unless a call), place, level, step (message 0, call 1, result 2),
+    message_json."""
     parts = validated(linked(events(messages)), schemas)
     # arguments go into the JSON now: variants need not travel further
     parts = parts.withColumn("message_json", message_json()).drop("arguments", "content", "name")
     parts = staged(parts, "chat_events")
+    step = F.when(F.col("kind") == "message", 0).when(F.col("kind") == "call", 1).otherwise(2)
     return placed(parts).select(
         "conv_id", "turn", F.col("idx").cast("long").alias("idx"), "role", "kind", "call_id", "status",
         (F.size("errors") == 0).alias("valid"), F.array_join("errors", "; ").alias("errors"),
-        "place", "level", "message_json")
+        "place", "level", step.cast("long").alias("step"), "message_json")

@@ -139,7 +139,7 @@ ORACLES = {
                own AS call_id, CASE WHEN answered THEN 'linked' ELSE 'unanswered' END AS status,
                tool <> 'count' AS valid,
                CASE WHEN tool = 'count' THEN 'not boolean: exact' ELSE '' END AS errors,
-               k.place, k.level,
+               k.place, k.level, CAST(1 AS BIGINT) AS step,
                json_object('role', 'assistant', 'tool_calls', json_array(json_object(
                    'arguments', CASE tool WHEN 'count' THEN json_object('exact', 'yes', 'text', text)
                                           WHEN 'lookup' THEN json_object('key', text)
@@ -149,11 +149,11 @@ ORACLES = {
         UNION ALL
         SELECT c.conv_id, c.turn, 0, 'tool', 'result', asked,
                CASE WHEN k.turn IS NULL THEN 'orphan' ELSE 'linked' END, NULL, NULL,
-               greatest(c.turn, coalesce(k.place, c.turn)), coalesce(k.level, 0),
+               greatest(c.turn, coalesce(k.place, c.turn)), coalesce(k.level, 0), 2,
                json_object('content', coalesce(text, ''), 'role', 'tool', 'tool_call_id', asked)::VARCHAR
         FROM c LEFT JOIN calls k ON c.conv_id = k.conv_id AND c.turn = k.turn + 1 WHERE role = 'assistant'
         UNION ALL
-        SELECT conv_id, turn, 0, role, 'message', NULL, 'message', NULL, NULL, turn, 0,
+        SELECT conv_id, turn, 0, role, 'message', NULL, 'message', NULL, NULL, turn, 0, 0,
                json_object('content', coalesce(text, ''), 'role', role)::VARCHAR
         FROM c WHERE role NOT IN ('user', 'assistant')""",
     "op9_warc": """
