@@ -71,6 +71,26 @@ def yearly_profile(scored: DataFrame, top: DataFrame, entity_col: str,
             .orderBy(F.col(period_col).asc(), F.col("avg_points").desc()))
 
 
+def profile_of_top(scored: DataFrame, entity_col: str, min_races: int, top_k: int,
+                   period_col: str = "race_year", points_col: str = "calculated_points") -> DataFrame:
+    """Per-period totals of the ``top_k`` entities of all time (``ranked_dominance``,
+    then ``yearly_profile``) from one pass over the scored rows: the all-time totals are
+    sums of the per-period ones, whose shuffle both sides of the join share."""
+    per = scored.groupBy(period_col, entity_col).agg(F.count(F.lit(1)).alias("total_races"),
+                                                     F.sum(points_col).alias("total_points"),
+                                                     F.count(points_col).alias("scored_races"))
+    mean = F.col("total_points") / F.when(F.col("scored_races") > 0, F.col("scored_races"))
+    top = (per.groupBy(entity_col).agg(F.sum("total_races").alias("total_races"),
+                                       F.sum("total_points").alias("total_points"),
+                                       F.sum("scored_races").alias("scored_races"))
+           .filter(F.col("total_races") >= min_races)
+           .withColumn("place", F.rank().over(Window.orderBy(mean.desc())))
+           .filter(F.col("place") <= top_k).select(entity_col))
+    return (per.join(top, entity_col, "left_semi")
+            .select(period_col, entity_col, "total_races", "total_points", mean.alias("avg_points"))
+            .orderBy(F.col(period_col).asc(), F.col("avg_points").desc()))
+
+
 def create_dominance_views(spark: SparkSession, scored: DataFrame, entity_col: str,
                            min_races: int, top_k: int, rank_col: str,
                            prefix: str = "v_dominant") -> DataFrame:

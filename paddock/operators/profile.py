@@ -27,17 +27,10 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def distinct_values_list(df: DataFrame, column: str, limit: int = 10_000) -> list:
-    """Distinct values collected to the driver, for metadata-sized columns only.
-
-    Raises if there are more than ``limit`` values instead of pulling an
-    unbounded set through the driver; use ``distinct_values`` with a semi
-    join in pipelines.
-    """
-    rows = distinct_values(df, column).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} distinct values")
-    return [r[0] for r in rows]
+def distinct_values_list(df: DataFrame, column: str) -> list:
+    """Distinct values collected to the driver, for metadata-sized columns (partition
+    values, delivery dates); use ``distinct_values`` with a semi join for any other."""
+    return [r[0] for r in distinct_values(df, column).collect()]
 
 
 def describe_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:

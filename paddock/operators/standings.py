@@ -18,30 +18,26 @@ from pyspark.sql import functions as F
 
 
 def rank_within(df: DataFrame, partition_cols: Sequence[str], order_desc: Sequence[str],
-                rank_col: str = "rank", buckets: int = 0,
-                max_offsets: int = 100_000) -> DataFrame:
+                rank_col: str = "rank", buckets: int = 0) -> DataFrame:
     """Append ``RANK() OVER (PARTITION BY p ORDER BY o1 DESC, o2 DESC, ...)``.
 
     ``buckets`` > 1 also cuts each partition's histogram into ranges of the
     first order column (approximate quantiles; equal values share a range, so
     ties stay exact): when scores are continuous, one hot partition's histogram
     is as large as its rows, and the window then runs per (partition, range)
-    with each range's offset taken from a small totals table (one row per
-    partition and range; above ``max_offsets`` rows the plain form is used).
+    with each range's offset from a window over the table of range totals
+    (``buckets`` + 1 rows a partition).
     """
     partition_cols, order_desc = list(partition_cols), list(order_desc)
     keys = partition_cols + order_desc
     hist = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    spans = partition_cols
-    offset = F.lit(0)
+    spans, offset = partition_cols, F.lit(0)
     if buckets > 1:
-        hist, offsets = _bucket_offsets(hist, partition_cols, order_desc[0], buckets,
-                                        max_offsets)
-        if offsets is not None:
-            hist = hist.join(F.broadcast(offsets),
-                             [hist[c].eqNullSafe(offsets[f"__o_{c}"]) for c in spans + ["__b"]],
-                             "left").drop(*[f"__o_{c}" for c in spans + ["__b"]])
-            spans, offset = spans + ["__b"], F.coalesce(F.col("__off"), F.lit(0))
+        hist, offsets = _bucket_offsets(hist, partition_cols, order_desc[0], buckets)
+        spans = partition_cols + ["__b"]
+        hist = hist.join(offsets, [hist[c].eqNullSafe(offsets[f"__o_{c}"]) for c in spans],
+                         "left").drop(*[f"__o_{c}" for c in spans])
+        offset = F.coalesce(F.col("__off"), F.lit(0))
     w = (Window.partitionBy(*spans)
                .orderBy(*[F.col(c).desc() for c in order_desc])
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -52,8 +48,7 @@ def rank_within(df: DataFrame, partition_cols: Sequence[str], order_desc: Sequen
     return df.join(ranks, cond, "inner").drop(*[f"__k{i}" for i in range(len(keys))])
 
 
-def _bucket_offsets(hist: DataFrame, partition_cols: list, primary: str, buckets: int,
-                    max_offsets: int):
+def _bucket_offsets(hist: DataFrame, partition_cols: list, primary: str, buckets: int):
     """Bucket a (partition, score) histogram by quantile ranges of ``primary``
     and compute, per partition, how many rows rank ahead of each range."""
     probs = [i / buckets for i in range(1, buckets)]
@@ -63,24 +58,12 @@ def _bucket_offsets(hist: DataFrame, partition_cols: list, primary: str, buckets
     for c in cuts:
         b = b + F.when(F.col(primary) >= F.lit(c), 1).otherwise(0)
     hist = hist.withColumn("__b", F.when(F.col(primary).isNull(), F.lit(-1)).otherwise(b))
-    totals = (hist.groupBy(*partition_cols, "__b").agg(F.sum("__n").alias("__t"))
-              .limit(max_offsets + 1).collect())
-    if len(totals) > max_offsets:
-        return hist, None
-    per_part: dict = {}
-    for r in totals:
-        per_part.setdefault(tuple(r[c] for c in partition_cols), []).append((r["__b"], r["__t"]))
-    rows = []
-    for part, items in per_part.items():
-        running = 0
-        for bucket, total in sorted(items, key=lambda x: (x[0] == -1, -x[0])):
-            rows.append((*part, bucket, running))
-            running += total
-    dtypes = dict(hist.dtypes)
-    schema = ", ".join([f"`__o_{c}` {dtypes[c]}" for c in partition_cols] +
-                       ["`__o___b` int", "`__off` bigint"])
-    spark = hist.sparkSession
-    return hist, spark.createDataFrame(rows, schema)
+    totals = hist.groupBy(*partition_cols, "__b").agg(F.sum("__n").alias("__t"))
+    # better ranges first; the NULL range (-1) is the lowest number, so it comes last
+    ahead = (Window.partitionBy(*partition_cols).orderBy(F.col("__b").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    return hist, totals.select(*[F.col(c).alias(f"__o_{c}") for c in [*partition_cols, "__b"]],
+                               F.sum("__t").over(ahead).alias("__off"))
 
 
 def season_standings(race_results: DataFrame, group_cols: Sequence[str],
@@ -101,13 +84,14 @@ DRIVER_GRAIN_INCREMENTAL = ["driver_name", "driver_nationality"]
 CONSTRUCTOR_GRAIN = ["team"]
 
 
-def driver_standings(race_results: DataFrame, with_team: bool = True) -> DataFrame:
+def driver_standings(race_results: DataFrame, with_team: bool = True,
+                     rank_buckets: int = 0) -> DataFrame:
     grain = DRIVER_GRAIN_FULL if with_team else DRIVER_GRAIN_INCREMENTAL
-    return season_standings(race_results, grain)
+    return season_standings(race_results, grain, rank_buckets=rank_buckets)
 
 
-def constructor_standings(race_results: DataFrame) -> DataFrame:
-    return season_standings(race_results, CONSTRUCTOR_GRAIN)
+def constructor_standings(race_results: DataFrame, rank_buckets: int = 0) -> DataFrame:
+    return season_standings(race_results, CONSTRUCTOR_GRAIN, rank_buckets=rank_buckets)
 
 
 def affected_periods(race_results: DataFrame, file_date: str,

@@ -19,7 +19,6 @@ from paddock.plans.ingest import INGEST_ORDER, ingest, partition_columns, with_p
 from paddock.plans.presentation import (calculated_results_incremental,
                                         race_results_incremental, register_layers,
                                         standings_incremental)
-from paddock.sinks.writes import MAX_TOUCHED_PARTITIONS
 from paddock.sources.feeds import read_feed
 
 Stamp = str | _dt.datetime | None
@@ -40,10 +39,11 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
     if not steps:
         return
     parts = delivery_partitions(spark, raw_root, processed_root, file_date, "results", buckets)
-    seasons = None if parts is None else sorted({t[0] for t in parts}, key=str)
+    touched = list(parts)   # and the partitions that corrected rows left
     if steps & {"race_results", "driver_standings", "constructor_standings"}:
         race_results_incremental(spark, processed_root, presentation_root, file_date, stamp,
-                                 buckets, parts)
+                                 buckets, parts, touched)
+    seasons = sorted({t[0] for t in touched}, key=str)
     if "driver_standings" in steps:
         standings_incremental(spark, presentation_root, file_date, "driver", seasons,
                               standings_mode)
@@ -56,23 +56,19 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
 
 
 def delivery_partitions(spark: SparkSession, raw_root: str, processed_root: str,
-                        file_date: str, name: str = "results", buckets: int = 0,
-                        max_values: int = MAX_TOUCHED_PARTITIONS) -> list | None:
+                        file_date: str, name: str = "results", buckets: int = 0) -> list:
     """The (season[, race bucket]) partitions one delivery of a fact writes to.
 
     Read from the delivery itself (small by nature: about one race) and the
     races table, so the later steps of the batch can read only those folders
     of tables partitioned by season instead of scanning every partition for
-    ``file_date``. Metadata-sized; ``None`` above ``max_values``.
+    ``file_date``. One value tuple per partition folder.
     """
     races_ids = read_feed(spark, raw_root, name, file_date).select(
         F.col("raceId").alias("race_id")).distinct()
     races = spark.read.parquet(os.path.join(processed_root, "races"))
     parts = partition_columns(buckets)
-    rows = (with_period(races_ids, races, buckets=buckets).select(*parts).distinct()
-            .limit(max_values + 1).collect())
-    if len(rows) > max_values:
-        return None
+    rows = with_period(races_ids, races, buckets=buckets).select(*parts).distinct().collect()
     return [tuple(r[c] for c in parts) for r in rows]
 
 

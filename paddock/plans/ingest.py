@@ -121,6 +121,11 @@ def partition_columns(buckets: int = 0) -> list[str]:
     return [PERIOD, BUCKET] if buckets else [PERIOD]
 
 
+def bucket_columns(buckets: int = 0) -> list[str]:
+    """The partition columns that are functions of every merge key."""
+    return [BUCKET] if buckets else []
+
+
 def with_bucket(df: DataFrame, buckets: int = 0) -> DataFrame:
     if not buckets:
         return df
@@ -165,8 +170,8 @@ def ingest(spark: SparkSession, raw_root: str, processed_root: str, name: str,
         if incremental:
             prepared = prepare_incremental(df, name, races, buckets)
             # unique by construction: deduplicated on the merge key
-            return upsert(spark, prepared, path, MERGE_KEYS[name] + parts, parts,
-                          check_unique=False)
+            return upsert(spark, prepared, path, MERGE_KEYS[name], parts, check_unique=False,
+                          located_by=bucket_columns(buckets))
         return overwrite_parquet(with_period(df, races, buckets=buckets), path,
                                  partition_by=parts, cluster_by=MERGE_KEYS[name])
     if name == "races":

@@ -168,6 +168,8 @@ def analytic_oracles() -> dict[str, str]:
     q["profile_count"] = with_processed("results") + "\nSELECT COUNT(1) AS n FROM results"
     q["profile_count_by_batch"] = (f"WITH rr AS ({BATCH_RACE_RESULTS}) SELECT file_date, "
                                    f"COUNT(1) AS n FROM rr GROUP BY file_date")
+    q["profile_count_by_race"] = (f"WITH rr AS ({BATCH_RACE_RESULTS}) SELECT race_id, COUNT(1) AS n "
+                                  f"FROM rr GROUP BY race_id")
     q["profile_count_by_season"] = (f"WITH rr AS ({RACE_RESULTS}) SELECT race_year, "
                                     f"COUNT(1) AS n FROM rr GROUP BY race_year")
     q["column_distinct_values"] = (f"WITH rr AS ({RACE_RESULTS}) SELECT DISTINCT race_year "
@@ -321,8 +323,8 @@ def io_oracles() -> dict[str, str]:
     q["scan_json_inferred"] = INFERRED_RESULTS
     q["scan_permissive_nulls"] = MARKED_PART
     q["scan_permissive_nulls_json"] = MARKED_PART
-    q["scan_parquet"] = _feed("results")
-    q["scan_catalog_table"] = _feed("results")
+    q["scan_parquet"] = "SELECT * FROM lineitem"
+    q["scan_catalog_table"] = "SELECT * FROM orders"
     q["scan_dated_batch"] = _feed("results", FILE_DATES[1])
     q["race_timestamp"] = with_processed("races") + "\nSELECT race_id, race_timestamp FROM races"
     q["ddl_raw_csv_table"] = _feed("races")
@@ -364,6 +366,41 @@ def io_oracles() -> dict[str, str]:
     q["calculated_results_incremental_bucketed"] = (f"SELECT *, {bucket} "
                                                     f"FROM ({FINAL_CALCULATED})")
     q["upsert_selective"] = FINAL_CALCULATED
+    first = _final_results(FILE_DATES[:1])
+    q["upsert_late_dimension"] = first
+    q["upsert_moved_season"] = (f"SELECT * REPLACE (CAST(CASE WHEN race_id % 2 = 0 THEN race_year + 1 "
+                                f"ELSE race_year END AS INT) AS race_year) FROM ({first})")
+    q["upsert_widened_type"] = first
+    named = (f"SELECT CASE WHEN driver_id % 10 <> 0 THEN driver_id END AS driver_id, race_id, points, "
+             f"position, race_year FROM ({first})")
+    q["upsert_null_keys"] = (f"SELECT * FROM ({named}) UNION ALL "
+                             f"SELECT * FROM ({named}) WHERE driver_id IS NULL")
+    q["upsert_selective_moved_season"] = (
+        with_processed("races", "constructors", "drivers") +
+        f",\nb AS ({_batches_deduped(FILE_DATES[:1])})\n"
+        f"SELECT ra.race_year, co.name AS team_name, d.driver_id, d.name AS driver_name, "
+        f"ra.race_id, r.position, CAST(r.points AS INT) AS points, "
+        f"{TOP_N + 1} - r.position AS calculated_points, "
+        f"{_stamp(repr(FILE_DATES[0]))} AS created_date, {_stamp(repr(FILE_DATES[1]))} AS updated_date "
+        f"FROM b r JOIN drivers d ON r.driver_id = d.driver_id "
+        f"JOIN constructors co ON r.constructor_id = co.constructor_id "
+        f"JOIN races ra ON r.race_id = ra.race_id WHERE r.position <= {TOP_N}")
+    q["reset_layers"] = (with_processed("circuits") +
+                         "\nSELECT *, CAST(1 AS BIGINT) AS n_tables FROM circuits")
+    q["affected_years_pruned"] = (f"WITH rr AS ({BATCH_RACE_RESULTS}) SELECT * FROM rr WHERE race_year "
+                                  f"IN (SELECT race_year FROM rr WHERE file_date = '{FILE_DATES[1]}')")
+
+    def merged_once(name: str) -> str:
+        d = FILE_DATES[0]
+        if name == "results":
+            return first
+        keys, rest = TIMING_KEYS[name]
+        return f"SELECT DISTINCT {keys} FROM ({_processed(name, _stamp(repr(d)), d)})"
+
+    q["run_ingestion_all_incremental"] = " UNION ALL ".join(
+        [f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {t}" for n, t in [
+            ("circuits", "nation"), ("races", "orders"), ("constructors", "supplier"), ("drivers", "part")]]
+        + [f"SELECT '{n}', COUNT(*) FROM ({merged_once(n)})" for n in ["results", *TIMING_KEYS]])
     for name in ("circuits", "races", "constructors", "drivers"):
         q[f"ingest_{name}"] = with_processed(name) + f"\nSELECT * FROM {name}"
     for name in ("results", "pit_stops", "lap_times", "qualifying"):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from paddock.operators.standings import (affected_periods, constructor_standings,
                                          driver_standings, rows_of_periods)
 from paddock.operators.star import calculated_results, race_results
-from paddock.plans.ingest import BUCKET, partition_columns, with_bucket
+from paddock.plans.ingest import BUCKET, bucket_columns, partition_columns, with_bucket
 from paddock.sinks.writes import (overwrite_parquet, overwrite_partitions, partition_filter,
                                   selective_upsert, upsert)
 
@@ -21,8 +21,7 @@ Stamp = str | _dt.datetime | None
 PERIOD = "race_year"
 DIMENSIONS = ("circuits", "races", "constructors", "drivers")
 
-# Merge keys of the presentation tables (plus the season, their
-# partition column, which is a function of race_id).
+# Merge keys of the presentation tables.
 RACE_RESULTS_KEYS = ["driver_name", "race_id"]
 DRIVER_STANDINGS_KEYS = ["driver_name", "race_year"]
 CONSTRUCTOR_STANDINGS_KEYS = ["team", "race_year"]
@@ -100,12 +99,14 @@ def race_results_batch(spark: SparkSession, processed_root: str, file_date: str,
 def race_results_incremental(spark: SparkSession, processed_root: str,
                              presentation_root: str, file_date: str,
                              load_ts: Stamp = None, buckets: int = 0,
-                             partitions: list | None = None) -> str:
-    """Merge the race results of one batch (update all on driver_name, race_id)."""
+                             partitions: list | None = None,
+                             touched: list | None = None) -> str:
+    """Merge the race results of one batch (update all on driver_name, race_id).
+    ``touched`` is filled with the partitions written, those that rows left included."""
     df = race_results_batch(spark, processed_root, file_date, load_ts, buckets, partitions)
     parts = partition_columns(buckets)
     return upsert(spark, df, os.path.join(presentation_root, "race_results"),
-                  RACE_RESULTS_KEYS + parts, parts)
+                  RACE_RESULTS_KEYS, parts, located_by=bucket_columns(buckets), touched=touched)
 
 
 def standings_incremental(spark: SparkSession, presentation_root: str, file_date: str,
@@ -154,8 +155,8 @@ def calculated_results_incremental(spark: SparkSession, processed_root: str,
     schema = CALCULATED_SCHEMA + (f", {BUCKET} INT" if buckets else "")
     return selective_upsert(spark, src, os.path.join(presentation_root,
                                                      "calculated_race_results"),
-                            CALCULATED_KEYS + parts, CALCULATED_UPDATE, parts,
-                            schema, stamp=stamp)
+                            CALCULATED_KEYS, CALCULATED_UPDATE, parts, schema, stamp=stamp,
+                            located_by=bucket_columns(buckets))
 
 
 PRESENTATION_TABLES = ("race_results", "driver_standings", "constructor_standings",

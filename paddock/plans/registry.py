@@ -143,8 +143,7 @@ def top5_teams(spark, sf_dir):
 
 @query
 def dominant_drivers_by_year(spark, sf_dir):
-    calc = _calc(spark, sf_dir)
-    return dom.yearly_profile(calc, _top_drivers(calc), "driver_name", "join")
+    return dom.profile_of_top(_calc(spark, sf_dir), "driver_name", tb.DRIVER_MIN, tb.TOP_DRIVERS)
 
 
 @query
@@ -155,8 +154,7 @@ def dominant_drivers_by_year_semi(spark, sf_dir):
 
 @query
 def dominant_teams_by_year(spark, sf_dir):
-    calc = _calc(spark, sf_dir)
-    return dom.yearly_profile(calc, _top_teams(calc), "team_name", "join")
+    return dom.profile_of_top(_calc(spark, sf_dir), "team_name", tb.TEAM_MIN, tb.TOP_TEAMS)
 
 
 @query
@@ -181,6 +179,11 @@ def profile_count_by_batch(spark, sf_dir):
     return profile.count_by(_batch_race_results(spark, sf_dir), ["file_date"])
 
 
+@query
+def profile_count_by_race(spark, sf_dir):
+    return profile.count_by(_batch_race_results(spark, sf_dir), ["race_id"])
+
+
 @query
 def profile_count_by_season(spark, sf_dir):
     return profile.count_by(_race_results(spark, sf_dir), ["race_year"])

@@ -15,8 +15,8 @@ from paddock.functions.conform import partition_column_last
 from paddock.operators.star import calculated_results, race_results
 from paddock.plans import testbed as tb
 from paddock.plans.incremental import run_history
-from paddock.plans.ingest import (CONFORM, MERGE_KEYS, PERIOD, conform_races, ingest,
-                                  ingest_all, partition_columns, prepare_incremental,
+from paddock.plans.ingest import (CONFORM, MERGE_KEYS, PERIOD, bucket_columns, conform_races,
+                                  ingest, ingest_all, partition_columns, prepare_incremental,
                                   with_period)
 from paddock.plans.presentation import (CALCULATED_KEYS, CALCULATED_SCHEMA,
                                         CALCULATED_UPDATE)
@@ -127,18 +127,16 @@ def scan_permissive_nulls_json(spark, sf_dir):
 
 @query
 def scan_parquet(spark, sf_dir):
-    path = os.path.join(work_dir(spark, "lake"), "results")
-    raw_feed(spark, sf_dir, "results").write.mode("overwrite").parquet(path)
-    return feeds.read_parquet(spark, path)
+    """The given Parquet table, as it lies."""
+    return feeds.read_parquet(spark, os.path.join(sf_dir, "lineitem.parquet"))
 
 
 @query
 def scan_catalog_table(spark, sf_dir):
+    """A catalog table over the given Parquet, without a copy."""
     db = _db(spark, "scan")
-    path = os.path.join(work_dir(spark, "lake"), "results")
-    raw_feed(spark, sf_dir, "results").write.mode("overwrite").parquet(path)
-    sink.register_table(spark, f"{db}.results", path)
-    return feeds.read_table(spark, f"{db}.results")
+    sink.register_table(spark, f"{db}.orders", os.path.join(sf_dir, "orders.parquet"))
+    return feeds.read_table(spark, f"{db}.orders")
 
 
 @query
@@ -325,6 +323,16 @@ def partition_drop_reload(spark, sf_dir):
 
 # --- upserts -----------------------------------------------------------------------
 
+LATE_RACES = "race_id % 3 = 0"      # races that the late-dimension query learns of later
+MOVED_RACES = "race_id % 2 = 0"     # races that the moved-season queries date a year later
+NAMELESS = "driver_id % 10 = 0"     # results whose key the NULL-key query leaves empty
+
+
+def _moved(races):
+    return races.withColumn(PERIOD, F.when(F.expr(MOVED_RACES), F.col(PERIOD) + 1)
+                            .otherwise(F.col(PERIOD)).cast("int"))
+
+
 def _batch_source(spark, sf_dir, file_date, races, buckets=0):
     raw = raw_feed(spark, sf_dir, "results", file_date)
     df = CONFORM["results"](raw, DATA_SOURCE, file_date, tb.batch_stamp(file_date))
@@ -338,7 +346,8 @@ def _upsert_batches(spark, sf_dir, dates, buckets=0):
     for d in dates:
         # the batch source is deduplicated on the merge key, so no extra check pass
         sink.upsert(spark, _batch_source(spark, sf_dir, d, races, buckets), path,
-                    MERGE_KEYS["results"] + parts, parts, check_unique=False)
+                    MERGE_KEYS["results"], parts, check_unique=False,
+                    located_by=bucket_columns(buckets))
     return spark.read.parquet(path)
 
 
@@ -371,10 +380,56 @@ def upsert_table(spark, sf_dir):
     races = tb.processed(spark, sf_dir, ("races",))["races"]
     for d in tb.FILE_DATES:
         sink.upsert_table(spark, _batch_source(spark, sf_dir, d, races), table, location,
-                          MERGE_KEYS["results"] + [PERIOD], PERIOD)
+                          MERGE_KEYS["results"], PERIOD)
     return spark.table(table)
 
 
+def _merge_twice(spark, sf_dir, first_races, second_races, change=lambda df: df):
+    """The first delivery merged twice, with other races (or types) the second time."""
+    path = os.path.join(work_dir(spark, "lake"), "results")
+    d = tb.FILE_DATES[0]
+    for races, then in ((first_races, lambda df: df), (second_races, change)):
+        sink.upsert(spark, then(_batch_source(spark, sf_dir, d, races)), path,
+                    MERGE_KEYS["results"], PERIOD)
+    return spark.read.parquet(path)
+
+
+@query
+def upsert_late_dimension(spark, sf_dir):
+    """Facts whose race is not loaded yet: delivered again with it, they move to their season."""
+    races = tb.processed(spark, sf_dir, ("races",))["races"]
+    return _merge_twice(spark, sf_dir, races.filter(f"NOT ({LATE_RACES})"), races)
+
+
+@query
+def upsert_moved_season(spark, sf_dir):
+    """Races dated a year later when their results come again: rows move, none doubles."""
+    races = tb.processed(spark, sf_dir, ("races",))["races"]
+    return _merge_twice(spark, sf_dir, races, _moved(races))
+
+
+@query
+def upsert_widened_type(spark, sf_dir):
+    """A source with wider types than the target is cast to the target's."""
+    races = tb.processed(spark, sf_dir, ("races",))["races"]
+    return _merge_twice(spark, sf_dir, races, races, lambda df: df.withColumns(
+        {"laps": F.col("laps").cast("bigint"), "points": F.col("points").cast("double"),
+         PERIOD: F.col(PERIOD).cast("bigint")}))
+
+
+@query
+def upsert_null_keys(spark, sf_dir):
+    """A key with a NULL part matches nothing: such rows are inserted at every delivery."""
+    path = os.path.join(work_dir(spark, "lake"), "named")
+    races = tb.processed(spark, sf_dir, ("races",))["races"]
+    source = _batch_source(spark, sf_dir, tb.FILE_DATES[0], races).select(
+        F.when(~F.expr(NAMELESS), F.col("driver_id")).alias("driver_id"), "race_id", "points",
+        "position", PERIOD)
+    for _ in range(2):
+        sink.upsert(spark, source, path, ["driver_id", "race_id"], PERIOD)
+    return spark.read.parquet(path)
+
+
 @query
 def upsert_selective(spark, sf_dir):
     path = os.path.join(work_dir(spark, "lake"), "calculated_race_results")
@@ -383,11 +438,26 @@ def upsert_selective(spark, sf_dir):
         results = _batch_source(spark, sf_dir, d, t["races"])
         src = calculated_results(results, t["races"], t["drivers"], t["constructors"],
                                  top_n=tb.TOP_N, incremental=True, file_date=d)
-        sink.selective_upsert(spark, src, path, CALCULATED_KEYS + [PERIOD], CALCULATED_UPDATE,
+        sink.selective_upsert(spark, src, path, CALCULATED_KEYS, CALCULATED_UPDATE,
                               PERIOD, CALCULATED_SCHEMA, stamp=tb.batch_stamp(d))
     return spark.read.parquet(path)
 
 
+@query
+def upsert_selective_moved_season(spark, sf_dir):
+    """Scored results delivered again with another season: the season is no updated column,
+    so matched rows stay in theirs and none doubles."""
+    path = os.path.join(work_dir(spark, "lake"), "calculated_race_results")
+    t = tb.processed(spark, sf_dir, ("races", "constructors", "drivers"))
+    d = tb.FILE_DATES[0]
+    for races, stamp in ((t["races"], tb.FILE_DATES[0]), (_moved(t["races"]), tb.FILE_DATES[1])):
+        src = calculated_results(_batch_source(spark, sf_dir, d, t["races"]), races, t["drivers"],
+                                 t["constructors"], top_n=tb.TOP_N, incremental=True, file_date=d)
+        sink.selective_upsert(spark, src, path, CALCULATED_KEYS, CALCULATED_UPDATE, PERIOD,
+                              CALCULATED_SCHEMA, stamp=tb.batch_stamp(stamp))
+    return spark.read.parquet(path)
+
+
 # --- ingestion jobs -------------------------------------------------------------------
 
 def _ingest_one(spark, sf_dir, name):
@@ -431,6 +501,42 @@ def run_ingestion_all(spark, sf_dir):
                       tb.LOAD_TS)
 
 
+@query
+def run_ingestion_all_incremental(spark, sf_dir):
+    """All eight ingestions of one delivery, facts merged into empty tables."""
+    raw_root, d = work_dir(spark, "raw"), tb.FILE_DATES[0]
+    write_raw_folder(spark, sf_dir, raw_root, d)
+    return ingest_all(spark, raw_root, work_dir(spark, "processed"), DATA_SOURCE, d,
+                      tb.batch_stamp(d), incremental=True)
+
+
+@query
+def reset_layers(spark, sf_dir):
+    """Layers with old tables, reset and loaded afresh: only the new load is there."""
+    dbs = {_db(spark, "processed"): None, _db(spark, "presentation"): None}
+    frames = tb.processed(spark, sf_dir, ("circuits", "constructors"))
+    for db in dbs:
+        dbs[db] = work_dir(spark, "db", db)
+        sink.save_as_table(frames["constructors"], f"{db}.constructors")
+    sink.reset_databases(spark, dbs)
+    first = next(iter(dbs))
+    sink.save_as_table(frames["circuits"], f"{first}.circuits")
+    left = sum(len(spark.catalog.listTables(db)) for db in dbs)
+    return spark.table(f"{first}.circuits").withColumn("n_tables", F.lit(left).cast("long"))
+
+
+@query
+def affected_years_pruned(spark, sf_dir):
+    """All rows of the seasons a delivery touched, from a table partitioned by season: the
+    semi join prunes its folders at run time."""
+    from paddock.operators.standings import affected_periods, rows_of_periods
+    from paddock.plans.registry import _batch_race_results
+    path = os.path.join(work_dir(spark, "lake"), "race_results")
+    sink.overwrite_parquet(_batch_race_results(spark, sf_dir), path, partition_by=[PERIOD])
+    rr = spark.read.parquet(path)
+    return rows_of_periods(rr, affected_periods(rr, tb.FILE_DATES[1]))
+
+
 # --- incremental history ---------------------------------------------------------------
 
 def _history_feeds(steps):

@@ -56,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(configured)
         return configured
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local[") and master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="paddock-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

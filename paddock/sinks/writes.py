@@ -134,76 +134,77 @@ def stage(spark: SparkSession, source: DataFrame, target_path: str) -> DataFrame
     return spark.read.parquet(path)
 
 
-MAX_TOUCHED_PARTITIONS = 10_000
+def cast_to(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``source`` with its columns in the target's types; a value that does not fit
+    (overflow, unreadable text) fails the job whatever the session's ANSI mode."""
+    _check_columns(source, target)
+    types, own = dict(target.dtypes), dict(source.dtypes)
+
+    def checked(c: str):
+        col = F.col(f"`{c}`")
+        if own[c] == types[c]:
+            return col
+        fits = col.try_cast(types[c])
+        return F.when(col.isNotNull() & fits.isNull(), F.raise_error(F.concat(
+            F.lit(f"{c}: does not fit {types[c]}: "), col.cast("string"))).cast(types[c])
+        ).otherwise(fits).alias(c)
+
+    return source.select(*[checked(c) for c in source.columns])
 
 
 def inspect_source(source: DataFrame, keys: Sequence[str], partition_col: Partitions,
-                   check_unique: bool = True,
-                   max_values: int = MAX_TOUCHED_PARTITIONS) -> list | None:
-    """One aggregate pass over a merge source: the partitions it touches and,
-    with ``check_unique``, whether any merge key repeats (a MERGE fails then).
-
-    Returns the partition value tuples (metadata-sized: one per partition
-    folder), or ``None`` when there are more than ``max_values``; duplicate
-    keys raise ``ValueError``.
+                   check_unique: bool = True) -> list:
+    """The partition value tuples a merge source touches (one per partition folder, as
+    many as the file index holds on the driver anyway).
+
+    With ``check_unique`` a repeated merge key raises ``ValueError``, as a MERGE would
+    fail; a key with a NULL part matches nothing, so it is no repetition.
     """
-    parts = _parts(partition_col)
-    if check_unique:
-        per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        per_part = per_key.groupBy(*parts).agg(F.max("n").alias("n"))
+    parts, keys = _parts(partition_col), list(keys)
+    if check_unique and set(parts) <= set(keys):   # both answers in one pass
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        rows = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("n", F.when(whole, F.col("n")).otherwise(F.lit(1)))
+                .groupBy(*parts).agg(F.max("n").alias("n")).collect())
+        if any(r["n"] > 1 for r in rows):
+            _check_unique(source, keys)
     else:
-        per_part = source.groupBy(*parts).agg(F.lit(1).alias("n"))
-    rows = per_part.limit(max_values + 1).collect()
-    if len(rows) > max_values:
         if check_unique:
             _check_unique(source, keys)
-        return None
-    if check_unique and any(r["n"] > 1 for r in rows):
-        _check_unique(source, keys)
+        rows = source.select(*parts).distinct().collect()
     return [tuple(r[c] for c in parts) for r in rows]
 
 
 def partition_filter(partition_col: Partitions, values: list, dtypes: dict | None = None):
     """A Column selecting the partitions ``values`` (tuples, one value per
-    partition column); ``None`` when it cannot be expressed as a plain filter
-    (a NULL inside a multi-column tuple). Used as a partition filter, it makes
-    the scan list and read only those folders."""
+    partition column). Used as a partition filter, it makes the scan list and
+    read only those folders."""
     parts = _parts(partition_col)
-    if len(parts) == 1:
-        present = [t[0] for t in values if t[0] is not None]
-        cond = F.col(parts[0]).isin(present) if present else F.lit(False)
-        if len(present) < len(values):
-            cond = cond | F.col(parts[0]).isNull()
-        return cond
-    if any(v is None for t in values for v in t):
-        return None
-    if not values:
-        return F.lit(False)
-    packed = F.struct(*[F.col(c) for c in parts])
 
     def typed(c, v):
         return F.lit(v).cast(dtypes[c]) if dtypes else F.lit(v)
-    return packed.isin([F.struct(*[typed(c, v).alias(c) for c, v in zip(parts, t)])
-                        for t in values])
 
+    whole = [t for t in values if all(v is not None for v in t)]
+    if len(parts) == 1:
+        cond = F.col(parts[0]).isin([t[0] for t in whole]) if whole else F.lit(False)
+    else:
+        packed = F.struct(*[F.col(c) for c in parts])
+        cond = packed.isin([F.struct(*[typed(c, v).alias(c) for c, v in zip(parts, t)])
+                            for t in whole]) if whole else F.lit(False)
+    for t in values:   # the default partition folders
+        if t not in whole:
+            one = F.lit(True)
+            for c, v in zip(parts, t):
+                one = one & (F.col(c).isNull() if v is None else F.col(c) == typed(c, v))
+            cond = cond | one
+    return cond
 
-def touched_partitions(target: DataFrame, source: DataFrame, partition_col: Partitions,
-                       values: list | None) -> DataFrame:
-    """Target rows in the partitions the source touches.
 
-    The touched value tuples become a partition filter, so the target scan
-    lists and reads only those folders (static partition pruning); without
-    values (more than the cap) a null-safe left semi join on the source's
-    partitions is used instead.
-    """
-    parts = _parts(partition_col)
-    cond = partition_filter(parts, values, dict(target.dtypes)) if values is not None else None
-    if cond is not None:
-        return target.filter(cond)
-    # null-safe: a NULL partition value (the default partition folder) must match too
-    touched = source.select(*[F.col(c).alias(f"__p_{c}") for c in parts]).distinct()
-    match = [target[c].eqNullSafe(touched[f"__p_{c}"]) for c in parts]
-    return target.join(touched, match, "left_semi")
+def touched_partitions(target: DataFrame, partition_col: Partitions, values: list) -> DataFrame:
+    """Target rows in the given partitions (static partition pruning)."""
+    return target.filter(partition_filter(partition_col, values, dict(target.dtypes)))
 
 
 def _check_columns(source: DataFrame, target: DataFrame) -> None:
@@ -213,39 +214,99 @@ def _check_columns(source: DataFrame, target: DataFrame) -> None:
         raise ValueError(f"source columns {extra} are not in the target {target.columns}")
 
 
-def _require_partitions_in_keys(partition_col: Partitions, keys: Sequence[str]) -> None:
-    missing = [c for c in _parts(partition_col) if c not in keys]
-    if missing:
-        raise ValueError(f"partition columns {missing} must be among the keys {list(keys)}")
-
-
 def _check_unique(source: DataFrame, keys: Sequence[str]) -> None:
-    dup = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    dup = (source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+           .filter(F.col("n") > 1))
     first = dup.limit(1).collect()
     if first:
         raise ValueError(f"source has duplicate merge keys {list(keys)}: {first[0].asDict()}")
 
 
+def matching_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                        partition_col: Partitions, located_by: Sequence[str] = ()) -> dict:
+    """Partition value tuple -> number of target rows whose merge key is in the source.
+
+    Needed when a row may have moved since its last delivery (its partition is not part
+    of the key). The target's keys are read; ``located_by`` names partition columns that
+    are functions of the key, by whose source values the scan is pruned.
+    """
+    parts = _parts(partition_col)
+    for c in located_by:
+        held = [(r[0],) for r in source.select(c).distinct().collect()]
+        target = target.filter(partition_filter(c, held, dict(target.dtypes)))
+    hits = (target.select(*dict.fromkeys([*keys, *parts]))
+            .join(source.select(*keys), list(keys), "left_semi").groupBy(*parts).count())
+    return {tuple(r[c] for c in parts): r["count"] for r in hits.collect()}
+
+
+def _folders(target: DataFrame, partition_col: Partitions, values: list) -> list[str]:
+    """Folders of the given partitions (their files' parents)."""
+    if not values:
+        return []
+    files = (touched_partitions(target, partition_col, values)
+             .select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("f")))
+    return [r["f"] for r in files.distinct().collect()]
+
+
+def _delete_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for f in folders:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        path.getFileSystem(conf).delete(path, True)
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
-           partition_col: Partitions, check_unique: bool = True, staged: bool = True) -> str:
+           partition_col: Partitions, check_unique: bool = True, staged: bool = True,
+           located_by: Sequence[str] = (), touched: list | None = None) -> str:
     """Keyed upsert: matched rows take every column from the source (update
     all), unmatched source rows are inserted, other target rows are kept.
 
+    ``keys`` is the merge key. Partition columns that are not part of it may change: the
+    row then leaves its old partition (late or corrected dimension), which is found by
+    key and rewritten, and removed if nothing is left in it. A key with a NULL part
+    matches nothing. Source columns are cast to the target's types.
+
     Creates the partitioned dataset on first load. Fails if a key repeats in
     the source (a MERGE would). Rows are never deleted. The source is read
     more than once (partition values, key check, merge), so it is staged first.
+    ``touched`` is filled with the value tuples of the partitions written or removed.
+    An attempt that broke off between writing and removing is mended by the next one.
     """
-    keys = list(keys)
-    _require_partitions_in_keys(partition_col, keys)
-    first_load = read_or_empty(spark, path) is None
-    if first_load and not check_unique:
+    keys, parts = list(keys), _parts(partition_col)
+    target = read_or_empty(spark, path)
+    if target is None and not check_unique and touched is None:
         return overwrite_partitions(source, path, partition_col, cluster_by=keys)
+    if target is not None:
+        source = cast_to(source, target)
     if staged:
         source = stage(spark, source, path)
     values = inspect_source(source, keys, partition_col, check_unique)
-    merged = source if first_load else upsert_frame(spark, source, path, keys, partition_col,
-                                                    values)
-    return overwrite_partitions(merged, path, partition_col, cluster_by=keys)
+    emptied: list = []
+    merged = source
+    if target is not None:
+        merged, values, emptied = _merge(target, source, keys, parts, values, located_by)
+    folders = _folders(target, parts, emptied) if emptied else []
+    if touched is not None:
+        touched += [v for v in values if v not in touched]
+    overwrite_partitions(merged, path, partition_col, cluster_by=keys)
+    _delete_folders(spark, folders)
+    return path
+
+
+def _merge(target: DataFrame, source: DataFrame, keys: list, parts: list, values: list,
+           located_by: Sequence[str]) -> tuple[DataFrame, list, list]:
+    """(new content, partitions it belongs to, partitions left without a row)."""
+    emptied: list = []
+    if not set(parts) <= set(keys):
+        hits = matching_partitions(target, source, keys, parts, located_by)
+        left = [v for v in hits if v not in values]
+        if left:
+            held = {tuple(r[c] for c in parts): r["count"] for r in
+                    touched_partitions(target, parts, left).groupBy(*parts).count().collect()}
+            emptied = [v for v in left if held[v] == hits[v]]
+        values = values + left
+    kept = touched_partitions(target, parts, values).join(source.select(*keys), keys, "left_anti")
+    return kept.unionByName(source.select(*target.columns)), values, emptied
 
 
 def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
@@ -254,40 +315,42 @@ def upsert_frame(spark: SparkSession, source: DataFrame, path: str, keys: Sequen
     target = read_or_empty(spark, path)
     if target is None:
         return source
-    _check_columns(source, target)
+    source = cast_to(source, target)
     if values is None:
         values = inspect_source(source, keys, partition_col, check_unique=False)
-    old = touched_partitions(target, source, partition_col, values)
-    kept = old.join(source.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    return _merge(target, source, list(keys), _parts(partition_col), values, ())[0]
 
 
 def selective_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str],
                      update_cols: Sequence[str], partition_col: Partitions, schema,
                      stamp: str | _dt.datetime | None = None,
                      created_col: str = "created_date", updated_col: str = "updated_date",
-                     check_unique: bool = True) -> str:
+                     check_unique: bool = True, located_by: Sequence[str] = ()) -> str:
     """MERGE with column-level update.
 
     matched      -> ``update_cols`` from the source, ``updated_col`` = stamp,
-                    every other column (``created_col`` included) kept;
+                    every other column (``created_col`` included) kept, also a
+                    partition column that is not updated: the row stays where it is;
     source only  -> inserted with ``created_col`` = stamp, ``updated_col`` NULL;
     target only  -> kept.
     ``schema`` is the target's (DDL or StructType), used when it is still empty.
+    ``keys`` and ``located_by`` as in ``upsert``.
     """
-    keys, update_cols = list(keys), list(update_cols)
-    _require_partitions_in_keys(partition_col, keys)
-    source = stage(spark, source, path)
-    values = inspect_source(source, keys, partition_col, check_unique)
+    keys, update_cols, parts = list(keys), list(update_cols), _parts(partition_col)
     target = read_or_empty(spark, path, schema)
-    _check_columns(source, target)
+    source = stage(spark, cast_to(source, target), path)
+    values = inspect_source(source, keys, partition_col, check_unique)
+    if set(parts) & set(update_cols):
+        raise ValueError("a partition column cannot be updated selectively")
+    if not set(parts) <= set(keys):
+        hits = matching_partitions(target, source, keys, parts, located_by)
+        values = values + [v for v in hits if v not in values]
     cols = target.columns
     ts = timestamp_literal(stamp)
     src_cols = [c for c in source.columns if c not in keys]
     src = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in src_cols],
                         F.lit(True).alias("__in_s"))
-    old = touched_partitions(target, source, partition_col, values).withColumn("__in_t",
-                                                                              F.lit(True))
+    old = touched_partitions(target, parts, values).withColumn("__in_t", F.lit(True))
     j = old.join(src, keys, "full_outer")
     matched = F.col("__in_t").isNotNull() & F.col("__in_s").isNotNull()
     source_only = F.col("__in_t").isNull()
@@ -364,32 +427,17 @@ def create_table_if_missing(spark: SparkSession, table: str, columns_ddl: str,
 
 
 def drop_partitions_and_append(spark: SparkSession, df: DataFrame, table: str,
-                               partition_col: str, max_partitions: int = 10_000) -> str:
-    """Drop the partitions present in ``df`` from a partitioned managed table,
-    then append ``df`` (positional insert, partition column last).
-
-    Dropping a partition of a managed table deletes its files; an external
-    table keeps them, so use ``overwrite_partitions`` on its folder instead.
-    ``df`` must not read the partitions being dropped (checkpoint it first).
-
-    The partition values are metadata-sized (one per partition folder) and are
-    the only thing brought to the driver; more than ``max_partitions`` is an error.
-    """
-    values = [r[0] for r in df.select(partition_col).distinct()
-              .limit(max_partitions + 1).collect()]
-    if len(values) > max_partitions:
-        raise ValueError(f"more than {max_partitions} partitions to replace")
-    for v in values:
-        lit = "NULL" if v is None else (f"'{v}'" if isinstance(v, str) else str(v))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {lit})")
-    cols = spark.table(table).columns
-    df.select(*cols).write.insertInto(table, overwrite=False)
-    return table
+                               partition_col: str) -> str:
+    """Replace the partitions present in ``df`` by its rows: what dropping them and
+    appending gives, but in one dynamic partition overwrite, so any type of partition
+    value works, a failed job loses nothing and the new files are clustered. ``df`` must
+    not read the partitions being replaced (checkpoint it first)."""
+    return overwrite_table_partitions(spark, df, table, partition_col)
 
 
 def upsert_table(spark: SparkSession, source: DataFrame, table: str, location: str,
                  keys: Sequence[str], partition_col: Partitions,
-                 check_unique: bool = True) -> str:
+                 check_unique: bool = True, located_by: Sequence[str] = ()) -> str:
     """Keyed upsert into a catalog table stored at ``location``.
 
     Table absent: the source becomes its first load (partitioned) and the
@@ -397,7 +445,7 @@ def upsert_table(spark: SparkSession, source: DataFrame, table: str, location: s
     then pick up new partitions and refresh cached file listings.
     """
     exists = spark.catalog.tableExists(table)
-    upsert(spark, source, location, keys, partition_col, check_unique)
+    upsert(spark, source, location, keys, partition_col, check_unique, located_by=located_by)
     if not exists:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")

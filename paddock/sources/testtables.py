@@ -217,34 +217,43 @@ def oracle_feed(name: str, file_date: str | None = None) -> str:
 
 # --- writers of raw files ---------------------------------------------------
 
-def _json_array_files(df: DataFrame, path: str, n_files: int) -> None:
-    """Write rows as ``n_files`` multi-line JSON files (one JSON array each).
+ROWS_PER_FILE = 50_000
 
-    A multi-line JSON file is parsed whole by one task, so the rows are spread
-    over several files; each partition wraps its own rows.
+
+def _json_array_files(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write rows as multi-line JSON files (one JSON array each) of about
+    ``rows_per_file`` rows.
+
+    A multi-line JSON file is parsed whole by one task, so their number follows the
+    row count. Each partition streams its own file: an opening bracket, a row a line,
+    a closing bracket; nothing is held but the current batch.
     """
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
 
     def wrap(batches):
         import pandas as pd
-        parts = [b["j"] for b in batches]
-        if not parts:
-            return
-        body = ",\n".join(pd.concat(parts).tolist())
-        yield pd.DataFrame({"value": ["[\n" + body + "\n]"]})
-
+        lead = "["
+        for b in batches:
+            if len(b):
+                values = b["j"].tolist()
+                yield pd.DataFrame({"value": [lead + values[0]] + ["," + v for v in values[1:]]})
+                lead = ","
+        if lead == ",":
+            yield pd.DataFrame({"value": ["]"]})
+
+    n_files = max(1, math.ceil(df.count() / rows_per_file))
     (lines.repartition(n_files).mapInPandas(wrap, "value string")
           .write.mode("overwrite").text(path))
 
 
-def write_feed(df: DataFrame, name: str, path: str, n_files: int = 4) -> str:
+def write_feed(df: DataFrame, name: str, path: str) -> str:
     """Write one raw feed in its native format at ``path``."""
     if name in ("circuits", "races"):
         df.write.mode("overwrite").option("header", True).csv(path)
     elif name == "lap_times":
         df.write.mode("overwrite").option("header", False).csv(path)
     elif name in ("pit_stops", "qualifying"):
-        _json_array_files(df, path, n_files)
+        _json_array_files(df, path)
     else:
         df.write.mode("overwrite").json(path)
     return path
@@ -257,15 +266,5 @@ def write_raw_folder(spark: SparkSession, sf_dir: str, root: str,
     folder = os.path.join(root, file_date) if file_date else root
     for name in names or FEED_FILES:
         df = raw_feed(spark, sf_dir, name, file_date if name in FACTS else None)
-        write_feed(df, name, os.path.join(folder, FEED_FILES[name]),
-                   n_files=_files_for(spark, sf_dir))
+        write_feed(df, name, os.path.join(folder, FEED_FILES[name]))
     return folder
-
-
-def _files_for(spark: SparkSession, sf_dir: str) -> int:
-    """Number of multi-line JSON files: about one per 64 MB of lineitem parquet."""
-    try:
-        size = os.path.getsize(os.path.join(sf_dir, "lineitem.parquet"))
-    except OSError:
-        return 4
-    return max(4, math.ceil(size / (64 << 20)) * 4)

@@ -19,20 +19,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.plans.ingest import (CONFORM, FACTS, MERGE_KEYS, partition_columns,
+from paddock.plans.ingest import (CONFORM, FACTS, MERGE_KEYS, bucket_columns, partition_columns,
                                   prepare_incremental)
 from paddock.schemas import RAW_SCHEMAS
-from paddock.sinks.writes import upsert
+from paddock.sinks.writes import read_or_empty, upsert
 from paddock.sources.feeds import FEED_FILES, FEED_FORMATS
 
 Stamp = str | _dt.datetime | None
 DATE_IN_PATH = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})/"
 
 
-def delivery_stream(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
-    """Streaming rows of one feed across delivery folders, with ``file_date``."""
+FILES_PER_TRIGGER = 200   # bounds a micro-batch, and with it the delivery dates in it
+
+
+def delivery_stream(spark: SparkSession, raw_root: str, name: str,
+                    files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Streaming rows of one feed across delivery folders, with ``file_date``; a backlog
+    is read in micro-batches of at most ``files_per_trigger`` files, oldest first."""
     fmt = FEED_FORMATS[name]
-    reader = spark.readStream.schema(RAW_SCHEMAS[name])
+    reader = (spark.readStream.schema(RAW_SCHEMAS[name])
+              .option("maxFilesPerTrigger", files_per_trigger))
     pattern = os.path.join(raw_root, "*", FEED_FILES[name])
     if fmt.startswith("csv"):
         df = reader.option("header", fmt == "csv_header").csv(pattern)
@@ -45,7 +51,7 @@ def delivery_stream(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
 def ingest_deliveries(spark: SparkSession, raw_root: str, processed_root: str, name: str,
                       checkpoint: str, data_source: str = "",
                       stamp_for: Callable[[str], Stamp] | None = None,
-                      max_dates_per_batch: int = 1000, buckets: int = 0) -> None:
+                      files_per_trigger: int = FILES_PER_TRIGGER, buckets: int = 0) -> None:
     """Merge every not-yet-seen delivery of fact ``name`` into the processed table."""
     if name not in FACTS:
         raise ValueError(f"{name} is not an incrementally merged fact")
@@ -55,21 +61,24 @@ def ingest_deliveries(spark: SparkSession, raw_root: str, processed_root: str, n
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            dates = [r[0] for r in batch.select("file_date").distinct()
-                     .orderBy("file_date").limit(max_dates_per_batch + 1).collect()]
-            if len(dates) > max_dates_per_batch:
-                raise ValueError("too many delivery dates in one micro-batch")
+            # at most one a file
+            dates = [r[0] for r in batch.select("file_date").distinct().orderBy("file_date").collect()]
             races = spark.read.parquet(races_path)
             for d in dates:
                 raw = batch.filter(F.col("file_date") == d).drop("file_date")
                 df = CONFORM[name](raw, data_source, d, stamp_for(d) if stamp_for else None)
                 parts = partition_columns(buckets)
-                upsert(spark, prepare_incremental(df, name, races, buckets), target,
-                       MERGE_KEYS[name] + parts, parts, check_unique=False)
+                source = prepare_incremental(df, name, races, buckets)
+                known = read_or_empty(spark, target)
+                if known is not None:   # a late arrival never replaces a newer delivery's row
+                    newer = known.filter(F.col("file_date") > d).select(*MERGE_KEYS[name])
+                    source = source.join(newer, MERGE_KEYS[name], "left_anti")
+                upsert(spark, source, target, MERGE_KEYS[name], parts, check_unique=False,
+                       located_by=bucket_columns(buckets))
         finally:
             batch.unpersist()
 
-    q = (delivery_stream(spark, raw_root, name).writeStream
+    q = (delivery_stream(spark, raw_root, name, files_per_trigger).writeStream
          .foreachBatch(merge)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

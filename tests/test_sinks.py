@@ -42,6 +42,9 @@ def test_upsert_rejects_duplicate_source_keys_and_foreign_partition(spark, tmp):
         sink.upsert(spark, dup, path, KEYS, "race_year")
     with pytest.raises(ValueError):
         sink.upsert(spark, dup, path, ["race_id"], "race_year")
+    null_keys = _df(spark, [(2020, None, 1, 1, "a"), (2020, None, 1, 2, "b")])
+    sink.upsert(spark, null_keys, path, KEYS, "race_year")
+    assert spark.read.parquet(path).count() == 2
 
 
 def test_upsert_null_keys_never_match(spark, tmp):
@@ -187,19 +190,14 @@ def test_two_column_partition_filter(spark, tmp):
     assert merged.count() == base.filter("race_year = 3 AND race_bucket = 1").count()
 
 
-def test_merge_fallbacks_keep_null_partition_rows(spark, tmp):
-    from paddock.sinks.writes import inspect_source, touched_partitions
+def test_merge_keeps_null_partition_rows(spark, tmp):
+    from paddock.sinks.writes import touched_partitions
     path = os.path.join(tmp, "t3")
     base = _df(spark, [(None, 1, 1, 1, "a"), (None, 2, 1, 1, "a"), (2021, 3, 1, 1, "a")])
     sink.overwrite_parquet(base, path, partition_by=["race_year"])
     target = spark.read.parquet(path)
     src = _df(spark, [(None, 1, 1, 5, "b")])
-    # above the cap: semi join, null-safe
-    assert inspect_source(src, KEYS, "race_year", max_values=0) is None
-    assert touched_partitions(target, src, "race_year", None).count() == 2
-    # two partition columns with a NULL value: same null-safe path
-    two = touched_partitions(target.withColumn("b", F.lit(1)), src.withColumn("b", F.lit(1)),
-                             ["race_year", "b"], [(None, 1)])
+    two = touched_partitions(target.withColumn("b", F.lit(1)), ["race_year", "b"], [(None, 1)])
     assert two.count() == 2
     sink.upsert(spark, src, path, KEYS, "race_year")
     got = sorted((r.race_id, r.points) for r in spark.read.parquet(path).collect())
@@ -208,6 +206,58 @@ def test_merge_fallbacks_keep_null_partition_rows(spark, tmp):
     assert got == [(1, 1), (1, 5), (2, 1), (3, 1)]
 
 
+def _rows(spark, path):
+    return sorted((r.race_year is None, r.race_year or 0, r.race_id, r.points)
+                  for r in spark.read.parquet(path).collect())
+
+
+def test_rows_move_to_another_partition_and_empty_folders_go(spark, tmp):
+    path = os.path.join(tmp, "moved")
+    keys = ["race_id", "driver_id"]
+    touched = []
+    sink.upsert(spark, _df(spark, [(None, 9, 1, 1, "a"), (2020, 1, 1, 1, "a"), (2020, 2, 1, 2, "a"),
+                                   (2019, 5, 1, 5, "a")]), path, keys, "race_year")
+    # the race of the first row is known now; race 1 moved; all of 2019 moved
+    sink.upsert(spark, _df(spark, [(2021, 9, 1, 3, "b"), (2022, 1, 1, 4, "b"), (2020, 5, 1, 6, "b")]),
+                path, keys, "race_year", touched=touched)
+    assert _rows(spark, path) == [(False, 2020, 2, 2), (False, 2020, 5, 6), (False, 2021, 9, 3),
+                                   (False, 2022, 1, 4)]
+    assert sorted(touched, key=str) == sorted([(2021,), (2022,), (2020,), (None,), (2019,)], key=str)
+    assert not any("2019" in d or "DEFAULT" in d for d in os.listdir(path))
+    # the same delivery again changes nothing
+    sink.upsert(spark, _df(spark, [(2021, 9, 1, 3, "b"), (2022, 1, 1, 4, "b"), (2020, 5, 1, 6, "b")]),
+                path, keys, "race_year")
+    assert len(_rows(spark, path)) == 4
+
+
+def test_source_takes_the_targets_types(spark, tmp):
+    path = os.path.join(tmp, "types")
+    base = _df(spark, [(2020, 1, 1, 7, "a")])
+    sink.upsert(spark, base, path, KEYS, "race_year")
+    wide = base.withColumn("points", F.lit(8).cast("decimal(20,0)"))
+    sink.upsert(spark, wide, path, KEYS, "race_year")
+    stored = spark.read.parquet(path)
+    assert dict(stored.dtypes)["points"] == dict(base.dtypes)["points"]
+    assert [r.points for r in stored.collect()] == [8]
+    with pytest.raises(Exception, match="does not fit"):
+        sink.upsert(spark, base.withColumn("points", F.lit("nine")), path, KEYS, "race_year")
+    assert [r.points for r in spark.read.parquet(path).collect()] == [8]
+
+
+def test_replaced_partitions_of_dates_and_quoted_strings(spark, tmp):
+    for kind, values in (("date", ["2021-03-21", "2021-03-28"]), ("string", ["it's", 'a "b"'])):
+        db = f"parts_{kind}"
+        sink.create_database(spark, db, os.path.join(tmp, db))
+        df = (spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, p string")
+              .withColumn("p", F.col("p").cast(kind)))
+        sink.save_as_table(df, f"{db}.t", partition_by=["p"])
+        new = (spark.createDataFrame([(10, values[1])], "n int, p string")
+               .withColumn("p", F.col("p").cast(kind)))
+        sink.drop_partitions_and_append(spark, new, f"{db}.t", "p")
+        assert sorted(r.n for r in spark.table(f"{db}.t").collect()) == [0, 10]
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
 def test_inspect_source_reports_duplicates_and_values(spark):
     from paddock.sinks.writes import inspect_source
     src = _df(spark, [(2020, 1, 1, 1, "a"), (2021, 2, 1, 1, "a")])
