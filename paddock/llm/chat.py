@@ -12,8 +12,8 @@ Output: one row per event, an event being a plain message, a call or a result:
   identifier's calls or results all but the first), cycle (calls that wait for each other);
 * sorting a conversation by (place, level, step, turn, idx) is a topological order: every
   event after the calls it waits for, a result after its call, and otherwise by turn. Only
-  conversations in which an event precedes one it waits for are reordered, in as many
-  rounds as their longest chain of calls; the others' places are their turns;
+  conversations in which an event precedes one it waits for are reordered (chains by
+  doubling pointers, so in few rounds); the others' places are their turns;
 * ``errors``: arguments held against the tool's schema, empty if valid;
 * ``message_json``: canonical JSON: no white space, keys sorted at every depth, numbers in
   shortest form.
@@ -170,26 +170,7 @@ def placed(parts: DataFrame) -> DataFrame:
                   "chat_calls")
     arcs = staged(edges.join(odd, "conv_id", "left_semi").select("conv_id", "call_id", "dep"),
                   "chat_arcs")
-    done = staged(todo.join(arcs, list(KEY), "left_anti")
-                  .select(*KEY, F.col("turn").alias("place"), F.lit(0).cast("long").alias("level")),
-                  "chat_places")
-    held = done.count()
-    while held:
-        # a call is ready when all that it waits for have places
-        state = arcs.join(done.select(*KEY), list(KEY), "left_anti").join(
-            done.select("conv_id", F.col("call_id").alias("dep"), "place", "level"),
-            ["conv_id", "dep"], "left")
-        ready = (state.groupBy(*KEY).agg(
-            F.count(F.lit(1)).alias("n"), F.count("level").alias("have"),
-            F.max("place").alias("dep_place"), F.max("level").alias("dep_level"))
-            .filter("n = have").join(todo, list(KEY))
-            .select(*KEY, F.greatest("turn", "dep_place").alias("place"),
-                    (F.col("dep_level") + 1).alias("level")))
-        done = staged(done.unionByName(ready), "chat_places")
-        now = done.count()
-        if now == held:
-            break
-        held = now
+    done = _waited(todo, arcs)
     stuck = todo.join(done, list(KEY), "left_anti").select(*KEY, F.lit(True).alias("stuck"))
     moved = done.withColumn("stuck", F.lit(False)).unionByName(
         stuck.withColumn("place", F.lit(None).cast("long")).withColumn("level", F.lit(None).cast("long")))
@@ -206,6 +187,65 @@ def placed(parts: DataFrame) -> DataFrame:
              F.col("at").alias("place"), "level")
 
 
+def _waited(todo: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(conv_id, call_id, place, level) of every call that waits for no cycle: one more
+    than the highest level it waits for, and the last turn on the way.
+
+    A call that waits for one other points to it; pointers are doubled until they reach a
+    call that waits for none or for several (``anchor``), which takes the logarithm of the
+    longest chain in rounds. Only calls that wait for several are then placed in rounds.
+    """
+    count = arcs.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min("dep").alias("dep"))
+    single = count.filter("n = 1").select(*KEY, "dep")
+    jumps = staged(single.join(todo, list(KEY)).select(
+        *KEY, F.col("dep").alias("anchor"), F.lit(1).cast("long").alias("hops"),
+        F.col("turn").alias("high")), "chat_jumps")
+    rounds = max(1, jumps.count()).bit_length() + 1      # beyond that, only cycles still jump
+    for _ in range(rounds):
+        ahead = jumps.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("to"),
+                             F.col("hops").alias("more"), F.col("high").alias("top"))
+        jumped = staged(jumps.join(ahead, ["conv_id", "anchor"], "left").select(
+            *KEY, F.coalesce("to", "anchor").alias("anchor"),
+            (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"),
+            F.greatest("high", "top").alias("high"), F.col("to").isNotNull().alias("moved")),
+            "chat_jumps")
+        jumps = jumped.drop("moved")
+        if not jumped.filter("moved").limit(1).count():
+            break
+    # what is still pointing at a call with a pointer of its own is in, or waits for, a cycle
+    jumps = staged(jumps.join(single.select("conv_id", F.col("call_id").alias("anchor")),
+                              ["conv_id", "anchor"], "left_anti"), "chat_jumps")
+    done = staged(todo.join(arcs, list(KEY), "left_anti")
+                  .select(*KEY, F.col("turn").alias("place"), F.lit(0).cast("long").alias("level")),
+                  "chat_places")
+    # calls that wait for several: their arcs lead to anchors, over some hops
+    several = arcs.join(count.filter("n > 1").select(*KEY), list(KEY), "left_semi")
+    over = jumps.select("conv_id", F.col("call_id").alias("dep"), "anchor", "hops", "high")
+    far = staged(several.join(over, ["conv_id", "dep"], "left").select(
+        *KEY, F.coalesce("anchor", "dep").alias("dep"),
+        F.coalesce("hops", F.lit(0)).alias("hops"), "high"), "chat_far")
+    held = done.count() if far.limit(1).count() else None
+    while held is not None:
+        state = far.join(done.select(*KEY), list(KEY), "left_anti").join(
+            done.select("conv_id", F.col("call_id").alias("dep"), "place", "level"),
+            ["conv_id", "dep"], "left")
+        ready = (state.groupBy(*KEY).agg(
+            F.count(F.lit(1)).alias("n"), F.count("level").alias("have"),
+            F.max(F.greatest("place", "high")).alias("before"),
+            F.max(F.col("level") + F.col("hops")).alias("under"))
+            .filter("n = have").join(todo, list(KEY))
+            .select(*KEY, F.greatest("turn", "before").alias("place"),
+                    (F.col("under") + 1).alias("level")))
+        done = staged(done.unionByName(ready), "chat_places")
+        now = done.count()
+        held = None if now == held else now
+    chained = jumps.join(done.select("conv_id", F.col("call_id").alias("anchor"), "place", "level"),
+                         ["conv_id", "anchor"])
+    return staged(done.unionByName(chained.select(
+        *KEY, F.greatest("place", "high").alias("place"),
+        (F.col("level") + F.col("hops")).alias("level"))), "chat_places")
+
+
 def message_json() -> Column:
     """Canonical JSON of an event."""
     plain = F.to_json(F.struct("content", "role"))

@@ -84,6 +84,42 @@ def test_links_order_and_validation(stored):
     assert len(by[(6, 0, 0)]) == 2
 
 
+def test_levels_of_any_graph(stored):
+    """Chains, forks, joints and cycles, against a depth-first search."""
+    import random
+    draw = random.Random(12)
+    rows, waits = [], {}
+    for conv in range(30):
+        names = [f"n{i}" for i in range(draw.randint(2, 14))]
+        for turn, name in enumerate(names):
+            after = [x for x in draw.sample(names, draw.choice([0, 1, 1, 1, min(2, len(names))])) if x != name]
+            if conv % 3:   # no cycles: only later names
+                after = [x for x in after if names.index(x) > turn]
+            waits[(conv, name)] = (turn, after)
+            rows.append((conv, turn, "assistant", calls(call(name, after=after))))
+    rows += [(99, t, "assistant", calls(call(f"c{t}", after=[f"c{t + 1}"] if t < 40 else []))) for t in range(41)]
+    waits |= {(99, f"c{t}"): (t, [f"c{t + 1}"] if t < 40 else []) for t in range(41)}
+
+    def depth(conv, name, way=()):
+        if name in way:
+            return None
+        turn, after = waits[(conv, name)]
+        below = [depth(conv, x, (*way, name)) for x in after]
+        if None in below:
+            return None
+        return max([b[0] + 1 for b in below], default=0), max([turn, *(b[1] for b in below)])
+    got = {(r.conv_id, r.call_id): r for r in formatted(stored, rows)}
+    reordered = {c for (c, n), (t, after) in waits.items() if any(waits[(c, x)][0] >= t for x in after)}
+    for (conv, name), (turn, _) in waits.items():
+        r, want = got[(conv, name)], depth(conv, name)
+        if conv not in reordered:
+            assert (r.place, r.level) == (turn, 0)
+        elif want is None:
+            assert r.status == "cycle" and r.place == turn
+        else:
+            assert (r.level, r.place) == want and r.status == "unanswered"
+
+
 def canonical(value):
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
