@@ -2,7 +2,7 @@
 
     python -m paddock full-load --raw RAW --root ROOT [--source NAME] [--top-n 10]
     python -m paddock incremental --raw RAW --root ROOT --dates 2021-03-21 2021-03-28 ...
-        [--buckets 0] [--feeds results ...] [--processed-db DB] [--presentation-db DB]
+        [--buckets 8] [--feeds results ...] [--processed-db DB] [--presentation-db DB]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so cluster
 settings (master, shuffle partitions, checkpoint folder) are taken from
@@ -16,6 +16,8 @@ import json
 
 from pyspark.sql import SparkSession
 
+from paddock.plans.ingest import DEFAULT_BUCKETS
+
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="paddock")
@@ -30,7 +32,7 @@ def main(argv=None) -> None:
         p.add_argument("--presentation-db")
         if name == "incremental":
             p.add_argument("--dates", nargs="+", required=True)
-            p.add_argument("--buckets", type=int, default=0)
+            p.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
             p.add_argument("--feeds", nargs="+", help="feeds to load (default: all eight)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"paddock-{args.job}").getOrCreate()

@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from paddock.plans.ingest import INGEST_ORDER, ingest, partition_columns, with_period
+from paddock.plans.ingest import (DEFAULT_BUCKETS, INGEST_ORDER, ingest, partition_columns,
+                                  with_period)
 from paddock.plans.presentation import (calculated_results_incremental,
                                         race_results_incremental, register_layers,
                                         standings_incremental)
@@ -30,7 +31,7 @@ def run_batch(spark: SparkSession, raw_root: str, processed_root: str,
               presentation_root: str, file_date: str, data_source: str = "",
               stamp: Stamp = None, top_n: int = 10,
               feeds: Sequence[str] = INGEST_ORDER,
-              presentation: Sequence[str] = PRESENTATION_STEPS, buckets: int = 0,
+              presentation: Sequence[str] = PRESENTATION_STEPS, buckets: int = DEFAULT_BUCKETS,
               standings_mode: str = "merge") -> None:
     for name in feeds:
         ingest(spark, raw_root, processed_root, name, data_source, file_date, stamp,
@@ -78,7 +79,7 @@ def run_history(spark: SparkSession, raw_root: str, root: str,
                 feeds: Sequence[str] = INGEST_ORDER,
                 presentation: Sequence[str] = PRESENTATION_STEPS,
                 processed_db: str | None = None, presentation_db: str | None = None,
-                buckets: int = 0, standings_mode: str = "merge") -> dict:
+                buckets: int = DEFAULT_BUCKETS, standings_mode: str = "merge") -> dict:
     """Process ``file_dates`` in order; returns the layer folders. With database
     names, the folders are registered (and refreshed) as tables after each batch."""
     processed = os.path.join(root, "processed")

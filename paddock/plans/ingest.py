@@ -108,6 +108,10 @@ DEDUPE_KEYS = {
 FACTS = tuple(MERGE_KEYS)
 PERIOD = "race_year"
 BUCKET = "race_bucket"
+# Race buckets a season of the incremental jobs' tables: choose as many as bring a folder, which
+# a one-race delivery rewrites whole, to a few GB (a season of 14 TB: about 4,000); 0 for small
+# tables, one folder a season.
+DEFAULT_BUCKETS = 8
 
 
 def partition_columns(buckets: int = 0) -> list[str]:

@@ -15,7 +15,7 @@ from paddock.functions.conform import partition_column_last
 from paddock.operators.star import calculated_results, race_results
 from paddock.plans import testbed as tb
 from paddock.plans.incremental import run_history
-from paddock.plans.ingest import (CONFORM, MERGE_KEYS, PERIOD, bucket_columns, conform_races,
+from paddock.plans.ingest import (BUCKET, CONFORM, DEFAULT_BUCKETS, MERGE_KEYS, PERIOD, bucket_columns, conform_races,
                                   ingest, ingest_all, partition_columns, prepare_incremental,
                                   with_period)
 from paddock.plans.presentation import (CALCULATED_KEYS, CALCULATED_SCHEMA,
@@ -490,7 +490,7 @@ def ingest_results_incremental(spark, sf_dir):
     layers = run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES, DATA_SOURCE,
                          [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
                          feeds=["races", "results"], presentation=())
-    return spark.read.parquet(os.path.join(layers["processed"], "results"))
+    return spark.read.parquet(os.path.join(layers["processed"], "results")).drop(BUCKET)
 
 
 @query
@@ -546,7 +546,7 @@ def _history_feeds(steps):
     return feeds_needed
 
 
-def _presentation(name, buckets=0):
+def _presentation(name, buckets=None):
     """The whole three-batch history, with the presentation steps ``name`` needs.
 
     ``prepare`` writes the delivery folders (test-data preparation); ``run``
@@ -563,8 +563,10 @@ def _presentation(name, buckets=0):
     def run(spark, raw_root):
         layers = run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES,
                              DATA_SOURCE, [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
-                             feeds=_history_feeds(steps), presentation=steps, buckets=buckets)
-        return spark.read.parquet(os.path.join(layers["presentation"], name))
+                             feeds=_history_feeds(steps), presentation=steps,
+                             buckets=DEFAULT_BUCKETS if buckets is None else buckets)
+        out = spark.read.parquet(os.path.join(layers["presentation"], name))
+        return out.drop(BUCKET) if buckets is None else out
 
     def fn(spark, sf_dir):
         return run(spark, prepare(spark, sf_dir))
@@ -598,7 +600,7 @@ def _stream_run(spark, raw_root):
            tb.batch_stamp(tb.FILE_DATES[-1]), incremental=True)
     ingest_deliveries(spark, raw_root, processed, "results", os.path.join(lake, "_checkpoint"),
                       DATA_SOURCE, tb.batch_stamp)
-    return spark.read.parquet(os.path.join(processed, "results"))
+    return spark.read.parquet(os.path.join(processed, "results")).drop(BUCKET)
 
 
 @query
@@ -648,7 +650,7 @@ def _incremental_fact(name):
         layers = run_history(spark, raw_root, work_dir(spark, "lake"), tb.FILE_DATES,
                              DATA_SOURCE, [tb.batch_stamp(d) for d in tb.FILE_DATES], tb.TOP_N,
                              feeds=["races", name], presentation=())
-        return spark.read.parquet(os.path.join(layers["processed"], name))
+        return spark.read.parquet(os.path.join(layers["processed"], name)).drop(BUCKET)
 
     def fn(spark, sf_dir):
         return run(spark, prepare(spark, sf_dir))

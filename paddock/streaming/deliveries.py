@@ -19,8 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.plans.ingest import (CONFORM, FACTS, MERGE_KEYS, bucket_columns, partition_columns,
-                                  prepare_incremental)
+from paddock.plans.ingest import (CONFORM, DEFAULT_BUCKETS, FACTS, MERGE_KEYS, bucket_columns,
+                                  partition_columns, prepare_incremental)
 from paddock.schemas import RAW_SCHEMAS
 from paddock.sinks.writes import read_or_empty, upsert
 from paddock.sources.feeds import FEED_FILES, FEED_FORMATS
@@ -51,7 +51,8 @@ def delivery_stream(spark: SparkSession, raw_root: str, name: str,
 def ingest_deliveries(spark: SparkSession, raw_root: str, processed_root: str, name: str,
                       checkpoint: str, data_source: str = "",
                       stamp_for: Callable[[str], Stamp] | None = None,
-                      files_per_trigger: int = FILES_PER_TRIGGER, buckets: int = 0) -> None:
+                      files_per_trigger: int = FILES_PER_TRIGGER,
+                      buckets: int = DEFAULT_BUCKETS) -> None:
     """Merge every not-yet-seen delivery of fact ``name`` into the processed table."""
     if name not in FACTS:
         raise ValueError(f"{name} is not an incrementally merged fact")

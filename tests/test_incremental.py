@@ -250,3 +250,41 @@ def test_standings_replace_mode_equals_merge(spark, tmp):
     a = spark.read.parquet(os.path.join(tmp, "driver_standings")).select(cols).collect()
     b = spark.read.parquet(os.path.join(tmp, "rep", "driver_standings")).select(cols).collect()
     assert sorted(a, key=str) == sorted(b, key=str) and len(a) == 3
+
+
+def test_one_race_delivery_rewrites_one_bucket(spark, tmp):
+    """With the default layout a delivery of one race replaces the files of its (season,
+    bucket) folder only."""
+    from paddock.plans.ingest import DEFAULT_BUCKETS, with_bucket
+    assert DEFAULT_BUCKETS > 1
+    path = os.path.join(tmp, "bucketed")
+    schema = "race_year int, race_id long, driver_id long, points int"
+    keys, parts = ["race_id", "driver_id"], ["race_year", "race_bucket"]
+    base = spark.createDataFrame([(2020, r, d, 1) for r in range(16) for d in range(3)], schema)
+    upsert(spark, with_bucket(base, DEFAULT_BUCKETS), path, keys, parts)
+
+    def files():
+        return {os.path.join(a, f) for a, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    before = files()
+    one = spark.createDataFrame([(2020, 5, d, 2) for d in range(3)], schema)
+    upsert(spark, with_bucket(one, DEFAULT_BUCKETS), path, keys, parts, located_by=["race_bucket"])
+    changed = before ^ files()
+    assert changed and all(f"race_bucket={5 % DEFAULT_BUCKETS}/" in f for f in changed)
+    assert spark.read.parquet(path).filter("points = 2").count() == 3
+
+
+def test_standings_follow_a_race_to_its_new_season(spark, tmp):
+    """A race dated to another season: one row each, and both seasons' standings are right."""
+    raw = os.path.join(tmp, "raw")
+    _raw(raw)
+    feeds = ["circuits", "races", "constructors", "drivers", "results"]
+    layers = run_history(spark, raw, os.path.join(tmp, "lake"), DATES, "test",
+                         [f"{d} 06:00:00" for d in DATES], top_n=10, feeds=feeds,
+                         standings_mode="replace")
+    res = spark.read.parquet(os.path.join(layers["processed"], "results"))
+    rr = spark.read.parquet(os.path.join(layers["presentation"], "race_results"))
+    assert res.groupBy("race_id", "driver_id").count().filter("count > 1").count() == 0
+    inc = spark.read.parquet(os.path.join(layers["presentation"], "driver_standings"))
+    full = driver_standings(rr, with_team=False)
+    cols = ["race_year", "driver_name", "total_points", "wins", "rank"]
+    assert sorted(inc.select(cols).collect(), key=str) == sorted(full.select(cols).collect(), key=str)
