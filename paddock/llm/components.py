@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from paddock.llm._common import staged
 
 
-def _contracted(edges: DataFrame) -> DataFrame:
-    """Both stars over edges (u, v): large, then small."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    large = (both.filter("v > u").join(least, "u")
-             .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
-    # every edge now points down: (u, v) with v < u
+def _contracted(edges: DataFrame, name: str) -> DataFrame:
+    """Both stars over stored edges (u, v) with v < u: large, then small."""
+    # large: at its smaller end v, an edge moves to the least neighbour of v. The minima
+    # are stored so that the join has plain shuffles on both sides: a node with very many
+    # neighbours is then split over tasks by adaptive execution.
+    least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), name)
+    large = (edges.join(least.select(F.col("u").alias("v"), "m"), "v", "left")
+             .select("u", F.coalesce("m", "v").alias("v")).distinct())
+    # small: at its larger end, all smaller neighbours meet at the least
     lower = large.groupBy("u").agg(F.min("v").alias("m"))
     moved = (large.join(lower, "u").filter("v <> m")
              .select(F.col("v").alias("u"), F.col("m").alias("v")))
@@ -32,7 +34,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
                                                F.least("u", "v").alias("v")).distinct(), name)
     mark = None
     while True:
-        now = staged(_contracted(now), name)
+        now = staged(_contracted(now, name), name)
         # a star forest maps to itself: compare order-free summaries of the edge sets
         new = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
                       F.countDistinct("u")).first()

@@ -172,7 +172,7 @@ def frequent_keys(keyed: DataFrame, counters: int = COUNTERS) -> list[int]:
 
 
 def _dealt(n_buckets: int, frequent: np.ndarray):
-    """Packs (key, row) entries by bucket; frequent keys' entries stay apart, whole.
+    """Packs (key, row) entries by bucket; frequent keys' entries stay apart (bucket null).
     A row of the input holds keys of one ``row``, or of the packed ``ids`` beside them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -188,11 +188,9 @@ def _dealt(n_buckets: int, frequent: np.ndarray):
                 hot = frequent[at] == signed
                 if hot.any():
                     yield pa.RecordBatch.from_pydict(
-                        {"bucket": pa.array([None] * int(hot.sum()), pa.int64()),
-                         "key": pa.array(signed[hot], pa.int64()),
-                         "row": pa.array(rows[hot], pa.int64()),
-                         "keys": pa.array([None] * int(hot.sum()), pa.binary()),
-                         "rows": pa.array([None] * int(hot.sum()), pa.binary())})
+                        {"bucket": pa.array([None], pa.int64()),
+                         "keys": pa.array([signed[hot].tobytes()], pa.binary()),
+                         "rows": pa.array([rows[hot].tobytes()], pa.binary())})
                     keys, rows = keys[~hot], rows[~hot]
             bucket = (keys >> np.uint64(32)).astype(np.int64) % n_buckets
             order = np.argsort(bucket, kind="stable")
@@ -202,13 +200,45 @@ def _dealt(n_buckets: int, frequent: np.ndarray):
             parts = list(zip(edges[:-1], edges[1:]))
             yield pa.RecordBatch.from_pydict(
                 {"bucket": pa.array(used, pa.int64()),
-                 "key": pa.array([None] * len(used), pa.int64()),
-                 "row": pa.array([None] * len(used), pa.int64()),
                  "keys": pa.array([keys[i:j].tobytes() for i, j in parts], pa.binary()),
                  "rows": pa.array([rows[i:j].tobytes() for i, j in parts], pa.binary())})
     return run
 
 
+def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(b.column(c).to_pylist()), np.int64) for c in ("keys", "rows"))
+
+
+def _least_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, hub): every frequent key's least row in each batch."""
+    for b in batches:
+        keys, rows = _unpacked(b)
+        order = np.lexsort((rows, keys))
+        own, first = np.unique(keys[order], return_index=True)
+        yield pa.RecordBatch.from_pydict({"key": pa.array(own, pa.int64()),
+                                          "hub": pa.array(rows[order][first], pa.int64())})
+
+
+def _hub_edges(hubs):
+    """Edges that connect each row with the hubs of its frequent keys: the row with the
+    least of them, and that one with the others, each once in a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, hub = hubs.value
+        for b in batches:
+            keys, rows = _unpacked(b)
+            own = hub[np.searchsorted(known, keys)]
+            order = np.lexsort((own, rows))
+            rows, own = rows[order], own[order]
+            first = np.concatenate(([True], rows[1:] != rows[:-1]))
+            least = own[np.flatnonzero(first)][np.cumsum(first) - 1]
+            edges = np.unique(np.concatenate((np.stack((rows[first], own[first]), axis=1),
+                                              np.stack((own, least), axis=1))), axis=0)
+            edges = edges[edges[:, 0] != edges[:, 1]]
+            yield pa.RecordBatch.from_pydict({"u": pa.array(edges[:, 0], pa.int64()),
+                                              "v": pa.array(edges[:, 1], pa.int64())})
+    return run
+
+
 def _stars(table: pa.Table) -> pa.Table:
     """Edges (u, v) from each row of a bucket to the smallest row with the same key.
     Two keys of a bucket may agree in their lower half: cells then grow, no more."""
@@ -228,15 +258,18 @@ def cells(keyed: DataFrame, counters: int = COUNTERS) -> DataFrame:
     spark = keyed.sparkSession
     frequent = np.array(frequent_keys(keyed, counters), np.int64)
     dealt = staged(keyed.select("ids" if "ids" in keyed.columns else "row", "keys").mapInArrow(
-        _dealt(shuffle_partitions(spark), frequent),
-        "bucket long, key long, row long, keys binary, rows binary"), "ngram_join_dealt")
-    light = (dealt.filter("bucket IS NOT NULL").select("bucket", "keys", "rows")
+        _dealt(shuffle_partitions(spark), frequent), "bucket long, keys binary, rows binary"),
+        "ngram_join_dealt")
+    edges = (dealt.filter("bucket IS NOT NULL")
              .groupBy("bucket").applyInArrow(_stars, "u long, v long"))
-    hot = dealt.filter("key IS NOT NULL").select("key", "row")
-    hubs = hot.groupBy("key").agg(F.min("row").alias("hub"))    # at most ``counters`` rows
-    heavy = (hot.join(F.broadcast(hubs), "key").filter("row <> hub")
-             .select(F.col("row").alias("u"), F.col("hub").alias("v")))
-    return components(light.unionByName(heavy), "ngram_join_cells")
+    if len(frequent):
+        hot = dealt.filter("bucket IS NULL").select("keys", "rows")
+        # at most ``counters`` rows
+        hubs = sorted((r["key"], r["hub"]) for r in hot.mapInArrow(_least_rows, "key long, hub long")
+                      .groupBy("key").agg(F.min("hub").alias("hub")).collect())
+        shipped = spark.sparkContext.broadcast(tuple(np.array(hubs, np.int64).reshape(-1, 2).T.copy()))
+        edges = edges.unionByName(hot.mapInArrow(_hub_edges(shipped), "u long, v long"))
+    return components(edges, "ngram_join_cells")
 
 
 class RTree:
@@ -367,12 +400,13 @@ def blocked(members: DataFrame, similarity: Fraction, block: int = BLOCK) -> Dat
     others. A small cell is one task. A large one is cut by size into bands such that
     links stay in a band or cross to the next, and each band by hash into blocks; any
     two blocks that links may cross are one task."""
-    sizes = members.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
-    known = members.join(sizes, "cell")
-    small = (known.filter(F.col("size") <= block)
+    members = staged(members, "ngram_join_members")
+    big = staged(members.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
+                 .filter(F.col("size") > block).select("cell"), "ngram_join_big")
+    small = (members.join(big, "cell", "left_anti")
              .select("cell", F.lit(0).cast("long").alias("pair"), F.lit(0).alias("side"), "row"))
     ratio = float(similarity)
-    large = staged(known.filter(F.col("size") > block)
+    large = staged(members.join(big, "cell")
                    .withColumn("band", F.floor(F.log("n") / (math.log(1 / ratio) * (1 + 1e-9)))),
                    "ngram_join_large")
     bands = (large.groupBy("cell", "band").agg(F.count(F.lit(1)).alias("held"))
