@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from paddock.llm._common import id_and_text
 
 WHITE = "\t-\r \x85\xa0  -     　"
-MAX_WORDS = 500_000       # entries of a worker's word cache before it starts anew
+MAX_WORDS = 300_000       # entries of a worker's word cache before it starts anew
 MAX_ARCS = 1 << 21        # entries of a worker's transition table before it starts anew
 CHUNK_CHARS = 1_500_000   # characters whose pieces are held at once
 LONG_WORD = 64            # bytes; longer words are encoded in batches of their own

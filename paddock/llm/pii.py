@@ -42,7 +42,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"\S+")
 EDGE = ".,;:!?\"'()[]<>{}|"
-MAX_TYPES = 400_000       # words of a worker's type cache before it starts anew
+MAX_TYPES = 150_000       # words of a worker's type cache before it starts anew
 BATCH_TOKENS = 200_000    # padded places decoded together
 
 Span = tuple[str, int, int]

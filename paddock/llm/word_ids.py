@@ -17,9 +17,9 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-from paddock.llm.bpe import Automaton, byte_alphabet, classes, unknown
+from paddock.llm.bpe import Automaton, byte_alphabet, classes
 
-MAX_WORDS = 400_000       # entries of each of a worker's two caches before it starts anew
+MAX_WORDS = 300_000       # entries of each of a worker's two caches before it starts anew
 CHUNK_CHARS = 1_500_000   # characters whose words are held at once
 
 
@@ -51,8 +51,6 @@ class WordCodec:
         self.odd = re.compile("[\x1c-\x1f]")
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.older_words: dict[str, bytes] = {}    # the caches before they started anew
-        self.older_parts: dict[str, bytes] = {}
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes()
@@ -68,7 +66,7 @@ class WordCodec:
                 other.append(w)
         self.words.update(zip(other, self._by_library(other)))
         cut = [self.pieces.findall(w.lower()) for w in plain]
-        new = unknown({p for c in cut for p in c}, self.parts, self.older_parts)
+        new = sorted({p for c in cut for p in c} - self.parts.keys())
         self.parts.update(zip(new, self.automaton.encode_words(
             [p.encode() + b"\xff" for p in new])))
         part = self.parts.__getitem__
@@ -85,13 +83,13 @@ class WordCodec:
                 j += 1
             cut = [None if self.odd.search(t) else t.split() for t in texts[i:j]]
             if len(self.words) > MAX_WORDS:
-                self.words, self.older_words = {}, self.words
+                self.words = {}
             if len(self.parts) > MAX_WORDS:
-                self.parts, self.older_parts = {}, self.parts
+                self.parts = {}
             new: set[str] = set()
             for c in cut:
                 new.update(c or ())
-            self._learn(unknown(new, self.words, self.older_words))
+            self._learn(sorted(new - self.words.keys()))
             known = self.words.__getitem__
             out += [self._by_library([t])[0] if c is None else b"".join(map(known, c))
                     for t, c in zip(texts[i:j], cut)]
