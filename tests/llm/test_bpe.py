@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from paddock.llm import bpe, word_ids
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 BYTE, WORD = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 

@@ -6,7 +6,7 @@ import pytest
 
 from paddock.llm import exact_dedup as D
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 
 def expected(pairs):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock.llm import language_id as L
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 
 def brute_ngrams(text):

@@ -9,7 +9,7 @@ import pytest
 from paddock.llm import ngram_join as J
 from paddock.llm.components import components
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from paddock.llm import packing
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 WORD = P.path("word_bpe_49k.json")
 

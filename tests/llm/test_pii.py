@@ -7,7 +7,7 @@ import pytest
 
 from paddock.llm import crf, pii
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 
 def brute(text):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import types as T
 
 import corpus_pipeline as C
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 
 def prose(draw, n):

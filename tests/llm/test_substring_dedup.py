@@ -6,7 +6,7 @@ import pytest
 from paddock.llm import substring_dedup as S
 from paddock.llm.shingles import lowered
 
-from conftest_llm import ODD
+from llm.conftest_llm import ODD
 
 
 def sentence(draw, n):
