@@ -171,27 +171,28 @@ def frequent_keys(keyed: DataFrame, counters: int = COUNTERS) -> list[int]:
     return sorted(r["key"] for r in rows)
 
 
+def _entries(b: pa.RecordBatch, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, rows and whether the key is frequent, of a batch that holds the packed keys
+    of one ``row``, or of the packed ``ids`` beside them, per line."""
+    blobs = b.column("keys").to_pylist()
+    keys = np.frombuffer(b"".join(blobs), np.uint64)
+    if "ids" in b.schema.names:
+        rows = np.frombuffer(b"".join(b.column("ids").to_pylist()), np.int64)
+    else:
+        rows = np.repeat(b.column("row").to_numpy(), [len(x) // 8 for x in blobs])
+    if not len(frequent):
+        return keys, rows, np.zeros(len(keys), bool)
+    signed = keys.view(np.int64)
+    at = np.minimum(np.searchsorted(frequent, signed), len(frequent) - 1)
+    return keys, rows, frequent[at] == signed
+
+
 def _dealt(n_buckets: int, frequent: np.ndarray):
-    """Packs (key, row) entries by bucket; frequent keys' entries stay apart (bucket null).
-    A row of the input holds keys of one ``row``, or of the packed ``ids`` beside them."""
+    """Packs the entries of other than frequent keys by bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            blobs = b.column("keys").to_pylist()
-            keys = np.frombuffer(b"".join(blobs), np.uint64)
-            if "ids" in b.schema.names:
-                rows = np.frombuffer(b"".join(b.column("ids").to_pylist()), np.int64)
-            else:
-                rows = np.repeat(b.column("row").to_numpy(), [len(x) // 8 for x in blobs])
-            signed = keys.view(np.int64)
-            if len(frequent):
-                at = np.minimum(np.searchsorted(frequent, signed), len(frequent) - 1)
-                hot = frequent[at] == signed
-                if hot.any():
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": pa.array([None], pa.int64()),
-                         "keys": pa.array([signed[hot].tobytes()], pa.binary()),
-                         "rows": pa.array([rows[hot].tobytes()], pa.binary())})
-                    keys, rows = keys[~hot], rows[~hot]
+            keys, rows, hot = _entries(b, frequent)
+            keys, rows = keys[~hot], rows[~hot]
             bucket = (keys >> np.uint64(32)).astype(np.int64) % n_buckets
             order = np.argsort(bucket, kind="stable")
             keys, rows, bucket = keys[order].astype(np.uint32), rows[order], bucket[order]
@@ -205,6 +206,17 @@ def _dealt(n_buckets: int, frequent: np.ndarray):
     return run
 
 
+def _hot(frequent: np.ndarray):
+    """Packs the entries of frequent keys by batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, rows, hot = _entries(b, frequent)
+            if hot.any():
+                yield pa.RecordBatch.from_pydict({"keys": pa.array([keys[hot].tobytes()], pa.binary()),
+                                                  "rows": pa.array([rows[hot].tobytes()], pa.binary())})
+    return run
+
+
 def _unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.frombuffer(b"".join(b.column(c).to_pylist()), np.int64) for c in ("keys", "rows"))
 
@@ -257,13 +269,12 @@ def cells(keyed: DataFrame, counters: int = COUNTERS) -> DataFrame:
     keys) or (ids, keys)."""
     spark = keyed.sparkSession
     frequent = np.array(frequent_keys(keyed, counters), np.int64)
-    dealt = staged(keyed.select("ids" if "ids" in keyed.columns else "row", "keys").mapInArrow(
-        _dealt(shuffle_partitions(spark), frequent), "bucket long, keys binary, rows binary"),
-        "ngram_join_dealt")
-    edges = (dealt.filter("bucket IS NOT NULL")
+    own = keyed.select("ids" if "ids" in keyed.columns else "row", "keys")
+    edges = (own.mapInArrow(_dealt(shuffle_partitions(spark), frequent),
+                            "bucket long, keys binary, rows binary")
              .groupBy("bucket").applyInArrow(_stars, "u long, v long"))
     if len(frequent):
-        hot = dealt.filter("bucket IS NULL").select("keys", "rows")
+        hot = staged(own.mapInArrow(_hot(frequent), "keys binary, rows binary"), "ngram_join_frequent")
         # at most ``counters`` rows
         hubs = sorted((r["key"], r["hub"]) for r in hot.mapInArrow(_least_rows, "key long, hub long")
                       .groupBy("key").agg(F.min("hub").alias("hub")).collect())

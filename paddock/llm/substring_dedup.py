@@ -222,7 +222,15 @@ def repeated_units(docs: DataFrame, units: DataFrame, k: int, similarity: Fracti
                                           F.max("high").alias("high")).filter("low < high"))
     table = alone.unionByName(linked.select("mark", "class").join(groups.select("class", "first"),
                                                                   "class"))
-    return (each.join(table, "mark")
+    # two words a unit travel by mark, not four
+    pack = lambda high, low: F.shiftleft(F.col(high).cast("long"), 32) + F.col(low)
+    spans = each.select("row", "doc_id", "i", "mark", pack("start", "end").alias("span"),
+                        pack("word", "n_words").alias("words"))
+    halves = [F.shiftright(F.col(c), 32).cast("int").alias(h) for c, h in (("span", "start"),
+                                                                          ("words", "word"))]
+    halves += [F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(h) for c, h in
+               (("span", "end"), ("words", "n_words"))]
+    return (spans.join(table, "mark").select("*", *halves)
             .select("row", "doc_id", "i", "start", "end", "word", "n_words", "class",
                     F.col("first.doc_id").alias("owner"),
                     ((F.col("first.row") != F.col("row")) | (F.col("first.i") != F.col("i")))
