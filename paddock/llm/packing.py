@@ -68,6 +68,7 @@ def _pieces(vocabulary: str, capacity: int, with_ids: bool):
                 use = len(names) if with_ids else len(names) - 1
                 yield pa.RecordBatch.from_pydict(
                     {n: pa.array(c, k) for n, c, k in zip(names[:use], cols, kinds)})
+        own.forget()
     return run
 
 

@@ -72,6 +72,10 @@ class WordCodec:
         part = self.parts.__getitem__
         self.words.update(zip(plain, [b"".join(map(part, c)) for c in cut]))
 
+    def forget(self) -> None:
+        """Empties the caches: an idle worker holds no words between tasks."""
+        self.words, self.parts = {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
