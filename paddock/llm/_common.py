@@ -23,16 +23,23 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder of ``spark.checkpoint.dir`` and
     read it back: lineage is cut, a lost executor costs only its own tasks, and
     what several later steps read is computed once."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str, row: str = "row") -> DataFrame:
+    """``df`` with a number of every row, stored. File splits, and so numbers given in
+    the scan, may differ from job to job (with the executors there are); every step that
+    knows rows by number reads this table."""
+    return staged(df.withColumn(row, F.monotonically_increasing_id()), name, "zstd")
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
@@ -45,10 +52,13 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return ready(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The two columns an operator reads, under fixed names; null text counts as
-    empty. Every other column, whatever its name, is left unread."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                row_col: str | None = None) -> DataFrame:
+    """The two columns an operator reads (and the rows' stored numbers, if ``row_col``
+    names them), under fixed names; null text counts as empty. Every other column,
+    whatever its name, is left unread."""
+    row = [F.col(f"`{row_col}`").alias("row")] if row_col else []
+    return docs.select(*row, F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 

@@ -13,8 +13,8 @@ Defined cases: null text counts as empty; equality is of whole texts without any
 normalisation; of equal texts the largest doc_id stays (a null doc_id is smaller
 than any other); of repeated rows with that same doc_id exactly one stays. An
 empty table gives an empty result. Extra columns are never read; ``drop_copies``
-returns them unchanged. The input must be a stable table (files), because the
-row marker is the position in the scan.
+returns them unchanged. Rows are numbered once: the numbers are stored with the
+digests, by ``drop_copies`` with all columns.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paddock.llm._common import fresh, id_and_text, staged
+from paddock.llm._common import fresh, id_and_text, numbered, staged
 
 COUNTERS = 1024
 
@@ -77,23 +77,27 @@ def decide(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
         (F.col("row") == F.col("winner.row")).alias("kept"))
 
 
-def digest_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return id_and_text(docs, id_col, text_col).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",
+def digest_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 row_col: str | None = None) -> DataFrame:
+    row = F.col("row") if row_col else F.monotonically_increasing_id().alias("row")
+    return id_and_text(docs, id_col, text_col, row_col).select(
+        row, "doc_id",
         F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     counters: int = COUNTERS) -> DataFrame:
-    """One row per input row: row, doc_id, digest, keep_id, group_size, kept."""
-    return decide(staged(digest_table(docs, id_col, text_col), "exact_dedup_digests"), counters)
+                     counters: int = COUNTERS, row_col: str | None = None) -> DataFrame:
+    """One row per input row: row (the stored number, if ``row_col`` names it), doc_id,
+    digest, keep_id, group_size, kept."""
+    return decide(staged(digest_table(docs, id_col, text_col, row_col), "exact_dedup_digests"),
+                  counters)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     row = fresh(docs, "row")
-    gone = (exact_duplicates(docs, id_col, text_col, counters).filter(~F.col("kept"))
+    rows = numbered(docs, "exact_dedup_rows", row)
+    gone = (exact_duplicates(rows, id_col, text_col, counters, row).filter(~F.col("kept"))
             .select(F.col("row").alias(row)))
-    return (docs.withColumn(row, F.monotonically_increasing_id())
-            .join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns]))
+    return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

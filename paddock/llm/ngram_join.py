@@ -25,8 +25,8 @@ of an R-tree node bound it for all points below.
 Defined cases: null or empty text, and text without a word, has an empty set, which
 is linked with nothing (component_id is its doc_id); repeated rows are linked by their
 equal sets; a null doc_id is smaller than none: a component of null ids only has a
-null id; an empty table gives an empty result; extra columns are not read. The input
-must be a stable table, because rows are known by their position in the scan.
+null id; an empty table gives an empty result; extra columns are not read. Rows are
+numbered once, and the numbers stored with what later steps read of them.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm._common import fresh, id_and_text, shuffle_partitions, staged
+from paddock.llm._common import fresh, id_and_text, numbered, shuffle_partitions, staged
 from paddock.llm.components import components
 from paddock.llm.shingles import chunks, lowered, mix, shingle_hashes, words
 
@@ -461,15 +461,13 @@ def cell_links(members: DataFrame, sets: DataFrame, similarity: Fraction = SIMIL
             .groupBy("bucket").applyInArrow(_verified(similarity), "u long, v long"))
 
 
-def links(docs: DataFrame, keyed: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Links between rows of ``docs``; ``keyed`` has (row, n, keys)."""
+def links(rows: DataFrame, keyed: DataFrame, k: int = K,
+          similarity: Fraction = SIMILARITY) -> DataFrame:
+    """Links between ``rows`` (row, text: a stored table); ``keyed`` has (row, n, keys)."""
     found = staged(cells(keyed), "ngram_join_members")
     sized = found.join(keyed.select(F.col("row").alias("node"), "n"), "node")
     members = sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n")
-    texts = (id_and_text(docs, id_col, text_col)
-             .select(F.monotonically_increasing_id().alias("row"), "text"))
-    sets = (texts.join(found.select(F.col("node").alias("row")), "row", "left_semi")
+    sets = (rows.select("row", "text").join(found.select(F.col("node").alias("row")), "row", "left_semi")
             .mapInArrow(_with_sets(k), "row long, shingles binary"))
     return cell_links(members, sets, similarity)
 
@@ -477,8 +475,13 @@ def links(docs: DataFrame, keyed: DataFrame, k: int = K, similarity: Fraction =
 def signatures(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row, doc_id, n, mark (of the set; null if empty), keys (packed) of every row."""
-    source = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    return staged(source.mapInArrow(_signatures(k, similarity),
+    return row_signatures(numbered(id_and_text(docs, id_col, text_col), "ngram_join_rows"),
+                          k, similarity)
+
+
+def row_signatures(rows: DataFrame, k: int, similarity: Fraction) -> DataFrame:
+    """``signatures`` of (row, doc_id, text), a stored table."""
+    return staged(rows.mapInArrow(_signatures(k, similarity),
                                     "row long, doc_id long, n long, mark binary, keys binary"),
                   "ngram_join_signatures")
 
@@ -486,7 +489,13 @@ def signatures(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
 def classes(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: row, doc_id, n_shingles, component_id."""
-    signed = signatures(docs, k, similarity, id_col, text_col)
+    return row_classes(numbered(id_and_text(docs, id_col, text_col), "ngram_join_rows"),
+                       k, similarity)
+
+
+def row_classes(rows: DataFrame, k: int, similarity: Fraction) -> DataFrame:
+    """``classes`` of (row, doc_id, text), a stored table."""
+    signed = row_signatures(rows, k, similarity)
     equal = staged(signed.filter("mark IS NOT NULL").groupBy("mark", "n")
                    .agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("held"),
                         F.min("doc_id").alias("least")), "ngram_join_equal")
@@ -498,9 +507,8 @@ def classes(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
     keyed = (signed.filter("length(keys) > 0").select("row", "n", "keys")
              .join(again.select("row"), "row", "left_anti"))
     keyed = staged(keyed, "ngram_join_keyed")
-    roots = staged(components(staged(links(docs, keyed, k, similarity, id_col, text_col),
-                                     "ngram_join_links"), "ngram_join_components"),
-                   "ngram_join_roots")
+    roots = staged(components(staged(links(rows, keyed, k, similarity), "ngram_join_links"),
+                              "ngram_join_components"), "ngram_join_roots")
     # the least doc_id of every component, over its distinct sets
     firsts = equal.select(F.col("first").alias("node"), "least").join(roots, "node")
     least = firsts.groupBy("root").agg(F.min("least").alias("component"))
@@ -517,14 +525,15 @@ def keep_one(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when of every component only the smallest doc_id
     does (of repeated rows the first), with all their columns; empty sets all stay."""
-    found = staged(classes(docs, k, similarity, id_col, text_col), "ngram_join_classes")
+    row = fresh(docs, "row")
+    rows = numbered(docs, "ngram_join_rows", row)
+    found = staged(row_classes(id_and_text(rows, id_col, text_col, row), k, similarity),
+                   "ngram_join_classes")
     linked = found.filter("n_shingles > 0")
     first = (linked.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"),
         F.count(F.lit(1)).alias("held")).filter("held > 1")
         .select("component_id", F.col("first.row").alias("first")))
-    row = fresh(docs, "row")
     gone = (linked.join(first, "component_id").filter("row <> first")
             .select(F.col("row").alias(row)))
-    return (docs.withColumn(row, F.monotonically_increasing_id())
-            .join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns]))
+    return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

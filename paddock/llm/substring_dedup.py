@@ -20,8 +20,8 @@ that are not.
 Defined cases: null or empty text has no unit; a null doc_id comes after all others as
 first occurrence; repeated rows repeat their passages; repeats within one document
 alone are no removals; an empty table gives an empty result; extra columns are not
-read by ``passages`` and kept by ``remove_passages``. The input must be a stable table,
-because rows are known by their position in the scan.
+read by ``passages`` and kept by ``remove_passages``. Rows are numbered once, and the
+numbers stored with what later steps read of them.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paddock.llm._common import fresh, id_and_text, staged
+from paddock.llm._common import fresh, id_and_text, numbered, staged
 from paddock.llm.components import components
 from paddock.llm.ngram_join import cell_links, cells
 from paddock.llm.shingles import _PLACE, chunks, lowered, mix, words
@@ -177,23 +177,19 @@ def _sets_of(k: int):
     return run
 
 
-def unit_table(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs`` with the arrays of its units, stored."""
-    source = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    return staged(source.mapInArrow(_cut(k, *tuned(float(similarity))), UNITS), "passages_units")
+def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY) -> DataFrame:
+    """One row per row of ``rows`` (row, doc_id, text) with the arrays of its units, stored."""
+    return staged(rows.mapInArrow(_cut(k, *tuned(float(similarity))), UNITS), "passages_units")
 
 
-def near_classes(docs: DataFrame, units: DataFrame, occurrences: DataFrame, k: int,
-                 similarity: Fraction, text_col: str) -> DataFrame:
+def near_classes(rows: DataFrame, units: DataFrame, occurrences: DataFrame, k: int,
+                 similarity: Fraction) -> DataFrame:
     """(mark, root) of units that a verified link connects with another mark."""
     found = staged(cells(units.filter("length(keys) > 0").select("ids", "keys")), "passages_cells")
     wanted = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
               .groupBy(F.col("first.row").alias("row"))
               .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
-    texts = docs.select(F.monotonically_increasing_id().alias("row"),
-                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    sets = staged(texts.join(wanted, "row").select("text", "wanted")
+    sets = staged(rows.select("row", "text").join(wanted, "row").select("text", "wanted")
                   .mapInArrow(_sets_of(k), "row long, n long, shingles binary"), "passages_sets")
     members = (found.join(sets.select(F.col("row").alias("node"), "n"), "node")
                .select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"))
@@ -201,8 +197,8 @@ def near_classes(docs: DataFrame, units: DataFrame, occurrences: DataFrame, k: i
     return components(links, "passages_components").select(F.col("node").alias("mark"), "root")
 
 
-def repeated_units(docs: DataFrame, units: DataFrame, k: int, similarity: Fraction,
-                   text_col: str) -> DataFrame:
+def repeated_units(rows: DataFrame, units: DataFrame, k: int,
+                   similarity: Fraction) -> DataFrame:
     """(row, doc_id, i, start, end, word, n_words, class, owner, removed): units of
     classes found in two documents or more."""
     each = units.select("row", "doc_id", F.posexplode(F.arrays_zip(
@@ -212,7 +208,7 @@ def repeated_units(docs: DataFrame, units: DataFrame, k: int, similarity: Fracti
     occurrences = staged(each.groupBy("mark").agg(
         F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")),
         "passages_marks")
-    near = staged(near_classes(docs, units, occurrences, k, similarity, text_col), "passages_near")
+    near = staged(near_classes(rows, units, occurrences, k, similarity), "passages_near")
     known = occurrences.join(near, "mark", "left").withColumn("class", F.coalesce("root", "mark"))
     # a class of one mark is decided by its own row; only linked marks are grouped
     alone = (known.filter("root IS NULL AND low < high")
@@ -243,8 +239,14 @@ def passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
     """One row per passage that repeats across documents: row, doc_id, start, end (code
     points, end exclusive), n_words, n_units, removed (false: the first occurrence),
     first_doc_id (the smallest doc_id that holds its first unit's class)."""
-    units = unit_table(docs, k, similarity, id_col, text_col)
-    found = repeated_units(docs, units, k, similarity, text_col)
+    return row_passages(numbered(id_and_text(docs, id_col, text_col), "passages_rows"),
+                        k, similarity, min_words)
+
+
+def row_passages(rows: DataFrame, k: int, similarity: Fraction, min_words: int) -> DataFrame:
+    """``passages`` of (row, doc_id, text), a stored table."""
+    units = unit_table(rows, k, similarity)
+    found = repeated_units(rows, units, k, similarity)
     by = Window.partitionBy("row").orderBy("i")
     runs = (found.withColumn("run", F.col("i") - F.row_number().over(by))
             .withColumn("run_words", F.max(F.col("word") + F.col("n_words")).over(
@@ -269,10 +271,11 @@ def remove_passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARI
                     text_col: str = "text") -> DataFrame:
     """``docs`` without the passages to be removed; all rows and columns stay."""
     row, cuts = fresh(docs, "row"), fresh(docs, "cuts")
-    gone = (passages(docs, k, similarity, min_words, id_col, text_col).filter("removed")
-            .groupBy(F.col("row").alias(row))
+    rows = numbered(docs, "passages_rows", row)
+    gone = (row_passages(id_and_text(rows, id_col, text_col, row), k, similarity, min_words)
+            .filter("removed").groupBy(F.col("row").alias(row))
             .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(cuts)))  # of one text
-    marked = docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left")
+    marked = rows.join(gone, row, "left")
     # what stays: from the end of each cut to the start of the next
     text, spans = F.col(f"`{text_col}`"), F.col(cuts)
     size = F.length(text).cast("long")

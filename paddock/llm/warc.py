@@ -16,7 +16,8 @@ page_id is the response and the others revisit it; smaller ones are all response
 Defined cases: null html is an empty payload; null page_id sorts below any other and
 is written without a page number; of repeated rows one is the response and the others
 revisit it; a null url is written empty and control characters in it are percent-coded;
-an empty table gives no file and an empty result; extra columns are not read.
+an empty table gives no file and an empty result; extra columns are not read. Rows are
+numbered once, and the numbers stored with what is written of them.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm._common import staged
+from paddock.llm._common import numbered, staged
 from paddock.session import work_dir
 
 MIN_BYTES = 1000
@@ -189,10 +190,10 @@ def _make_folder(path: str) -> str:
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """row, page_id, url, payload, digest, revisit, refers_to for every page."""
     source = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
+        F.col("page_id").cast("long").alias("page_id"),
         F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    source = source.withColumn("digest", F.sha1("payload"))
+    source = numbered(source.withColumn("digest", F.sha1("payload")), "warc_rows")
     large = staged(source.filter(F.octet_length("payload") >= min_bytes)
                    .select("row", "page_id", F.unhex("digest").alias("digest")), "warc_digests")
     winners = (large.groupBy("digest").agg(F.count(F.lit(1)).alias("n"),
