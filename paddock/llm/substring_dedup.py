@@ -2,7 +2,8 @@
 
 A text is cut into units: at line breaks, after sentence ends (a word that ends in
 one . ! or ?) and around runs of one word, so that a passage copied into the middle of other
-text shares whole units with its other places. Units of ``k`` words or more are compared:
+text shares whole units with its other places. Units of ``k`` words or more, and
+paragraphs (lines of several units), are compared:
 
 1. every unit's word shingles give a mark (equal units, equal marks) and ``bands`` band
    keys of ``rows`` MinHash values each, tuned for recall at the similarity;
@@ -10,9 +11,13 @@ text shares whole units with its other places. Units of ``k`` words or more are
    Jaccard similarity of shingle sets is verified (the join of ``ngram_join``);
 3. components of the verified links are classes; a class found in two documents or more
    is repeated, and all but its first occurrence (by doc_id, then place) are removals;
-4. neighbouring repeated units of a document (shorter units between them included) form
-   a passage; passages of at least ``min_words`` words count, so that stock phrases and
-   licence lines stay.
+4. every window of ``min_words`` words, wherever sentences end, that is found in two
+   documents or more is repeated as well: an exact match thus reaches word by word as
+   far as it goes. Windows are compared only where the least hash of their shorter windows
+   (``least_seeds``) is found in two documents, which loses none;
+5. repeated spans of a document that touch (units shorter than ``k`` between repeated
+   units included) form a passage; passages of at least ``min_words`` words count, so that
+   stock phrases and licence lines stay.
 
 Marks have 64 bits: of u distinct units about u*u / 2**65 pairs are taken for equal
 that are not.
@@ -39,7 +44,7 @@ from pyspark.sql.window import Window
 from paddock.llm._common import fresh, id_and_text, numbered, staged
 from paddock.llm.components import components
 from paddock.llm.ngram_join import cell_links, cells
-from paddock.llm.shingles import _PLACE, chunks, lowered, mix, words
+from paddock.llm.shingles import _PLACE, _powers, chunks, lowered, mix, words
 
 K = 5
 SIMILARITY = Fraction(4, 5)
@@ -65,9 +70,10 @@ def tuned(similarity: float, recall: float = RECALL, max_bands: int = MAX_BANDS)
 
 
 class Units:
-    """The units of several texts: arrays over units of ``k`` words or more."""
+    """The units of several texts: arrays over units of ``k`` words or more; with ``lines``
+    the paragraphs instead, lines that several units begin in."""
 
-    def __init__(self, texts: list[bytes], k: int):
+    def __init__(self, texts: list[bytes], k: int, lines: bool = False):
         hashes, start, end, first = words(texts)
         n = len(hashes)
         joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
@@ -78,23 +84,29 @@ class Units:
         stop = np.zeros(256, bool)
         stop[[0x2E, 0x21, 0x3F]] = True
         last = stop[joined[hi - 1]] & ~stop[joined[np.maximum(hi - 2, 0)]]
+        line = np.ones(n, bool)
         if n:
-            last[:-1] |= breaks[lo[1:]] > breaks[hi[:-1]]
-            last[-1] = True
+            line[:-1] = breaks[lo[1:]] > breaks[hi[:-1]]
+            last |= line
             # a run of one word, however long, is a unit
             opens = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1])
                                                    | (text[1:] != text[:-1]))))
             run = np.diff(np.append(opens, n))
             last[opens[(run >= k) & (opens > 0)] - 1] = True
             last[(opens + run - 1)[run >= k]] = True
-        close = np.flatnonzero(last)
+        close = np.flatnonzero(line if lines else last)
         open_ = np.concatenate(([0], close[:-1] + 1)) if len(close) else close
         size = close - open_ + 1
         strong = size >= k
+        if lines:
+            ends = np.concatenate(([0], np.cumsum(last)))
+            strong &= ends[close] > ends[open_]
         open_, close, size = open_[strong], close[strong], size[strong]
         chars = np.concatenate(([0], np.cumsum((joined & 0xC0) != 0x80)))
         self.text = text[open_]
         origin = chars[base[self.text]]
+        self.hashes, self.first = hashes, first
+        self.word_start, self.word_end = (chars[x] - chars[base[text]] for x in (lo, hi))
         self.start, self.end = chars[lo[open_]] - origin, chars[hi[close]] - origin
         self.word, self.n_words = open_ - first[self.text], size
         # the shingles of all units, one unit after another
@@ -120,116 +132,244 @@ class Units:
         return out
 
 
-UNITS = ("row long, doc_id long, start array<int>, end array<int>, word array<int>, "
-         "n_words array<int>, mark array<long>, ids binary, keys binary")
+def windows(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` words in a row."""
+    size = len(hashes)
+    power, inverse = _powers(1 << max(12, size.bit_length()))
+    total = np.zeros(size + 1, np.uint64)
+    np.cumsum(hashes * power[:size], out=total[1:])
+    return mix((total[n:] - total[:-n]) * inverse[:size - n + 1]) if size >= n else total[:0]
+
+
+def least_seeds(hashes: np.ndarray, min_words: int) -> np.ndarray:
+    """For every window of ``min_words`` words of a text the least hash of the shorter
+    windows in it (winnowing): equal windows have equal seeds, and neighbours mostly
+    share theirs."""
+    if len(hashes) < min_words:
+        return np.empty(0, np.uint64)
+    short = max(1, min_words // 3)
+    return np.lib.stride_tricks.sliding_window_view(
+        windows(hashes, short), min_words - short + 1).min(axis=1)
+
+
+UNITS = ("row long, doc_id long, level int, start array<int>, end array<int>, word array<int>, "
+         "n_words array<int>, mark array<long>, ids binary, keys binary, seeds array<long>")
+PARTS = ("row long, doc_id long, mark long, word int, start int, end int, n long, "
+         "shingles binary")
+PASSAGE = ("row long, doc_id long, start long, end long, n_words long, n_units long, "
+           "removed boolean, first_doc_id long")
 
 
 def _lists(values: np.ndarray, edge: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(values, kind))
 
 
-def _cut(k: int, bands: int, rows: int):
+def _cut(k: int, bands: int, rows: int, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [lowered(t) for t in b.column("text").to_pylist()]
             for lo, hi in chunks(texts):
-                u = Units(texts[lo:hi], k)
-                edge = np.searchsorted(u.text, np.arange(hi - lo + 1))
-                marks = u.marks.view(np.int64)
-                keys = u.keys(bands, rows)
-                near = np.diff(u.edge) >= LEAST_NEAR
-                ids, blobs = [], []
-                for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                    use = near[a:z]
-                    ids.append(np.repeat(marks[a:z][use], bands).tobytes())
-                    blobs.append(keys[a:z][use].tobytes())
-                yield pa.RecordBatch.from_pydict({
-                    "row": b.column("row").slice(lo, hi - lo),
-                    "doc_id": b.column("doc_id").slice(lo, hi - lo),
-                    "start": _lists(u.start, edge, pa.int32()), "end": _lists(u.end, edge, pa.int32()),
-                    "word": _lists(u.word, edge, pa.int32()),
-                    "n_words": _lists(u.n_words, edge, pa.int32()),
-                    "mark": _lists(marks, edge, pa.int64()),
-                    "ids": pa.array(ids, pa.binary()), "keys": pa.array(blobs, pa.binary())})
+                for level in (0, 1):
+                    u = Units(texts[lo:hi], k, bool(level))
+                    edge = np.searchsorted(u.text, np.arange(hi - lo + 1))
+                    marks = u.marks.view(np.int64)
+                    keys = u.keys(bands, rows)
+                    near = np.diff(u.edge) >= LEAST_NEAR
+                    ids, blobs = [], []
+                    for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                        use = near[a:z]
+                        ids.append(np.repeat(marks[a:z][use], bands).tobytes())
+                        blobs.append(keys[a:z][use].tobytes())
+                    seeds = [np.empty(0, np.int64)] * (hi - lo) if level else [
+                        np.unique(least_seeds(u.hashes[x:y], min_words)).view(np.int64)
+                        for x, y in zip(u.first[:-1].tolist(), u.first[1:].tolist())]
+                    yield pa.RecordBatch.from_pydict({
+                        "row": b.column("row").slice(lo, hi - lo),
+                        "doc_id": b.column("doc_id").slice(lo, hi - lo),
+                        "level": pa.array([level] * (hi - lo), pa.int32()),
+                        "start": _lists(u.start, edge, pa.int32()),
+                        "end": _lists(u.end, edge, pa.int32()),
+                        "word": _lists(u.word, edge, pa.int32()),
+                        "n_words": _lists(u.n_words, edge, pa.int32()),
+                        "mark": _lists(marks, edge, pa.int64()),
+                        "ids": pa.array(ids, pa.binary()), "keys": pa.array(blobs, pa.binary()),
+                        "seeds": _lists(np.concatenate(seeds), np.cumsum(
+                            [0, *map(len, seeds)]), pa.int64())})
     return run
 
 
-def _sets_of(k: int):
-    """Shingle sets of the wanted marks of every text."""
+def _parts(k: int, min_words: int):
+    """Shingle sets of the wanted marks, and the windows of the seeds, of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [lowered(t) for t in b.column("text").to_pylist()]
-            wanted = b.column("wanted").to_pylist()
+            wanted, seeds = b.column("wanted").to_pylist(), b.column("seeds").to_pylist()
+            rows, ids = b.column("row").to_pylist(), b.column("doc_id").to_pylist()
             for lo, hi in chunks(texts):
-                u = Units(texts[lo:hi], k)
-                marks = u.marks.view(np.int64)
                 want = [set(w) for w in wanted[lo:hi]]
                 found, sets = [], []
-                for i, (m, t) in enumerate(zip(marks.tolist(), u.text.tolist())):
-                    if m in want[t]:
-                        want[t].discard(m)
-                        found.append(m)
-                        sets.append(np.unique(u.shingles[u.edge[i]:u.edge[i + 1]]))
+                for level in (0, 1):
+                    u = Units(texts[lo:hi], k, bool(level))
+                    marks = u.marks.view(np.int64)
+                    for i, (m, t) in enumerate(zip(marks.tolist(), u.text.tolist())):
+                        if m in want[t]:
+                            want[t].discard(m)
+                            found.append(m)
+                            sets.append(np.unique(u.shingles[u.edge[i]:u.edge[i + 1]]))
+                none = [None] * len(found)
                 yield pa.RecordBatch.from_pydict({
-                    "row": pa.array(found, pa.int64()),
+                    "row": pa.array(none, pa.int64()), "doc_id": pa.array(none, pa.int64()),
+                    "mark": pa.array(found, pa.int64()), "word": pa.array(none, pa.int32()),
+                    "start": pa.array(none, pa.int32()), "end": pa.array(none, pa.int32()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+                for t in range(hi - lo):
+                    if not seeds[lo + t]:
+                        continue
+                    a, z = int(u.first[t]), int(u.first[t + 1])
+                    at = np.flatnonzero(np.isin(least_seeds(u.hashes[a:z], min_words).view(np.int64),
+                                                np.array(seeds[lo + t], np.int64)))
+                    none = [None] * len(at)
+                    yield pa.RecordBatch.from_pydict({
+                        "row": pa.array([rows[lo + t]] * len(at), pa.int64()),
+                        "doc_id": pa.array([ids[lo + t]] * len(at), pa.int64()),
+                        "mark": pa.array(windows(u.hashes[a:z], min_words)[at].view(np.int64)),
+                        "word": pa.array(at, pa.int32()),
+                        "start": pa.array(u.word_start[a + at], pa.int32()),
+                        "end": pa.array(u.word_end[a + at + min_words - 1], pa.int32()),
+                        "n": pa.array(none, pa.int64()), "shingles": pa.array(none, pa.binary())})
     return run
 
 
-def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY) -> DataFrame:
-    """One row per row of ``rows`` (row, doc_id, text) with the arrays of its units, stored."""
-    return staged(rows.mapInArrow(_cut(k, *tuned(float(similarity))), UNITS), "passages_units")
-
+def _joined(min_words: int):
+    """The passages of every text: its spans, joined where they touch or only units of
+    less than k words lie between, if they hold ``min_words`` words, cut into parts that
+    are removed and parts that stay."""
+    def of_text(spans: list[dict]) -> Iterator[tuple]:
+        spans.sort(key=lambda s: (s["word"], s["level"], s["n_words"]))
+        n = max(s["word"] + s["n_words"] for s in spans)
+        held, gone = np.zeros(n + 2, bool), np.zeros(n + 2, bool)
+        start, end, last = {}, {}, None
+        for s in spans:
+            a, z = s["word"], s["word"] + s["n_words"]
+            start[a], end[z] = s["start"], s["end"]
+            held[a + 1:z + 1] = True
+            gone[a + 1:z + 1] |= s["removed"]
+            if s["level"] == 0:
+                if last and last["i"] + 1 == s["i"]:
+                    gap = last["word"] + last["n_words"]
+                    held[gap + 1:a + 1] = True
+                    gone[gap + 1:a + 1] |= s["removed"] and last["removed"]
+                last = s
+        edge = np.flatnonzero(held[1:] != held[:-1])
+        for a, z in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if z - a < min_words:
+                continue
+            cut = [a, *(np.flatnonzero(gone[a + 2:z + 1] != gone[a + 1:z]) + a + 1).tolist(), z]
+            for x, y in zip(cut[:-1], cut[1:]):
+                own = [s for s in spans if s["word"] < y and s["word"] + s["n_words"] > x
+                       and s["removed"] == bool(gone[x + 1])]
+                units = sum(s["level"] == 0 for s in own)
+                # a part that stays has no edge of its own beside one that goes
+                yield (start[x] if x in start else end[x], end[y] if y in end else start[y],
+                       y - x, units, bool(gone[x + 1]), own[0]["owner"] if own else None)
 
-def near_classes(rows: DataFrame, units: DataFrame, occurrences: DataFrame, k: int,
-                 similarity: Fraction) -> DataFrame:
-    """(mark, root) of units that a verified link connects with another mark."""
-    found = staged(cells(units.filter("length(keys) > 0").select("ids", "keys")), "passages_cells")
-    wanted = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
-              .groupBy(F.col("first.row").alias("row"))
-              .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
-    sets = staged(rows.select("row", "text").join(wanted, "row").select("text", "wanted")
-                  .mapInArrow(_sets_of(k), "row long, n long, shingles binary"), "passages_sets")
-    members = (found.join(sets.select(F.col("row").alias("node"), "n"), "node")
-               .select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"))
-    links = staged(cell_links(members, sets.select("row", "shingles"), similarity), "passages_links")
-    return components(links, "passages_components").select(F.col("node").alias("mark"), "root")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split() for x in PASSAGE.split(", ")]
+        kinds = {"long": pa.int64(), "boolean": pa.bool_()}
+        for b in batches:
+            out = [(row, doc, *p) for row, doc, spans in zip(
+                b.column("row").to_pylist(), b.column("doc_id").to_pylist(), b.column("spans"))
+                for p in of_text(spans.as_py())]
+            yield pa.RecordBatch.from_pydict({name: pa.array([x[i] for x in out], kinds[kind])
+                                              for i, (name, kind) in enumerate(names)})
+    return run
 
 
-def repeated_units(rows: DataFrame, units: DataFrame, k: int,
-                   similarity: Fraction) -> DataFrame:
-    """(row, doc_id, i, start, end, word, n_words, class, owner, removed): units of
-    classes found in two documents or more."""
-    each = units.select("row", "doc_id", F.posexplode(F.arrays_zip(
+def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
+               min_words: int = MIN_WORDS) -> DataFrame:
+    """Two rows per row of ``rows`` (row, doc_id, text), stored: level 0 with the arrays of
+    its units and its seeds, level 1 with those of its paragraphs."""
+    return staged(rows.mapInArrow(_cut(k, *tuned(float(similarity)), min_words), UNITS),
+                  "passages_units", "zstd")
+
+
+def text_parts(rows: DataFrame, units: DataFrame, occurrences: DataFrame, found: DataFrame,
+               k: int, min_words: int) -> DataFrame:
+    """Of each text that has any, in one pass, stored: shingle sets (mark, n, shingles) of
+    units in cells, and windows (row, doc_id, mark, word, start, end) whose least seed is
+    found in other rows too."""
+    sets = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
+            .groupBy(F.col("first.row").alias("row"))
+            .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
+    seeds = units.select("row", F.explode("seeds").alias("seed"))    # distinct in a row
+    again = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("seed")
+    places = seeds.join(again, "seed").groupBy("row").agg(F.collect_list("seed").alias("seeds"))
+    none = F.array().cast("array<bigint>")
+    wanted = sets.join(places, "row", "full").select(
+        "row", F.coalesce("wanted", none).alias("wanted"), F.coalesce("seeds", none).alias("seeds"))
+    return staged(rows.join(wanted, "row").mapInArrow(_parts(k, min_words), PARTS),
+                  "passages_parts", "zstd")
+
+
+def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fraction,
+                   min_words: int) -> DataFrame:
+    """(row, doc_id, level, i, start, end, word, n_words, owner, removed): units (level 0),
+    paragraphs (1) and windows (2) of classes found in two documents or more."""
+    each = units.select("row", "doc_id", "level", F.posexplode(F.arrays_zip(
         "mark", "start", "end", "word", "n_words")).alias("i", "u")).select(
-            "row", "doc_id", "i", "u.*")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "i")
-    occurrences = staged(each.groupBy("mark").agg(
-        F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")),
-        "passages_marks")
-    near = staged(near_classes(rows, units, occurrences, k, similarity), "passages_near")
+            "row", "doc_id", "level", "i", "u.*")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "word", "n_words")
+    firsts = [F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
+    occurrences = staged(each.groupBy("mark").agg(*firsts), "passages_marks")
+    cell = staged(cells(units.filter("length(keys) > 0").select("ids", "keys")), "passages_cells")
+    parts = text_parts(rows, units, occurrences, cell, k, min_words)
+    sets = parts.filter("shingles IS NOT NULL")
+    members = (cell.join(sets.select(F.col("mark").alias("node"), "n"), "node")
+               .select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"))
+    links = staged(cell_links(members, sets.select(F.col("mark").alias("row"), "shingles"),
+                              similarity), "passages_links")
+    near = staged(components(links, "passages_components")
+                  .select(F.col("node").alias("mark"), "root"), "passages_near")
     known = occurrences.join(near, "mark", "left").withColumn("class", F.coalesce("root", "mark"))
     # a class of one mark is decided by its own row; only linked marks are grouped
-    alone = (known.filter("root IS NULL AND low < high")
-             .select("mark", "class", "first"))
+    alone = known.filter("root IS NULL AND low < high").select("mark", "first")
     linked = known.filter("root IS NOT NULL")
     groups = (linked.groupBy("class").agg(F.min("first").alias("first"), F.min("low").alias("low"),
                                           F.max("high").alias("high")).filter("low < high"))
     table = alone.unionByName(linked.select("mark", "class").join(groups.select("class", "first"),
-                                                                  "class"))
-    # two words a unit travel by mark, not four
+                                                                  "class").drop("class"))
+    windows = parts.filter("shingles IS NULL").select(
+        "row", "doc_id", F.lit(2).alias("level"), F.lit(0).alias("i"), "mark", "start", "end",
+        "word", F.lit(min_words).alias("n_words"))
+    repeated = windows.groupBy("mark").agg(*firsts).filter("low < high").select("mark", "first")
+    # windows of one owner one word apart are one span
+    order = Window.partitionBy("row").orderBy("owner", "removed", "word")
+    chains = (decided(windows, repeated)
+              .withColumn("chain", F.col("word") - F.row_number().over(order))
+              .groupBy("row", "doc_id", "level", "i", "owner", "removed", "chain")
+              .agg(F.min("start").alias("start"), F.max("end").alias("end"),
+                   (F.max("word") - F.min("word") + min_words).alias("n_words"),
+                   F.min("word").alias("word")).drop("chain"))
+    return decided(each, table).unionByName(chains)
+
+
+def decided(each: DataFrame, table: DataFrame) -> DataFrame:
+    """The spans of ``each`` whose mark is in ``table`` (mark, first), and whether they are
+    removed: not the first occurrence, nor what overlaps it."""
+    # two words a span travel by mark, not four
     pack = lambda high, low: F.shiftleft(F.col(high).cast("long"), 32) + F.col(low)
-    spans = each.select("row", "doc_id", "i", "mark", pack("start", "end").alias("span"),
+    spans = each.select("row", "doc_id", "level", "i", "mark", pack("start", "end").alias("span"),
                         pack("word", "n_words").alias("words"))
     halves = [F.shiftright(F.col(c), 32).cast("int").alias(h) for c, h in (("span", "start"),
                                                                           ("words", "word"))]
     halves += [F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(h) for c, h in
                (("span", "end"), ("words", "n_words"))]
     return (spans.join(table, "mark").select("*", *halves)
-            .select("row", "doc_id", "i", "start", "end", "word", "n_words", "class",
+            .select("row", "doc_id", "level", "i", "start", "end", "word", "n_words",
                     F.col("first.doc_id").alias("owner"),
-                    ((F.col("first.row") != F.col("row")) | (F.col("first.i") != F.col("i")))
+                    ((F.col("first.row") != F.col("row"))
+                     | (F.col("word") >= F.col("first.word") + F.col("first.n_words")))
                     .alias("removed")))
 
 
@@ -237,33 +377,20 @@ def passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
              min_words: int = MIN_WORDS, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """One row per passage that repeats across documents: row, doc_id, start, end (code
-    points, end exclusive), n_words, n_units, removed (false: the first occurrence),
-    first_doc_id (the smallest doc_id that holds its first unit's class)."""
+    points, end exclusive), n_words, n_units (repeated units in it; none if only windows
+    repeat), removed (false: the first occurrence), first_doc_id (the smallest doc_id that
+    holds its first span's class)."""
     return row_passages(numbered(id_and_text(docs, id_col, text_col), "passages_rows"),
                         k, similarity, min_words)
 
 
 def row_passages(rows: DataFrame, k: int, similarity: Fraction, min_words: int) -> DataFrame:
     """``passages`` of (row, doc_id, text), a stored table."""
-    units = unit_table(rows, k, similarity)
-    found = repeated_units(rows, units, k, similarity)
-    by = Window.partitionBy("row").orderBy("i")
-    runs = (found.withColumn("run", F.col("i") - F.row_number().over(by))
-            .withColumn("run_words", F.max(F.col("word") + F.col("n_words")).over(
-                Window.partitionBy("row", "run")) - F.min("word").over(
-                    Window.partitionBy("row", "run")))
-            .filter(F.col("run_words") >= min_words)
-            # a run falls into parts that are removed and parts that stay
-            .withColumn("part", F.row_number().over(Window.partitionBy("row", "run").orderBy("i"))
-                        - F.row_number().over(Window.partitionBy("row", "run", "removed")
-                                              .orderBy("i"))))
-    return (runs.groupBy("row", "doc_id", "run", "removed", "part")
-            .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                 (F.max(F.col("word") + F.col("n_words")) - F.min("word")).cast("long").alias("n_words"),
-                 F.count(F.lit(1)).alias("n_units"), F.min_by("owner", "i").alias("first_doc_id"))
-            .select("row", "doc_id", F.col("start").cast("long").alias("start"),
-                    F.col("end").cast("long").alias("end"), "n_words", "n_units", "removed",
-                    "first_doc_id"))
+    found = repeated_spans(rows, unit_table(rows, k, similarity, min_words), k, similarity,
+                           min_words)
+    spans = found.groupBy("row", "doc_id").agg(F.collect_list(F.struct(
+        "level", "i", "start", "end", "word", "n_words", "removed", "owner")).alias("spans"))
+    return spans.mapInArrow(_joined(min_words), PASSAGE)   # spans of one text
 
 
 def remove_passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
