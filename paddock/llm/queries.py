@@ -100,6 +100,43 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(tool_messages(documents(spark, sf_dir, "conversations")), TOOLS)
 
 
+def _with_loops(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the texts (by the id's checksum) the words from some
+    word on repeat a period."""
+    n = F.size("words").cast("long")
+    a = F.pmod("g", F.greatest(n, F.lit(1)))
+    p = F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8))
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a").cast("int") + 1, F.col("p").cast("int")),
+                                    F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    repeated = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")),
+                                     F.slice(tail, F.lit(1), (n - F.col("a")).cast("int"))), " ")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.when(F.col("h") % 10 == 0, F.col("text")), r"[\x20\x09-\x0D]+"),
+                     lambda w: w != "")
+    return (docs.select("doc_id", "text", h.alias("h"))
+            .withColumns({"g": F.floor(F.col("h") / 10), "words": words})
+            .withColumn("a", a).withColumn("p", p)
+            .select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text")))
+
+
+def periodic(docs: DataFrame) -> DataFrame:
+    from paddock.llm.periodic_runs import find_runs
+    listed = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","),
+                                                    r.period, F.lit("\n")))
+    # by start and period: the first of the greatest quotients stays
+    best = F.aggregate("runs", F.get("runs", 0), lambda most, r: F.when(
+        r.length * most.period > most.length * r.period, r).otherwise(most))
+    return find_runs(_with_loops(docs)).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,6 +148,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLES = {
