@@ -137,6 +137,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic(documents(spark, sf_dir))
 
 
+def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.licence_scan import scan
+    found = scan(documents(spark, sf_dir))
+    base = found.withColumn("base", F.filter("matches", lambda m: m.kind == "base"))
+    names = lambda c: F.array_join(F.array_sort(F.array_distinct(F.col(f"{c}.label"))), ",")
+    return base.select(
+        "doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"), F.array_max("base.start").alias("last_word"),
+        names("base").alias("base_labels"), names("matches").alias("labels"),
+        F.coalesce(F.array_max("matches.score"), F.lit(0.0)).alias("score"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -149,6 +161,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_licence_scan": op12_licence_scan,
 }
 
 ORACLES = {

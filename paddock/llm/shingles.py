@@ -39,12 +39,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
                  for b in (_BASE, inverse))
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(texts: list[bytes], between: np.ndarray = _BLANK
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start byte, end byte) of every word of all texts in order, places counted
-    from the word's text, and the first word's number of every text (and the end)."""
+    from the word's text, and the first word's number of every text (and the end).
+    ``between`` tells the byte values between words; a line feed must be one of them."""
     joined = b"\n".join(texts) + b"\n"
     data = np.frombuffer(joined, np.uint8)
-    blank = _BLANK[data]
+    blank = between[data]
     before = np.concatenate(([True], blank[:-1]))
     starts = np.flatnonzero(~blank & before)
     ends = np.flatnonzero(blank & ~before)
