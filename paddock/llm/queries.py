@@ -149,6 +149,11 @@ def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max("matches.score"), F.lit(0.0)).alias("score"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from paddock.llm.whitening import whiten
+    return whiten(documents(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -162,6 +167,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_licence_scan": op12_licence_scan,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
