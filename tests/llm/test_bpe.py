@@ -62,6 +62,26 @@ def test_byte_level_any_text(texts):
     assert ids(own.encode(texts)) == want(library, texts)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=40), st.text("'sStTrReEvVmMlLdD1²!é \0\xa0\u2003漢", max_size=40)),
+                max_size=5))
+def test_word_level_any_text(texts):
+    own, library = word_ids.codec(WORD), Tokenizer.from_file(WORD)
+    assert ids(own.encode(texts)) == want(library, texts)
+
+
+def test_word_caches_start_anew(word_level, monkeypatch):
+    own, library = word_level
+    monkeypatch.setattr(word_ids, "MAX_PIECES", 50)
+    monkeypatch.setattr(word_ids, "MAX_WORDS", 5)
+    monkeypatch.setattr(word_ids, "CHUNK_CHARS", 300)
+    texts = odd_texts(7)[:200] + ["q" * n for n in range(14, 20)] * 2
+    for _ in range(2):
+        assert ids(own.encode(texts)) == want(library, texts)
+    own.forget()
+    assert ids(own.encode(texts)) == want(library, texts) and len(own.words) < 400
+
+
 def test_decode_of_broken_utf8(byte_level):
     own, library = byte_level
     sequence = np.array([220, 447, 119, 447, 50256, 65], "<u4")
