@@ -120,8 +120,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     """(lengths of a sequence, how many sequences are packed so) for the counts of
     all lengths; every piece is in exactly one. Few pieces can be short of small
     lengths when triples take them early, so the plans with complements of up to
-    three, two, one and no lengths are compared and the shortest is taken."""
-    return min((complement_plan(counts, capacity, most) for most in (3, 2, 1, 0)),
+    three, two and one lengths are compared and the shortest is taken."""
+    return min((complement_plan(counts, capacity, most) for most in (3, 2, 1)),
                key=lambda p: sum(times for _, times in p))
 
 
