@@ -165,8 +165,9 @@ def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text",
         import pandas as pd
         return pd.DataFrame([model.value.predict(t) for t in texts], columns=["lang", "score"])
 
-    found = F.struct("*")
-    both = docs.select(found.alias("row"), guess(F.col(f"`{text_col}`")).alias("guess"))
+    # evaluated once, even if a later filter asks for the language
+    once = guess.asNondeterministic()(F.col(f"`{text_col}`"))
+    both = docs.select(F.struct("*").alias("row"), once.alias("guess"))
     return both.select("row.*", F.col("guess.lang").alias(lang_pred),
                        F.col("guess.score").alias(score))
 

@@ -7,8 +7,12 @@ import corpus_pipeline as C
 from llm.conftest_llm import ODD
 
 
-def prose(draw, n):
-    return " ".join(draw.choice("the of and to in house man dog day sun red big".split())
+ENGLISH = "the of and to in house man dog day sun red big"
+GERMAN = "der und nicht von zwischen haus mensch hund tag sonne rot groß"
+
+
+def prose(draw, n, words=ENGLISH):
+    return " ".join(draw.choice(words.split())
                     + draw.choice(["", "s", "ly", "."]) for _ in range(n))
 
 
@@ -20,14 +24,19 @@ def rows():
     pairs = [(i, t) for i, t in enumerate(texts)] + [
         (40, texts[0]), (41, texts[0]), (42, near), (43, texts[3] + " mail a.b@c.example.org now"),
         (44, "call +1 (988) 555-2485 " + prose(draw, 50))]
+    pairs += [(200 + i, prose(draw, 60, GERMAN)) for i in range(12)]
     return pairs + [(100 + i, t) for i, t in enumerate(ODD)] + [(None, prose(draw, 40)), (5, texts[5])]
 
 
+WRONG = {3, 44}
+
+
 def table(stored, rows, name="documents"):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                            T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                            T.StructField("n_chars", T.LongType())])
-    return stored([(i, t, "en" if i and i % 7 else None, "s", len(t or "")) for i, t in rows],
+    lang = lambda i: None if not i or i % 7 == 0 else "de" if i >= 200 or i in WRONG else "en"
+    return stored([(i, t, lang(i), "s", len(t or "")) for i, t in rows],
                   schema, f"{name}.parquet")
 
 
@@ -44,7 +53,9 @@ def test_stages(spark, stored, rows, tmp):
         docs = seen[name] = spark.read.parquet(path)
     told = {(r.doc_id, r.text): r.lang for r in seen["language_id"].collect()}
     assert set(told) == {(i, t) for i, t in rows if any(c.isalpha() for c in t or "")}
-    assert all(told.values())
+    # stated or not, right or wrong: the language is the predicted one
+    prose_of = {i: t for i, t in rows if i is None or i < 100 or i >= 200}
+    assert all(told[i, t] == ("de" if i and i >= 200 else "en") for i, t in prose_of.items())
     exact = sorted((r.doc_id is None, r.doc_id or 0) for r in seen["exact_dedup"].collect())
     groups = {}
     for i, t in told:
@@ -81,5 +92,5 @@ def test_run_equals_the_stages_and_takes_no_rows(spark, stored, rows, tmp):
 def test_registered_queries():
     import __spark_entry__ as e
     names = {n.split("_")[0] for n in e.queries() if n.startswith("op")}
-    assert names == {f"op{i}" for i in range(1, 11)} and "pipeline" in e.queries()
+    assert names == {f"op{i}" for i in range(1, 14)} and "pipeline" in e.queries()
     assert {"op2_exact_dedup", "op9_warc", "op10_chat_formatting"} <= set(e.oracle_sql())
