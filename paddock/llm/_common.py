@@ -30,7 +30,27 @@ def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.parquet(path, compression=codec)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``staged`` wrote, once nothing that is still to be computed reads
+    them: what a long operator holds is then what its next steps need."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsparkSession.sessionState()
+        path = jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(conf.newHadoopConf()).delete(path, True)
+
+
+BROADCAST_ROWS = 250_000   # narrow rows (numbers, digests) that go to every executor at most
+
+
+def small(table: DataFrame) -> DataFrame:
+    """The stored narrow ``table``, to be broadcast if it is small enough, so that what it is
+    joined with (texts) stays in place; beyond that a join shuffles both sides as usual."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def numbered(df: DataFrame, name: str, row: str = "row") -> DataFrame:

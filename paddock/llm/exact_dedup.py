@@ -14,7 +14,9 @@ normalisation; of equal texts the largest doc_id stays (a null doc_id is smaller
 than any other); of repeated rows with that same doc_id exactly one stays. An
 empty table gives an empty result. Extra columns are never read; ``drop_copies``
 returns them unchanged. Rows are numbered once: the numbers are stored with the
-digests, by ``drop_copies`` with all columns.
+digests. ``drop_copies`` knows rows by doc_id and digest, which any scan gives alike,
+and so stores no texts; of rows alike in both, the one with the least hash of all
+columns stays.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paddock.llm._common import fresh, id_and_text, numbered, staged
+from paddock.llm._common import fresh, id_and_text, small, staged
 
 COUNTERS = 1024
 
@@ -77,27 +79,40 @@ def decide(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
         (F.col("row") == F.col("winner.row")).alias("kept"))
 
 
-def digest_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 row_col: str | None = None) -> DataFrame:
-    row = F.col("row") if row_col else F.monotonically_increasing_id().alias("row")
-    return id_and_text(docs, id_col, text_col, row_col).select(
-        row, "doc_id",
-        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
+def digest_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return id_and_text(docs, id_col, text_col).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", _digest("text").alias("digest"))
+
+
+def _digest(text_col: str):
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     counters: int = COUNTERS, row_col: str | None = None) -> DataFrame:
-    """One row per input row: row (the stored number, if ``row_col`` names it), doc_id,
-    digest, keep_id, group_size, kept."""
-    return decide(staged(digest_table(docs, id_col, text_col, row_col), "exact_dedup_digests"),
-                  counters)
+                     counters: int = COUNTERS) -> DataFrame:
+    """One row per input row: row, doc_id, digest, keep_id, group_size, kept."""
+    return decide(staged(digest_table(docs, id_col, text_col), "exact_dedup_digests"), counters)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    row = fresh(docs, "row")
-    rows = numbered(docs, "exact_dedup_rows", row)
-    gone = (exact_duplicates(rows, id_col, text_col, counters, row).filter(~F.col("kept"))
-            .select(F.col("row").alias(row)))
-    return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    ident, digest, out_id, out_digest = (fresh(docs, c) for c in (
+        "ident", "digest", "out_ident", "out_digest"))
+    copies = exact_duplicates(docs, id_col, text_col, counters).filter("group_size > 1")
+    # by doc_id and digest: how many rows there are, and whether one of them stays
+    gone = staged(copies.groupBy(F.col("doc_id").alias(out_id), F.col("digest").alias(out_digest))
+                  .agg(F.count(F.lit(1)).alias("held"), F.max("kept").alias("kept"))
+                  .filter("held > 1 OR NOT kept"), "exact_dedup_gone")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(*columns, F.col(f"`{id_col}`").cast("long").alias(ident),
+                        _digest(text_col).alias(digest))
+    same = F.col(ident).eqNullSafe(F.col(out_id)) & (F.col(digest) == F.col(out_digest))
+    stay = keyed.join(small(gone.select(out_id, out_digest)), same, "left_anti").select(*columns)
+    alike = gone.filter("kept").select(out_id, out_digest)
+    if alike.isEmpty():
+        return stay
+    one = (keyed.join(alike, same, "left_semi").groupBy(ident, digest)
+           .agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("one")))
+    return stay.unionByName(one.select("one.*"))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm._common import fresh, id_and_text, numbered, shuffle_partitions, staged
+from paddock.llm._common import discard, fresh, id_and_text, numbered, shuffle_partitions, small, staged
 from paddock.llm.components import components
 from paddock.llm.shingles import chunks, lowered, mix, shingle_hashes, words
 
@@ -467,7 +467,7 @@ def links(rows: DataFrame, keyed: DataFrame, k: int = K,
     found = staged(cells(keyed), "ngram_join_members")
     sized = found.join(keyed.select(F.col("row").alias("node"), "n"), "node")
     members = sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n")
-    sets = (rows.select("row", "text").join(found.select(F.col("node").alias("row")), "row", "left_semi")
+    sets = (rows.select("row", "text").join(small(found.select(F.col("node").alias("row"))), "row", "left_semi")
             .mapInArrow(_with_sets(k), "row long, shingles binary"))
     return cell_links(members, sets, similarity)
 
@@ -507,8 +507,12 @@ def row_classes(rows: DataFrame, k: int, similarity: Fraction) -> DataFrame:
     keyed = (signed.filter("length(keys) > 0").select("row", "n", "keys")
              .join(again.select("row"), "row", "left_anti"))
     keyed = staged(keyed, "ngram_join_keyed")
-    roots = staged(components(staged(links(rows, keyed, k, similarity), "ngram_join_links"),
-                              "ngram_join_components"), "ngram_join_roots")
+    # the keys go on in that table alone
+    full, signed = signed, staged(signed.select("row", "doc_id", "n"), "ngram_join_sizes")
+    discard(full)
+    found = staged(links(rows, keyed, k, similarity), "ngram_join_links")
+    discard(keyed)
+    roots = staged(components(found, "ngram_join_components"), "ngram_join_roots")
     # the least doc_id of every component, over its distinct sets
     firsts = equal.select(F.col("first").alias("node"), "least").join(roots, "node")
     least = firsts.groupBy("root").agg(F.min("least").alias("component"))
@@ -534,6 +538,6 @@ def keep_one(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"),
         F.count(F.lit(1)).alias("held")).filter("held > 1")
         .select("component_id", F.col("first.row").alias("first")))
-    gone = (linked.join(first, "component_id").filter("row <> first")
-            .select(F.col("row").alias(row)))
-    return rows.join(gone, row, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    gone = staged(linked.join(first, "component_id").filter("row <> first")
+                  .select(F.col("row").alias(row)), "ngram_join_gone")
+    return rows.join(small(gone), row, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 _RANDOM = np.random.default_rng(20_240_229)
 _BYTE = _RANDOM.integers(1, 2**64, 256, np.uint64)
 _PLACE = _RANDOM.integers(1, 2**64, 64, np.uint64) | np.uint64(1)

@@ -24,7 +24,7 @@ from paddock.llm.shingles import mix
 
 MAX_PIECES = 500_000      # pieces a worker knows before it starts anew (about 50 bytes each)
 MAX_WORDS = 50_000        # entries of its cache of words and long pieces
-CHUNK_CHARS = 1_500_000   # characters handled at once
+CHUNK_CHARS = 1_000_000 # characters handled at once
 SHORT = 16                # characters of a piece that two integers hold
 
 _WHITE, _LETTER, _NUMBER, _OTHER, _FOREIGN = range(5)
