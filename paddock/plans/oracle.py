@@ -138,6 +138,11 @@ BATCH_RACE_RESULTS = (
     f",\nresults AS ({results_batches_sql()})\n"
     f"SELECT r.race_id, {RACE_RESULTS_SELECT}, r.file_date, {TS} AS created_date {STAR}")
 
+# materialised: the batch's seasons are found in the joined rows, not by joining again
+AFFECTED_YEARS = (f"WITH rr AS MATERIALIZED ({BATCH_RACE_RESULTS}), years AS MATERIALIZED (SELECT DISTINCT "
+                  f"race_year FROM rr WHERE file_date = '{FILE_DATES[1]}') "
+                  "SELECT rr.* FROM rr SEMI JOIN years ON rr.race_year = years.race_year")
+
 
 def analytic_oracles() -> dict[str, str]:
     q = {}
@@ -191,9 +196,7 @@ def analytic_oracles() -> dict[str, str]:
                             f"AND race_name = '1-URGENT Grand Prix' ORDER BY points DESC")
     q["filter_batch"] = (f"WITH rr AS ({BATCH_RACE_RESULTS}) SELECT * FROM rr "
                          f"WHERE file_date = '{FILE_DATES[1]}'")
-    q["affected_years_semi"] = (f"WITH rr AS ({BATCH_RACE_RESULTS}) SELECT * FROM rr WHERE "
-                                f"race_year IN (SELECT race_year FROM rr WHERE file_date = "
-                                f"'{FILE_DATES[1]}')")
+    q["affected_years_semi"] = AFFECTED_YEARS
     return q
 
 
@@ -387,8 +390,7 @@ def io_oracles() -> dict[str, str]:
         f"JOIN races ra ON r.race_id = ra.race_id WHERE r.position <= {TOP_N}")
     q["reset_layers"] = (with_processed("circuits") +
                          "\nSELECT *, CAST(1 AS BIGINT) AS n_tables FROM circuits")
-    q["affected_years_pruned"] = (f"WITH rr AS ({BATCH_RACE_RESULTS}) SELECT * FROM rr WHERE race_year "
-                                  f"IN (SELECT race_year FROM rr WHERE file_date = '{FILE_DATES[1]}')")
+    q["affected_years_pruned"] = AFFECTED_YEARS
 
     def merged_once(name: str) -> str:
         d = FILE_DATES[0]
