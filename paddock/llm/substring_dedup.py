@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from paddock.llm._common import fresh, id_and_text, numbered, staged
+from paddock.llm._common import discard, fresh, id_and_text, numbered, staged
 from paddock.llm.components import components
 from paddock.llm.ngram_join import cell_links, cells
 from paddock.llm.shingles import _PLACE, _powers, chunks, lowered, mix, words
@@ -92,6 +92,7 @@ class Units:
             opens = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1])
                                                    | (text[1:] != text[:-1]))))
             run = np.diff(np.append(opens, n))
+            last[np.repeat(run >= k, run)] = False
             last[opens[(run >= k) & (opens > 0)] - 1] = True
             last[(opens + run - 1)[run >= k]] = True
         close = np.flatnonzero(line if lines else last)
@@ -312,18 +313,27 @@ def text_parts(rows: DataFrame, units: DataFrame, occurrences: DataFrame, found:
                   "passages_parts", "zstd")
 
 
+def _each(units: DataFrame) -> DataFrame:
+    """A row for every unit."""
+    zipped = F.arrays_zip("mark", "start", "end", "word", "n_words")
+    return (units.select("row", "doc_id", "level", F.posexplode(zipped).alias("i", "u"))
+            .select("row", "doc_id", "level", "i", "u.*"))
+
+
 def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fraction,
                    min_words: int) -> DataFrame:
     """(row, doc_id, level, i, start, end, word, n_words, owner, removed): units (level 0),
     paragraphs (1) and windows (2) of classes found in two documents or more."""
-    each = units.select("row", "doc_id", "level", F.posexplode(F.arrays_zip(
-        "mark", "start", "end", "word", "n_words")).alias("i", "u")).select(
-            "row", "doc_id", "level", "i", "u.*")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "word", "n_words")
     firsts = [F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
-    occurrences = staged(each.groupBy("mark").agg(*firsts), "passages_marks")
+    occurrences = staged(_each(units).groupBy("mark").agg(*firsts), "passages_marks")
     cell = staged(cells(units.filter("length(keys) > 0").select("ids", "keys")), "passages_cells")
     parts = text_parts(rows, units, occurrences, cell, k, min_words)
+    # from here on without band keys and seeds
+    full, units = units, staged(units.select("row", "doc_id", "level", "mark", "start", "end",
+                                             "word", "n_words"), "passages_spans", "zstd")
+    discard(full)
+    each = _each(units)
     sets = parts.filter("shingles IS NOT NULL")
     members = (cell.join(sets.select(F.col("mark").alias("node"), "n"), "node")
                .select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"))
@@ -380,8 +390,10 @@ def passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
     points, end exclusive), n_words, n_units (repeated units in it; none if only windows
     repeat), removed (false: the first occurrence), first_doc_id (the smallest doc_id that
     holds its first span's class)."""
-    return row_passages(numbered(id_and_text(docs, id_col, text_col), "passages_rows"),
-                        k, similarity, min_words)
+    rows = numbered(id_and_text(docs, id_col, text_col), "passages_rows")
+    out = row_passages(rows, k, similarity, min_words)
+    discard(rows)       # texts are read in the stored steps only
+    return out
 
 
 def row_passages(rows: DataFrame, k: int, similarity: Fraction, min_words: int) -> DataFrame:

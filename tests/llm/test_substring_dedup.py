@@ -63,7 +63,8 @@ def test_no_rows(docs):
 
 def test_units_against_a_plain_cut():
     draw = random.Random(8)
-    texts = [" ".join(draw.choice(["ab", "ab.", "c!", "d!!", "é?", "x\n", "\n", "ab ab ab ab ab ab"])
+    texts = [" ".join(draw.choice(["ab", "ab.", "c!", "d!!", "é?", "x\n", "\n", "ab ab ab ab ab ab",
+                                   "of. of. of. of.", "no!\nno!\nno!"])
                       for _ in range(40)) for _ in range(60)] + [t or "" for t in ODD]
     got = S.Units([lowered(t) for t in texts], 3)
     want = []
@@ -83,7 +84,8 @@ def test_units_against_a_plain_cut():
             z = j
             while z + 1 < len(words) and words[z + 1][0] == words[j][0]:
                 z += 1
-            if z - j + 1 >= 3:
+            if z - j + 1 >= 3:     # one unit, though its words end sentences or lines
+                ends.difference_update(range(j, z))
                 ends.add(z)
                 if j:
                     ends.add(j - 1)
@@ -96,6 +98,11 @@ def test_units_against_a_plain_cut():
                     got.n_words.tolist())) == want
 
 
+def test_a_run_of_a_word_that_ends_sentences_is_one_unit():
+    u = S.Units([("x " + "of. " * 12 + "y z").encode()], 5)
+    assert list(zip(u.word.tolist(), u.n_words.tolist())) == [(1, 12)]
+
+
 def test_bands_reach_the_recall():
     bands, rows = S.tuned(0.8)
     assert 1 - (1 - 0.8 ** rows) ** bands >= S.RECALL
