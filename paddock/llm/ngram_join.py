@@ -280,7 +280,7 @@ def cells(keyed: DataFrame, counters: int = COUNTERS) -> DataFrame:
                       .groupBy("key").agg(F.min("hub").alias("hub")).collect())
         shipped = spark.sparkContext.broadcast(tuple(np.array(hubs, np.int64).reshape(-1, 2).T.copy()))
         edges = edges.unionByName(hot.mapInArrow(_hub_edges(shipped), "u long, v long"))
-    return components(edges, "ngram_join_cells")
+    return components(staged(edges, "ngram_join_edges"), "ngram_join_cells")
 
 
 class RTree:
@@ -456,7 +456,8 @@ def cell_links(members: DataFrame, sets: DataFrame, similarity: Fraction = SIMIL
     """(u, v): verified links within cells, enough to connect all that links connect.
     ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes)."""
     n = shuffle_partitions(members.sparkSession)
-    return (blocked(members, similarity, block).join(sets, "row")
+    tasks = staged(blocked(members, similarity, block), "ngram_join_tasks")
+    return (sets.join(small(tasks), "row")
             .withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
             .groupBy("bucket").applyInArrow(_verified(similarity), "u long, v long"))
 
@@ -467,7 +468,8 @@ def links(rows: DataFrame, keyed: DataFrame, k: int = K,
     found = staged(cells(keyed), "ngram_join_members")
     sized = found.join(keyed.select(F.col("row").alias("node"), "n"), "node")
     members = sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n")
-    sets = (rows.select("row", "text").join(small(found.select(F.col("node").alias("row"))), "row", "left_semi")
+    sets = (rows.select("row", "text")
+            .join(small(found.select(F.col("node").alias("row"))), "row", "left_semi")
             .mapInArrow(_with_sets(k), "row long, shingles binary"))
     return cell_links(members, sets, similarity)
 
@@ -505,7 +507,7 @@ def row_classes(rows: DataFrame, k: int, similarity: Fraction) -> DataFrame:
              .filter("row <> first").select("row", "first"))
     again = staged(again, "ngram_join_copies")
     keyed = (signed.filter("length(keys) > 0").select("row", "n", "keys")
-             .join(again.select("row"), "row", "left_anti"))
+             .join(small(again.select("row")), "row", "left_anti"))
     keyed = staged(keyed, "ngram_join_keyed")
     # the keys go on in that table alone
     full, signed = signed, staged(signed.select("row", "doc_id", "n"), "ngram_join_sizes")
