@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paddock.session import work_dir
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -26,10 +27,16 @@ def ready(spark: SparkSession) -> SparkSession:
 def staged(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder of ``spark.checkpoint.dir`` and
     read it back: lineage is cut, a lost executor costs only its own tasks, and
-    what several later steps read is computed once."""
+    what several later steps read is computed once. The step's shuffle files, which nothing
+    reads after the write, are deleted with its end rather than at some garbage collection."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path, compression=codec)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path, compression=codec)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

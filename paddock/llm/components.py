@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm._common import staged
+from paddock.llm._common import discard, staged
 
 
 def _contracted(edges: DataFrame, name: str) -> DataFrame:
-    """Both stars over stored edges (u, v) with v < u: large, then small."""
+    """Both stars over stored edges (u, v) with v < u: large, then small; stored."""
     # large: at its smaller end v, an edge moves to the least neighbour of v. The minima
     # are stored so that the join has plain shuffles on both sides: a node with very many
     # neighbours is then split over tasks by adaptive execution.
@@ -23,7 +23,9 @@ def _contracted(edges: DataFrame, name: str) -> DataFrame:
     lower = large.groupBy("u").agg(F.min("v").alias("m"))
     moved = (large.join(lower, "u").filter("v <> m")
              .select(F.col("v").alias("u"), F.col("m").alias("v")))
-    return moved.unionByName(lower.select("u", F.col("m").alias("v"))).distinct()
+    out = staged(moved.unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), name)
+    discard(least)
+    return out
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -34,7 +36,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
                                                F.least("u", "v").alias("v")).distinct(), name)
     mark = None
     while True:
-        now = staged(_contracted(now, name), name)
+        last, now = now, _contracted(now, name)
+        discard(last)
         # a star forest maps to itself: compare order-free summaries of the edge sets
         new = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
                       F.countDistinct("u")).first()

@@ -14,7 +14,9 @@ paragraphs (lines of several units), are compared:
 4. every window of ``min_words`` words, wherever sentences end, that is found in two
    documents or more is repeated as well: an exact match thus reaches word by word as
    far as it goes. Windows are compared only where the least hash of their shorter windows
-   (``least_seeds``) is found in two documents, which loses none;
+   (``least_seeds``) is found in two documents, which loses none. Neighbours of one seed
+   travel together as a segment; only where a seed's segments differ (at the ends of
+   matches) are their windows compared one by one;
 5. repeated spans of a document that touch (units shorter than ``k`` between repeated
    units included) form a passage; passages of at least ``min_words`` words count, so that
    stock phrases and licence lines stay.
@@ -39,9 +41,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from paddock.llm._common import discard, fresh, id_and_text, numbered, staged
+from paddock.llm._common import discard, fresh, id_and_text, numbered, small, staged
 from paddock.llm.components import components
 from paddock.llm.ngram_join import cell_links, cells
 from paddock.llm.shingles import _PLACE, _powers, chunks, lowered, mix, words
@@ -52,6 +53,8 @@ RECALL = 0.98
 MAX_BANDS = 6
 MIN_WORDS = 30
 LEAST_NEAR = 4     # shingles; smaller sets at 0.8 or more are equal
+NO_ID = np.iinfo(np.int64).min
+SEGMENT = 64       # windows of a segment at most: a long marks those that repeat
 
 _SEED = np.random.default_rng(20_240_301)
 _FACTOR = _SEED.integers(1, 2**64, 64, np.uint64) | np.uint64(1)
@@ -73,8 +76,8 @@ class Units:
     """The units of several texts: arrays over units of ``k`` words or more; with ``lines``
     the paragraphs instead, lines that several units begin in."""
 
-    def __init__(self, texts: list[bytes], k: int, lines: bool = False):
-        hashes, start, end, first = words(texts)
+    def __init__(self, texts: list[bytes], k: int, lines: bool = False, found: tuple = ()):
+        hashes, start, end, first = found or words(texts)
         n = len(hashes)
         joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         base = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
@@ -149,18 +152,63 @@ def least_seeds(hashes: np.ndarray, min_words: int) -> np.ndarray:
     if len(hashes) < min_words:
         return np.empty(0, np.uint64)
     short = max(1, min_words // 3)
-    return np.lib.stride_tricks.sliding_window_view(
-        windows(hashes, short), min_words - short + 1).min(axis=1)
+    least, wide, width = windows(hashes, short), 1, min_words - short + 1
+    while wide < width:       # minima of 1, 2, 4, ... neighbours, and of the width at last
+        more = min(wide, width - wide)
+        least, wide = np.minimum(least[:-more], least[more:]), wide + more
+    return least
+
+
+def segments(marks: np.ndarray, seeds: np.ndarray, wanted: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bool]]:
+    """The segments of a text, windows in a row that share a seed in ``wanted``: (first
+    window, windows, mark) of each and whether its windows are all different. Segments of
+    equal windows have equal marks."""
+    at = np.flatnonzero(np.isin(seeds, wanted))
+    if not len(at):
+        return at, at, marks[:0], []
+    run = np.concatenate(([True], (np.diff(at) != 1) | (seeds[at[1:]] != seeds[at[:-1]])))
+    opens = np.flatnonzero(run)
+    offset = np.arange(len(at)) - opens[np.cumsum(run) - 1]
+    opens = np.flatnonzero(offset % SEGMENT == 0)
+    size = np.diff(np.append(opens, len(at)))
+    power, _ = _powers(1 << 12)
+    mark = mix(np.add.reduceat(mix(marks[at]) * power[offset % SEGMENT], opens)
+               + size.astype(np.uint64))
+    # windows that a segment repeats are next to each other in this order
+    number = np.repeat(np.arange(len(opens)), size)
+    order = np.lexsort((marks[at], number))
+    twin = (np.diff(marks[at][order]) == 0) & (np.diff(number[order]) == 0)
+    plain = np.ones(len(opens), bool)
+    plain[number[order][1:][twin]] = False
+    return at[opens], size, mark, plain.tolist()
 
 
 UNITS = ("row long, doc_id long, level int, start array<int>, end array<int>, word array<int>, "
          "n_words array<int>, mark array<long>, ids binary, keys binary, seeds array<long>")
-PARTS = ("row long, doc_id long, mark long, word int, start int, end int, n long, "
-         "shingles binary")
+PARTS = ("row long, doc_id long, mark long, n long, shingles binary, seed array<long>, "
+         "segment array<long>, word array<int>, size array<int>, plain array<boolean>, "
+         "windows array<binary>, gaps binary, lengths binary")
+WINDOWS = ("mark long, window long, offset int, last boolean, doc_id long, row long, word int, "
+           "low long, high long")
 PASSAGE = ("row long, doc_id long, start long, end long, n_words long, n_units long, "
            "removed boolean, first_doc_id long")
 
 
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+
+def _batch(schema: str, **cols) -> pa.RecordBatch:
+    """A batch of ``schema``; columns that are not given are null."""
+    size = len(next(iter(cols.values()))) if cols else 0
+    out = {}
+    for name, kind in (x.split() for x in schema.split(", ")):
+        own = (pa.list_(_KINDS[kind[6:-1]]) if kind.startswith("array<") else _KINDS[kind])
+        col = cols.get(name, [None] * size)
+        out[name] = col.cast(own) if isinstance(col, pa.Array) else pa.array(col, own)
+    return pa.RecordBatch.from_pydict(out)
+
+
 def _lists(values: np.ndarray, edge: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(values, kind))
 
@@ -170,8 +218,9 @@ def _cut(k: int, bands: int, rows: int, min_words: int):
         for b in batches:
             texts = [lowered(t) for t in b.column("text").to_pylist()]
             for lo, hi in chunks(texts):
+                found = words(texts[lo:hi])
                 for level in (0, 1):
-                    u = Units(texts[lo:hi], k, bool(level))
+                    u = Units(texts[lo:hi], k, bool(level), found)
                     edge = np.searchsorted(u.text, np.arange(hi - lo + 1))
                     marks = u.marks.view(np.int64)
                     keys = u.keys(bands, rows)
@@ -209,43 +258,76 @@ def _parts(k: int, min_words: int):
             for lo, hi in chunks(texts):
                 want = [set(w) for w in wanted[lo:hi]]
                 found, sets = [], []
+                of_words = words(texts[lo:hi])
                 for level in (0, 1):
-                    u = Units(texts[lo:hi], k, bool(level))
+                    if not any(want) and level == 0:     # places of words alone
+                        continue
+                    u = Units(texts[lo:hi], k, bool(level), of_words)
                     marks = u.marks.view(np.int64)
                     for i, (m, t) in enumerate(zip(marks.tolist(), u.text.tolist())):
                         if m in want[t]:
                             want[t].discard(m)
                             found.append(m)
                             sets.append(np.unique(u.shingles[u.edge[i]:u.edge[i + 1]]))
-                none = [None] * len(found)
-                yield pa.RecordBatch.from_pydict({
-                    "row": pa.array(none, pa.int64()), "doc_id": pa.array(none, pa.int64()),
-                    "mark": pa.array(found, pa.int64()), "word": pa.array(none, pa.int32()),
-                    "start": pa.array(none, pa.int32()), "end": pa.array(none, pa.int32()),
-                    "n": pa.array([len(s) for s in sets], pa.int64()),
-                    "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
+                yield _batch(PARTS, mark=found, n=[len(x) for x in sets],
+                             shingles=[x.tobytes() for x in sets])
+                out = []
                 for t in range(hi - lo):
                     if not seeds[lo + t]:
                         continue
                     a, z = int(u.first[t]), int(u.first[t + 1])
-                    at = np.flatnonzero(np.isin(least_seeds(u.hashes[a:z], min_words).view(np.int64),
-                                                np.array(seeds[lo + t], np.int64)))
-                    none = [None] * len(at)
-                    yield pa.RecordBatch.from_pydict({
-                        "row": pa.array([rows[lo + t]] * len(at), pa.int64()),
-                        "doc_id": pa.array([ids[lo + t]] * len(at), pa.int64()),
-                        "mark": pa.array(windows(u.hashes[a:z], min_words)[at].view(np.int64)),
-                        "word": pa.array(at, pa.int32()),
-                        "start": pa.array(u.word_start[a + at], pa.int32()),
-                        "end": pa.array(u.word_end[a + at + min_words - 1], pa.int32()),
-                        "n": pa.array(none, pa.int64()), "shingles": pa.array(none, pa.binary())})
+                    least = least_seeds(u.hashes[a:z], min_words)
+                    marks = windows(u.hashes[a:z], min_words)
+                    at, size, mark, plain = segments(
+                        marks, least, np.array(seeds[lo + t], np.int64).view(np.uint64))
+                    start, end = (x[a:z].astype(np.int32) for x in (u.word_start, u.word_end))
+                    out.append({
+                        "row": rows[lo + t], "doc_id": ids[lo + t],
+                        "seed": least[at].view(np.int64), "segment": mark.view(np.int64),
+                        "word": at.astype(np.int32), "size": size.astype(np.int32),
+                        "plain": plain, "gaps": np.diff(start, prepend=np.int32(0)).tobytes(),
+                        "windows": [marks[i:i + m].tobytes() for i, m in zip(at.tolist(),
+                                                                             size.tolist())],
+                        "lengths": (end - start).tobytes()})
+                yield _batch(PARTS, **{c: [x[c] for x in out] for c in (out[0] if out else ())})
     return run
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments (mark, windows, last, doc_id, row, word, low, high) as single windows."""
+    for b in batches:
+        found = [np.frombuffer(w, np.int64) for w in b.column("windows").to_pylist()]
+        size = np.array([len(w) for w in found], np.int64)
+        at = np.repeat(np.arange(len(found)), size)
+        offset = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+        cols = {c: b.column(c).take(pa.array(at)) for c in (
+            "mark", "last", "doc_id", "row", "low", "high")}
+        yield _batch(WINDOWS, window=np.concatenate([*found, np.empty(0, np.int64)]), offset=offset,
+                     word=b.column("word").to_numpy()[at] + offset, **cols)
+
+
 def _joined(min_words: int):
     """The passages of every text: its spans, joined where they touch or only units of
     less than k words lie between, if they hold ``min_words`` words, cut into parts that
     are removed and parts that stay."""
+    def of_windows(spans: dict, at: np.ndarray, gaps: bytes, lengths: bytes) -> Iterator[dict]:
+        # windows of one owner one word apart are one span
+        begin = np.cumsum(np.frombuffer(gaps, np.int32))
+        stop = begin + np.frombuffer(lengths, np.int32)
+        segment, offset = np.nonzero(spans["mask"][at][:, None] >> np.arange(SEGMENT) & 1)
+        place = spans["word"][at][segment] + offset
+        owner, removed = spans["owner"][at][segment], spans["removed"][at][segment]
+        order = np.lexsort((place, removed, owner))
+        place, owner, removed = place[order], owner[order], removed[order]
+        new = np.ones(len(place), bool)
+        new[1:] = ((np.diff(place) != 1) | (owner[1:] != owner[:-1])
+                   | (removed[1:] != removed[:-1]))
+        opens = np.flatnonzero(new)
+        for x, size in zip(opens.tolist(), np.diff(np.append(opens, len(place))).tolist()):
+            a, n = int(place[x]), size + min_words - 1
+            yield {"level": 2, "start": int(begin[a]), "end": int(stop[a + n - 1]), "word": a,
+                   "n_words": n, "removed": bool(removed[x]), "owner": int(owner[x])}
+
     def of_text(spans: list[dict]) -> Iterator[tuple]:
         spans.sort(key=lambda s: (s["word"], s["level"], s["n_words"]))
         n = max(s["word"] + s["n_words"] for s in spans)
@@ -276,14 +358,27 @@ def _joined(min_words: int):
                        y - x, units, bool(gone[x + 1]), own[0]["owner"] if own else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split() for x in PASSAGE.split(", ")]
-        kinds = {"long": pa.int64(), "boolean": pa.bool_()}
+        names = [x.split()[0] for x in PASSAGE.split(", ")]
         for b in batches:
-            out = [(row, doc, *p) for row, doc, spans in zip(
-                b.column("row").to_pylist(), b.column("doc_id").to_pylist(), b.column("spans"))
-                for p in of_text(spans.as_py())]
-            yield pa.RecordBatch.from_pydict({name: pa.array([x[i] for x in out], kinds[kind])
-                                              for i, (name, kind) in enumerate(names)})
+            edge = b.column("spans").offsets.to_numpy()
+            flat = b.column("spans").values
+            # a null owner (its documents have no id) is a row number of no document
+            cols = {f.name: flat.field(f.name).fill_null(False if f.name == "removed" else
+                                                         NO_ID if f.name == "owner" else 0)
+                    .to_numpy(zero_copy_only=False) for f in flat.type}
+            out = []
+            for i, (row, doc, gaps, lengths) in enumerate(zip(*(
+                    b.column(c).to_pylist() for c in ("row", "doc_id", "gaps", "lengths")))):
+                at = np.arange(edge[i], edge[i + 1])
+                of_units = at[cols["level"][at] < 2]
+                keys = ("level", "i", "start", "end", "word", "n_words", "removed", "owner")
+                spans = [dict(zip(keys, x)) for x in zip(*(cols[c][of_units].tolist()
+                                                           for c in keys))]
+                if len(of_units) < len(at):
+                    spans += of_windows(cols, at[cols["level"][at] == 2], gaps, lengths)
+                out += [(row, doc, *p[:-1], None if p[-1] == NO_ID else p[-1])
+                        for p in of_text(spans)]
+            yield _batch(PASSAGE, **{name: [x[i] for x in out] for i, name in enumerate(names)})
     return run
 
 
@@ -298,8 +393,8 @@ def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
 def text_parts(rows: DataFrame, units: DataFrame, occurrences: DataFrame, found: DataFrame,
                k: int, min_words: int) -> DataFrame:
     """Of each text that has any, in one pass, stored: shingle sets (mark, n, shingles) of
-    units in cells, and windows (row, doc_id, mark, word, start, end) whose least seed is
-    found in other rows too."""
+    units in cells, and segments of windows whose seed is found in other rows too (row,
+    doc_id, arrays) with the places of the text's words."""
     sets = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
             .groupBy(F.col("first.row").alias("row"))
             .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
@@ -321,9 +416,10 @@ def _each(units: DataFrame) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fraction,
-                   min_words: int) -> DataFrame:
-    """(row, doc_id, level, i, start, end, word, n_words, owner, removed): units (level 0),
-    paragraphs (1) and windows (2) of classes found in two documents or more."""
+                   min_words: int) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, level, i, start, end, word, n_words, owner, removed, mask): units (level
+    0), paragraphs (1) and segments of windows (2, see ``repeated_windows``) of classes
+    found in two documents or more; and the stored places of the words of texts."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "word", "n_words")
     firsts = [F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
     occurrences = staged(_each(units).groupBy("mark").agg(*firsts), "passages_marks")
@@ -341,6 +437,10 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
                               similarity), "passages_links")
     near = staged(components(links, "passages_components")
                   .select(F.col("node").alias("mark"), "root"), "passages_near")
+    # nor the sets
+    places = staged(parts.filter("segment IS NOT NULL").drop("mark", "n", "shingles"),
+                    "passages_places", "zstd")
+    discard(parts, cell, links)
     known = occurrences.join(near, "mark", "left").withColumn("class", F.coalesce("root", "mark"))
     # a class of one mark is decided by its own row; only linked marks are grouped
     alone = known.filter("root IS NULL AND low < high").select("mark", "first")
@@ -349,19 +449,60 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
                                           F.max("high").alias("high")).filter("low < high"))
     table = alone.unionByName(linked.select("mark", "class").join(groups.select("class", "first"),
                                                                   "class").drop("class"))
-    windows = parts.filter("shingles IS NULL").select(
-        "row", "doc_id", F.lit(2).alias("level"), F.lit(0).alias("i"), "mark", "start", "end",
-        "word", F.lit(min_words).alias("n_words"))
-    repeated = windows.groupBy("mark").agg(*firsts).filter("low < high").select("mark", "first")
-    # windows of one owner one word apart are one span
-    order = Window.partitionBy("row").orderBy("owner", "removed", "word")
-    chains = (decided(windows, repeated)
-              .withColumn("chain", F.col("word") - F.row_number().over(order))
-              .groupBy("row", "doc_id", "level", "i", "owner", "removed", "chain")
-              .agg(F.min("start").alias("start"), F.max("end").alias("end"),
-                   (F.max("word") - F.min("word") + min_words).alias("n_words"),
-                   F.min("word").alias("word")).drop("chain"))
-    return decided(each, table).unionByName(chains)
+    none = F.lit(None)
+    of_units = staged(decided(each, table).withColumn("mask", none.cast("long")),
+                      "passages_found", "zstd")
+    discard(units, occurrences, near)
+    return (of_units.unionByName(repeated_windows(places, min_words).select(
+                "row", "doc_id", F.lit(2).alias("level"), F.lit(0).alias("i"),
+                none.cast("int").alias("start"), none.cast("int").alias("end"), "word",
+                F.lit(min_words).alias("n_words"), "owner", "removed", "mask")), places)
+
+
+def repeated_windows(places: DataFrame, min_words: int) -> DataFrame:
+    """(row, doc_id, word, mask, owner, removed): segments and which of their windows
+    (bits of ``mask``, from window ``word`` on) are found in two rows or more and first
+    in ``owner``; a segment whose windows have several owners has a row for each."""
+    zipped = F.arrays_zip("seed", "segment", "word", "size", "plain")
+    each = (places.select("row", "doc_id", F.explode(zipped).alias("s"))
+            .select("row", "doc_id", "s.seed", F.col("s.segment").alias("mark"), "s.word",
+                    "s.size", "s.plain"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "word")
+    kinds = staged(each.groupBy("seed", "mark", "size", "plain").agg(
+        F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")),
+        "passages_segments")
+    seeds = (kinds.groupBy("seed").agg(
+        ((F.count(F.lit(1)) == 1) & F.bool_and("plain")).alias("even"),
+        F.min("low").alias("least"), F.max("high").alias("most"))
+        .filter("least < most").select("seed", "even"))
+    known = staged(kinds.join(seeds, "seed").select("mark", "size", "first", "low", "high", "even"),
+                   "passages_kinds")
+    # all occurrences of the seed are equal: so are their windows, one by one
+    full = F.when(F.col("size") == SEGMENT, F.lit(-1).cast("long")).otherwise(
+        F.expr("shiftleft(1L, size)") - 1)
+    even = known.filter("even").select("mark", "first.doc_id", "first.row", "first.word",
+                                       full.alias("mask"))
+    uneven = staged(known.filter("NOT even").select("mark", "first.*", "low", "high"),
+                    "passages_uneven")
+    blobs = (places.select("row", F.explode(F.arrays_zip("word", "windows")).alias("s"))
+             .select("row", "s.word", "s.windows").join(small(uneven), ["row", "word"]))
+    windows = staged(blobs.mapInArrow(_windows, WINDOWS), "passages_windows", "zstd")
+    firsts = (windows.groupBy("window").agg(
+        F.min(F.struct("last", "doc_id", "row", "word")).alias("first"),
+        F.min("low").alias("low"), F.max("high").alias("high"))
+        .filter("low < high").select("window", "first"))
+    mixed = (windows.select("mark", "window", "offset").join(firsts, "window")
+             .groupBy("mark", "first.doc_id", "first.row",
+                      (F.col("first.word") - F.col("offset")).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, offset)")).alias("mask")))
+    owners = staged(even.unionByName(mixed).select(
+        "mark", "mask", F.col("doc_id").alias("owner"), F.col("row").alias("own"),
+        F.col("word").alias("at")), "passages_owners")
+    discard(kinds, known, uneven, windows)
+    return each.select("row", "doc_id", "mark", "word").join(owners, "mark").select(
+        "row", "doc_id", "word", "mask", "owner",
+        ((F.col("row") != F.col("own")) | (F.col("word") >= F.col("at") + min_words))
+        .alias("removed"))
 
 
 def decided(each: DataFrame, table: DataFrame) -> DataFrame:
@@ -398,11 +539,11 @@ def passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
 
 def row_passages(rows: DataFrame, k: int, similarity: Fraction, min_words: int) -> DataFrame:
     """``passages`` of (row, doc_id, text), a stored table."""
-    found = repeated_spans(rows, unit_table(rows, k, similarity, min_words), k, similarity,
-                           min_words)
+    found, places = repeated_spans(rows, unit_table(rows, k, similarity, min_words), k, similarity,
+                                   min_words)
     spans = found.groupBy("row", "doc_id").agg(F.collect_list(F.struct(
-        "level", "i", "start", "end", "word", "n_words", "removed", "owner")).alias("spans"))
-    return spans.mapInArrow(_joined(min_words), PASSAGE)   # spans of one text
+        "level", "i", "start", "end", "word", "n_words", "removed", "owner", "mask")).alias("spans"))
+    return spans.join(places.select("row", "gaps", "lengths"), "row", "left").mapInArrow(_joined(min_words), PASSAGE)   # of one text
 
 
 def remove_passages(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
