@@ -110,7 +110,6 @@ class Units:
         self.text = text[open_]
         origin = chars[base[self.text]]
         self.hashes, self.first = hashes, first
-        self.word_start, self.word_end = (chars[x] - chars[base[text]] for x in (lo, hi))
         self.start, self.end = chars[lo[open_]] - origin, chars[hi[close]] - origin
         self.word, self.n_words = open_ - first[self.text], size
         # the shingles of all units, one unit after another
@@ -186,9 +185,10 @@ def segments(marks: np.ndarray, seeds: np.ndarray, wanted: np.ndarray
 
 UNITS = ("row long, doc_id long, level int, start array<int>, end array<int>, word array<int>, "
          "n_words array<int>, mark array<long>, ids binary, keys binary, seeds array<long>")
-PARTS = ("row long, doc_id long, mark long, n long, shingles binary, seed array<long>, "
-         "segment array<long>, word array<int>, size array<int>, plain array<boolean>, "
-         "windows array<binary>, gaps binary, lengths binary")
+SETS = "mark long, n long, shingles binary"
+PLACES = ("row long, doc_id long, seed array<long>, segment array<long>, word array<int>, "
+          "size array<int>, plain array<boolean>, windows array<binary>, gaps binary, "
+          "lengths binary")
 WINDOWS = ("mark long, window long, offset int, last boolean, doc_id long, row long, word int, "
            "low long, high long")
 PASSAGE = ("row long, doc_id long, start long, end long, n_words long, n_units long, "
@@ -248,48 +248,56 @@ def _cut(k: int, bands: int, rows: int, min_words: int):
     return run
 
 
-def _parts(k: int, min_words: int):
-    """Shingle sets of the wanted marks, and the windows of the seeds, of every text."""
+def _sets(k: int):
+    """Shingle sets of the wanted marks of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [lowered(t) for t in b.column("text").to_pylist()]
-            wanted, seeds = b.column("wanted").to_pylist(), b.column("seeds").to_pylist()
-            rows, ids = b.column("row").to_pylist(), b.column("doc_id").to_pylist()
+            wanted = b.column("wanted").to_pylist()
             for lo, hi in chunks(texts):
                 want = [set(w) for w in wanted[lo:hi]]
-                found, sets = [], []
-                of_words = words(texts[lo:hi])
+                marks, sets = [], []
+                found = words(texts[lo:hi])
                 for level in (0, 1):
-                    if not any(want) and level == 0:     # places of words alone
-                        continue
-                    u = Units(texts[lo:hi], k, bool(level), of_words)
-                    marks = u.marks.view(np.int64)
-                    for i, (m, t) in enumerate(zip(marks.tolist(), u.text.tolist())):
+                    u = Units(texts[lo:hi], k, bool(level), found)
+                    for i, (m, t) in enumerate(zip(u.marks.view(np.int64).tolist(),
+                                                   u.text.tolist())):
                         if m in want[t]:
                             want[t].discard(m)
-                            found.append(m)
+                            marks.append(m)
                             sets.append(np.unique(u.shingles[u.edge[i]:u.edge[i + 1]]))
-                yield _batch(PARTS, mark=found, n=[len(x) for x in sets],
+                yield _batch(SETS, mark=marks, n=[len(x) for x in sets],
                              shingles=[x.tobytes() for x in sets])
+    return run
+
+
+def _places(min_words: int):
+    """The segments of the wanted seeds of every text, and where its words are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [lowered(t) for t in b.column("text").to_pylist()]
+            rows, ids = b.column("row").to_pylist(), b.column("doc_id").to_pylist()
+            wanted = b.column("wanted")
+            for lo, hi in chunks(texts):
+                hashes, start, end, first = words(texts[lo:hi])
                 out = []
-                for t in range(hi - lo):
-                    if not seeds[lo + t]:
-                        continue
-                    a, z = int(u.first[t]), int(u.first[t + 1])
-                    least = least_seeds(u.hashes[a:z], min_words)
-                    marks = windows(u.hashes[a:z], min_words)
+                for t, (a, z) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+                    least, marks = (f(hashes[a:z], min_words) for f in (least_seeds, windows))
                     at, size, mark, plain = segments(
-                        marks, least, np.array(seeds[lo + t], np.int64).view(np.uint64))
-                    start, end = (x[a:z].astype(np.int32) for x in (u.word_start, u.word_end))
+                        marks, least, wanted[lo + t].values.to_numpy().view(np.uint64))
+                    # bytes to code points
+                    data = np.frombuffer(texts[lo + t], np.uint8)
+                    chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+                    begin, stop = (chars[x[a:z]].astype(np.int32) for x in (start, end))
                     out.append({
                         "row": rows[lo + t], "doc_id": ids[lo + t],
                         "seed": least[at].view(np.int64), "segment": mark.view(np.int64),
                         "word": at.astype(np.int32), "size": size.astype(np.int32),
-                        "plain": plain, "gaps": np.diff(start, prepend=np.int32(0)).tobytes(),
+                        "plain": plain, "gaps": np.diff(begin, prepend=np.int32(0)).tobytes(),
                         "windows": [marks[i:i + m].tobytes() for i, m in zip(at.tolist(),
                                                                              size.tolist())],
-                        "lengths": (end - start).tobytes()})
-                yield _batch(PARTS, **{c: [x[c] for x in out] for c in (out[0] if out else ())})
+                        "lengths": (stop - begin).tobytes()})
+                yield _batch(PLACES, **{c: [x[c] for x in out] for c in out[0]})
     return run
 
 
@@ -390,22 +398,23 @@ def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
                   "passages_units", "zstd")
 
 
-def text_parts(rows: DataFrame, units: DataFrame, occurrences: DataFrame, found: DataFrame,
-               k: int, min_words: int) -> DataFrame:
-    """Of each text that has any, in one pass, stored: shingle sets (mark, n, shingles) of
-    units in cells, and segments of windows whose seed is found in other rows too (row,
-    doc_id, arrays) with the places of the text's words."""
-    sets = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
-            .groupBy(F.col("first.row").alias("row"))
-            .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
+def unit_sets(rows: DataFrame, occurrences: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Shingle sets (mark, n, shingles) of the units in cells, stored; a unit's set is cut
+    from the text that holds it first."""
+    wanted = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
+              .groupBy(F.col("first.row").alias("row"))
+              .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
+    return staged(rows.join(wanted, "row").mapInArrow(_sets(k), SETS), "passages_sets", "zstd")
+
+
+def window_places(rows: DataFrame, units: DataFrame, min_words: int) -> DataFrame:
+    """Segments of windows whose seed is found in other rows too (row, doc_id, arrays) with
+    the places of the text's words, stored."""
     seeds = units.select("row", F.explode("seeds").alias("seed"))    # distinct in a row
     again = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("seed")
-    places = seeds.join(again, "seed").groupBy("row").agg(F.collect_list("seed").alias("seeds"))
-    none = F.array().cast("array<bigint>")
-    wanted = sets.join(places, "row", "full").select(
-        "row", F.coalesce("wanted", none).alias("wanted"), F.coalesce("seeds", none).alias("seeds"))
-    return staged(rows.join(wanted, "row").mapInArrow(_parts(k, min_words), PARTS),
-                  "passages_parts", "zstd")
+    wanted = seeds.join(again, "seed").groupBy("row").agg(F.collect_list("seed").alias("wanted"))
+    return staged(rows.join(wanted, "row").mapInArrow(_places(min_words), PLACES),
+                  "passages_places", "zstd")
 
 
 def _each(units: DataFrame) -> DataFrame:
@@ -424,23 +433,19 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
     firsts = [F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
     occurrences = staged(_each(units).groupBy("mark").agg(*firsts), "passages_marks")
     cell = staged(cells(units.filter("length(keys) > 0").select("ids", "keys")), "passages_cells")
-    parts = text_parts(rows, units, occurrences, cell, k, min_words)
-    # from here on without band keys and seeds
+    # from here on without band keys
     full, units = units, staged(units.select("row", "doc_id", "level", "mark", "start", "end",
-                                             "word", "n_words"), "passages_spans", "zstd")
+                                             "word", "n_words", "seeds"), "passages_spans", "zstd")
     discard(full)
     each = _each(units)
-    sets = parts.filter("shingles IS NOT NULL")
+    sets = unit_sets(rows, occurrences, cell, k)
     members = (cell.join(sets.select(F.col("mark").alias("node"), "n"), "node")
                .select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"))
     links = staged(cell_links(members, sets.select(F.col("mark").alias("row"), "shingles"),
                               similarity), "passages_links")
     near = staged(components(links, "passages_components")
                   .select(F.col("node").alias("mark"), "root"), "passages_near")
-    # nor the sets
-    places = staged(parts.filter("segment IS NOT NULL").drop("mark", "n", "shingles"),
-                    "passages_places", "zstd")
-    discard(parts, cell, links)
+    discard(sets, cell, links)
     known = occurrences.join(near, "mark", "left").withColumn("class", F.coalesce("root", "mark"))
     # a class of one mark is decided by its own row; only linked marks are grouped
     alone = known.filter("root IS NULL AND low < high").select("mark", "first")
@@ -452,7 +457,9 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
     none = F.lit(None)
     of_units = staged(decided(each, table).withColumn("mask", none.cast("long")),
                       "passages_found", "zstd")
-    discard(units, occurrences, near)
+    discard(occurrences, near)
+    places = window_places(rows, units, min_words)
+    discard(units)
     return (of_units.unionByName(repeated_windows(places, min_words).select(
                 "row", "doc_id", F.lit(2).alias("level"), F.lit(0).alias("i"),
                 none.cast("int").alias("start"), none.cast("int").alias("end"), "word",
