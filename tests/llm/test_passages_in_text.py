@@ -93,3 +93,67 @@ def test_equal_windows_have_equal_seeds():
     assert S.least_seeds(hashes[0], 30)[7] == S.least_seeds(hashes[1], 30)[33]
     assert S.windows(hashes[0], 30)[7] == S.windows(hashes[1], 30)[33]
     assert len(set(S.windows(hashes[0], 30).tolist())) == len(hashes[0]) - 29
+
+
+def test_minima_of_neighbours():
+    import numpy as np
+    hashes = np.random.default_rng(2).integers(0, 2**64, 90, np.uint64)
+    for n in (1, 2, 3, 29, 30, 64, 90, 91):
+        short = S.windows(hashes, max(1, n // 3))
+        width = n - max(1, n // 3) + 1
+        want = [min(short[i:i + width]) for i in range(len(hashes) - n + 1)]
+        assert S.least_seeds(hashes, n).tolist() == want
+
+
+def test_segments_hold_every_wanted_window_once():
+    import numpy as np
+    draw = np.random.default_rng(4)
+    marks = draw.integers(0, 2**64, 300, np.uint64)
+    marks[100:250] = marks[7]                                     # a run of equal windows
+    seeds = np.repeat(draw.integers(0, 2**64, 5, np.uint64), 60)  # none longer than SEGMENT
+    seeds[100:250] = seeds[100]
+    wanted = np.unique(seeds)[1:]
+    at, size, mark, plain = S.segments(marks, seeds, wanted)
+    held = np.concatenate([np.arange(a, a + n) for a, n in zip(at, size)])
+    assert held.tolist() == np.flatnonzero(np.isin(seeds, wanted)).tolist()
+    for a, n, p in zip(at.tolist(), size.tolist(), plain):
+        assert n <= S.SEGMENT and len(set(seeds[a:a + n].tolist())) == 1
+        assert p == (len(set(marks[a:a + n].tolist())) == n)
+    # equal segments have equal marks, wherever they are
+    again = S.segments(np.concatenate((marks[:9], marks)), np.concatenate((seeds[:9] + np.uint64(1),
+                                                                           seeds)), wanted)
+    assert again[2].tolist() == mark.tolist() and (again[0] - 9).tolist() == at.tolist()
+    assert len(S.segments(marks, seeds, marks[:0])[0]) == 0
+
+
+def test_periodic_and_overlapping_repeats_against_brute_force(docs):
+    draw = random.Random(12)
+    unit = {p: text_of(draw, p, 0) for p in (1, 3, 15, 25, 70)}
+    long = text_of(draw, 200, 0)
+    w = long.split()
+    texts = [" ".join([text_of(draw, 9, 0), *[unit[p]] * (200 // p), f"z{i}", text_of(draw, 9, 0)])
+             for i, p in enumerate([p for p in unit for _ in range(2)])]
+    # several owners of one text's windows, and a text that repeats itself
+    texts += [" ".join(w[:90]), " ".join(w[60:150]), long, " ".join(w[100:] + ["x"] + w[100:])]
+    table = docs(list(enumerate(texts)))
+    spans = [word_spans(t) for t in texts]
+    place = {}
+    for i, s in enumerate(spans):
+        for j in range(len(s) - S.MIN_WORDS + 1):
+            place.setdefault(tuple(x[0] for x in s[j:j + S.MIN_WORDS]), []).append((i, j))
+    want = [[None] * len(s) for s in spans]
+    for at in place.values():
+        if len({i for i, _ in at}) > 1:
+            (i0, j0) = min(at)
+            for i, j in at:
+                gone = i != i0 or j >= j0 + S.MIN_WORDS
+                for x in range(j, j + S.MIN_WORDS):
+                    want[i][x] = gone or bool(want[i][x])
+    got = [[None] * len(s) for s in spans]
+    for r in S.passages(table).collect():
+        for x, (_, a, z) in enumerate(spans[r.doc_id]):
+            if r.start <= a and z <= r.end:
+                got[r.doc_id][x] = r.removed
+    # no sentence ends here, so only whole texts are units besides
+    assert [[x is not None for x in g] for g in got] == [[x is not None for x in v] for v in want]
+    assert got == want
