@@ -50,6 +50,7 @@ GROUPS = 256              # coordinates of a point
 BLOCK = 1024              # points of a cell that one task indexes
 LEAF = 16                 # points of an R-tree leaf, and children of a node
 COUNTERS = 1 << 15        # entries of a Misra-Gries summary
+STEPS = 4                 # by which size codes of linked sets differ at most
 
 
 class Bounds:
@@ -79,6 +80,13 @@ class Bounds:
         return self.q * n >= self.p * m
 
 
+def size_codes(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Sizes on a scale of logarithms: codes of sets that are linked at ``similarity`` differ
+    by ``STEPS`` at most (very large sets share the last code)."""
+    step = math.log(1 / similarity) * (1 + 1e-9) / STEPS
+    return np.minimum(np.log(np.maximum(sizes, 1)) / step, 255).astype(np.uint8)
+
+
 def block_keys(shingles: np.ndarray, bounds: Bounds) -> np.ndarray:
     """The cell keys of a set (distinct shingles)."""
     n = len(shingles)
@@ -192,17 +200,21 @@ def _dealt(n_buckets: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, rows, hot = _entries(b, frequent)
+            sizes = (np.frombuffer(b"".join(b.column("sizes").to_pylist()), np.uint8)[~hot]
+                     if "sizes" in b.schema.names else None)
             keys, rows = keys[~hot], rows[~hot]
             bucket = (keys >> np.uint64(32)).astype(np.int64) % n_buckets
             order = np.argsort(bucket, kind="stable")
             keys, rows, bucket = keys[order].astype(np.uint32), rows[order], bucket[order]
+            sizes = b"" if sizes is None else sizes[order].tobytes()
             used, first = np.unique(bucket, return_index=True)
             edges = [*first.tolist(), len(bucket)]
             parts = list(zip(edges[:-1], edges[1:]))
             yield pa.RecordBatch.from_pydict(
                 {"bucket": pa.array(used, pa.int64()),
                  "keys": pa.array([keys[i:j].tobytes() for i, j in parts], pa.binary()),
-                 "rows": pa.array([rows[i:j].tobytes() for i, j in parts], pa.binary())})
+                 "rows": pa.array([rows[i:j].tobytes() for i, j in parts], pa.binary()),
+                 "sizes": pa.array([sizes[i:j] for i, j in parts], pa.binary())})
     return run
 
 
@@ -252,13 +264,17 @@ def _hub_edges(hubs):
 
 
 def _stars(table: pa.Table) -> pa.Table:
-    """Edges (u, v) from each row of a bucket to the smallest row with the same key.
-    Two keys of a bucket may agree in their lower half: cells then grow, no more."""
+    """Edges (u, v) from each row of a bucket to one row with the same key, if sizes are
+    given one that no gap in size divides it from that links cannot cross. Two keys of a
+    bucket may agree in their lower half: cells then grow, no more."""
     keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint32)
     rows = np.frombuffer(b"".join(table.column("rows").to_pylist()), np.int64)
-    order = np.lexsort((rows, keys))
+    sizes = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.uint8)
+    order = np.lexsort((rows, sizes, keys) if len(sizes) else (rows, keys))
     keys, rows = keys[order], rows[order]
     new = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.empty(0, bool)
+    if len(sizes):
+        new[1:] |= np.diff(sizes[order].astype(np.int16)) > STEPS
     hub = rows[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else rows
     edges = np.unique(np.stack((rows, hub), axis=1)[rows != hub], axis=0)
     return pa.table({"u": pa.array(edges[:, 0], pa.int64()), "v": pa.array(edges[:, 1], pa.int64())})
@@ -266,12 +282,15 @@ def _stars(table: pa.Table) -> pa.Table:
 
 def cells(keyed: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """(node, root): rows that share keys, directly or by others; ``keyed`` has (row,
-    keys) or (ids, keys)."""
+    keys) or (ids, keys), and may have ``sizes``, the packed size codes of the ids: rows of
+    one key are then connected only if links could lead from size to size between them
+    (rows of frequent keys in any case)."""
     spark = keyed.sparkSession
     frequent = np.array(frequent_keys(keyed, counters), np.int64)
-    own = keyed.select("ids" if "ids" in keyed.columns else "row", "keys")
+    own = keyed.select("ids" if "ids" in keyed.columns else "row", "keys",
+                       *[c for c in keyed.columns if c == "sizes"])
     edges = (own.mapInArrow(_dealt(shuffle_partitions(spark), frequent),
-                            "bucket long, keys binary, rows binary")
+                            "bucket long, keys binary, rows binary, sizes binary")
              .groupBy("bucket").applyInArrow(_stars, "u long, v long"))
     if len(frequent):
         hot = staged(own.mapInArrow(_hot(frequent), "keys binary, rows binary"), "ngram_join_frequent")

@@ -8,7 +8,9 @@ paragraphs (lines of several units), are compared:
 1. every unit's word shingles give a mark (equal units, equal marks) and ``bands`` band
    keys of ``rows`` MinHash values each, tuned for recall at the similarity;
 2. units of different marks that collide in a band form cells, in which the exact
-   Jaccard similarity of shingle sets is verified (the join of ``ngram_join``);
+   Jaccard similarity of shingle sets is verified (the join of ``ngram_join``). Those of a
+   key whose numbers of distinct shingles rule every link out, such as a paragraph and one
+   of its sentences, are kept apart before any set is made;
 3. components of the verified links are classes; a class found in two documents or more
    is repeated, and all but its first occurrence (by doc_id, then place) are removals;
 4. every window of ``min_words`` words, wherever sentences end, that is found in two
@@ -44,7 +46,7 @@ from pyspark.sql import functions as F
 
 from paddock.llm._common import discard, fresh, id_and_text, numbered, small, staged
 from paddock.llm.components import components
-from paddock.llm.ngram_join import cell_links, cells
+from paddock.llm.ngram_join import cell_links, cells, size_codes
 from paddock.llm.shingles import _PLACE, _powers, chunks, lowered, mix, words
 
 K = 5
@@ -123,6 +125,17 @@ class Units:
         self.marks = (mix(np.add.reduceat(mix(self.shingles), self.edge[:-1])
                           + size.astype(np.uint64)) if len(size) else np.empty(0, np.uint64))
 
+    def sizes(self) -> np.ndarray:
+        """Distinct shingles of every unit."""
+        out = np.diff(self.edge)
+        bits = np.uint64(max(1, len(out).bit_length()))
+        unit = np.repeat(np.arange(len(out), dtype=np.uint64), out)
+        near = np.sort((unit << (np.uint64(64) - bits)) | (self.shingles >> bits))
+        # only units with two shingles that agree in their upper bits may repeat one
+        for u in np.unique(near[1:][near[1:] == near[:-1]] >> (np.uint64(64) - bits)).tolist():
+            out[u] = len(np.unique(self.shingles[self.edge[u]:self.edge[u + 1]]))
+        return out
+
     def keys(self, bands: int, rows: int) -> np.ndarray:
         """(unit, band) keys."""
         out = np.empty((len(self.marks), bands), np.uint64)
@@ -184,7 +197,8 @@ def segments(marks: np.ndarray, seeds: np.ndarray, wanted: np.ndarray
 
 
 UNITS = ("row long, doc_id long, level int, start array<int>, end array<int>, word array<int>, "
-         "n_words array<int>, mark array<long>, ids binary, keys binary, seeds array<long>")
+         "n_words array<int>, mark array<long>, ids binary, keys binary, sizes binary, "
+         "seeds array<long>")
 SETS = "mark long, n long, shingles binary"
 PLACES = ("row long, doc_id long, seed array<long>, segment array<long>, word array<int>, "
           "size array<int>, plain array<boolean>, windows array<binary>, gaps binary, "
@@ -213,7 +227,9 @@ def _lists(values: np.ndarray, edge: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(values, kind))
 
 
-def _cut(k: int, bands: int, rows: int, min_words: int):
+def _cut(k: int, similarity: float, min_words: int):
+    bands, rows = tuned(similarity)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [lowered(t) for t in b.column("text").to_pylist()]
@@ -225,11 +241,13 @@ def _cut(k: int, bands: int, rows: int, min_words: int):
                     marks = u.marks.view(np.int64)
                     keys = u.keys(bands, rows)
                     near = np.diff(u.edge) >= LEAST_NEAR
-                    ids, blobs = [], []
+                    codes = size_codes(u.sizes(), similarity)
+                    ids, blobs, sizes = [], [], []
                     for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
                         use = near[a:z]
                         ids.append(np.repeat(marks[a:z][use], bands).tobytes())
                         blobs.append(keys[a:z][use].tobytes())
+                        sizes.append(np.repeat(codes[a:z][use], bands).tobytes())
                     seeds = [np.empty(0, np.int64)] * (hi - lo) if level else [
                         np.unique(least_seeds(u.hashes[x:y], min_words)).view(np.int64)
                         for x, y in zip(u.first[:-1].tolist(), u.first[1:].tolist())]
@@ -243,6 +261,7 @@ def _cut(k: int, bands: int, rows: int, min_words: int):
                         "n_words": _lists(u.n_words, edge, pa.int32()),
                         "mark": _lists(marks, edge, pa.int64()),
                         "ids": pa.array(ids, pa.binary()), "keys": pa.array(blobs, pa.binary()),
+                        "sizes": pa.array(sizes, pa.binary()),
                         "seeds": _lists(np.concatenate(seeds), np.cumsum(
                             [0, *map(len, seeds)]), pa.int64())})
     return run
@@ -394,7 +413,7 @@ def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
                min_words: int = MIN_WORDS) -> DataFrame:
     """Two rows per row of ``rows`` (row, doc_id, text), stored: level 0 with the arrays of
     its units and its seeds, level 1 with those of its paragraphs."""
-    return staged(rows.mapInArrow(_cut(k, *tuned(float(similarity)), min_words), UNITS),
+    return staged(rows.mapInArrow(_cut(k, float(similarity), min_words), UNITS),
                   "passages_units", "zstd")
 
 
@@ -432,7 +451,8 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "word", "n_words")
     firsts = [F.min(place).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
     occurrences = staged(_each(units).groupBy("mark").agg(*firsts), "passages_marks")
-    cell = staged(cells(units.filter("length(keys) > 0").select("ids", "keys")), "passages_cells")
+    cell = staged(cells(units.filter("length(keys) > 0").select("ids", "keys", "sizes")),
+                  "passages_cells")
     # from here on without band keys
     full, units = units, staged(units.select("row", "doc_id", "level", "mark", "start", "end",
                                              "word", "n_words", "seeds"), "passages_spans", "zstd")

@@ -115,3 +115,44 @@ def test_bands_reach_the_recall():
         keys = u.keys(bands, rows)
         hit += bool((keys[0] == keys[1]).any())
     assert hit >= 0.95 * 300
+
+
+def test_sizes_count_distinct_shingles():
+    draw = random.Random(12)
+    texts = [" ".join(draw.choice(["ab", "c", "d", "e."]) for _ in range(draw.randint(0, 90))).encode()
+             for _ in range(80)] + [b"spam " * 50, b""]
+    for lines in (False, True):
+        u = S.Units(texts, 5, lines)
+        assert u.sizes().tolist() == [len(set(u.shingles[a:z].tolist()))
+                                      for a, z in zip(u.edge[:-1].tolist(), u.edge[1:].tolist())]
+    assert not len(S.Units([b""], 5).sizes())
+
+
+def test_near_paragraphs_of_one_key_stay_together_and_their_sentences_apart(spark):
+    """Rows that share a key and could be linked over sizes share a cell; a gap divides."""
+    from paddock.llm.ngram_join import cells, size_codes
+    draw = random.Random(6)
+    sizes = sorted({draw.randint(4, 400) for _ in range(70)} | {5000, 9000})
+    codes = size_codes(np.array(sizes), 0.8)
+    for i, a in enumerate(sizes):     # no pair that may be linked is further apart
+        for j, b in enumerate(sizes):
+            if a <= b and 5 * a >= 4 * b:
+                assert int(codes[j]) - int(codes[i]) <= 4
+    keyed = spark.createDataFrame(
+        [(np.array([i, i], np.int64).tobytes(), np.array([key, 77], np.uint64).tobytes(),
+          np.array([c, c], np.uint8).tobytes())
+         for key, own in ((5, range(0, 40, 9)), (6, range(1, 40, 9)))
+         for i, c in ((i, codes[i]) for i in own)],
+        "ids binary, keys binary, sizes binary")
+    own = {r.node: r.root for r in cells(keyed).collect()}
+    used = sorted([*range(0, 40, 9), *range(1, 40, 9)])
+    up = {i: i for i in used}         # one key: rows in order of size, cut at gaps
+    for a, b in zip(used[:-1], used[1:]):
+        if int(codes[b]) - int(codes[a]) <= 4:
+            up[b] = up[a]
+    held = {r: [i for i in used if up[i] == r] for r in set(up.values())}
+    got = {}
+    for node, root in own.items():
+        got.setdefault(root, []).append(node)
+    assert sorted(map(sorted, got.values())) == sorted(x for x in held.values() if len(x) > 1)
+    assert len(held) > 1
