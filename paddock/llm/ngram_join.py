@@ -181,11 +181,12 @@ def frequent_keys(keyed: DataFrame, counters: int = COUNTERS) -> list[int]:
 
 def _entries(b: pa.RecordBatch, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, rows and whether the key is frequent, of a batch that holds the packed keys
-    of one ``row``, or of the packed ``ids`` beside them, per line."""
+    of one ``row``, or of the packed ``ids`` beside them (as many keys each), per line."""
     blobs = b.column("keys").to_pylist()
     keys = np.frombuffer(b"".join(blobs), np.uint64)
     if "ids" in b.schema.names:
         rows = np.frombuffer(b"".join(b.column("ids").to_pylist()), np.int64)
+        rows = np.repeat(rows, len(keys) // max(1, len(rows)))
     else:
         rows = np.repeat(b.column("row").to_numpy(), [len(x) // 8 for x in blobs])
     if not len(frequent):
@@ -200,8 +201,10 @@ def _dealt(n_buckets: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, rows, hot = _entries(b, frequent)
-            sizes = (np.frombuffer(b"".join(b.column("sizes").to_pylist()), np.uint8)[~hot]
-                     if "sizes" in b.schema.names else None)
+            sizes = None
+            if "sizes" in b.schema.names:
+                sizes = np.frombuffer(b"".join(b.column("sizes").to_pylist()), np.uint8)
+                sizes = np.repeat(sizes, len(keys) // max(1, len(sizes)))[~hot]
             keys, rows = keys[~hot], rows[~hot]
             bucket = (keys >> np.uint64(32)).astype(np.int64) % n_buckets
             order = np.argsort(bucket, kind="stable")

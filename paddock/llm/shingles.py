@@ -31,7 +31,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(2)
+@lru_cache(16)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse modulo 2**64."""
     inverse = pow(_BASE, -1, 1 << 64)

@@ -227,6 +227,17 @@ def _lists(values: np.ndarray, edge: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(values, kind))
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Small numbers (0 or more) as bytes: their width first, then each in that many bytes."""
+    top = int(values.max()) if len(values) else 0
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _widened(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
+
+
 def _cut(k: int, similarity: float, min_words: int):
     bands, rows = tuned(similarity)
 
@@ -245,9 +256,9 @@ def _cut(k: int, similarity: float, min_words: int):
                     ids, blobs, sizes = [], [], []
                     for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
                         use = near[a:z]
-                        ids.append(np.repeat(marks[a:z][use], bands).tobytes())
+                        ids.append(marks[a:z][use].tobytes())
                         blobs.append(keys[a:z][use].tobytes())
-                        sizes.append(np.repeat(codes[a:z][use], bands).tobytes())
+                        sizes.append(codes[a:z][use].tobytes())
                     seeds = [np.empty(0, np.int64)] * (hi - lo) if level else [
                         np.unique(least_seeds(u.hashes[x:y], min_words)).view(np.int64)
                         for x, y in zip(u.first[:-1].tolist(), u.first[1:].tolist())]
@@ -312,10 +323,10 @@ def _places(min_words: int):
                         "row": rows[lo + t], "doc_id": ids[lo + t],
                         "seed": least[at].view(np.int64), "segment": mark.view(np.int64),
                         "word": at.astype(np.int32), "size": size.astype(np.int32),
-                        "plain": plain, "gaps": np.diff(begin, prepend=np.int32(0)).tobytes(),
+                        "plain": plain, "gaps": _narrow(np.diff(begin, prepend=np.int32(0))),
                         "windows": [marks[i:i + m].tobytes() for i, m in zip(at.tolist(),
                                                                              size.tolist())],
-                        "lengths": (stop - begin).tobytes()})
+                        "lengths": _narrow(stop - begin)})
                 yield _batch(PLACES, **{c: [x[c] for x in out] for c in out[0]})
     return run
 
@@ -339,8 +350,8 @@ def _joined(min_words: int):
     are removed and parts that stay."""
     def of_windows(spans: dict, at: np.ndarray, gaps: bytes, lengths: bytes) -> Iterator[dict]:
         # windows of one owner one word apart are one span
-        begin = np.cumsum(np.frombuffer(gaps, np.int32))
-        stop = begin + np.frombuffer(lengths, np.int32)
+        begin = np.cumsum(_widened(gaps))
+        stop = begin + _widened(lengths)
         segment, offset = np.nonzero(spans["mask"][at][:, None] >> np.arange(SEGMENT) & 1)
         place = spans["word"][at][segment] + offset
         owner, removed = spans["owner"][at][segment], spans["removed"][at][segment]
@@ -417,11 +428,10 @@ def unit_table(rows: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
                   "passages_units", "zstd")
 
 
-def unit_sets(rows: DataFrame, occurrences: DataFrame, found: DataFrame, k: int) -> DataFrame:
+def unit_sets(rows: DataFrame, celled: DataFrame, k: int) -> DataFrame:
     """Shingle sets (mark, n, shingles) of the units in cells, stored; a unit's set is cut
     from the text that holds it first."""
-    wanted = (found.select(F.col("node").alias("mark")).join(occurrences, "mark")
-              .groupBy(F.col("first.row").alias("row"))
+    wanted = (celled.groupBy(F.col("first.row").alias("row"))
               .agg(F.collect_list("mark").alias("wanted")))   # marks of one text
     return staged(rows.join(wanted, "row").mapInArrow(_sets(k), SETS), "passages_sets", "zstd")
 
@@ -453,23 +463,26 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
     occurrences = staged(_each(units).groupBy("mark").agg(*firsts), "passages_marks")
     cell = staged(cells(units.filter("length(keys) > 0").select("ids", "keys", "sizes")),
                   "passages_cells")
-    # from here on without band keys
+    # from here on without band keys, and occurrences of marks in cells or of two rows only
     full, units = units, staged(units.select("row", "doc_id", "level", "mark", "start", "end",
                                              "word", "n_words", "seeds"), "passages_spans", "zstd")
-    discard(full)
+    celled = staged(occurrences.join(cell.withColumnRenamed("node", "mark"), "mark"),
+                    "passages_celled")
+    again = staged(occurrences.filter("low < high"), "passages_again")
+    discard(full, occurrences, cell)
     each = _each(units)
-    sets = unit_sets(rows, occurrences, cell, k)
-    members = (cell.join(sets.select(F.col("mark").alias("node"), "n"), "node")
-               .select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"))
+    sets = unit_sets(rows, celled, k)
+    members = (celled.select("root", "mark").join(sets.select("mark", "n"), "mark")
+               .select(F.col("root").alias("cell"), F.col("mark").alias("row"), "n"))
     links = staged(cell_links(members, sets.select(F.col("mark").alias("row"), "shingles"),
                               similarity), "passages_links")
     near = staged(components(links, "passages_components")
-                  .select(F.col("node").alias("mark"), "root"), "passages_near")
-    discard(sets, cell, links)
-    known = occurrences.join(near, "mark", "left").withColumn("class", F.coalesce("root", "mark"))
+                  .select(F.col("node").alias("mark"), F.col("root").alias("class")),
+                  "passages_near")
+    discard(sets, links)
     # a class of one mark is decided by its own row; only linked marks are grouped
-    alone = known.filter("root IS NULL AND low < high").select("mark", "first")
-    linked = known.filter("root IS NOT NULL")
+    alone = again.join(near, "mark", "left_anti").select("mark", "first")
+    linked = celled.drop("root").join(near, "mark")
     groups = (linked.groupBy("class").agg(F.min("first").alias("first"), F.min("low").alias("low"),
                                           F.max("high").alias("high")).filter("low < high"))
     table = alone.unionByName(linked.select("mark", "class").join(groups.select("class", "first"),
@@ -477,7 +490,7 @@ def repeated_spans(rows: DataFrame, units: DataFrame, k: int, similarity: Fracti
     none = F.lit(None)
     of_units = staged(decided(each, table).withColumn("mask", none.cast("long")),
                       "passages_found", "zstd")
-    discard(occurrences, near)
+    discard(again, celled, near)
     places = window_places(rows, units, min_words)
     discard(units)
     return (of_units.unionByName(repeated_windows(places, min_words).select(

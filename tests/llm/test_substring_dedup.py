@@ -156,3 +156,10 @@ def test_near_paragraphs_of_one_key_stay_together_and_their_sentences_apart(spar
         got.setdefault(root, []).append(node)
     assert sorted(map(sorted, got.values())) == sorted(x for x in held.values() if len(x) > 1)
     assert len(held) > 1
+
+
+def test_narrow_numbers():
+    for top in (0, 255, 256, 65535, 65536, 2**31 - 1):
+        x = np.array([0, top, 7], np.int32)
+        assert S._widened(S._narrow(x)).tolist() == x.tolist()
+    assert not len(S._widened(S._narrow(np.empty(0, np.int32))))
