@@ -36,3 +36,39 @@ def test_every_format_is_packed_and_read_back(spark, tmp):
         tt.write_feed(df, name, path)
         assert glob.glob(f"{path}/part-*.gz") and not glob.glob(f"{path}/part-*[!z]")
         assert feeds.read_feed(spark, tmp, name).count() == df.count()
+
+
+def test_delivered_feeds_equal_their_sql(spark, tmp):
+    import datetime
+    day = datetime.date
+    dates = [day(1999, 1, 1), day(2000, 7, 1), day(2001, 2, 28), day(2001, 3, 1), None, day(2000, 8, 1)]
+    orders = [(k, d) for k, d in enumerate(dates)] + [(0, day(2001, 5, 1)), (5, day(2000, 9, 9)), (None, day(1999, 1, 1))]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_orderdate date").write.parquet(f"{tmp}/orders.parquet")
+    items = [(k, p, 3, n, 5.0, "A") for k in (0, 1, 2, 3, 4, 5, 99, None) for n, p in ((1, 10), (2, 11), (2, 11), (3, None))]
+    spark.createDataFrame(items, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                          "l_quantity double, l_returnflag string").write.parquet(f"{tmp}/lineitem.parquet")
+    for d in [b[0] for b in tt.BATCHES]:
+        delivered, _ = tt.stage_deliveries(spark, tmp, [d])
+        for name in tt.FACTS:
+            got = tt.raw_feed(spark, tmp, name, d, delivered=delivered)
+            want = tt.raw_feed(spark, tmp, name, d)
+            assert got.schema.simpleString() == want.schema.simpleString()
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            # facts stay where the staged rows lie
+            assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert delivered.count() > 0
+
+
+def test_a_batch_is_shuffled_once_before_its_merge(spark):
+    from paddock.plans.ingest import MERGE_KEYS, prepare_incremental
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        races = spark.range(9).selectExpr("id AS race_id", "CAST(2000 + id AS INT) AS race_year")
+        fact = spark.range(90).selectExpr("id % 9 AS race_id", "id % 30 AS driver_id", "id AS result_id",
+                                          "id % 30 AS qualify_id", "id % 3 AS stop", "id % 2 AS lap")
+        for name in MERGE_KEYS:
+            plan = prepare_incremental(fact, name, races)._jdf.queryExecution().executedPlan().toString()
+            # the rows' one, the races' one
+            assert plan.count("Exchange hashpartitioning") == 2, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
