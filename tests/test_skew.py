@@ -4,7 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paddock.functions.conform import dedupe_by_key
-from paddock.operators.standings import driver_standings, rank_within
+from paddock.operators.standings import (affected_periods, driver_standings, rank_within,
+                                         rows_of_periods)
 from paddock.operators.star import calculated_results
 
 
@@ -66,3 +67,18 @@ def test_hot_season_continuous_scores_bucketed_rank_is_exact(spark):
         Window.partitionBy("race_year").orderBy(F.col("pts").desc(), F.col("wins").desc())))
     assert ours.count() == 20000
     assert ours.exceptAll(ref.select(*ours.columns)).count() == 0
+
+
+def test_rows_of_periods_stay_where_they_are(spark, tmp):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = f"{tmp}/rr"
+        spark.range(3000).selectExpr("id", "IF(id % 100 = 0, 'b', 'a') AS file_date", "CAST(2000 + id % 7 AS INT) AS race_year"
+                                     ).write.partitionBy("race_year").parquet(path)
+        rr = spark.read.parquet(path)
+        out = rows_of_periods(rr, affected_periods(rr, "b"))
+        assert out.count() == 3000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
