@@ -72,3 +72,28 @@ def test_a_batch_is_shuffled_once_before_its_merge(spark):
             assert plan.count("Exchange hashpartitioning") == 2, plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_facts_of_a_full_load_are_shuffled_once(spark, tmp, monkeypatch):
+    from paddock.plans import ingest as plan
+    written = {}
+
+    def keep(df, path, partition_by=None, cluster_by=(), rebalance=True):
+        written[os.path.basename(path)] = (df._jdf.queryExecution().executedPlan().toString(), rebalance)
+        return real(df, path, partition_by, cluster_by, rebalance)
+    real = plan.overwrite_parquet
+    monkeypatch.setattr(plan, "overwrite_parquet", keep)
+    from conftest import SF_SMALL
+    names = ["races", *plan.MERGE_KEYS]
+    tt.write_raw_folder(spark, SF_SMALL, f"{tmp}/raw", None, names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in names:
+            plan.ingest(spark, f"{tmp}/raw", f"{tmp}/done", n)
+            text, rebalance = written[n]
+            assert text.count("Exchange hashpartitioning") == (0 if n == "races" else 2) and not rebalance
+            if n != "races":
+                want = tt.raw_feed(spark, SF_SMALL, n).count()
+                assert spark.read.parquet(f"{tmp}/done/{n}").count() == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

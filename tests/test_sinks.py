@@ -285,3 +285,62 @@ def test_upsert_refuses_unknown_source_columns(spark, tmp):
     wider = _df(spark, [(2020, 1, 1, 2, "b")]).withColumn("extra", F.lit(1))
     with pytest.raises(ValueError):
         sink.upsert(spark, wider, path, KEYS, "race_year")
+
+
+def test_first_load_is_checked_before_it_is_there(spark, tmp):
+    path = os.path.join(tmp, "t")
+    rows = [(2020, 1, 1, 1, "a"), (2021, 2, 1, 2, "b"), (None, 3, 1, 3, "c")]
+    with pytest.raises(ValueError):
+        sink.upsert(spark, _df(spark, rows + rows[:1]), path, KEYS[:2], "race_year")
+    assert os.listdir(tmp) == []            # neither a dataset nor what was checked
+    touched = []
+    sink.upsert(spark, _df(spark, rows), path, KEYS[:2], "race_year", touched=touched)
+    assert sorted(touched, key=str) == [(2020,), (2021,), (None,)] and os.listdir(tmp) == ["t"]
+    sink.upsert(spark, _df(spark, []), os.path.join(tmp, "none"), KEYS[:2], "race_year")
+    sink.upsert(spark, _df(spark, rows), os.path.join(tmp, "none"), KEYS[:2], "race_year")
+    assert _state(spark, os.path.join(tmp, "none")) == _state(spark, path)
+
+
+def test_loads_and_merges_are_not_dealt_out_by_season(spark, tmp, monkeypatch):
+    asked = []
+    plain = sink._clustered
+    monkeypatch.setattr(sink, "_clustered", lambda df, parts, cluster_by=(), rebalance=True:
+                        asked.append(rebalance) or plain(df, parts, cluster_by, rebalance))
+    rows = [(2020, 1, 1, 1, "a"), (2021, 2, 1, 2, "b")]
+    for name in ("a", "b"):
+        for _ in range(2):
+            sink.upsert(spark, _df(spark, rows), os.path.join(tmp, name), KEYS, "race_year", check_unique=name == "a")
+            sink.selective_upsert(spark, _df(spark, rows).drop("tag"), os.path.join(tmp, f"s{name}"), KEYS, ["points"],
+                                  "race_year", SCHEMA + ", created_date timestamp_ntz, updated_date timestamp_ntz")
+    assert asked == [False] * 8
+
+
+def test_rows_that_moved_are_sought_outside_the_written_partitions(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "t")
+    first = [(2020, 1, 1, 1, "a"), (2020, 2, 1, 2, "a"), (2021, 3, 1, 3, "a"), (None, 4, 1, 4, "a"), (2022, 5, 1, 5, "a")]
+    keys = ["race_id", "driver_id"]
+    sink.upsert(spark, _df(spark, first), path, keys, "race_year")
+    searched, plain = [], sink.matching_partitions
+    monkeypatch.setattr(sink, "matching_partitions", lambda target, *a: searched.append(
+        sorted({str(r.race_year) for r in target.collect()})) or plain(target, *a))
+    sink.upsert(spark, _df(spark, [(2021, 1, 1, 9, "b"), (2021, 4, 1, 9, "b")]), path, keys, "race_year")
+    assert searched == [["2020", "2022", "None"]]
+    assert _state(spark, path) == {(2021, 1, 1): (9, "b"), (2020, 2, 1): (2, "a"), (2021, 3, 1): (3, "a"),
+                                   (2021, 4, 1): (9, "b"), (2022, 5, 1): (5, "a")}
+    sink.upsert(spark, _df(spark, [(None, 5, 1, 7, "c")]), path, keys, "race_year")
+    assert searched[1] == ["2020", "2021"] or searched[1] == ["2020", "2021", "2022"]
+    assert (None, 5, 1) in _state(spark, path) and (2022, 5, 1) not in _state(spark, path)
+
+
+def test_written_tables_are_packed_and_leave_no_shuffle_files(spark, tmp):
+    import glob
+    from paddock.session import FREE_SHUFFLES
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    df = spark.range(100).selectExpr("id", "CAST(id % 3 AS INT) AS race_year").groupBy("race_year", "id").count()
+    sink.overwrite_parquet(df, f"{tmp}/a", partition_by=["race_year"], rebalance=False)
+    sink.overwrite_partitions(df, f"{tmp}/b", "race_year")
+    assert glob.glob(f"{tmp}/a/*/*.zstd.parquet") and glob.glob(f"{tmp}/b/*/*.zstd.parquet")
+    assert spark.conf.get(FREE_SHUFFLES, "false") == before
+    with pytest.raises(Exception):
+        sink.overwrite_parquet(df.withColumn("id", F.raise_error(F.lit("no"))), f"{tmp}/c")
+    assert spark.conf.get(FREE_SHUFFLES, "false") == before
