@@ -127,3 +127,21 @@ def test_rank_within_buckets_equals_window_rank(spark, rows, buckets):
     ours = {r.id: r.rank for r in rank_within(df, ["p"], ["pts", "w"], buckets=buckets).collect()}
     ref = Window.partitionBy("p").orderBy(F.col("pts").desc(), F.col("w").desc())
     assert ours == {r.id: r.rank for r in df.withColumn("rank", F.rank().over(ref)).collect()}
+
+
+def test_star_joins_shuffle_wide_attributes_last(spark):
+    from pyspark.sql import functions as F
+    from paddock.operators.star import calculated_results, race_results
+    results = spark.range(9).selectExpr("id AS race_id", "id % 3 AS driver_id", "id % 2 AS constructor_id", "1 AS grid",
+                                        "1 AS fastest_lap", "'t' AS time", "1.0F AS points", "1 AS position")
+    races = spark.range(9).selectExpr("id AS race_id", "2000 AS race_year", "'r' AS name", "NULL AS race_timestamp", "1 AS circuit_id")
+    circuits = spark.range(2).selectExpr("CAST(id AS INT) AS circuit_id", "'c' AS location")
+    drivers = spark.range(3).selectExpr("id AS driver_id", "1 AS number", "'d' AS name", "'n' AS nationality")
+    teams = spark.range(2).selectExpr("id AS constructor_id", "'t' AS name")
+    rr = race_results(results, races, circuits, drivers, teams)
+    calc = calculated_results(results, races, drivers, teams)
+    assert rr.count() == calc.count() == 9
+    for df, order in ((rr, ["constructor_id", "driver_id", "race_id"]), (calc, ["race_id", "constructor_id", "driver_id"])):
+        plan = df._jdf.queryExecution().analyzed().toString()
+        joins = [line for line in plan.split("\n") if "Join Inner" in line and "circuit_id" not in line]
+        assert [next(k for k in order if k in line) for line in reversed(joins)] == order
