@@ -344,3 +344,25 @@ def test_written_tables_are_packed_and_leave_no_shuffle_files(spark, tmp):
     with pytest.raises(Exception):
         sink.overwrite_parquet(df.withColumn("id", F.raise_error(F.lit("no"))), f"{tmp}/c")
     assert spark.conf.get(FREE_SHUFFLES, "false") == before
+
+
+def test_written_pages_hold_differences(spark, tmp):
+    import glob
+    import pyarrow.parquet as pq
+    df = spark.range(0, 300_000, 1, 1).selectExpr("id * 1000003 AS id", "CAST(id % 2 AS INT) AS race_year")
+    sink.overwrite_parquet(df, f"{tmp}/a", partition_by=["race_year"], rebalance=False)
+    sink.overwrite_partitions(df, f"{tmp}/b", "race_year", rebalance=False)
+    sink.stage(spark, df, f"{tmp}/c")
+    files = [glob.glob(f"{tmp}/{x}/*/*.parquet") for x in "ab"] + [glob.glob(f"{sink._stage_dir(spark, f'{tmp}/c')}/*.parquet")]
+    for found in files:
+        assert "DELTA_BINARY_PACKED" in pq.ParquetFile(found[0]).metadata.row_group(0).column(0).encodings
+    assert spark.read.parquet(f"{tmp}/a").count() == spark.read.parquet(f"{tmp}/b").count() == 300_000
+
+
+def test_kept_frames_go_with_their_end(spark, tmp):
+    df = spark.range(3)
+    with pytest.raises(ValueError), sink.kept(spark, f"{tmp}/x") as keep:
+        a, b = keep("a", df), keep("b", df.filter("id > 0"))
+        assert (a.count(), b.count()) == (3, 2)
+        raise ValueError
+    assert not any(os.path.exists(sink._stage_dir(spark, f"{tmp}/x/{n}")) for n in "ab")

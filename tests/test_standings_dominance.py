@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paddock.operators import dominance as dom
-from paddock.operators.standings import (affected_periods, driver_standings, rank_within,
+from paddock.operators.standings import (affected_periods, constructor_standings, driver_standings, rank_within,
                                          rows_of_periods, season_standings)
 
 
@@ -145,3 +145,37 @@ def test_star_joins_shuffle_wide_attributes_last(spark):
         plan = df._jdf.queryExecution().analyzed().toString()
         joins = [line for line in plan.split("\n") if "Join Inner" in line and "circuit_id" not in line]
         assert [next(k for k in order if k in line) for line in reversed(joins)] == order
+
+
+def test_stored_dimensions_add_the_names_of_circuits_and_teams_last(spark):
+    from paddock.operators.star import calculated_results, race_results
+    results = spark.range(12).selectExpr("IF(id = 11, NULL, id % 9) AS race_id", "id % 4 AS driver_id", "id % 2 AS constructor_id",
+                                         "1 AS grid", "1 AS fastest_lap", "'t' AS time", "CAST(id AS FLOAT) AS points",
+                                         "CAST(id AS INT) AS position")
+    races = spark.range(9).selectExpr("IF(id = 8, 7, id) AS race_id", "2000 AS race_year", "'r' || id AS name",
+                                      "NULL AS race_timestamp", "CAST(id % 3 AS INT) AS circuit_id")
+    circuits = spark.range(2).selectExpr("CAST(id AS INT) AS circuit_id", "'c' || id AS location")
+    drivers = spark.range(3).selectExpr("id AS driver_id", "1 AS number", "'d' || id AS name", "'n' AS nationality")
+    teams = spark.range(2).selectExpr("id AS constructor_id", "'t' || id AS name")
+    star = [race_results(results, races, circuits, drivers, teams, "2021-01-01 00:00:00", stored=s) for s in (False, True)]
+    calc = [calculated_results(results, races, drivers, teams, stored=s) for s in (False, True)]
+    for lazy, stored in (star, calc):
+        assert lazy.schema == stored.schema
+        assert lazy.count() and sorted(map(str, lazy.collect())) == sorted(map(str, stored.collect()))
+    for df, order in ((star[1], ["race_id", "driver_id", "circuit_id", "constructor_id"]),
+                      (calc[1], ["race_id", "driver_id", "constructor_id"])):
+        joins = [line for line in df._jdf.queryExecution().analyzed().toString().split("\n") if "Join Inner" in line]
+        assert [next(k for k in order if k in line) for line in reversed(joins)] == order
+
+
+def test_kept_totals_are_not_shuffled_for_their_ranks(spark, tmp):
+    from paddock.sinks.writes import kept
+    rr = spark.range(400).selectExpr("'d' || id % 50 AS driver_name", "IF(id % 50 = 7, NULL, 'n') AS driver_nationality",
+                                     "'t' || id % 3 AS team", "CAST(IF(id % 9 = 0, NULL, 2000 + id % 4) AS INT) AS race_year",
+                                     "CAST(id % 5 AS FLOAT) AS points", "CAST(id % 6 AS INT) AS position")
+    for make in (driver_standings, lambda df, **k: driver_standings(df, with_team=False, **k), constructor_standings):
+        want = sorted(map(str, make(rr).collect()))
+        with kept(spark, f"{tmp}/s") as keep:
+            got = make(rr, keep=keep)
+            assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(str, got.collect())) == want and want
