@@ -346,6 +346,36 @@ def test_written_tables_are_packed_and_leave_no_shuffle_files(spark, tmp):
     assert spark.conf.get(FREE_SHUFFLES, "false") == before
 
 
+def test_shared_keys_rule_partitions_out_before_the_keys_are_sought(spark, tmp):
+    path = os.path.join(tmp, "t")
+    keys = ["race_id", "driver_id"]
+    first = [(2020, 1, 1, 1, "a"), (2020, 2, 1, 2, "a"), (2021, 3, 1, 3, "a"), (None, 4, 1, 4, "a"),
+             (2022, None, 1, 5, "a"), (2023, 6, 2, 6, "a")]
+    sink.upsert(spark, _df(spark, first), path, keys, "race_year")
+    target = sink.read_or_empty(spark, path)
+    for rows in ([(2021, 1, 1, 9, "b"), (2021, 4, 1, 9, "b")], [(2024, 6, 1, 9, "b"), (2024, None, 1, 9, "b")],
+                 [(2024, 7, 1, 9, "b")], [(2024, 6, 2, 9, "b"), (2024, 6, 2, 9, "b")]):
+        source = _df(spark, rows)
+        assert (sink.matching_partitions(target, source, keys, "race_year", moved_by=["race_id"])
+                == sink.matching_partitions(target, source, keys, "race_year"))
+    moved = _df(spark, [(2021, 1, 1, 9, "b"), (2021, 4, 1, 9, "b"), (2024, 6, 1, 7, "b")])
+    sink.upsert(spark, moved, path, keys, "race_year", moved_by=["race_id"])
+    assert _state(spark, path) == {(2021, 1, 1): (9, "b"), (2020, 2, 1): (2, "a"), (2021, 3, 1): (3, "a"),
+                                   (2021, 4, 1): (9, "b"), (2022, None, 1): (5, "a"), (2023, 6, 2): (6, "a"),
+                                   (2024, 6, 1): (7, "b")}
+
+
+def test_keys_are_not_sought_where_no_shared_key_is(spark, tmp, monkeypatch):
+    path = os.path.join(tmp, "t")
+    sink.upsert(spark, _df(spark, [(2020, 1, 1, 1, "a")]), path, ["race_id", "driver_id"], "race_year")
+    target, searched, plain = sink.read_or_empty(spark, path), [], sink.touched_partitions
+    monkeypatch.setattr(sink, "touched_partitions", lambda *a: searched.append(a[2]) or plain(*a))
+    for race, found in ((2, {}), (1, {(2020,): 1})):
+        assert sink.matching_partitions(target, _df(spark, [(2021, race, 1, 9, "b")]), ["race_id", "driver_id"],
+                                        "race_year", moved_by=["race_id"]) == found
+    assert searched == [[(2020,)]]
+
+
 def test_written_pages_hold_differences(spark, tmp):
     import glob
     import pyarrow.parquet as pq
