@@ -50,6 +50,7 @@ GROUPS = 256              # coordinates of a point
 BLOCK = 1024              # points of a cell that one task indexes
 LEAF = 16                 # points of an R-tree leaf, and children of a node
 COUNTERS = 1 << 15        # entries of a Misra-Gries summary
+PAIRS = 10_000            # pairs verified at once
 STEPS = 4                 # by which size codes of linked sets differ at most
 
 
@@ -394,7 +395,23 @@ def forest_links(points: np.ndarray, sets: list[np.ndarray], side: np.ndarray,
     return links
 
 
-def _verified(similarity: Fraction):
+def pair_links(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray,
+               bounds: Bounds) -> np.ndarray:
+    """Which of the pairs (i, j) of sets are linked."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets)
+    pair = np.repeat(np.arange(len(i)), sizes[i] + sizes[j])
+    both = np.stack((i, j), axis=1).ravel()
+    start, size = (np.cumsum(sizes) - sizes)[both], sizes[both]
+    held = flat[np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    order = np.lexsort((held, pair))
+    held, pair = held[order], pair[order]
+    twice = (held[1:] == held[:-1]) & (pair[1:] == pair[:-1])
+    found = np.bincount(pair[1:][twice], minlength=len(i))
+    return bounds.linked(found, sizes[i], sizes[j])
+
+
+def _verified(similarity: Fraction, direct: int):
     bounds = Bounds(similarity)
 
     def run(table: pa.Table) -> pa.Table:
@@ -407,9 +424,21 @@ def _verified(similarity: Fraction):
         cut = np.flatnonzero(np.concatenate(([True], (np.diff(cell[order]) != 0)
                                              | (np.diff(pair[order]) != 0)))).tolist()
         u, v = [], []
-        for a, b in zip(cut, [*cut[1:], len(order)]):
+        edge = np.array([*cut, len(order)])
+        size = np.diff(edge)
+        for n in range(2, direct + 1):     # all pairs of cells this small at once
+            own = order[edge[:-1][size == n][:, None] + np.arange(n)]
+            i, j = (own[:, x].ravel() for x in np.triu_indices(n, 1))
+            use = (side[i] != side[j]) | (side[own].max(axis=1) == 0).repeat(n * (n - 1) // 2)
+            for lo in range(0, len(i), PAIRS):
+                x, y = i[use][lo:lo + PAIRS], j[use][lo:lo + PAIRS]
+                if len(x):
+                    linked = pair_links(sets, x, y, bounds)
+                    u += rows[x[linked]].tolist()
+                    v += rows[y[linked]].tolist()
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
             own = order[a:b]
-            if b - a < 2:
+            if b - a < 2 or b - a <= direct:
                 continue
             mine = [sets[i] for i in own.tolist()]
             found = forest_links(np.stack([point(s) for s in mine]), mine, side[own], bounds)
@@ -474,14 +503,15 @@ def blocked(members: DataFrame, similarity: Fraction, block: int = BLOCK) -> Dat
 
 
 def cell_links(members: DataFrame, sets: DataFrame, similarity: Fraction = SIMILARITY,
-               block: int = BLOCK) -> DataFrame:
+               block: int = BLOCK, *, direct: int = 0) -> DataFrame:
     """(u, v): verified links within cells, enough to connect all that links connect.
-    ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes)."""
+    ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes). In cells
+    of up to ``direct`` rows all pairs are verified, without a tree."""
     n = shuffle_partitions(members.sparkSession)
     tasks = staged(blocked(members, similarity, block), "ngram_join_tasks")
     return (sets.join(small(tasks), "row")
             .withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
-            .groupBy("bucket").applyInArrow(_verified(similarity), "u long, v long"))
+            .groupBy("bucket").applyInArrow(_verified(similarity, direct), "u long, v long"))
 
 
 def links(rows: DataFrame, keyed: DataFrame, k: int = K,

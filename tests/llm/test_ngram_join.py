@@ -138,3 +138,27 @@ def test_components_of_chains_stars_and_loops(spark):
         200: 200, 201: 200, 202: 200, 300: 300, -5: -9, -9: -9}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_pairs_of_small_cells_link_as_by_the_tree():
+    import pyarrow as pa
+    draw = np.random.default_rng(8)
+    sim, sets, cell, side = Fraction(4, 5), [], [], []
+    for c in range(120):
+        base, two = draw.integers(0, 2**63, 30).astype(np.uint64), c % 3 == 0
+        for i in range(2 + c % 5):
+            own = base.copy()
+            own[:draw.integers(0, 7)] += np.uint64(1 + i)
+            sets.append(np.unique(own))
+            cell.append(c)
+            side.append(i % 2 if two else 0)
+    table = pa.table({"cell": cell, "pair": [0] * len(cell), "row": list(range(len(cell))),
+                      "side": side, "shingles": [s.tobytes() for s in sets]})
+
+    def classes(direct):
+        forest = J.Forest(len(cell))
+        for r in J._verified(sim, direct)(table).to_pylist():
+            assert cell[r["u"]] == cell[r["v"]]
+            forest.join(r["u"], r["v"])
+        return [forest.find(i) for i in range(len(cell))]
+    assert classes(4) == classes(0) != list(range(len(cell)))

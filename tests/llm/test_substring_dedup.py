@@ -163,3 +163,46 @@ def test_narrow_numbers():
         x = np.array([0, top, 7], np.int32)
         assert S._widened(S._narrow(x)).tolist() == x.tolist()
     assert not len(S._widened(S._narrow(np.empty(0, np.int32))))
+
+
+def test_sets_are_cut_by_place_alone(monkeypatch):
+    import pyarrow as pa
+    texts = ["a b c d e f. g h i j k l m\nn o", "é b c d e f g h i. x"]
+    u = S.Units([lowered(t) for t in texts], 3)
+    want = {int(m): np.unique(u.shingles[a:z]).tobytes()
+            for m, a, z in zip(u.marks.view(np.int64), u.edge[:-1], u.edge[1:])}
+    wanted = [[{"mark": int(m), "word": int(w), "n_words": int(n)} for m, t, w, n in zip(
+        u.marks.view(np.int64), u.text, u.word, u.n_words) if t == i] for i in (0, 1)]
+    monkeypatch.setattr(S, "Units", None)      # the units are not cut again
+    kind = pa.list_(pa.struct([("mark", pa.int64()), ("word", pa.int32()), ("n_words", pa.int32())]))
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "wanted": pa.array(wanted, kind)})
+    got = [r for b in S._sets(3)(iter([batch])) for r in b.to_pylist()]
+    assert len(want) > 2 and {r["mark"]: r["shingles"] for r in got} == want
+
+
+def test_firsts_of_marks_with_null_ids_and_repeats():
+    draw = random.Random(5)
+    rows = [(draw.randrange(4), draw.choice([None, 1, 2]), draw.randrange(3), draw.randrange(3), 7)
+            for _ in range(200)]
+    entries = np.zeros(len(rows), S.FIRST)
+    for i, (mark, doc, row, word, n) in enumerate(rows):
+        entries[i] = (mark, doc is None, doc or 0, row, word, n, row, row)
+    halves = np.concatenate([S._combined(entries[:90]), S._combined(entries[90:])])
+    got = [tuple(x) for x in S._combined(halves).tolist()]
+    for mark, last, doc, row, word, n, low, high in got:
+        own = [(d is None, d or 0, r, w, n) for m, d, r, w, n in rows if m == mark]
+        assert (last, doc, row, word, n) == min(own)
+        assert (low, high) == (min(x[2] for x in own), max(x[2] for x in own))
+    assert len(got) == len({r[0] for r in rows}) and not len(S._combined(entries[:0]))
+
+
+def test_wanted_windows_against_a_plain_search():
+    draw = np.random.default_rng(6)
+    text = np.sort(draw.integers(0, 5, 300))
+    seeds = draw.integers(0, 9, 300).astype(np.uint64)
+    wanted = [[1, 8, 12], [], [0], [3, 4], [12]]
+    edge = np.concatenate(([0], np.cumsum([len(w) for w in wanted])))
+    got = S.wanted_windows(text, seeds, edge, np.array([x for w in wanted for x in w], np.uint64))
+    assert got.tolist() == [int(s) in wanted[t] for t, s in zip(text.tolist(), seeds.tolist())]
+    own, kept = S.distinct_seeds(text, seeds)
+    assert list(zip(own.tolist(), kept.tolist())) == sorted({*zip(text.tolist(), seeds.tolist())})
