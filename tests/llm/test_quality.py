@@ -108,3 +108,42 @@ def test_every_trusted_document_counts(docs, stored):
     hashed = Q.hashed_words(docs([(i, "one two") for i in range(n + 1)], "many"))
     got = Q.bucket_counts(hashed, trusted).groupBy().sum("n_raw", "n_target").first()
     assert tuple(got) == (3 * (n + 1), 3 * n)
+
+
+def test_poor_documents_go_where_trusted_scores_are_spread(docs, stored):
+    draw = random.Random(11)
+    text = lambda marked: " ".join(draw.choice("the of and to in is that it was for".split())
+                                   + draw.choice(["", "s", "."]) + "#" * (i < marked) for i in range(60))
+    # many copies of one good text spread the trusted scores; poor words also stand in good texts
+    copies = text(0) + " " + " ".join(f"zq{i}" for i in range(60))
+    pairs = ([(i, copies) for i in range(200)] + [(1000 + i, text(0)) for i in range(200)]
+             + [(2000 + i, text(0)) for i in range(50)] + [(3000 + i, text(12)) for i in range(90)])
+    marks = ([(i, 1, 0) for i in [*range(200), *range(1000, 1200)]]
+             + [(i, 0, 0) for i in range(3000, 3030)] + [(1001, 0, 0)])
+    got = {r.doc_id: r for r in Q.rules(docs(pairs, "spread"), labels(stored, marks)).collect()}
+    trusted = [r.score for i, r in got.items() if i < 2000]
+    mean = sum(trusted) / len(trusted)
+    least = mean - Q.SPREAD * (sum(x * x for x in trusted) / len(trusted) - mean * mean) ** 0.5
+    assert not any(r.base_failed for r in got.values())
+    assert all(r.kept for i, r in got.items() if i < 3000)          # 2000 and on without a label
+    # six deviations alone let all of these pass
+    assert all(r.score > least for i, r in got.items() if i >= 3000)
+    assert not any(r.kept for i, r in got.items() if 3000 <= i < 3030)
+    assert sum(r.kept for i, r in got.items() if i >= 3030) <= 6
+
+
+def test_parting_makes_the_fewest_errors(spark):
+    draw = random.Random(12)
+    good = [(i, draw.gauss(0.05, 0.03)) for i in range(80)]
+    poor = [(100 + i, draw.gauss(-0.02, 0.04)) for i in range(60)]
+    ids = lambda own: spark.createDataFrame([(i,) for i in own], "doc_id long")
+    scores = spark.createDataFrame([*good, *poor, (7, None), (999, -9.0), (None, -9.0)], "doc_id long, held double")
+    at = lambda x: math.floor(x * Q.GRID)
+    poor.append(next(x for x in good if x[0] == 3))     # labelled both ways: trusted
+    errors = lambda c: (sum(at(s) < c for _, s in good)
+                        + sum(at(s) >= c for i, s in poor if i >= 100))
+    want = min(range(-300, 300), key=lambda c: (errors(c), c))
+    got = Q.parting(scores, ids(i for i, _ in good), ids(i for i, _ in poor))
+    assert got == want / Q.GRID
+    assert Q.parting(scores, ids(range(80)), ids([999_999])) is None
+    assert Q.parting(scores, ids([888_888]), ids(range(100, 160))) is None
