@@ -34,13 +34,23 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm._common import discard, fresh, id_and_text, numbered, shuffle_partitions, small, staged
+from paddock.llm._common import (
+    BROADCAST_ROWS,
+    discard,
+    fresh,
+    id_and_text,
+    numbered,
+    shuffle_partitions,
+    small,
+    staged,
+)
 from paddock.llm.components import components
 from paddock.llm.shingles import chunks, lowered, mix, shingle_hashes, words
 
@@ -502,28 +512,67 @@ def blocked(members: DataFrame, similarity: Fraction, block: int = BLOCK) -> Dat
     return small.unionByName(spread)
 
 
+def text_sets(rows: DataFrame, tasks: DataFrame, k: int, most: int | None = None
+              ) -> tuple[DataFrame, list[DataFrame]]:
+    """(row, shingles, tasks: array of cell, pair, side) of every row of the stored ``tasks``,
+    and the stored tables that it reads. ``rows`` (row, text) is a stored table in order of its
+    numbers, and its texts stay in place: the tasks are broadcast, beyond ``most`` of them in
+    parts by ranges of row numbers, of which each reads the files with its own rows. The sets
+    of the parts are stored, each once however many tasks it has."""
+    most = BROADCAST_ROWS if most is None else most
+    packed = staged(tasks.groupBy("row").agg(F.collect_list(F.struct("cell", "pair", "side")).alias("tasks")),
+                    "ngram_join_packed")
+    held = F.col("row")
+
+    def made(within) -> DataFrame:
+        return (rows.select("row", "text").filter(within)
+                .join(F.broadcast(packed.filter(within)), "row")
+                .mapInArrow(_with_sets(k), "row long, tasks array<struct<cell:bigint,pair:bigint,side:int>>,"
+                                           " shingles binary"))
+
+    parts = -(-tasks.count() // most)
+    if parts <= 1:
+        return made(F.lit(True)), [packed]
+    cuts = tasks.approxQuantile("row", [i / parts for i in range(1, parts)], 0.1 / parts)
+    cuts = sorted({int(c) for c in cuts})
+    within = ([held <= cuts[0]] + [(held > a) & (held <= b) for a, b in zip(cuts, cuts[1:])]
+              + [held > cuts[-1]])
+    stored = [staged(made(w), "ngram_join_sets") for w in within]
+    discard(packed)
+    return reduce(DataFrame.unionByName, stored), stored
+
+
 def cell_links(members: DataFrame, sets: DataFrame, similarity: Fraction = SIMILARITY,
-               block: int = BLOCK, *, direct: int = 0) -> DataFrame:
+               block: int = BLOCK, *, direct: int = 0, k: int | None = None) -> DataFrame:
     """(u, v): verified links within cells, enough to connect all that links connect.
-    ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes). In cells
-    of up to ``direct`` rows all pairs are verified, without a tree."""
+    ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes), or with ``k``
+    (row, text), a stored table, and then the result is stored. In cells of up to ``direct``
+    rows all pairs are verified, without a tree."""
     n = shuffle_partitions(members.sparkSession)
     tasks = staged(blocked(members, similarity, block), "ngram_join_tasks")
-    return (sets.join(small(tasks), "row")
-            .withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
-            .groupBy("bucket").applyInArrow(_verified(similarity, direct), "u long, v long"))
+    if k is None:
+        dealt, read = sets.join(small(tasks), "row"), []
+    else:
+        made, read = text_sets(sets, tasks, k)
+        dealt = (made.select("row", "shingles", F.explode("tasks").alias("t"))
+                 .select("row", "shingles", "t.cell", "t.pair", "t.side"))
+    found = (dealt.withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
+             .groupBy("bucket").applyInArrow(_verified(similarity, direct), "u long, v long"))
+    if k is not None:
+        found = staged(found, "ngram_join_links")
+        discard(*read)
+    return found
 
 
 def links(rows: DataFrame, keyed: DataFrame, k: int = K,
           similarity: Fraction = SIMILARITY) -> DataFrame:
-    """Links between ``rows`` (row, text: a stored table); ``keyed`` has (row, n, keys)."""
-    found = staged(cells(keyed), "ngram_join_members")
-    sized = found.join(keyed.select(F.col("row").alias("node"), "n"), "node")
-    members = sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n")
-    sets = (rows.select("row", "text")
-            .join(small(found.select(F.col("node").alias("row"))), "row", "left_semi")
-            .mapInArrow(_with_sets(k), "row long, shingles binary"))
-    return cell_links(members, sets, similarity)
+    """Links between ``rows`` (row, text: a stored table), stored; ``keyed`` (row, n, keys), a
+    stored table that nothing else reads, is deleted before the sets are made."""
+    sized = cells(keyed).join(keyed.select(F.col("row").alias("node"), "n"), "node")
+    members = staged(sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"),
+                     "ngram_join_members")
+    discard(keyed)
+    return cell_links(members, rows, similarity, k=k)
 
 
 def signatures(docs: DataFrame, k: int = K, similarity: Fraction = SIMILARITY,
@@ -564,8 +613,7 @@ def row_classes(rows: DataFrame, k: int, similarity: Fraction) -> DataFrame:
     # the keys go on in that table alone
     full, signed = signed, staged(signed.select("row", "doc_id", "n"), "ngram_join_sizes")
     discard(full)
-    found = staged(links(rows, keyed, k, similarity), "ngram_join_links")
-    discard(keyed)
+    found = links(rows, keyed, k, similarity)
     roots = staged(components(found, "ngram_join_components"), "ngram_join_roots")
     # the least doc_id of every component, over its distinct sets
     firsts = equal.select(F.col("first").alias("node"), "least").join(roots, "node")

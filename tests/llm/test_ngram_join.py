@@ -87,6 +87,31 @@ def test_frequent_keys_and_large_cells(docs, corpus, monkeypatch):
         pairs, 4, Fraction(85, 100))
 
 
+def test_texts_stay_in_place_however_many_are_verified(spark, docs, corpus, monkeypatch):
+    """Beyond the rows that are broadcast, neither texts nor sets are shuffled by row."""
+    plans, write, most = [], J.staged, 50
+
+    def seen(df, name, *more):
+        plans.append((name, df._jdf.queryExecution().sparkPlan().toString()))
+        return write(df, name, *more)
+
+    monkeypatch.setattr(J, "staged", seen)
+    monkeypatch.setattr(J, "BROADCAST_ROWS", most, raising=False)
+    monkeypatch.setitem(J.small.__globals__, "BROADCAST_ROWS", most)
+    table = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(table)
+    spark.conf.set(table, "-1")
+    try:
+        got = J.classes(docs(corpus)).collect()
+    finally:
+        spark.conf.set(table, before)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == expected(
+        corpus, 4, Fraction(85, 100))
+    heavy = [p for name, p in plans if name in ("ngram_join_sets", "ngram_join_links")]
+    assert heavy and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in heavy)
+    assert sum(name == "ngram_join_sets" for name, _ in plans) > 1      # several parts
+
+
 def test_one_document_of_each_class_stays(docs, corpus):
     table = docs(corpus)
     left = J.keep_one(table)
