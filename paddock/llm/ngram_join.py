@@ -546,28 +546,36 @@ def cell_links(members: DataFrame, sets: DataFrame, similarity: Fraction = SIMIL
                block: int = BLOCK, *, direct: int = 0, k: int | None = None) -> DataFrame:
     """(u, v): verified links within cells, enough to connect all that links connect.
     ``members``: (cell, row, n); ``sets``: (row, shingles: packed sorted hashes), or with ``k``
-    (row, text), a stored table, and then the result is stored. In cells of up to ``direct``
-    rows all pairs are verified, without a tree."""
+    (row, text), a stored table, and then the result is stored, in as many passes over the
+    tasks as a row has tasks on average: no more is shuffled at once than every set one time.
+    In cells of up to ``direct`` rows all pairs are verified, without a tree."""
     n = shuffle_partitions(members.sparkSession)
     tasks = staged(blocked(members, similarity, block), "ngram_join_tasks")
+
+    def verified(dealt: DataFrame) -> DataFrame:
+        return (dealt.withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
+                .groupBy("bucket").applyInArrow(_verified(similarity, direct), "u long, v long"))
+
     if k is None:
-        dealt, read = sets.join(small(tasks), "row"), []
-    else:
-        made, read = text_sets(sets, tasks, k)
-        dealt = (made.select("row", "shingles", F.explode("tasks").alias("t"))
-                 .select("row", "shingles", "t.cell", "t.pair", "t.side"))
-    found = (dealt.withColumn("bucket", F.pmod(F.xxhash64("cell", "pair"), F.lit(8 * n)))
-             .groupBy("bucket").applyInArrow(_verified(similarity, direct), "u long, v long"))
-    if k is not None:
-        found = staged(found, "ngram_join_links")
-        discard(*read)
-    return found
+        return verified(sets.join(small(tasks), "row"))
+    dealt, held = tasks.agg(F.count(F.lit(1)), F.countDistinct("row")).first()
+    passes = -(-dealt // max(1, held))
+    made, read = text_sets(sets, tasks, k)
+    if passes > 1 and len(read) == 1:
+        made = staged(made, "ngram_join_sets")
+        read.append(made)
+    spread = (made.select("row", "shingles", F.explode("tasks").alias("t"))
+              .select("row", "shingles", "t.cell", "t.pair", "t.side"))
+    turn = F.pmod(F.xxhash64("pair", "cell"), F.lit(max(1, passes)))
+    found = [staged(verified(spread.filter(turn == p)), "ngram_join_links") for p in range(max(1, passes))]
+    discard(*read)
+    return reduce(DataFrame.unionByName, found)
 
 
 def links(rows: DataFrame, keyed: DataFrame, k: int = K,
           similarity: Fraction = SIMILARITY) -> DataFrame:
-    """Links between ``rows`` (row, text: a stored table), stored; ``keyed`` (row, n, keys), a
-    stored table that nothing else reads, is deleted before the sets are made."""
+    """Links between ``rows`` (row, text: a stored table), stored; ``keyed`` (row, n, keys) reads
+    a stored table that nothing else reads; it is deleted before the sets are made."""
     sized = cells(keyed).join(keyed.select(F.col("row").alias("node"), "n"), "node")
     members = staged(sized.select(F.col("root").alias("cell"), F.col("node").alias("row"), "n"),
                      "ngram_join_members")
@@ -607,12 +615,11 @@ def row_classes(rows: DataFrame, k: int, similarity: Fraction) -> DataFrame:
              .join(equal.filter("held > 1").select("mark", "n", "first"), ["mark", "n"])
              .filter("row <> first").select("row", "first"))
     again = staged(again, "ngram_join_copies")
+    # the keys are read where they were stored, the other columns go on in a narrow table
     keyed = (signed.filter("length(keys) > 0").select("row", "n", "keys")
              .join(small(again.select("row")), "row", "left_anti"))
-    keyed = staged(keyed, "ngram_join_keyed")
-    # the keys go on in that table alone
-    full, signed = signed, staged(signed.select("row", "doc_id", "n"), "ngram_join_sizes")
-    discard(full)
+    keyed._stored_at = signed._stored_at
+    signed = staged(signed.select("row", "doc_id", "n"), "ngram_join_sizes")
     found = links(rows, keyed, k, similarity)
     roots = staged(components(found, "ngram_join_components"), "ngram_join_roots")
     # the least doc_id of every component, over its distinct sets
